@@ -63,7 +63,8 @@ def first_launch(rollup: DataFrame, scope: list[str]) -> DataFrame:
     Returns scope + device_id + d, first_id, channel_id, version, h of that
     launch.
     """
-    keep = [c for c in ("d", "first_id", "channel_id", "version", "h") if c not in scope]
+    keep = [c for c in ("d", "first_id", "channel_id", "version", "h")
+            if c not in scope and c in rollup.columns]
     f = (rollup.groupBy(*scope, "device_id")
          .agg(F.min(F.struct(*keep)).alias("_f")))
     return f.select(*scope, "device_id", *[F.col(f"_f.{c}").alias(c) for c in keep])

@@ -93,6 +93,8 @@ def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from usagelens.plans import (  # noqa: F401
         kpi_queries,
+        path_queries,
+        retention_queries,
     )
     return QUERIES
 

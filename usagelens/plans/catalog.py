@@ -92,6 +92,7 @@ class Inputs:
 def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from usagelens.plans import (  # noqa: F401
+        distribution_queries,
         kpi_queries,
         path_queries,
         retention_queries,

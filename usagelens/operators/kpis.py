@@ -129,10 +129,14 @@ def daily_kpis(launch: DataFrame, pages: DataFrame | None, active: DataFrame | N
     parts = [base, new, upg]
     if pages is not None:
         parts.append(pages.groupBy(*keys, "d").agg(F.sum("duration_ms").alias("usingtime")))
-    metrics = ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"]
+    metrics = ["sessions", "startusers", "newusers", "upgradeusers"]
+    if pages is not None:
+        metrics.append("usingtime")
     u = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     out = u.groupBy(*keys, "d").agg(
         *[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in metrics])
+    if pages is None:
+        out = out.withColumn("usingtime", F.lit(0).cast("bigint"))
     out = _running(out, keys, "newusers", "allusers")
     out = _running(out, keys, "sessions", "allsessions")
     return out.select(*keys, "d", "sessions", "startusers", "newusers", "upgradeusers",

@@ -92,7 +92,9 @@ class Inputs:
 def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from usagelens.plans import (  # noqa: F401
+        crash_queries,
         distribution_queries,
+        event_queries,
         kpi_queries,
         path_queries,
         retention_queries,

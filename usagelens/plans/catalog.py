@@ -97,6 +97,7 @@ def load_all() -> dict[str, Query]:
         event_queries,
         kpi_queries,
         path_queries,
+        report_queries,
         retention_queries,
     )
     return QUERIES

@@ -34,7 +34,7 @@ FUNNELS = [  # funnel_id, funnel_name, unit_price, [(seq, event_id, alias)]
     (1, "signup to purchase", "2.50", [(1, 1, "sign up"), (2, 2, "view"), (3, 3, "click"), (4, 4, "buy")]),
     (2, "view to purchase", "10.00", [(1, 2, "view"), (2, 4, "buy")]),
 ]
-ALERT_METRICS = ["newusers", "startusers", "sessions", "upgradeusers", "usingtime"]
+ALERT_METRICS = ["newusers", "startusers", "sessions", "allusers", "usingtime"]
 ALERT_CONDITIONS = [5, 20, 50]
 MARKERS = [  # marker_id, user_id, product_id, marker date, title, private
     (1, 1, 1, "2024-01-05", "release 1.9", 0),
@@ -95,7 +95,7 @@ def funnels(spark: SparkSession) -> DataFrame:
 
 
 def alert_rules(spark: SparkSession) -> DataFrame:
-    rows = [(p[0], m, ALERT_CONDITIONS[(i + p[0]) % 3], 1)
+    rows = [(p[0], m, float(ALERT_CONDITIONS[(i + p[0]) % 3]), 1)
             for p in PRODUCTS for i, m in enumerate(ALERT_METRICS)]
     return spark.createDataFrame(rows, "product_id int, metric string, condition double, active int")
 

@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 
 def span_bounds(df: DataFrame, col: str = "d") -> tuple[Column, Column]:
-    """(first, last) value of ``col`` as scalar-subquery columns."""
-    return (df.select(F.min(col)).scalar(), df.select(F.max(col)).scalar())
+    """(first, last) value of ``col`` as one scalar subquery (both bounds
+    come from the same subquery, which Spark executes once).  Pass the
+    narrowest input that has the dates (e.g. the raw log's date column)
+    rather than a derived summary, so the subquery is a one-column scan."""
+    s = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    return s.getField("lo"), s.getField("hi")
 
 
 def date_grid(keys: DataFrame, lo: Column, hi: Column, out: str = "d") -> DataFrame:
@@ -24,14 +28,16 @@ def date_grid(keys: DataFrame, lo: Column, hi: Column, out: str = "d") -> DataFr
 
 
 def densify(df: DataFrame, keys: list[str], zero_cols: list[str], asof_cols: list[str] = (),
-            lo: Column | None = None, hi: Column | None = None, key_rows: DataFrame | None = None) -> DataFrame:
+            lo: Column | None = None, hi: Column | None = None, key_rows: DataFrame | None = None,
+            span_src: DataFrame | None = None) -> DataFrame:
     """Left-align ``df`` (keys, d, metrics) on the dense grid.
 
     ``zero_cols`` are filled with 0; ``asof_cols`` carry the latest known
     value forward (running max of a cumulative column = as-of read), 0 before
     the first known value.  Rows before ``lo`` still feed the as-of values.
+    The default span is that of ``span_src`` (default ``df``).
     """
-    data_lo, data_hi = span_bounds(df)
+    data_lo, data_hi = span_bounds(span_src if span_src is not None else df)
     lo = data_lo if lo is None else lo
     hi = data_hi if hi is None else hi
     kr = key_rows if key_rows is not None else df.select(*keys).distinct()

@@ -36,16 +36,16 @@ def derive_ratios(kpis: DataFrame) -> DataFrame:
     })
 
 
-def kpi_detail(kpis: DataFrame) -> DataFrame:
+def kpi_detail(kpis: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
     """R2: dense series with derived ratios, newest first."""
-    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF)
+    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, span_src=span_src)
     return derive_ratios(dense).orderBy(F.col("d").desc(), "product_id")
 
 
-def owner_series(kpis: DataFrame, products: DataFrame) -> DataFrame:
+def owner_series(kpis: DataFrame, products: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
     """KPIs summed over all apps of each owner, dense by day; cumulative
     users are the sum of each app's as-of value."""
-    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF)
+    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, span_src=span_src)
     own = products.select("product_id", "owner_id")
     return (dense.join(own, "product_id")
             .groupBy("owner_id", "d")
@@ -68,16 +68,16 @@ def snapshot(kpis: DataFrame, keys: list[str], key_rows: DataFrame | None = None
                         for c in KPI_METRICS + ["allusers"]])
 
 
-def channel_series(kpis_channel: DataFrame, channels: DataFrame) -> DataFrame:
+def channel_series(kpis_channel: DataFrame, channels: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
     """Dense (registry channel x day) grid with KPIs and as-of users."""
     kr = channels.select("product_id", "channel_id")
-    return densify(kpis_channel, ["product_id", "channel_id"], KPI_METRICS, ASOF, key_rows=kr)
+    return densify(kpis_channel, ["product_id", "channel_id"], KPI_METRICS, ASOF, key_rows=kr, span_src=span_src)
 
 
-def version_series(kpis_version: DataFrame) -> DataFrame:
+def version_series(kpis_version: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
     """Dense (version x day) grid of active and new devices."""
     return densify(kpis_version.select("product_id", "version", "d", "startusers", "newusers"),
-                   ["product_id", "version"], ["startusers", "newusers"])
+                   ["product_id", "version"], ["startusers", "newusers"], span_src=span_src)
 
 
 def channel_active_sum(kpis_channel: DataFrame, channels: DataFrame, a=None, b=None) -> DataFrame:
@@ -91,11 +91,12 @@ def channel_active_sum(kpis_channel: DataFrame, channels: DataFrame, a=None, b=N
                     F.coalesce("active_sum", F.lit(0)).cast("bigint").alias("active_sum")))
 
 
-def rolling_actives(kpis_channel: DataFrame, channels: DataFrame, days: int = 7) -> DataFrame:
+def rolling_actives(kpis_channel: DataFrame, channels: DataFrame, days: int = 7,
+                    span_src: DataFrame | None = None) -> DataFrame:
     """Per channel and day, the sum of daily active devices over the
     trailing ``days`` days (a sum of DAU, as the reference reports it) and
     the as-of cumulative users."""
-    dense = channel_series(kpis_channel, channels)
+    dense = channel_series(kpis_channel, channels, span_src)
     w = (Window.partitionBy("product_id", "channel_id").orderBy(F.unix_date("d"))
          .rangeBetween(-(days - 1), 0))
     return dense.select("product_id", "channel_id", "d",
@@ -220,20 +221,22 @@ def avg_session(pages: DataFrame, by: list[str] = ("product_id",), daily: bool =
                     ratio(F.col("_t"), F.col("sessions")).alias("avg_ms")))
 
 
-def compare(kpis: DataFrame, metric: str, product_ids: list[int]) -> DataFrame:
+def compare(kpis: DataFrame, metric: str, product_ids: list[int],
+            span_src: DataFrame | None = None) -> DataFrame:
     """One metric of several products side by side (pivot with the
     listed products as fixed values)."""
-    return (densify(kpis.select("product_id", "d", metric), ["product_id"], [metric])
+    return (densify(kpis.select("product_id", "d", metric), ["product_id"], [metric], span_src=span_src)
             .where(F.col("product_id").isin(product_ids))
             .groupBy("d").pivot("product_id", product_ids).agg(F.first(metric))
             .select("d", *[F.coalesce(F.col(str(p)), F.lit(0)).cast("bigint").alias(f"p{p}")
                            for p in product_ids]))
 
 
-def compare_wide(kpis: DataFrame, metrics: list[str], product_ids: list[int]) -> DataFrame:
+def compare_wide(kpis: DataFrame, metrics: list[str], product_ids: list[int],
+                 span_src: DataFrame | None = None) -> DataFrame:
     """Metric block x day x products: unpivot the metrics, pivot the
     products."""
-    dense = densify(kpis.select("product_id", "d", *metrics), ["product_id"], metrics)
+    dense = densify(kpis.select("product_id", "d", *metrics), ["product_id"], metrics, span_src=span_src)
     long = dense.unpivot(["product_id", "d"], metrics, "metric", "value")
     return (long.where(F.col("product_id").isin(product_ids))
             .groupBy("metric", "d").pivot("product_id", product_ids).agg(F.first("value"))

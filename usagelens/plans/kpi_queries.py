@@ -198,4 +198,4 @@ def kpi_series(i: Inputs):
     kp = K.daily_kpis(i.launch, i.page, i.active, "product")
     return densify(kp, ["product_id"],
                    ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"],
-                   ["allusers", "allsessions"])
+                   ["allusers", "allsessions"], span_src=i.launch)

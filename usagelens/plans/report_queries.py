@@ -45,7 +45,7 @@ SELECT dk.*, coalesce({PCT1.format(num="newusers", den="startusers")}, 0.0) AS n
   coalesce(usingtime / nullif(sessions * 1000, 0), 0.0) AS avg_session_s FROM dk""")
 def kpi_detail(i: Inputs):
     """Dense KPI series with derived ratios, newest first."""
-    return RP.kpi_detail(kp(i))
+    return RP.kpi_detail(kp(i), span_src=i.launch)
 
 
 @query("owner_series", f"""WITH {dense_sql("product")}
@@ -55,7 +55,7 @@ SELECT p.owner_id, dk.d, CAST(sum(newusers) AS BIGINT) AS newusers, CAST(sum(sta
 FROM dk JOIN products p USING (product_id) GROUP BY p.owner_id, dk.d""")
 def owner_series(i: Inputs):
     """KPI trend over all apps of each owner."""
-    return RP.owner_series(kp(i), i.products)
+    return RP.owner_series(kp(i), i.products, span_src=i.launch)
 
 
 def _snap_sql(grain: str, key_rows: str | None = None) -> str:
@@ -96,14 +96,14 @@ def version_snapshot(i: Inputs):
 SELECT * FROM dk""")
 def channel_series(i: Inputs):
     """Dense date x registry-channel KPI grid with as-of users."""
-    return RP.channel_series(kp(i, "channel"), i.channels)
+    return RP.channel_series(kp(i, "channel"), i.channels, span_src=i.launch)
 
 
 @query("version_series", f"""WITH {dense_sql("version")}
 SELECT product_id, version, d, startusers, newusers FROM dk""")
 def version_series(i: Inputs):
     """Dense date x version grid of active and new devices."""
-    return RP.version_series(kp(i, "version"))
+    return RP.version_series(kp(i, "version"), span_src=i.launch)
 
 
 @query("channel_active_sum", f"""WITH {kpi_oracle_ctes("channel")},
@@ -126,13 +126,13 @@ FROM dk g"""
 @query("rolling_actives_7d", _rolling_sql(7))
 def rolling_actives_7d(i: Inputs):
     """Trailing 7-day sum of daily actives per channel."""
-    return RP.rolling_actives(kp(i, "channel"), i.channels, 7)
+    return RP.rolling_actives(kp(i, "channel"), i.channels, 7, span_src=i.launch)
 
 
 @query("rolling_actives_31d", _rolling_sql(31))
 def rolling_actives_31d(i: Inputs):
     """Trailing 31-day sum of daily actives per channel."""
-    return RP.rolling_actives(kp(i, "channel"), i.channels, 31)
+    return RP.rolling_actives(kp(i, "channel"), i.channels, 31, span_src=i.launch)
 
 
 @query("portfolio", f"""WITH {kpi_oracle_ctes("product")},
@@ -312,7 +312,7 @@ SELECT d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN startus
 FROM dk GROUP BY d""")
 def compare_products(i: Inputs):
     """Daily actives of all products side by side."""
-    return RP.compare(kp(i), "startusers", PIDS)
+    return RP.compare(kp(i), "startusers", PIDS, span_src=i.launch)
 
 
 CW_METRICS = ["newusers", "startusers", "sessions"]
@@ -324,7 +324,7 @@ SELECT metric, d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN
 FROM long GROUP BY metric, d""")
 def compare_wide(i: Inputs):
     """Metric block x date x products (unpivot + pivot)."""
-    return RP.compare_wide(kp(i), CW_METRICS, PIDS)
+    return RP.compare_wide(kp(i), CW_METRICS, PIDS, span_src=i.launch)
 
 
 @query("kpi_page", f"""WITH {dense_sql("product")}
@@ -332,7 +332,7 @@ SELECT * FROM dk ORDER BY product_id, d LIMIT 10 OFFSET 10""")
 def kpi_page(i: Inputs):
     """Second page (10 rows) of the dense KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
     return RP.page(dense, ["product_id", "d"], 1, 10)
 
 
@@ -346,7 +346,7 @@ def channel_allusers_ffill(i: Inputs):
     """Carry the last known cumulative users forward over gaps."""
     from usagelens.functions.densify import date_grid, ffill, span_bounds
     k = kp(i, "channel")
-    lo, hi = span_bounds(k)
+    lo, hi = span_bounds(i.launch)
     grid = date_grid(i.channels.select("product_id", "channel_id"), lo, hi)
     g = grid.join(k.select("product_id", "channel_id", "d", "allusers"), ["product_id", "channel_id", "d"], "left")
     f = ffill(g, ["product_id", "channel_id"], "allusers")
@@ -440,7 +440,7 @@ FROM f WHERE k = 5"""
 def kpi_forecast(i: Inputs):
     """A1: 5-day mean forecast of the KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
     return TR.forecast(dense, FC)
 
 
@@ -455,7 +455,7 @@ def kpi_alerts(i: Inputs):
     """A3/A4/A5: deviation alerts of every product day against its rules."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
     return TR.alerts(dense, registry.alert_rules(i.spark), FC)
 
 
@@ -492,7 +492,7 @@ def kpi_markers(i: Inputs):
     """Markers visible to user 1 on the KPI chart, with the day's values."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
     m = TR.visible_markers(registry.markers(i.spark), 1, None, "2024-01-01", "2024-01-31")
     return (m.join(dense, ["product_id", "d"])
             .select("marker_id", "user_id", "product_id", "d", "title", "startusers", "newusers"))

@@ -95,6 +95,7 @@ def load_all() -> dict[str, Query]:
         crash_queries,
         distribution_queries,
         event_queries,
+        ingest_queries,
         kpi_queries,
         path_queries,
         report_queries,

@@ -100,6 +100,7 @@ def load_all() -> dict[str, Query]:
         path_queries,
         report_queries,
         retention_queries,
+        stream_queries,
     )
     return QUERIES
 

@@ -51,9 +51,15 @@ def _tagged(prefix: str, c: Column) -> Column:
 
 def launch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Launch log: one row per app start (``launch_id`` is the arrival id)."""
-    e = _events(spark, sf_dir)
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return launch_from_events(_events(spark, sf_dir), _table(spark, sf_dir, "nation"),
+                              _table(spark, sf_dir, "region"))
+
+
+def launch_from_events(e: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Launch rows from an ``events`` DataFrame -- batch or streaming (the
+    nation/region lookup is a stream-static join)."""
+    nation = nation.select("n_nationkey", "n_name", "n_regionkey")
+    region = region.select("r_regionkey", "r_name")
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     base = e.select(
         eid.alias("launch_id"),

@@ -51,7 +51,11 @@ def _mccmnc(uid: Column) -> Column:
 
 
 def launch_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
+    return launch_payloads_from(_events(spark, sf_dir))
+
+
+def launch_payloads_from(e: DataFrame) -> DataFrame:
+    """Launch payloads from an ``events`` DataFrame (batch or streaming)."""
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     body = F.struct(
         _appkey(uid, eid, ts).alias("appkey"),

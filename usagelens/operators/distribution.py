@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from usagelens.functions.buckets import bucket_array, bucketize
 from usagelens.functions.ratios import pct_round, ratio
 from usagelens.operators.kpis import first_launch, launch_rollup, only_active
+from usagelens.sources.registry import local_table
 
 # denominator per attribute: 'pairs' = distinct (device, value) pairs (shares
 # sum to 1); 'devices' = distinct devices (a device seen with two values
@@ -127,7 +128,7 @@ def usage_histogram(pages: DataFrame, buckets: list[tuple], active: DataFrame |
     sess = (in_range(pages, a, b)
             .groupBy("product_id", "channel_id", "version", "d", "session_id")
             .agg(F.sum("duration_ms").alias("duration_ms")))
-    bdf = spark.createDataFrame(buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
+    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
     counted = (bucketize(sess, "duration_ms", bdf, "left").groupBy(*by, "bucket_id")
                .agg(F.count(F.lit(1)).alias("sessions")))
     den = only_active(sess, active).groupBy(*by).agg(F.count(F.lit(1)).alias("_den"))
@@ -148,7 +149,7 @@ def frequency_histogram(launch: DataFrame, buckets: list[tuple], active: DataFra
     spark = launch.sparkSession
     r = only_active(launch_rollup(in_range(launch, a, b)), active)
     per_dev = r.groupBy("product_id", "channel_id", "version", "d", "device_id").agg(F.sum("n").alias("times"))
-    bdf = spark.createDataFrame(buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
+    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
     counted = (bucketize(per_dev, "times", bdf, "both").groupBy(*by, "bucket_id")
                .agg(F.count(F.lit(1)).alias("access")))
     grid = (per_dev.select(*by).distinct()

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.calendar import day_number
+from usagelens.sources.registry import local_table
 
 GRAIN_KEYS = {
     "product": ["product_id"],
@@ -182,7 +183,7 @@ def launch_histogram(launch: DataFrame, buckets: list[tuple], rollup: DataFrame
     keys = ["product_id", "channel_id", "version", "d"]
     r = rollup if rollup is not None else launch_rollup(launch)
     per_dev = r.groupBy(*keys, "device_id").agg(F.sum("n").alias("times"))
-    bdf = spark.createDataFrame(buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
+    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
     counted = (bucketize(per_dev, "times", bdf, closed="both")
                .groupBy(*keys, "bucket_id").agg(F.count(F.lit(1)).alias("devices")))
     grid = (per_dev.select(*keys).distinct()

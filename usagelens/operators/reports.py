@@ -53,11 +53,14 @@ def owner_series(kpis: DataFrame, products: DataFrame, span_src: DataFrame | Non
                                                               "usingtime", "allusers"]]))
 
 
-def snapshot(kpis: DataFrame, keys: list[str], key_rows: DataFrame | None = None) -> DataFrame:
+def snapshot(kpis: DataFrame, keys: list[str], key_rows: DataFrame | None = None,
+             day: Column | None = None) -> DataFrame:
     """The values of the last day of data per key with as-of
     cumulative users; keys without data that day show 0 (``key_rows`` lists
-    the keys to report, e.g. the registry's channels)."""
-    day = last_day(kpis)
+    the keys to report, e.g. the registry's channels).  ``day`` defaults to
+    the last day of ``kpis``; pass ``last_day(raw_log)`` to take it from a
+    one-column scan instead of a second evaluation of the summary."""
+    day = last_day(kpis) if day is None else day
     kr = key_rows if key_rows is not None else kpis.select(*keys).distinct()
     asof = (kpis.where(F.col("d") <= day).groupBy(*keys)
             .agg(F.max("allusers").alias("allusers")))
@@ -104,10 +107,10 @@ def rolling_actives(kpis_channel: DataFrame, channels: DataFrame, days: int = 7,
                         "allusers")
 
 
-def portfolio(kpis: DataFrame, products: DataFrame) -> DataFrame:
+def portfolio(kpis: DataFrame, products: DataFrame, day: Column | None = None) -> DataFrame:
     """Every app with today's and yesterday's new users, launches and
     active devices (two-day conditional aggregation) and as-of users."""
-    day = last_day(kpis)
+    day = last_day(kpis) if day is None else day
     prev = F.date_sub(day, 1)
     two = kpis.where(F.col("d").between(prev, day))
     agg = two.groupBy("product_id").agg(
@@ -156,11 +159,12 @@ def version_contrast(kpis_version: DataFrame, r1: tuple, r2: tuple, n: int = 10)
     return parts[0].unionByName(parts[1])
 
 
-def endpoint_values(kpis: DataFrame, keys: list[str], nested: bool = False) -> DataFrame:
+def endpoint_values(kpis: DataFrame, keys: list[str], nested: bool = False,
+                    span_src: DataFrame | None = None) -> DataFrame:
     """Per key, the KPI values on the first and on the last day of
     the data (``endpoint`` = 'first' / 'last'); ``nested`` returns them as a
     day-ordered list of structs per key (the API shape)."""
-    lo, hi = span_bounds(kpis)
+    lo, hi = span_bounds(span_src if span_src is not None else kpis)
     ends = kpis.where(F.col("d").isin(lo, hi)).select(
         *keys, F.when(F.col("d") == lo, F.lit("first")).otherwise(F.lit("last")).alias("endpoint"),
         "d", "startusers", "newusers", "sessions")

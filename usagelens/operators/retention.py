@@ -67,30 +67,35 @@ def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", de
     <kind>N counts devices active in period cohort+N whose new (first) launch
     fell in the cohort period, grouped by the version/channel of the return
     visit; usercount groups new devices by the new launch's version/channel.
+
+    One pass: the cohort rows (offset 0, keyed by the new launch) and the
+    return rows (offset 1..depth, keyed by the visit) are unioned and counted
+    in a single grouping-sets aggregate with the offset as a key, then
+    pivoted on the fixed offsets 0..depth.
     """
     keys = launch_keys(launch)
     firsts = only_active(first_launch(keys, ["product_id"]), active)
     cohort = firsts.select("product_id", "device_id",
                            period_index(F.col("d"), kind).alias("_pf"),
-                           period_start(F.col("d"), kind).alias("cohort_start"))
+                           period_start(F.col("d"), kind).alias("cohort_start"),
+                           F.col("version").alias("_fv"), F.col("channel_id").cast("string").alias("_fc"))
     act = (_with_channel(only_active(keys, active))
            .select("product_id", "device_id", "version", "channel",
                    period_index(F.col("d"), kind).alias("_pa"))
            .distinct())
-    ret = (act.join(cohort, ["product_id", "device_id"])
-           .withColumn("offset", F.col("_pa") - F.col("_pf"))
-           .where(F.col("offset").between(1, depth)))
-    counts = _rollup_count(ret, ["cohort_start", "offset"], "n")
+    returned = (act.join(cohort, ["product_id", "device_id"])
+                .withColumn("offset", F.col("_pa") - F.col("_pf"))
+                .where(F.col("offset").between(1, depth))
+                .select("product_id", "device_id", "version", "channel", "cohort_start", "offset"))
+    new = cohort.select("product_id", "device_id", F.col("_fv").alias("version"), F.col("_fc").alias("channel"),
+                        "cohort_start", F.lit(0).alias("offset"))
+    counts = _rollup_count(new.unionByName(returned), ["cohort_start", "offset"], "n")
     prefix = PREFIX[kind]
     wide = (counts.groupBy("cohort_start", "product_id", "version", "channel")
-            .pivot("offset", list(range(1, depth + 1))).agg(F.first("n")))
-    for k in range(1, depth + 1):
-        wide = wide.withColumnRenamed(str(k), f"{prefix}{k}")
-    size = cohort_size(launch, active, kind)
-    out = size.join(wide, ["cohort_start", "product_id", "version", "channel"], "full")
-    cols = ["usercount"] + [f"{prefix}{k}" for k in range(1, depth + 1)]
-    return out.select("cohort_start", "product_id", "version", "channel",
-                      *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
+            .pivot("offset", list(range(0, depth + 1))).agg(F.first("n")))
+    names = {"0": "usercount", **{str(k): f"{prefix}{k}" for k in range(1, depth + 1)}}
+    return wide.select("cohort_start", "product_id", "version", "channel",
+                       *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(n) for c, n in names.items()])
 
 
 def retention_report(ret: DataFrame, product_id=None, version: str = "all", channel: str = "all",

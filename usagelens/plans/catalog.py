@@ -68,6 +68,27 @@ class Inputs:
     def launch_long(self) -> DataFrame:
         return fixtures.launch_long(self.spark, self.sf_dir)
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        """Device-hour rollup of the launch log, computed once per query --
+        one scan of the raw fact -- and checkpointed into the shared
+        checkpoint folder; every KPI branch reads the checkpoint instead of
+        re-aggregating the fact (column pruning would otherwise give each
+        branch a different aggregate, defeating exchange reuse)."""
+        from usagelens.operators.kpis import launch_rollup
+        from usagelens.session import cut_lineage
+        return cut_lineage(launch_rollup(self.launch))
+
+    def kpis(self, grain: str = "product", with_pages: bool = True) -> DataFrame:
+        """Daily KPI summary at ``grain`` built on the shared rollup."""
+        from usagelens.operators.kpis import daily_kpis
+        key = (grain, with_pages)
+        cache = self.__dict__.setdefault("_kpis", {})
+        if key not in cache:
+            cache[key] = daily_kpis(self.launch, self.page if with_pages else None, self.active, grain,
+                                    rollup=self.rollup)
+        return cache[key]
+
     @cached_property
     def active(self) -> DataFrame:
         return registry.active_channels(self.spark)

@@ -82,7 +82,7 @@ SELECT g.product_id, g.event_id, g.d, CAST(coalesce(c.n, 0) AS BIGINT) AS count,
 FROM g LEFT JOIN c USING (product_id, event_id, d) LEFT JOIN k USING (product_id, d)""")
 def event_series(i: Inputs):
     """Dense daily event counts per device and per session."""
-    kp = K.daily_kpis(i.launch, None, i.active, "product")
+    kp = i.kpis("product", with_pages=False)
     return EV.event_series(fact(i), kp, i.event_defs)
 
 

@@ -239,7 +239,7 @@ FROM t LEFT JOIN o ON o.product_id = t.product_id AND o.title = t.title""")
 def error_title_dim(i: Inputs):
     """Error-title dimension with a fixed/unfixed overlay applied."""
     titles = i.crash.groupBy("product_id", "title").agg(F.bool_or("is_fixed").alias("is_fixed"))
-    overlay = i.spark.createDataFrame(FIX_OVERLAY, "product_id int, title string, is_fixed boolean")
+    overlay = R.local_table(i.spark, FIX_OVERLAY, "product_id int, title string, is_fixed boolean")
     return DM.set_fixed(titles, overlay)
 
 
@@ -301,5 +301,5 @@ def kpi_upsert(i: Inputs):
     before = i.launch.where(F.col("ingest_ts") < cut)
     existing = K.daily_kpis(before, i.page, i.active, "product")
     first_affected = i.launch.where(F.col("ingest_ts") >= cut).select(F.min("d")).scalar()
-    recomputed = K.daily_kpis(i.launch, i.page, i.active, "product").where(F.col("d") >= first_affected)
+    recomputed = i.kpis("product").where(F.col("d") >= first_affected)
     return IN.upsert(existing, recomputed, ["product_id", "d"])

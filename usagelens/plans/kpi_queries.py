@@ -104,19 +104,19 @@ def flag_new(i: Inputs):
 @query("kpi_daily_product", kpi_oracle("product"))
 def kpi_daily_product(i: Inputs):
     """K1-K3, K5-K8 per product and day."""
-    return K.daily_kpis(i.launch, i.page, i.active, "product")
+    return i.kpis("product")
 
 
 @query("kpi_daily_channel", kpi_oracle("channel"))
 def kpi_daily_channel(i: Inputs):
     """K1-K3, K5-K8 per product, channel and day (new = first in channel)."""
-    return K.daily_kpis(i.launch, i.page, i.active, "channel")
+    return i.kpis("channel")
 
 
 @query("kpi_daily_version", kpi_oracle("version"))
 def kpi_daily_version(i: Inputs):
     """K1-K3, K5-K8 per product, version and day."""
-    return K.daily_kpis(i.launch, i.page, i.active, "version")
+    return i.kpis("version")
 
 
 @query("kpi_hourly", """
@@ -133,7 +133,7 @@ SELECT s.product_id, s.channel_id, s.version, s.d, s.h, CAST(s.sessions AS BIGIN
 FROM s LEFT JOIN n USING (product_id, channel_id, version, d, h)""")
 def kpi_hourly(i: Inputs):
     """K1, K2, K4 per product entry, day and hour."""
-    return K.hourly_kpis(i.launch, i.active)
+    return K.hourly_kpis(i.launch, i.active, rollup=i.rollup)
 
 
 @query("session_daily", """
@@ -169,7 +169,7 @@ SELECT g.product_id, g.channel_id, g.version, g.d, g.bucket_id, g.bucket,
 FROM g LEFT JOIN c USING (product_id, channel_id, version, d, bucket_id)""")
 def launch_histogram(i: Inputs):
     """Launch-count histogram per product entry and day, zero filled."""
-    return K.launch_histogram(i.launch, R.LAUNCH_BUCKETS)
+    return K.launch_histogram(i.launch, R.LAUNCH_BUCKETS, rollup=i.rollup)
 
 
 # ---------------------------------------------------------------------------
@@ -195,7 +195,7 @@ FROM grid g LEFT JOIN kp k USING (product_id, d)""")
 def kpi_series(i: Inputs):
     """Dense daily KPI series per product over the whole data span;
     cumulative users/sessions read as-of each day."""
-    kp = K.daily_kpis(i.launch, i.page, i.active, "product")
+    kp = i.kpis("product")
     return densify(kp, ["product_id"],
                    ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"],
                    ["allusers", "allsessions"], span_src=i.launch)

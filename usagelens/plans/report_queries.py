@@ -34,7 +34,7 @@ dk AS (SELECT {', '.join('g.' + c for c in keys)}, g.d, {zero}, {asof}
 
 
 def kp(i: Inputs, grain: str = "product"):
-    return K.daily_kpis(i.launch, i.page, i.active, grain)
+    return i.kpis(grain)
 
 
 PCT1 = "CASE WHEN {den} > 0 THEN floor(CAST({num} * 2000 + {den} AS DOUBLE) / CAST(2 * {den} AS DOUBLE)) / 10 END"
@@ -76,20 +76,20 @@ FROM {kr} kr LEFT JOIN t USING ({kc}) LEFT JOIN a USING ({kc})"""
 @query("kpi_snapshot", _snap_sql("product"))
 def kpi_snapshot(i: Inputs):
     """Last-day snapshot per product with as-of total users."""
-    return RP.snapshot(kp(i), ["product_id"])
+    return RP.snapshot(kp(i), ["product_id"], day=RP.last_day(i.launch))
 
 
 @query("channel_snapshot", _snap_sql("channel", "(SELECT product_id, channel_id FROM channels)"))
 def channel_snapshot(i: Inputs):
     """Last-day snapshot per registry channel."""
     return RP.snapshot(kp(i, "channel"), ["product_id", "channel_id"],
-                       i.channels.select("product_id", "channel_id"))
+                       i.channels.select("product_id", "channel_id"), day=RP.last_day(i.launch))
 
 
 @query("version_snapshot", _snap_sql("version"))
 def version_snapshot(i: Inputs):
     """Last-day snapshot per version."""
-    return RP.snapshot(kp(i, "version"), ["product_id", "version"])
+    return RP.snapshot(kp(i, "version"), ["product_id", "version"], day=RP.last_day(i.launch))
 
 
 @query("channel_series", f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM channels)")}
@@ -157,7 +157,7 @@ SELECT p.product_id, p.product_name, p.platform,
 FROM products p LEFT JOIN t USING (product_id)""")
 def portfolio(i: Inputs):
     """Every app with today/yesterday new, launches, actives, total."""
-    return RP.portfolio(kp(i), i.products)
+    return RP.portfolio(kp(i), i.products, day=RP.last_day(i.launch))
 
 
 HOURLY_SQL = """fa AS (SELECT l.* FROM launch l JOIN active_channels a
@@ -184,13 +184,13 @@ FROM g LEFT JOIN x USING ({by}, h)"""
 @query("hour_profile", _hour_sql("product_id"))
 def hour_profile(i: Inputs):
     """24-hour profile per product (zero filled)."""
-    return RP.hour_profile(K.hourly_kpis(i.launch, i.active), ["product_id"])
+    return RP.hour_profile(K.hourly_kpis(i.launch, i.active, rollup=i.rollup), ["product_id"])
 
 
 @query("hour_profile_channel", _hour_sql("product_id, channel_id"))
 def hour_profile_channel(i: Inputs):
     """24-hour profile per channel."""
-    return RP.hour_profile(K.hourly_kpis(i.launch, i.active), ["product_id", "channel_id"])
+    return RP.hour_profile(K.hourly_kpis(i.launch, i.active, rollup=i.rollup), ["product_id", "channel_id"])
 
 
 R1_RANGE = ("2024-01-01", "2024-01-15")
@@ -226,19 +226,19 @@ FROM kp, b WHERE d = b.lo OR d = b.hi"""
 @query("endpoint_values_channel", _endpoint_sql("channel"))
 def endpoint_values_channel(i: Inputs):
     """First- and last-day values per channel."""
-    return RP.endpoint_values(kp(i, "channel"), ["product_id", "channel_id"])
+    return RP.endpoint_values(kp(i, "channel"), ["product_id", "channel_id"], span_src=i.launch)
 
 
 @query("endpoint_values_version", _endpoint_sql("version"))
 def endpoint_values_version(i: Inputs):
     """First- and last-day values per version."""
-    return RP.endpoint_values(kp(i, "version"), ["product_id", "version"])
+    return RP.endpoint_values(kp(i, "version"), ["product_id", "version"], span_src=i.launch)
 
 
 @query("endpoint_values_product", _endpoint_sql("product"))
 def endpoint_values_product(i: Inputs):
     """First- and last-day values per product (both ends)."""
-    return RP.endpoint_values(kp(i), ["product_id"])
+    return RP.endpoint_values(kp(i), ["product_id"], span_src=i.launch)
 
 
 @query("product_list", """
@@ -477,7 +477,7 @@ SELECT product_id, event_id, d, count, per_user, per_session FROM sm WHERE pos >
 def event_trend(i: Inputs):
     """A2: 5-day smoothing of the event series (current day included)."""
     from usagelens.operators import events as EV
-    kpd = K.daily_kpis(i.launch, None, i.active, "product")
+    kpd = i.kpis("product", with_pages=False)
     es = EV.event_series(EV.event_fact(i.app_event, i.event_defs), kpd, i.event_defs)
     return TR.smooth(es.withColumnRenamed("count", "count"), ["count", "per_user", "per_session"],
                      ["product_id", "event_id"])

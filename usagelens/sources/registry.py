@@ -59,8 +59,44 @@ USAGE_BUCKETS = [(1, "0-3", 0, 3000), (2, "3-10", 3000, 10000), (3, "10-30", 100
                  (8, "30", 1800000, None)]
 
 
+def _sql_literal(v) -> str:
+    import datetime as dt
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    if isinstance(v, Decimal):
+        return f"{v}BD"
+    if isinstance(v, dt.date):
+        return f"DATE'{v.isoformat()}'"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{text}'"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A configuration table as an inline ``VALUES`` relation.
+
+    Unlike a DataFrame made from a Python list (an RDD scan without
+    statistics), a local relation carries its exact size, so Catalyst and AQE
+    broadcast it only because its measured size is under the threshold.
+    """
+    import re
+    cols = [c.strip().split(" ", 1) for c in re.split(r",(?![^()]*\))", ddl)]
+    names = [c[0] for c in cols]
+    sel = ", ".join(f"CAST({n} AS {t.strip()}) AS {n}" for n, t in cols)
+    if not rows:
+        return spark.sql(f"SELECT {sel} FROM VALUES ({', '.join('NULL' for _ in names)}) "
+                         f"AS t({', '.join(names)}) WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT {sel} FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def products(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return local_table(spark,
         PRODUCTS, "product_id int, product_name string, owner_id int, platform string, product_active int")
 
 
@@ -68,7 +104,7 @@ def channels(spark: SparkSession) -> DataFrame:
     """(product, channel) registry with activity flags and the app key."""
     rows = [(p[0], c, f"ch{c}", f"key-{p[0]}-{c}", p[4], 0 if c in INACTIVE_CHANNELS else 1)
             for p in PRODUCTS for c in CHANNEL_IDS]
-    return spark.createDataFrame(
+    return local_table(spark,
         rows, "product_id int, channel_id int, channel_name string, app_key string, "
               "product_active int, channel_active int")
 
@@ -81,7 +117,7 @@ def active_channels(spark: SparkSession) -> DataFrame:
 
 def event_defs(spark: SparkSession) -> DataFrame:
     rows = [(p[0], e[0], e[1], e[2], e[3]) for p in PRODUCTS for e in EVENT_DEFS]
-    return spark.createDataFrame(
+    return local_table(spark,
         rows, "product_id int, event_id int, event_identifier string, event_name string, active int")
 
 
@@ -89,7 +125,7 @@ def funnels(spark: SparkSession) -> DataFrame:
     """One row per funnel step (funnels defined for every product)."""
     rows = [(p[0], f[0], f[1], Decimal(f[2]), s[0], s[1], s[2])
             for p in PRODUCTS for f in FUNNELS for s in f[3]]
-    return spark.createDataFrame(
+    return local_table(spark,
         rows, "product_id int, funnel_id int, funnel_name string, unit_price decimal(12,2), "
               "seq int, event_id int, alias string")
 
@@ -97,23 +133,23 @@ def funnels(spark: SparkSession) -> DataFrame:
 def alert_rules(spark: SparkSession) -> DataFrame:
     rows = [(p[0], m, float(ALERT_CONDITIONS[(i + p[0]) % 3]), 1)
             for p in PRODUCTS for i, m in enumerate(ALERT_METRICS)]
-    return spark.createDataFrame(rows, "product_id int, metric string, condition double, active int")
+    return local_table(spark, rows, "product_id int, metric string, condition double, active int")
 
 
 def markers(spark: SparkSession) -> DataFrame:
     import datetime as dt
     rows = [(m[0], m[1], m[2], dt.date.fromisoformat(m[3]), m[4], m[5]) for m in MARKERS]
-    return spark.createDataFrame(
+    return local_table(spark,
         rows, "marker_id int, user_id int, product_id int, d date, title string, private int")
 
 
 def mccmnc(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MCCMNC, "code string, carrier string")
+    return local_table(spark, MCCMNC, "code string, carrier string")
 
 
 def launch_buckets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LAUNCH_BUCKETS, "bucket_id int, bucket string, lo bigint, hi bigint")
+    return local_table(spark, LAUNCH_BUCKETS, "bucket_id int, bucket string, lo bigint, hi bigint")
 
 
 def usage_buckets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(USAGE_BUCKETS, "bucket_id int, bucket string, lo bigint, hi bigint")
+    return local_table(spark, USAGE_BUCKETS, "bucket_id int, bucket string, lo bigint, hi bigint")

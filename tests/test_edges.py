@@ -161,3 +161,42 @@ def test_upsert_latest_wins(spark):
     assert got == [(1, "a", 1), (2, "B", 20), (3, "c", 3)]
     again = sorted(tuple(r) for r in IN.upsert(IN.upsert(old, new, ["k"]), new, ["k"]).collect())
     assert again == got
+
+
+def test_export_csv_quotes_and_zero_fill(spark, tmp_path):
+    df = spark.createDataFrame([("a,b", 1), ('say "hi"', None), ("", 3)], "name string, n int")
+    out = str(tmp_path / "csv")
+    IN.export_csv(df, out)
+    import glob
+    text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(out + "/part-*.csv")))
+    assert text.splitlines()[0] == "name,n"
+    assert '"a,b",1' in text and '"say ""hi""",0' in text and "0,3" in text
+
+
+def test_run_log_observes_rows(spark):
+    df, obs = IN.run_log(spark.range(42).toDF("x"), "op")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 42
+
+
+def test_sync_event_dim_and_rule_select(spark):
+    from usagelens.operators import dims as DM
+    from usagelens.sources.registry import local_table
+    dim = local_table(spark, [(1, 1, "signup", "Sign up", 1), (1, 2, "view", "View", 1)],
+                      "product_id int, event_id int, event_identifier string, event_name string, active int")
+    defs = local_table(spark, [(1, 2, "view", "Page view", 0), (1, 3, "click", "Click", 1)],
+                       "product_id int, event_id int, event_identifier string, event_name string, active int")
+    got = {r.event_id: (r.event_name, r.active) for r in DM.sync_event_dim(dim, defs).collect()}
+    assert got == {1: ("Sign up", 1), 2: ("Page view", 0), 3: ("Click", 1)}
+    rules = local_table(spark, [(1, "x", 20.0, 1), (1, "x", 50.0, 1)],
+                        "product_id int, metric string, condition double, active int")
+    assert [r.condition for r in TR.select_rule(rules, 1, "x", 20.0004).collect()] == [20.0]
+    k = spark.range(1).select(DM.surrogate_key(F.lit(1), F.lit("a")).alias("k")).collect()[0].k
+    assert isinstance(k, int)
+
+
+def test_local_table_escapes_and_types(spark):
+    from usagelens.sources.registry import local_table
+    rows = [(1, "it's\na", dt.date(2024, 1, 2), None)]
+    r = local_table(spark, rows, "id int, s string, d date, x decimal(12,2)").collect()[0]
+    assert (r.id, r.s, r.d, r.x) == (1, "it's\na", dt.date(2024, 1, 2), None)

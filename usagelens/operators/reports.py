@@ -107,6 +107,19 @@ def rolling_actives(kpis_channel: DataFrame, channels: DataFrame, days: int = 7,
                         "allusers")
 
 
+def channel_ratio_series(ratios: DataFrame, channels: DataFrame, kind: str = "week") -> DataFrame:
+    """Channel active ratio per period start, dense over (registry
+    channel x every period start from the first to the last), 0 where a
+    channel had no active devices in that period."""
+    step = F.expr("INTERVAL 7 DAYS") if kind == "week" else F.expr("INTERVAL 1 MONTH")
+    lo, hi = span_bounds(ratios, "period_start")
+    grid = channels.select("product_id", "channel_id", F.explode(F.sequence(lo, hi, step)).alias("period_start"))
+    out = grid.join(ratios, ["product_id", "channel_id", "period_start"], "left")
+    return out.select("product_id", "channel_id", "period_start",
+                      F.coalesce("activeusers", F.lit(0)).cast("bigint").alias("activeusers"),
+                      F.coalesce("percent", F.lit(0.0)).alias("percent"))
+
+
 def portfolio(kpis: DataFrame, products: DataFrame, day: Column | None = None) -> DataFrame:
     """Every app with today's and yesterday's new users, launches and
     active devices (two-day conditional aggregation) and as-of users."""

@@ -66,6 +66,14 @@ def alerts(series: DataFrame, rules: DataFrame, metrics: list[str], n: int = FOR
                                dev.alias("deviation_pct"), "condition")
 
 
+def select_rule(rules: DataFrame, product_id: int, metric: str, condition: float) -> DataFrame:
+    """A5: the rule row of a product/metric whose condition equals
+    ``condition`` up to a float tolerance of 0.001 (how an alert hit is
+    matched back to its rule)."""
+    return rules.where((F.col("product_id") == product_id) & (F.col("metric") == metric) &
+                       (F.abs(F.col("condition") - F.lit(condition)) < 0.001))
+
+
 def visible_markers(markers: DataFrame, user_id: int, product_id: int | None = None, a=None, b=None,
                     others_ignore_range: bool = False) -> DataFrame:
     """A user's own markers in the range, and other users' public

@@ -24,7 +24,10 @@ class Query:
     name: str
     build: Callable[["Inputs"], DataFrame]
     oracle: str | None
-    doc: str
+
+    @property
+    def doc(self) -> str:
+        return (self.build.__doc__ or "").strip()
 
 
 QUERIES: dict[str, Query] = {}
@@ -35,8 +38,7 @@ def query(name: str, oracle: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = Query(name, fn, with_views(oracle) if oracle else None,
-                              (fn.__doc__ or "").strip())
+        QUERIES[name] = Query(name, fn, with_views(oracle) if oracle else None)
         return fn
     return deco
 

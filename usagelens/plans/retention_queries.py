@@ -195,3 +195,17 @@ def channel_active_ratio_week(i: Inputs):
 def channel_active_ratio_month(i: Inputs):
     """Monthly active share per channel."""
     return RT.active_ratio(i.launch, i.active, "month", ["product_id", "channel_id"])
+
+
+@query("channel_ratio_series_week", f"""WITH r AS ({_ratio_oracle("week", "product_id, channel_id")}),
+g AS (SELECT c.product_id, c.channel_id, CAST(s.ps AS DATE) AS period_start FROM channels c,
+        (SELECT unnest(generate_series(min(period_start), max(period_start), INTERVAL 7 DAY)) AS ps FROM r) s)
+SELECT g.product_id, g.channel_id, g.period_start, CAST(coalesce(r.activeusers, 0) AS BIGINT) AS activeusers,
+  coalesce(r.percent, 0.0) AS percent
+FROM g LEFT JOIN r USING (product_id, channel_id, period_start)""")
+def channel_ratio_series_week(i: Inputs):
+    """Weekly channel active ratio, dense over registry channels and
+    week starts."""
+    from usagelens.operators.reports import channel_ratio_series
+    ratios = RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"])
+    return channel_ratio_series(ratios, i.channels, "week")

@@ -61,12 +61,13 @@ def error_groups(crash: DataFrame, by: str, active: DataFrame | None = None, a=N
 
 
 def error_occurrences(crash: DataFrame, by: str, a=None, b=None) -> DataFrame:
-    """Every occurrence with its rank, newest first, within (title, by
-    value); a report of one title/value filters this."""
-    w = Window.partitionBy("product_id", "title", by).orderBy(F.col("ts").desc(), F.col("crash_id").desc())
+    """Every occurrence listed newest first within (title, by value); a
+    report of one title/value filters this and pages it.  A global sort
+    (range partitioning samples the keys and splits a hot title across
+    tasks) instead of a per-title window."""
     return (in_range(crash, a, b)
-            .select("product_id", "title", by, "crash_id", "ts", "device_id",
-                    F.row_number().over(w).alias("recency_rank")))
+            .select("product_id", "title", by, "crash_id", "ts", "device_id")
+            .orderBy("product_id", "title", by, F.col("ts").desc(), F.col("crash_id").desc()))
 
 
 def error_breakdown(crash: DataFrame, by: str, within: str | None, a=None, b=None) -> DataFrame:

@@ -214,29 +214,49 @@ def validate_amount(df: DataFrame, col: str = "acc") -> tuple[DataFrame, DataFra
 
 def sessionize(df: DataFrame, gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS,
                by: list[str] = ("product_id", "device_id"), ts: str = "ts",
-               key_col: str = "app_key", order_id: str | None = None) -> DataFrame:
+               key_col: str = "app_key", order_id: str | None = None,
+               bucket_seconds: int = 3600) -> DataFrame:
     """I16: a new session starts when the gap since the device's previous
     activity exceeds ``gap_seconds``; the id is md5(key + session start).
 
-    Batch form: lag + running sum over the device's ordered rows.  Streaming
-    callers use ``session_window`` instead (streaming/ingest.py).
+    Skew-proof batch form (no window over a device's whole history):
+
+    1. rows are cut into time buckets of ``bucket_seconds``; inside each
+       (device, bucket) a ``lag`` window marks local session starts;
+    2. one summary row per (device, bucket) -- first/last time and local
+       session count -- is stitched with a window over the device's buckets
+       (a bucket continues the previous one when its first row is within the
+       gap of the previous bucket's last row, however far apart they are);
+    3. the global session number of a row is the number of sessions started
+       in earlier buckets plus its local number; the session start is a
+       per-session ``min`` joined back on (device, session).
+
+    Streaming callers use ``session_window`` instead (streaming/jobs.py).
     """
     by = list(by)
+    gap_us = gap_seconds * 1_000_000
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
     order = [F.col(ts)] + ([F.col(order_id)] if order_id else [])
-    w = Window.partitionBy(*by).orderBy(*order)
-    prev = F.lag(ts).over(w)
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))
-    new_flag = F.when(prev.isNull() | (gap > gap_seconds * 1_000_000), 1).otherwise(0)
-    df = df.withColumn("_new", new_flag)
-    df = df.withColumn("_sess_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ws = Window.partitionBy(*by, "_sess_no")
-    start = F.min(ts).over(ws)
-    return (df.withColumn("session_start", start)
-            .withColumn("session_id", F.md5(F.concat(F.col(key_col).cast("string"),
-                                                     F.date_format(F.col("session_start"),
-                                                                   "yyyyMMddHHmmss"))))
-            .drop("_new", "_sess_no"))
-
+    b = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / (bucket_seconds * 1_000_000)))
+    wb = Window.partitionBy(*by, "_b").orderBy(*order)
+    prev = F.lag("_us").over(wb)
+    b = b.withColumn("_new", F.when(prev.isNull() | (F.col("_us") - prev > gap_us), 1).otherwise(0))
+    b = b.withColumn("_k", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = b.groupBy(*by, "_b").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+                                    F.sum("_new").alias("_local"))
+    wd = Window.partitionBy(*by).orderBy("_b")
+    prev_last = F.lag("_last").over(wd)
+    summ = summ.withColumn("_cross", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us), 1)
+                           .otherwise(0))
+    starts = F.col("_local") - (F.lit(1) - F.col("_cross"))
+    summ = summ.withColumn("_before", F.coalesce(
+        F.sum(starts).over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = (b.join(summ.select(*by, "_b", "_before", "_cross"), [*by, "_b"])
+            .withColumn("_sess", F.col("_before") + F.col("_k") - (F.lit(1) - F.col("_cross"))))
+    first = rows.groupBy(*by, "_sess").agg(F.min(ts).alias("session_start"))
+    out = rows.join(first, [*by, "_sess"])
+    sid = F.md5(F.concat(F.col(key_col).cast("string"), F.date_format(F.col("session_start"), "yyyyMMddHHmmss")))
+    return out.withColumn("session_id", sid).drop("_us", "_b", "_new", "_k", "_before", "_cross", "_sess")
 
 # ---------------------------------------------------------------------------
 # end-to-end ingest chains: parse -> checks (with reject outputs) -> repair

@@ -3,8 +3,9 @@
 "Today" is the last day present in the log (a scalar subquery); the batch
 forms here are what the streaming forms in ``streaming/`` keep up to date
 incrementally.  New devices are today's devices with no earlier launch in
-the scope -- a null-safe anti join on (scope, device), both sides partial
-aggregates.
+the scope, i.e. devices whose first day in the scope is today -- one partial
+``min(d)`` aggregate per (scope, device) and no join against the device
+history.
 """
 
 from __future__ import annotations
@@ -35,10 +36,8 @@ def today_counts(launch: DataFrame, registry: DataFrame, scope: str = "product",
     today = rows.where(F.col("d") == day)
     counts = today.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("launches"),
                                       F.countDistinct("device_id").cast("bigint").alias("devices"))
-    devs = today.select(*keys, "device_id").distinct()
-    earlier = rows.where(F.col("d") < day).select(*keys, "device_id").distinct()
-    cond = [devs[k].eqNullSafe(earlier[k]) for k in keys + ["device_id"]]
-    new = (devs.join(earlier, cond, "left_anti").groupBy(*keys)
+    new = (rows.where(F.col("d") <= day).groupBy(*keys, "device_id").agg(F.min("d").alias("_first"))
+           .where(F.col("_first") == day).groupBy(*keys)
            .agg(F.count(F.lit(1)).cast("bigint").alias("new_devices")))
     return (counts.join(new, keys, "left")
             .select(*keys, day.alias("d"), "launches", "devices",

@@ -78,9 +78,8 @@ for _by, _x in (("version", "X5"), ("os", "X6"), ("brand", "X7")):
 
 
 def _occ_oracle(by: str) -> str:
-    return f"""SELECT product_id, title, {by}, crash_id, ts, device_id,
-  CAST(row_number() OVER (PARTITION BY product_id, title, {by} ORDER BY ts DESC, crash_id DESC) AS INTEGER)
-    AS recency_rank FROM crash"""
+    return f"""SELECT product_id, title, {by}, crash_id, ts, device_id FROM crash
+ORDER BY product_id, title, {by}, ts DESC, crash_id DESC"""
 
 
 for _by in ("version", "os", "brand"):

@@ -104,9 +104,10 @@ def funnel_steps(fact: DataFrame, funnels: DataFrame, a=None, b=None) -> DataFra
                     format_pct(F.col("count"), first, 1).alias("pct_label"))
 
 
-def funnel_summary(fact: DataFrame, funnels: DataFrame, a=None, b=None) -> DataFrame:
+def funnel_summary(fact: DataFrame, funnels: DataFrame, a=None, b=None, compat: bool = False) -> DataFrame:
     """Start and end counts per funnel summed over the range,
-    conversion rate end/start, and value = end count x unit price."""
+    conversion rate end/start, and value = end count x unit price.
+    ``compat=True`` reports start/end, as the reference's screen does (Q10)."""
     ends = funnel_ends(funnels)
     cnt = in_range(fact, a, b).groupBy("product_id", "event_id").agg(F.count(F.lit(1)).alias("n"))
     s = cnt.select("product_id", F.col("event_id").alias("start_event"), F.col("n").alias("start_count"))
@@ -115,7 +116,7 @@ def funnel_summary(fact: DataFrame, funnels: DataFrame, a=None, b=None) -> DataF
     sc = F.coalesce("start_count", F.lit(0)).cast("bigint")
     ec = F.coalesce("end_count", F.lit(0)).cast("bigint")
     return j.select("product_id", "funnel_id", "funnel_name", sc.alias("start_count"),
-                    ec.alias("end_count"), ratio(ec, sc).alias("conversion_rate"),
+                    ec.alias("end_count"), (ratio(sc, ec) if compat else ratio(ec, sc)).alias("conversion_rate"),
                     (ec.cast("decimal(20,0)") * F.col("unit_price")).cast("double").alias("value"))
 
 

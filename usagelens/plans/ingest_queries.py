@@ -303,3 +303,29 @@ def kpi_upsert(i: Inputs):
     first_affected = i.launch.where(F.col("ingest_ts") >= cut).select(F.min("d")).scalar()
     recomputed = i.kpis("product").where(F.col("d") >= first_affected)
     return IN.upsert(existing, recomputed, ["product_id", "d"])
+
+
+# ---------------------------------------------------------------------------
+# Location from IP by range join (ranges and IPs both from the tables)
+# ---------------------------------------------------------------------------
+
+@query("ip_location", """
+WITH l AS (SELECT e.event_id AS launch_id, e.user_id % 25 AS nk FROM events e)
+SELECT l.launch_id, r.r_name AS country, n.n_name AS region, '' AS city
+FROM l JOIN nation n ON n.n_nationkey = l.nk JOIN region r ON r.r_regionkey = n.n_regionkey""")
+def ip_location(i: Inputs):
+    """(country, region, city) of every launch from its IP via the
+    IP-range table; each nation owns the block 10.<nation>.0.0/16 and a
+    device's address lies in its nation's block."""
+    e = i.spark.read.parquet(f"{i.sf_dir}/events.parquet")
+    ips = e.select(F.col("event_id").alias("launch_id"),
+                   F.concat_ws(".", F.lit("10"), (F.col("user_id") % 25).cast("string"),
+                               (F.col("user_id") % 256).cast("string"),
+                               (F.col("event_id") % 256).cast("string")).alias("ip"))
+    nation = i.spark.read.parquet(f"{i.sf_dir}/nation.parquet")
+    region = i.spark.read.parquet(f"{i.sf_dir}/region.parquet")
+    lo = IN.ip_to_long(F.concat_ws(".", F.lit("10"), F.col("n_nationkey").cast("string"), F.lit("0"), F.lit("0")))
+    ranges = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+              .select(lo.alias("lo"), (lo + 65535).alias("hi"), F.col("r_name").alias("country"),
+                      F.col("n_name").alias("region"), F.lit("").alias("city")))
+    return IN.enrich_location(ips, ranges).select("launch_id", "country", "region", "city")

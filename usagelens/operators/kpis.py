@@ -58,6 +58,20 @@ def launch_rollup(launch: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.min("launch_id").alias("first_id")))
 
 
+def device_partitioned(launch: DataFrame) -> DataFrame:
+    """The rollup, hash-partitioned by (product, device).
+
+    The rollup already bounds a device to one row per hour, version and
+    channel, so this second shuffle moves little data even for a hot device,
+    and every per-device step after it (first launch, the upgrade window,
+    device-day sums, the first-day join) finds its input clustered and needs
+    no further exchange.  The partition count is explicit (the session's
+    shuffle partitions) so adaptive coalescing leaves the hash partitioning
+    intact and a checkpoint of it keeps it."""
+    n = int(launch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return launch_rollup(launch).repartition(n, "product_id", "device_id")
+
+
 def first_launch(rollup: DataFrame, scope: list[str]) -> DataFrame:
     """First launch of each device within ``scope`` ordered by (day, id).
 

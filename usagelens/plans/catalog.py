@@ -73,13 +73,14 @@ class Inputs:
     @cached_property
     def rollup(self) -> DataFrame:
         """Device-hour rollup of the launch log, computed once per query --
-        one scan of the raw fact -- and checkpointed into the shared
-        checkpoint folder; every KPI branch reads the checkpoint instead of
-        re-aggregating the fact (column pruning would otherwise give each
-        branch a different aggregate, defeating exchange reuse)."""
-        from usagelens.operators.kpis import launch_rollup
-        from usagelens.session import cut_lineage
-        return cut_lineage(launch_rollup(self.launch))
+        one scan of the raw fact -- and written as a table bucketed by
+        (product, device) in the shared checkpoint folder.  Every KPI branch
+        reads it (column pruning would otherwise give each branch a different
+        aggregate and defeat exchange reuse), and per-device steps find it
+        already clustered."""
+        from usagelens.operators.kpis import device_partitioned
+        from usagelens.session import write_bucketed
+        return write_bucketed(device_partitioned(self.launch), ["product_id", "device_id"], "launch_rollup")
 
     def kpis(self, grain: str = "product", with_pages: bool = True) -> DataFrame:
         """Daily KPI summary at ``grain`` built on the shared rollup."""

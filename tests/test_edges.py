@@ -200,3 +200,13 @@ def test_local_table_escapes_and_types(spark):
     rows = [(1, "it's\na", dt.date(2024, 1, 2), None)]
     r = local_table(spark, rows, "id int, s string, d date, x decimal(12,2)").collect()[0]
     assert (r.id, r.s, r.d, r.x) == (1, "it's\na", dt.date(2024, 1, 2), None)
+
+
+def test_natural_version_order_and_key_normalisation(spark):
+    df = _launch(spark, [(3, 1, 1, "1.9", "b", "2024-01-01 10:00:00"),
+                         (4, 1, 1, "1.10", "b", "2024-01-02 10:00:00")])
+    lex = {r.d: r.upgradeusers for r in K.daily_kpis(df, None, None, "product").collect()}
+    nat = {r.d: r.upgradeusers for r in K.daily_kpis(df, None, None, "product", version_order="natural").collect()}
+    assert lex[dt.date(2024, 1, 2)] == 0 and nat[dt.date(2024, 1, 2)] == 1
+    keys = spark.createDataFrame([("Brand ",), ("brand",)], "b string")
+    assert K.normalize_keys(keys, ["b"]).distinct().count() == 1

@@ -43,6 +43,13 @@ GRAIN_SCOPE = {
 }
 
 
+def normalize_keys(df: DataFrame, cols: list[str]) -> DataFrame:
+    """F9 switch: compare text keys case- and trailing-space-insensitively
+    (the reference's collation) by normalising them once at load time.  Off
+    by default; ``spark.sql`` users can use the UTF8_LCASE collation instead."""
+    return df.withColumns({c: F.lower(F.rtrim(F.col(c))) for c in cols})
+
+
 def only_active(df: DataFrame, active: DataFrame | None) -> DataFrame:
     """Keep rows whose (product, channel) is active in the registry
     (semi join against a registry-sized table: broadcast by measured size)."""
@@ -106,21 +113,36 @@ def _running(df: DataFrame, keys: list[str], src: str, dst: str) -> DataFrame:
     return df.withColumn(dst, F.sum(src).over(w))
 
 
-def upgrade_rows(rollup_active: DataFrame, scope: list[str], grain_keys: list[str]) -> DataFrame:
+def version_key(v, order: str = "lexicographic"):
+    """Comparable form of a version string: the string itself (the
+    reference's STRCMP: '1.10' < '1.9'), or with ``order='natural'`` the
+    array of its numeric parts ('1.10' > '1.9'; non-numeric parts compare as
+    NULL, i.e. lowest)."""
+    if order == "lexicographic":
+        return v
+    if order == "natural":
+        return F.transform(F.split(v, r"\."), lambda p: p.try_cast("int"))
+    raise ValueError(order)
+
+
+def upgrade_rows(rollup_active: DataFrame, scope: list[str], grain_keys: list[str],
+                 version_order: str = "lexicographic") -> DataFrame:
     """K5: (grain keys, d, device_id) of devices seen on ``d`` in a version
-    greater (string order) than a version they used on an earlier day within
-    ``scope``."""
+    greater than a version they used on an earlier day within ``scope``
+    (string order by default, see ``version_key``)."""
     cols = sorted(set(scope) | set(grain_keys) | {"version"})
     t = rollup_active.select(*cols, "device_id", "d").distinct()
+    t = t.withColumn("_vk", version_key(F.col("version"), version_order))
     w = (Window.partitionBy(*scope, "device_id").orderBy(day_number(F.col("d")))
          .rangeBetween(Window.unboundedPreceding, -1))
-    t = t.withColumn("_prev_min", F.min("version").over(w))
-    return (t.where(F.col("_prev_min") < F.col("version"))
+    t = t.withColumn("_prev_min", F.min("_vk").over(w))
+    return (t.where(F.col("_prev_min") < F.col("_vk"))
             .select(*grain_keys, "d", "device_id").distinct())
 
 
 def daily_kpis(launch: DataFrame, pages: DataFrame | None, active: DataFrame | None,
-               grain: str = "product", rollup: DataFrame | None = None) -> DataFrame:
+               grain: str = "product", rollup: DataFrame | None = None,
+               version_order: str = "lexicographic") -> DataFrame:
     """K1-K3, K5-K8 at one grain: (keys, d, sessions, startusers, newusers,
     upgradeusers, allusers, allsessions, usingtime).
 
@@ -138,7 +160,7 @@ def daily_kpis(launch: DataFrame, pages: DataFrame | None, active: DataFrame | N
     firsts = only_active(first_launch(r, scope), active)
     new = firsts.groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("newusers"))
 
-    upg = (upgrade_rows(only_active(r, active), scope, keys)
+    upg = (upgrade_rows(only_active(r, active), scope, keys, version_order)
            .groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("upgradeusers")))
 
     parts = [base, new, upg]

@@ -9,9 +9,9 @@ way through ``readStream.format('kafka')``).  Sinks:
   newest version of every key with a partial ``max_by`` aggregate.  This is
   the streaming form of the reference's ``ON DUPLICATE KEY UPDATE``.
 * ``day_partition_job``: the hourly job (W1) -- land the batch's rows under
-  ``epoch=<id>``, then recompute the summary of the days the batch touched
-  (late rows included, W2) and overwrite just those ``d=`` partitions
-  (dynamic partition overwrite).
+  ``d=<day>/epoch=<id>``, then recompute the summary of the days the batch
+  touched (late rows included, W2) from just those day folders and overwrite
+  just those ``d=`` partitions of the summary (dynamic partition overwrite).
 
 All state, checkpoints and outputs live under the session's shared
 ``spark.checkpoint.dir`` (never a machine-local folder on a cluster).
@@ -99,15 +99,23 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
                       summarize=daily_counts, trigger: str | None = None,
                       available_now: bool = False) -> StreamingQuery:
     """W1 (+W2 for late rows): each micro-batch lands its rows under
-    ``fact_path/epoch=<id>`` and replaces the summary partitions ``d=...`` of
-    every day it touched with a recompute over all landed rows of those days.
-    A replayed batch rewrites the same epoch folder and the same days, so the
-    job is idempotent."""
+    ``fact_path/d=<day>/epoch=<id>`` and replaces the summary partitions
+    ``d=...`` of every day it touched with a recompute over all landed rows of
+    those days.  Only the touched day folders are listed and read (the day
+    keys of one batch -- a handful, bounded by the late-data horizon -- are
+    the only thing brought to the driver, to name those folders), so the
+    cost of a batch does not grow with the history.  A replayed batch
+    overwrites the same (day, epoch) folders and the same summary days, so
+    the job is idempotent."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{fact_path}/epoch={epoch_id}")
-        touched = batch.select("d").distinct()
-        fact = spark.read.parquet(fact_path).join(touched, "d", "left_semi")
+        (batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("d", "epoch").parquet(fact_path))
+        days = [r[0] for r in batch.select("d").distinct().collect()]
+        if not days:
+            return
+        fact = (spark.read.option("basePath", fact_path)
+                .parquet(*[f"{fact_path}/d={d.isoformat()}" for d in days]).drop("epoch"))
         (summarize(fact).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("d").parquet(summary_path))
 

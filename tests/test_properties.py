@@ -70,3 +70,30 @@ def test_daily_kpis_match_python(spark, rows):
         upg = {dev for dev, v in todays
                if any(dev2 == dev and dd2 < day and v2 < v for dev2, dd2, v2, _ in rows)}
         assert got[d].upgradeusers == len(upg)
+
+
+pages = st.lists(st.tuples(st.sampled_from(["s1", "s2"]), st.integers(0, 20000), st.sampled_from(["home", "list", "item"])),
+                 min_size=1, max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=pages, bucket=st.sampled_from([60, 600, 86400]))
+def test_transitions_match_python(spark, rows, bucket):
+    from collections import Counter
+
+    from usagelens.operators import paths as PT
+    data = [(i, 1, 1, "1.2", s, a, BASE + dt.timedelta(seconds=t), BASE + dt.timedelta(seconds=t + 1), 1000,
+             BASE.date()) for i, (s, t, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "view_id long, product_id int, channel_id int, version string, "
+                                     "session_id string, activity string, start_ts timestamp_ntz, "
+                                     "end_ts timestamp_ntz, duration_ms long, d date")
+    got = Counter()
+    for r in PT.transitions(df, bucket).collect():
+        got[(r.from_activity, r.to_activity, r.jump)] += r["count"]
+    want = Counter()
+    for s in {r[0] for r in rows}:
+        seq = sorted((t, i, a) for i, (ss, t, a) in enumerate(rows) if ss == s)
+        for k, (_, _, a) in enumerate(seq):
+            nxt = seq[k + 1][2] if k + 1 < len(seq) else "Exit"
+            want[(a, nxt, k + 1)] += 1
+    assert got == want

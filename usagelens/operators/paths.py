@@ -44,14 +44,34 @@ def page_stats(pages: DataFrame, active: DataFrame | None) -> DataFrame:
           for c in ("accesscount", "totaltime", "exitcount")])
 
 
-def transitions(pages: DataFrame) -> DataFrame:
+def transitions(pages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """(entry, d, from, to, jump, count).  Within a session-day ordered
     by (start, id), the k-th view leads to the next one with jump k; the last
-    view leads to ``Exit``."""
-    w = Window.partitionBy("product_id", "session_id", "d").orderBy("start_ts", "view_id")
-    edges = pages.select(*ENTRY_KEYS, "d", F.col("activity").alias("from_activity"),
-                         F.coalesce(F.lead("activity").over(w), F.lit(EXIT)).alias("to_activity"),
-                         F.row_number().over(w).alias("jump"))
+    view leads to ``Exit``.
+
+    Skew-proof: ``lead``/``row_number`` run inside (session, day, time
+    bucket) partitions; one summary row per bucket (row count, first page)
+    carries the ordering across buckets -- jump = rows in earlier buckets +
+    local position, and a bucket's last page leads to the next non-empty
+    bucket's first page -- so even a runaway session is spread over its
+    buckets instead of one task.
+    """
+    sess = ["product_id", "session_id", "d"]
+    b = pages.withColumn("_b", F.floor(F.unix_micros(F.col("start_ts").cast("timestamp"))
+                                       / (bucket_seconds * 1_000_000)))
+    wl = Window.partitionBy(*sess, "_b").orderBy("start_ts", "view_id")
+    b = b.withColumns({"_rn": F.row_number().over(wl), "_next": F.lead("activity").over(wl)})
+    summ = (b.groupBy(*sess, "_b")
+            .agg(F.count(F.lit(1)).alias("_cnt"),
+                 F.min_by("activity", F.struct("start_ts", "view_id")).alias("_first")))
+    ws = Window.partitionBy(*sess).orderBy("_b")
+    summ = summ.withColumns({
+        "_before": F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_next_first": F.lead("_first").over(ws)})
+    edges = (b.join(summ.select(*sess, "_b", "_before", "_next_first"), [*sess, "_b"])
+             .select(*ENTRY_KEYS, "d", F.col("activity").alias("from_activity"),
+                     F.coalesce("_next", "_next_first", F.lit(EXIT)).alias("to_activity"),
+                     (F.col("_before") + F.col("_rn")).cast("int").alias("jump")))
     return (edges.groupBy(*ENTRY_KEYS, "d", "from_activity", "to_activity", "jump")
             .agg(F.count(F.lit(1)).alias("count")))
 

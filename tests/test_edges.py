@@ -210,3 +210,19 @@ def test_natural_version_order_and_key_normalisation(spark):
     assert lex[dt.date(2024, 1, 2)] == 0 and nat[dt.date(2024, 1, 2)] == 1
     keys = spark.createDataFrame([("Brand ",), ("brand",)], "b string")
     assert K.normalize_keys(keys, ["b"]).distinct().count() == 1
+
+
+def test_rollup_totals_use_grouping_not_values(spark):
+    from usagelens.operators import retention as RT
+    df = _launch(spark, [(1, 1, 1, "1.2", "a", "2024-01-01 10:00:00"),
+                         (2, 1, 1, None, "b", "2024-01-01 11:00:00"),
+                         (3, 1, 1, "all", "c", "2024-01-01 12:00:00")])
+    from collections import defaultdict
+    rows = defaultdict(list)
+    for r in RT.cohort_size(df, None, "day").collect():
+        rows[(r.product_id, r.version, r.channel)].append(r.usercount)
+    assert rows[(1, None, "1")] == [1]                  # NULL version is its own group
+    # the product total (grouping, 3 devices) and the (product, version='all')
+    # group of the device whose version is literally 'all' (1) are separate rows
+    assert sorted(rows[(1, "all", "all")]) == [1, 3]
+    assert rows[(-1, "all", "all")] == [3]              # grand total

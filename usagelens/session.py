@@ -61,17 +61,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only in local mode
     (tests, bench) fall back to a fresh scratch folder."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or \
+    try:
+        sc = spark.sparkContext            # classic session
+    except Exception:                      # noqa: BLE001 -- e.g. a Spark Connect session
+        sc = None
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="usagelens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 

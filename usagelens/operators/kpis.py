@@ -148,26 +148,26 @@ def daily_kpis(launch: DataFrame, pages: DataFrame | None, active: DataFrame | N
 
     sessions/startusers/usingtime are flagless; newusers/upgradeusers count
     rows in active registry entries only.
+
+    Device-level facts -- (keys, device, day) with its launch count, the
+    (scope, device) first launch, the (keys, device, day) upgrade marks --
+    are computed where the rollup is clustered by device, unioned with the
+    page durations and counted by ONE (keys, day) aggregate: a single shuffle
+    of pre-aggregated rows, then the running totals.
     """
     keys = GRAIN_KEYS[grain]
     scope = GRAIN_SCOPE[grain]
     r = rollup if rollup is not None else launch_rollup(launch)
 
-    dev_day = r.groupBy(*keys, "d", "device_id").agg(F.sum("n").alias("n"))
-    base = dev_day.groupBy(*keys, "d").agg(F.sum("n").alias("sessions"),
-                                           F.count(F.lit(1)).alias("startusers"))
-
-    firsts = only_active(first_launch(r, scope), active)
-    new = firsts.groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("newusers"))
-
+    dev_day = (r.groupBy(*keys, "device_id", "d").agg(F.sum("n").alias("sessions"))
+               .withColumn("startusers", F.lit(1)))
+    new = only_active(first_launch(r, scope), active).select(*keys, "d", F.lit(1).alias("newusers"))
     upg = (upgrade_rows(only_active(r, active), scope, keys, version_order)
-           .groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("upgradeusers")))
-
-    parts = [base, new, upg]
-    if pages is not None:
-        parts.append(pages.groupBy(*keys, "d").agg(F.sum("duration_ms").alias("usingtime")))
+           .select(*keys, "d", F.lit(1).alias("upgradeusers")))
+    parts = [dev_day.drop("device_id"), new, upg]
     metrics = ["sessions", "startusers", "newusers", "upgradeusers"]
     if pages is not None:
+        parts.append(pages.select(*keys, "d", F.col("duration_ms").alias("usingtime")))
         metrics.append("usingtime")
     u = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     out = u.groupBy(*keys, "d").agg(

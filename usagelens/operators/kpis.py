@@ -185,19 +185,21 @@ def hourly_kpis(launch: DataFrame, active: DataFrame | None, rollup: DataFrame |
 
     newusers (K4) = distinct devices in active entries with no active launch
     of the product on an earlier day; a device counts in every hour and
-    entry it is seen in on its first day.
+    entry it is seen in on its first day.  The first day is a window minimum
+    over the device's rollup rows (clustered by device, no shuffle when the
+    rollup is the bucketed one); launches, actives and new marks are counted
+    by one aggregate.
     """
     keys = ["product_id", "channel_id", "version", "d", "h"]
     r = rollup if rollup is not None else launch_rollup(launch)
-    base = r.groupBy(*keys).agg(F.sum("n").alias("sessions"), F.count(F.lit(1)).alias("startusers"))
+    base = r.select(*keys, F.col("n").alias("sessions"), F.lit(1).alias("startusers"))
     ra = only_active(r, active)
-    first_day = ra.groupBy("product_id", "device_id").agg(F.min("d").alias("_fd"))
-    new = (ra.join(first_day, ["product_id", "device_id"])
-           .where(F.col("d") == F.col("_fd"))
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("newusers")))
-    out = base.join(new, keys, "left")
-    return out.select(*keys, "sessions", "startusers",
-                      F.coalesce("newusers", F.lit(0)).cast("bigint").alias("newusers"))
+    first_day = F.min("d").over(Window.partitionBy("product_id", "device_id"))
+    new = (ra.withColumn("_fd", first_day).where(F.col("d") == F.col("_fd"))
+           .select(*keys, F.lit(1).alias("newusers")))
+    u = base.unionByName(new, allowMissingColumns=True)
+    return u.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m)
+                                  for m in ("sessions", "startusers", "newusers")])
 
 
 def session_daily(pages: DataFrame) -> DataFrame:

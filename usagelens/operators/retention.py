@@ -45,10 +45,13 @@ def _rollup_count(df: DataFrame, extra: list[str], out: str) -> DataFrame:
         F.col(out).cast("bigint").alias(out))
 
 
-def cohort_size(launch: DataFrame, active: DataFrame | None, kind: str = "day") -> DataFrame:
+def cohort_size(launch: DataFrame, active: DataFrame | None, kind: str = "day",
+                keys: DataFrame | None = None) -> DataFrame:
     """Distinct new devices per cohort period by the grouping sets,
-    keyed by the new launch's version and channel."""
-    firsts = only_active(first_launch(launch_keys(launch), ["product_id"]), active)
+    keyed by the new launch's version and channel.  ``keys`` may pass a
+    prepared ``launch_keys`` table (e.g. derived from the bucketed rollup)."""
+    keys = keys if keys is not None else launch_keys(launch)
+    firsts = only_active(first_launch(keys, ["product_id"]), active)
     firsts = _with_channel(firsts).withColumn("cohort_start", period_start(F.col("d"), kind))
     return _rollup_count(firsts, ["cohort_start"], "usercount")
 
@@ -60,7 +63,15 @@ def launch_keys(launch: DataFrame) -> DataFrame:
             .agg(F.min("launch_id").alias("first_id")))
 
 
-def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", depth: int = 8) -> DataFrame:
+def keys_from_rollup(rollup: DataFrame) -> DataFrame:
+    """``launch_keys`` from the device-hour rollup; on the bucketed rollup this
+    aggregate and everything per device after it run without a shuffle."""
+    return (rollup.groupBy("product_id", "channel_id", "version", "device_id", "d")
+            .agg(F.min("first_id").alias("first_id")))
+
+
+def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", depth: int = 8,
+              keys: DataFrame | None = None) -> DataFrame:
     """(cohort_start, product_id, version, channel, usercount,
     <kind>1..<kind>depth).
 
@@ -73,7 +84,7 @@ def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", de
     in a single grouping-sets aggregate with the offset as a key, then
     pivoted on the fixed offsets 0..depth.
     """
-    keys = launch_keys(launch)
+    keys = keys if keys is not None else launch_keys(launch)
     firsts = only_active(first_launch(keys, ["product_id"]), active)
     cohort = firsts.select("product_id", "device_id",
                            period_index(F.col("d"), kind).alias("_pf"),
@@ -122,12 +133,12 @@ def retention_pct(ret: DataFrame, kind: str = "day", depth: int = 8) -> DataFram
 
 
 def active_ratio(launch: DataFrame, active: DataFrame | None, kind: str = "week",
-                 by: list[str] = ("product_id",)) -> DataFrame:
+                 by: list[str] = ("product_id",), keys: DataFrame | None = None) -> DataFrame:
     """Per period and key, distinct active devices and their share of
     all devices seen up to the period end (cumulative distinct = running sum
     of first-seen counts)."""
     by = list(by)
-    keys = only_active(launch_keys(launch), active)
+    keys = only_active(keys if keys is not None else launch_keys(launch), active)
     per = keys.select(*by, "device_id", period_start(F.col("d"), kind).alias("period_start")).distinct()
     act = per.groupBy(*by, "period_start").agg(F.count(F.lit(1)).alias("activeusers"))
     first = (per.groupBy(*by, "device_id").agg(F.min("period_start").alias("period_start"))

@@ -87,13 +87,13 @@ nw AS (SELECT product_id, version, CAST(channel_id AS VARCHAR) AS channel, devic
 @query("cohort_size_day", cohort_oracle("day"))
 def cohort_size_day(i: Inputs):
     """Daily cohort sizes by the five grouping sets."""
-    return RT.cohort_size(i.launch, i.active, "day")
+    return RT.cohort_size(i.launch, i.active, "day", RT.keys_from_rollup(i.rollup))
 
 
 @query("cohort_size_week", cohort_oracle("week"))
 def cohort_size_week(i: Inputs):
     """Weekly (Sunday-Saturday) cohort sizes."""
-    return RT.cohort_size(i.launch, i.active, "week")
+    return RT.cohort_size(i.launch, i.active, "week", RT.keys_from_rollup(i.rollup))
 
 
 @query("cohort_size_month", cohort_oracle("month", "launch_long"))
@@ -105,13 +105,13 @@ def cohort_size_month(i: Inputs):
 @query("retention_day", retention_oracle("day"))
 def retention_day(i: Inputs):
     """Day 1-8 retention, grouped by the return visit's version/channel."""
-    return RT.retention(i.launch, i.active, "day")
+    return RT.retention(i.launch, i.active, "day", keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("retention_week", retention_oracle("week"))
 def retention_week(i: Inputs):
     """P5: week 1-8 retention."""
-    return RT.retention(i.launch, i.active, "week")
+    return RT.retention(i.launch, i.active, "week", keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("retention_month", retention_oracle("month", "launch_long"))
@@ -127,7 +127,7 @@ def retention_report_day(i: Inputs):
     """G1: daily retention rows over all versions and channels, per product,
     newest first."""
     from pyspark.sql import functions as F
-    return RT.retention_report(RT.retention(i.launch, i.active, "day")).where(F.col("product_id") != -1)
+    return RT.retention_report(RT.retention(i.launch, i.active, "day", keys=RT.keys_from_rollup(i.rollup))).where(F.col("product_id") != -1)
 
 
 @query("retention_report_week", f"""
@@ -135,7 +135,7 @@ WITH x AS ({retention_oracle("week")})
 SELECT * FROM x WHERE version = '1.9' AND channel = 'all'""")
 def retention_report_week(i: Inputs):
     """Weekly retention of one version over all channels."""
-    return RT.retention_report(RT.retention(i.launch, i.active, "week"), version="1.9")
+    return RT.retention_report(RT.retention(i.launch, i.active, "week", keys=RT.keys_from_rollup(i.rollup)), version="1.9")
 
 
 @query("retention_report_month", f"""
@@ -156,7 +156,7 @@ WITH x AS ({retention_oracle("day")})
 SELECT cohort_start, product_id, version, channel, usercount, {_PCT} FROM x""")
 def retention_pct(i: Inputs):
     """Retention percentages (one decimal, half up)."""
-    return RT.retention_pct(RT.retention(i.launch, i.active, "day"), "day")
+    return RT.retention_pct(RT.retention(i.launch, i.active, "day", keys=RT.keys_from_rollup(i.rollup)), "day")
 
 
 def _ratio_oracle(kind: str, by: str) -> str:
@@ -176,25 +176,25 @@ FROM p"""
 @query("active_ratio_week", _ratio_oracle("week", "product_id"))
 def active_ratio_week(i: Inputs):
     """Weekly active devices and share of all devices to date."""
-    return RT.active_ratio(i.launch, i.active, "week", ["product_id"])
+    return RT.active_ratio(i.launch, i.active, "week", ["product_id"], keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("active_ratio_month", _ratio_oracle("month", "product_id"))
 def active_ratio_month(i: Inputs):
     """Monthly active devices and share."""
-    return RT.active_ratio(i.launch, i.active, "month", ["product_id"])
+    return RT.active_ratio(i.launch, i.active, "month", ["product_id"], keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("channel_active_ratio_week", _ratio_oracle("week", "product_id, channel_id"))
 def channel_active_ratio_week(i: Inputs):
     """Weekly active share per channel."""
-    return RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"])
+    return RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("channel_active_ratio_month", _ratio_oracle("month", "product_id, channel_id"))
 def channel_active_ratio_month(i: Inputs):
     """Monthly active share per channel."""
-    return RT.active_ratio(i.launch, i.active, "month", ["product_id", "channel_id"])
+    return RT.active_ratio(i.launch, i.active, "month", ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
 
 
 @query("channel_ratio_series_week", f"""WITH r AS ({_ratio_oracle("week", "product_id, channel_id")}),
@@ -207,5 +207,5 @@ def channel_ratio_series_week(i: Inputs):
     """Weekly channel active ratio, dense over registry channels and
     week starts."""
     from usagelens.operators.reports import channel_ratio_series
-    ratios = RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"])
+    ratios = RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
     return channel_ratio_series(ratios, i.channels, "week")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.buckets import bucket_array, bucketize
 from usagelens.functions.ratios import pct_round, ratio
-from usagelens.operators.kpis import first_launch, launch_rollup, only_active
+from usagelens.operators.kpis import launch_rollup, only_active
 from usagelens.sources.registry import local_table
 
 # denominator per attribute: 'pairs' = distinct (device, value) pairs (shares

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.calendar import week_of_year
-from usagelens.functions.densify import date_grid, densify, span_bounds
+from usagelens.functions.densify import densify, span_bounds
 from usagelens.functions.ratios import pct_round, ratio
 from usagelens.operators.distribution import in_range
-from usagelens.operators.kpis import daily_kpis, only_active
+from usagelens.operators.kpis import only_active
 
 KPI_METRICS = ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"]
 ASOF = ["allusers", "allsessions"]

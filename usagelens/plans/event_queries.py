@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from usagelens.operators import events as EV
-from usagelens.operators import kpis as K
 from usagelens.plans.catalog import Inputs, query
 from usagelens.sources import registry as R
 

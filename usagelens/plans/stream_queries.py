@@ -5,9 +5,6 @@ DataFrame, so stream results are checked against the same oracle as batch.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from usagelens.operators import ingest as IN
 from usagelens.plans.catalog import Inputs, query
 from usagelens.plans.ingest_queries import LAUNCH_SQL
 from usagelens.sources import payloads as PL

@@ -151,6 +151,20 @@ def windowed_launches(rows: DataFrame, window: str = "1 hour", slide: str | None
                     "product_id", "launches", "approx_devices"))
 
 
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows a query's stateful operators dropped as later than the
+    watermark, summed over the progress reports it still holds.  These are
+    the operator's input rows -- already partially aggregated within each
+    micro-batch -- so the number flags and sizes lateness per batch; the
+    exact raw-row counts come from the batch ``lateness`` (W8)."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            total += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
+                      else op.numRowsDroppedByWatermark)
+    return total
+
+
 def session_windows(rows: DataFrame, gap: str = "30 seconds", watermark: str = LATE_HORIZON) -> DataFrame:
     """Device sessions split at ``gap`` of inactivity (session_window)."""
     return (rows.withWatermark("ts", watermark)

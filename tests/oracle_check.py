@@ -48,6 +48,31 @@ def norm(v):
     return ("s", str(v))
 
 
+SPARK_TYPES = {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8", "double": "float64",
+               "float": "float32", "string": "string", "date": "date", "timestamp_ntz": "timestamp",
+               "timestamp": "timestamp_tz", "boolean": "bool"}
+DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+              "FLOAT": "float32", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp",
+              "TIMESTAMP WITH TIME ZONE": "timestamp_tz", "BOOLEAN": "bool", "HUGEINT": "int128"}
+
+
+def spark_type(t) -> str:
+    n = t.simpleString()
+    return "decimal" if n.startswith("decimal") else SPARK_TYPES.get(n, n)
+
+
+def duck_type(t) -> str:
+    n = str(t).upper()
+    return "decimal" if n.startswith("DECIMAL") else DUCK_TYPES.get(n, n)
+
+
+def type_diffs(df, rel) -> dict:
+    """Columns whose Spark and DuckDB types fall in different categories."""
+    s = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    d = {c: duck_type(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def duck_conn(sf_dir: str):
     import duckdb
     con = duckdb.connect()

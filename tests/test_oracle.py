@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import compare, duck_conn, spark_rows
+from tests.oracle_check import compare, duck_conn, spark_rows, type_diffs
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = E.queries()
@@ -32,7 +32,9 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    s_cols, s_rows = spark_rows(QUERIES[name](spark, SF))
+    df = QUERIES[name](spark, SF)
+    assert type_diffs(df, duck.sql(ORACLES[name])) == {}
+    s_cols, s_rows = spark_rows(df)
     cur = duck.execute(ORACLES[name])
     d_cols = [c[0] for c in cur.description]
     err = compare(name, s_cols, s_rows, d_cols, cur.fetchall())

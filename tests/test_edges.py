@@ -226,3 +226,15 @@ def test_rollup_totals_use_grouping_not_values(spark):
     # group of the device whose version is literally 'all' (1) are separate rows
     assert sorted(rows[(1, "all", "all")]) == [1, 3]
     assert rows[(-1, "all", "all")] == [3]              # grand total
+
+
+def test_malformed_payload_values_do_not_fail_the_job(spark):
+    raw = spark.createDataFrame(
+        [(1, '{"appkey":"key-1-1","session_id":"s","start_millis":"2024-01-01 00:00:00",'
+             '"end_millis":"2024-01-01 00:00:01","duration":"abc","activities":"home"}',
+          dt.datetime(2024, 1, 2))], "payload_id long, payload string, ingest_ts timestamp_ntz")
+    from usagelens.sources import registry as R
+    rows, _ = IN.ingest_page(raw, R.channels(spark))
+    assert rows.collect()[0].duration_ms is None
+    ips = spark.createDataFrame([("10.x.1.2",)], "ip string").select(IN.ip_to_long(F.col("ip")).alias("v"))
+    assert ips.collect()[0].v == (10 << 24) + (1 << 8) + 2

@@ -159,6 +159,8 @@ def enrich_carrier(df: DataFrame, mccmnc: DataFrame, code_col: str = "mccmnc") -
 
 
 def ip_to_long(ip: Column) -> Column:
+    """Dotted IPv4 text -> bigint; malformed parts count as 0 (payload text is
+    untrusted, so every cast here is a try_cast under ANSI mode)."""
     parts = F.split(ip, r"\.")
     return reduce_ip(parts)
 
@@ -166,7 +168,7 @@ def ip_to_long(ip: Column) -> Column:
 def reduce_ip(parts: Column) -> Column:
     v = F.lit(0).cast("bigint")
     for i in range(4):
-        v = v * 256 + F.coalesce(F.try_element_at(parts, F.lit(i + 1)).cast("bigint"), F.lit(0))
+        v = v * 256 + F.coalesce(F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint"), F.lit(0))
     return v
 
 
@@ -293,7 +295,7 @@ def ingest_event(raw: DataFrame, registry: DataFrame, event_defs: DataFrame) ->
     good, r4 = validate_amount(good)
     good = repair_time(good, "time", "ingest_ts", out="ts")
     rows = good.select(F.col("payload_id").alias("row_id"), "product_id", "channel_id", "event_id",
-                       "event_identifier", "version", "label", F.col("acc").cast("double").alias("num"),
+                       "event_identifier", "version", "label", F.col("acc").try_cast("double").alias("num"),
                        "ts", "ingest_ts")
     return rows, _rejects(r1, r2, r3, r4)
 
@@ -307,7 +309,7 @@ def ingest_page(raw: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFra
     good = repair_time(good, "end_millis", "ingest_ts", out="end_ts")
     rows = good.select(F.col("payload_id").alias("view_id"), "product_id", "channel_id", "version",
                        "session_id", F.col("activities").alias("activity"), "start_ts", "end_ts",
-                       F.col("duration").cast("bigint").alias("duration_ms"), "ingest_ts")
+                       F.col("duration").try_cast("bigint").alias("duration_ms"), "ingest_ts")
     return rows, _rejects(r1, r2)
 
 

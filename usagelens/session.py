@@ -37,13 +37,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "usagelens", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) the session with the package defaults.
 
-    ``master`` defaults to ``local[*]`` only when no master is configured
-    (on a cluster, spark-submit provides it).
+    ``master`` defaults to ``local[*]`` only when nothing configured one
+    (under spark-submit the launcher's ``spark.master`` is kept).
     """
+    from pyspark import SparkConf
+
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    elif "SPARK_MASTER" not in os.environ:
+    elif not SparkConf().contains("spark.master") and "SPARK_MASTER" not in os.environ:
         builder = builder.master("local[*]")
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:

@@ -18,9 +18,10 @@ from usagelens.functions.ratios import pct_round, ratio
 from usagelens.operators.kpis import launch_rollup, only_active
 from usagelens.sources.registry import local_table
 
-# denominator per attribute: 'pairs' = distinct (device, value) pairs (shares
-# sum to 1); 'devices' = distinct devices (a device seen with two values
-# counts in both numerators, so shares may sum above 1)
+# Share denominator per attribute -- 'pairs' = distinct
+# (device, value) pairs (shares sum to 1); 'devices' = distinct devices (a
+# device seen with two values counts in both numerators, so shares may sum
+# above 1) -- and the display label of a blank attribute.
 DEFAULT_DENOM = {"brand": "pairs", "os": "devices", "carrier": "pairs", "network": "pairs",
                  "resolution": "devices", "country": "pairs", "region": "pairs"}
 UNKNOWN = "unknown"

@@ -17,7 +17,7 @@ from usagelens.functions.ratios import ratio
 from usagelens.operators.kpis import only_active
 
 ENTRY_KEYS = ["product_id", "channel_id", "version"]
-EXIT = "Exit"
+EXIT = "Exit"  # fixed value: target of a session's last page
 
 
 def page_exits(pages: DataFrame) -> DataFrame:

@@ -43,11 +43,15 @@ def _same(a, b):
 def test_day_partition_job_equals_batch(spark, landing):
     wd = J.work_dir(spark, "t-daily")
     q = J.day_partition_job(_stream_rows(spark, landing).select("launch_id", "product_id", "device_id", "ts", "d"),
-                            f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True)
+                            f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True,
+                            journal_path=f"{wd}/journal")
     q.awaitTermination()
     assert len(q.recentProgress) >= 2          # several micro-batches ran
     got = spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
     assert _same(got, J.daily_counts(_batch_rows(spark, landing)))
+    journal = spark.read.parquet(f"{wd}/journal")
+    assert journal.count() == sum(1 for p in q.recentProgress if p["numInputRows"] > 0)
+    assert journal.agg(F.sum("rows")).collect()[0][0] == _batch_rows(spark, landing).count()
 
 
 def test_windowed_counts_equal_batch(spark, landing):

@@ -97,7 +97,8 @@ def daily_counts(fact: DataFrame) -> DataFrame:
 
 def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkpoint: str,
                       summarize=daily_counts, trigger: str | None = None,
-                      available_now: bool = False) -> StreamingQuery:
+                      available_now: bool = False, journal_path: str | None = None,
+                      op_name: str = "daily_counts") -> StreamingQuery:
     """W1 (+W2 for late rows): each micro-batch lands its rows under
     ``fact_path/d=<day>/epoch=<id>`` and replaces the summary partitions
     ``d=...`` of every day it touched with a recompute over all landed rows of
@@ -106,10 +107,21 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
     the only thing brought to the driver, to name those folders), so the
     cost of a batch does not grow with the history.  A replayed batch
     overwrites the same (day, epoch) folders and the same summary days, so
-    the job is idempotent."""
+    the job is idempotent.
+
+    With ``journal_path`` every batch also appends one run-journal row (I20):
+    operation, epoch, start and end time, rows landed, seconds -- the row
+    count comes from a ``DataFrame.observe`` on the landing write, not from
+    an extra action.
+    """
     def run(batch: DataFrame, epoch_id: int) -> None:
+        import datetime as dt
+        from pyspark.sql import Observation
         spark = batch.sparkSession
-        (batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        obs = Observation(f"{op_name}-{epoch_id}")
+        landed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
+        (landed.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("d", "epoch").parquet(fact_path))
         days = [r[0] for r in batch.select("d").distinct().collect()]
         if not days:
@@ -118,6 +130,12 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
                 .parquet(*[f"{fact_path}/d={d.isoformat()}" for d in days]).drop("epoch"))
         (summarize(fact).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("d").parquet(summary_path))
+        if journal_path is not None:
+            ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            entry = [(op_name, epoch_id, started, ended, int(obs.get["rows"]), (ended - started).total_seconds())]
+            (spark.createDataFrame(entry, "op string, epoch long, started timestamp_ntz, ended timestamp_ntz, "
+                                          "rows long, seconds double")
+             .write.mode("overwrite").parquet(f"{journal_path}/epoch={epoch_id}"))
 
     w = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     return _start(w, trigger, available_now)

@@ -238,3 +238,15 @@ def test_malformed_payload_values_do_not_fail_the_job(spark):
     assert rows.collect()[0].duration_ms is None
     ips = spark.createDataFrame([("10.x.1.2",)], "ip string").select(IN.ip_to_long(F.col("ip")).alias("v"))
     assert ips.collect()[0].v == (10 << 24) + (1 << 8) + 2
+
+
+def test_marker_visibility_and_counts(spark):
+    from usagelens.sources import registry as R
+    m = R.markers(spark)
+    own_range = {r.marker_id for r in TR.visible_markers(m, 1, 1, "2024-01-01", "2024-01-15").collect()}
+    assert own_range == {1, 3}                  # own marker in range + other's public marker in range
+    quirk = {r.marker_id for r in TR.visible_markers(m, 1, 1, "2024-01-01", "2024-01-10",
+                                                      others_ignore_range=True).collect()}
+    assert quirk == {1, 3}                      # other's public marker shown outside the range (Q14)
+    counts = {r.user_id: r.markers for r in TR.marker_counts(m, 1, 1, "2024-01-01", "2024-01-31").collect()}
+    assert counts == {1: 2, 2: 1}

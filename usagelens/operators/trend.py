@@ -94,6 +94,12 @@ def visible_markers(markers: DataFrame, user_id: int, product_id: int | None = N
     return m.where(own | others)
 
 
+def marker_counts(markers: DataFrame, user_id: int, product_id: int | None = None, a=None, b=None) -> DataFrame:
+    """Number of markers visible to ``user_id``, per marker owner."""
+    return (visible_markers(markers, user_id, product_id, a, b).groupBy("user_id")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("markers")))
+
+
 TAG_SCHEMA = T.ArrayType(T.StructType([T.StructField("type", T.StringType()),
                                        T.StructField("value", T.ArrayType(T.StringType()))]))
 TAG_COLUMNS = {"version": "version", "channel": "channel_id", "region": "region"}

@@ -76,3 +76,16 @@ def test_bucket_edges(spark):
     launches = spark.createDataFrame([(2,), (3,), (49,), (50,)], "v long")
     got = dict(bucketize(launches, "v", R.launch_buckets(spark), "both").select("v", "bucket_id").collect())
     assert got == {2: 1, 3: 2, 49: 5, 50: 6}
+
+
+def test_densify_asof_reads_before_range_and_fills_gaps(spark):
+    from usagelens.functions.densify import densify
+    rows = [(1, dt.date(2024, 1, 1), 5, 10), (1, dt.date(2024, 1, 4), 2, 12), (2, dt.date(2024, 1, 3), 1, 1)]
+    k = spark.createDataFrame(rows, "product_id int, d date, n long, total long")
+    out = {(r.product_id, r.d): (r.n, r.total) for r in
+           densify(k, ["product_id"], ["n"], ["total"], lo=F.lit("2024-01-02").cast("date")).collect()}
+    assert out[(1, dt.date(2024, 1, 2))] == (0, 10)     # as-of value from before the range
+    assert out[(1, dt.date(2024, 1, 3))] == (0, 10)
+    assert out[(1, dt.date(2024, 1, 4))] == (2, 12)
+    assert out[(2, dt.date(2024, 1, 2))] == (0, 0)      # nothing known yet
+    assert (1, dt.date(2024, 1, 1)) not in out          # rows before the range are not reported

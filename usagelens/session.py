@@ -20,9 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # coalesce post-shuffle partitions to the advisory size (64 MB) instead of
-    # keeping the default parallelism: fewer tiny tasks on a large cluster
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # broadcast only what the optimizer (static stats) or AQE (runtime
     # shuffle stats) has measured below this size; everything else shuffles

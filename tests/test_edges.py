@@ -250,3 +250,22 @@ def test_marker_visibility_and_counts(spark):
     assert quirk == {1, 3}                      # other's public marker shown outside the range (Q14)
     counts = {r.user_id: r.markers for r in TR.marker_counts(m, 1, 1, "2024-01-01", "2024-01-31").collect()}
     assert counts == {1: 2, 2: 1}
+
+
+def test_extend_dim_null_safe_and_fact_rejects(spark):
+    from usagelens.operators import dims as DM
+    from usagelens.operators import facts as FA
+    from usagelens.sources.registry import local_table
+    dim = local_table(spark, [("A", "x"), (None, "y")], "country string, region string")
+    src = local_table(spark, [("A", "x"), (None, "y"), (None, "z"), ("B", "x"), ("B", "x")],
+                      "country string, region string")
+    new = [tuple(r) for r in DM.extend_dim(dim, src, ["country", "region"]).collect()]
+    assert len(new) == 2 and set(new) == {("B", "x"), (None, "z")}   # (None, "y") is known
+    pdim = local_table(spark, [(1, 1, "1.2", 1, 1, 1)],
+                       "product_id int, channel_id int, version string, product_active int, "
+                       "channel_active int, version_active int")
+    rows = local_table(spark, [(1, 1, 1, "1.2", dt.datetime(2024, 1, 1, 3)), (2, 1, 1, "9.9", dt.datetime(2024, 1, 1, 4))],
+                       "launch_id long, product_id int, channel_id int, version string, ts timestamp_ntz")
+    fact, rej = FA.build_launch_fact(rows, pdim)
+    assert [(r.launch_id, r.h, r.active) for r in fact.collect()] == [(1, 3, True)]
+    assert [r.launch_id for r in rej.collect()] == [2]

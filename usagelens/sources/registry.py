@@ -71,6 +71,8 @@ def _sql_literal(v) -> str:
         return repr(v) + "D"
     if isinstance(v, Decimal):
         return f"{v}BD"
+    if isinstance(v, dt.datetime):          # before date: datetime subclasses date
+        return f"TIMESTAMP_NTZ'{v.isoformat(sep=' ')}'"
     if isinstance(v, dt.date):
         return f"DATE'{v.isoformat()}'"
     text = str(v).replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")

@@ -141,6 +141,19 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
     return _start(w, trigger, available_now)
 
 
+def rollup_job(rows: DataFrame, fact_path: str, rollup_path: str, checkpoint: str,
+               trigger: str | None = None, available_now: bool = False,
+               journal_path: str | None = None) -> StreamingQuery:
+    """The deployment form of the KPI input: the hourly job maintains the
+    device-hour launch rollup, partitioned by day, recomputing only the days
+    each micro-batch touched (the rollup is day-local, so a late row changes
+    only its own day).  Reports read it instead of the raw log."""
+    from usagelens.operators.kpis import launch_rollup
+    return day_partition_job(rows, fact_path, rollup_path, checkpoint, summarize=launch_rollup,
+                             trigger=trigger, available_now=available_now, journal_path=journal_path,
+                             op_name="launch_rollup")
+
+
 # ---------------------------------------------------------------------------
 # Event-time streaming aggregates
 # ---------------------------------------------------------------------------

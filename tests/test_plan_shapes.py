@@ -60,3 +60,11 @@ def test_daily_kpis_single_shuffle_after_rollup(spark):
     # one (keys, day) aggregate exchange + one for the running totals; the
     # page-duration branch shares the aggregate's exchange via the union
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2
+
+
+def test_hourly_kpis_single_shuffle_after_rollup(spark):
+    plan = final_plan(spark, "kpi_hourly")
+    # first day per device is a window over the bucketed rollup (no shuffle);
+    # launches, actives and new marks meet in one aggregate
+    assert "Bucketed: true" in plan
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 1

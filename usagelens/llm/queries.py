@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm import (
+    quality,
+    simhash,
     suffix_dedup,
     window_dedup,
 )
@@ -84,3 +86,15 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copied 50-byte strings removed from every document."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, distances from the language's reference, and the verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).drop("tag")
+
+
+@query("op10_simhash_near_dedup")
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm import (
+    licenses,
+    mixing,
     quality,
+    sharding,
     simhash,
     suffix_dedup,
     window_dedup,
@@ -98,3 +101,144 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _values(rows) -> str:
+    lit = lambda x: "NULL" if x is None else str(x).upper() if isinstance(x, bool) else str(x) if isinstance(x, int) else "'" + x + "'"
+    return ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
+
+
+LICENSES_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), tpl(template, label, phrase, votes, n_template, tpos, t1, t2, t3) AS (VALUES {_values(licenses.template_rows())}),
+pos AS (
+  SELECT doc_id, p, w[p + 1] AS w1, w[p + 2] AS w2, w[p + 3] AS w3 FROM (SELECT doc_id, w, unnest(range(0, len(w) - 1)) AS p FROM d)
+), v AS (
+  SELECT doc_id, template, label, phrase, votes, n_template, p - tpos AS diagonal, bit_or(1::BIGINT << tpos) AS bits,
+         bit_count(bit_or(1::BIGINT << tpos)) AS n, min(p) AS lo, max(p) AS hi
+  FROM pos JOIN tpl ON w1 = t1 AND w2 = t2 AND (t3 IS NULL OR t3 = w3) GROUP BY ALL
+), near AS (
+  SELECT *, coalesce((diagonal - lag(diagonal) OVER o > {licenses.GAP})::INT, 1) AS new FROM v
+  WHERE NOT phrase AND (n > 1 OR votes < 3) WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)
+), run AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM near
+), hit AS (
+  SELECT doc_id, label, TRUE AS phrase, diagonal AS start, 1.0::DOUBLE AS coverage FROM v WHERE phrase AND n = votes
+  UNION ALL
+  SELECT doc_id, label, FALSE, NULL, bit_count(bit_or(bits)) / votes::DOUBLE FROM run
+  GROUP BY doc_id, template, label, votes, n_template, span
+  HAVING bit_count(bit_or(bits)) / votes::DOUBLE >= {licenses.MIN_COVERAGE}
+     AND max(hi) + 2 - min(lo) + 1 <= {licenses.MAX_STRETCH} * n_template
+), f AS (
+  SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         list_sort(list_distinct(list(label) FILTER (phrase))) AS base_labels, list_sort(list_distinct(list(label))) AS labels,
+         max(coverage) AS score FROM hit GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+       coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id
+"""
+
+
+@query("op1_license_scan", LICENSES_SQL)
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _case(column: str, values: dict, default) -> str:
+    lit = lambda x: str(x) if isinstance(x, int) else f"'{x}'"
+    return f"CASE {column} " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in values.items()) + f" ELSE {lit(default)} END" \
+        if values else lit(default)
+
+
+def _fill_sql(name: str, source: str, parent: str, level: str) -> str:
+    """Water filling of one tree level: CTEs that end in ``name`` with the column ``budget``."""
+    order = f"(PARTITION BY {parent} ORDER BY CASE WHEN weight > 0 THEN cap / weight END NULLS LAST, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""{name}_a AS (
+  SELECT *, given - coalesce(sum(cap) OVER {order}, 0) AS room,
+         sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER {order}, 0) AS pull FROM {source}
+), {name}_b AS (
+  SELECT *, weight > 0 AND cap::DOUBLE * pull <= room::DOUBLE * weight AS whole FROM {name}_a
+), {name}_c AS (
+  SELECT *, given - coalesce(sum(cap) FILTER (whole) OVER (PARTITION BY {parent}), 0) AS rem,
+         sum(weight) FILTER (NOT whole) OVER (PARTITION BY {parent}) AS open FROM {name}_b
+), {name}_d AS (
+  SELECT *, CASE WHEN whole THEN cap WHEN weight > 0 THEN floor(rem::DOUBLE * weight / open)::BIGINT ELSE 0 END AS share FROM {name}_c
+), {name}_e AS (
+  SELECT *, given - sum(share) OVER (PARTITION BY {parent}) AS rest, NOT whole AND weight > 0 AS takes FROM {name}_d
+), {name}_f AS (
+  SELECT *, row_number() OVER (PARTITION BY {parent} ORDER BY takes DESC, {level}) AS turn FROM {name}_e
+), {name} AS (
+  SELECT *, (share + CASE WHEN takes AND turn <= rest AND share < cap THEN 1 ELSE 0 END)::BIGINT AS budget FROM {name}_f
+)"""
+
+
+def _children_sql(level: str, path: str) -> str:
+    return f"SELECT {path}, sum(tokens * {mixing.MAX_EPOCHS})::BIGINT AS cap, {_case(level, mixing.WEIGHTS.get(level, {}), 1)} AS weight FROM leaf GROUP BY ALL"
+
+
+MIXING_SQL = rf"""
+WITH r AS (
+  SELECT doc_id, {_case("coalesce(source, '(none)')", mixing.DOMAINS, mixing.OTHER_DOMAIN)} AS domain, coalesce(lang, '(none)') AS lang,
+         coalesce(source, '(none)') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents
+), leaf AS (
+  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM r GROUP BY ALL
+), c1 AS ({_children_sql("domain", "domain")}),
+i1 AS (SELECT *, 0 AS root, least(floor((SELECT sum(tokens) FROM leaf) * {mixing.BUDGET_SHARE}::DOUBLE), sum(cap) OVER ())::BIGINT AS given FROM c1),
+{_fill_sql("n1", "i1", "root", "domain")},
+c2 AS ({_children_sql("lang", "domain, lang")}),
+i2 AS (SELECT c2.*, n1.budget AS given FROM c2 JOIN n1 USING (domain)),
+{_fill_sql("n2", "i2", "domain", "lang")},
+c3 AS ({_children_sql("source", "domain, lang, source")}),
+i3 AS (SELECT c3.*, n2.budget AS given FROM c3 JOIN n2 USING (domain, lang)),
+{_fill_sql("n3", "i3", "domain, lang", "source")},
+b AS (
+  SELECT domain, lang, source, tokens, budget, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs
+  FROM n3 JOIN leaf USING (domain, lang, source)
+), k AS (
+  SELECT r.*, epochs, budget - epochs * tokens AS rest,
+         md5('{mixing.SEED}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '-') || ':' || n_tokens) AS key
+  FROM r JOIN b USING (domain, lang, source)
+), s AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS through FROM k
+)
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(0, (epochs + CASE WHEN rest > 0 AND through <= rest THEN 1 ELSE 0 END)::BIGINT)) AS epoch FROM s
+"""
+
+
+@query("op2_source_mix", MIXING_SQL)
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn for the target weights, once per epoch that draws them."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def _sharding_sql(limit: int) -> str:
+    return rf"""
+WITH r AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h FROM documents
+), deep AS (SELECT *, unnest(range(0, 61)) AS depth FROM r
+), fits AS (
+  SELECT depth, h >> (60 - depth)::INT AS bucket FROM deep GROUP BY ALL HAVING sum(n_bytes) <= {limit} OR count(*) = 1
+), f AS (
+  SELECT doc_id, n_bytes, h, min(depth) AS depth FROM deep JOIN fits USING (depth) WHERE h >> (60 - depth)::INT = bucket GROUP BY ALL
+)
+SELECT doc_id, n_bytes, depth::INT AS depth,
+       CASE WHEN depth = 0 THEN 'all' ELSE lpad(bin(h >> (60 - depth)::INT), depth::INT, '0') END AS shard, 0::BIGINT AS page FROM f
+"""
+
+
+@query("op3_extendible_shards", _sharding_sql(sharding.LIMIT_BYTES))
+def op3_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+@query("llm_shards_small", _sharding_sql(64 << 10))
+def llm_shards_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with shards of 64 KB, so that small tables split too."""
+    return sharding.shards(table(spark, sf_dir, "documents"), limit=64 << 10)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,28 +17,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own switch to delete a query's shuffle files when the query has ended
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
 
     Cuts the lineage: a lost executor costs a re-read of the files, and a
-    later step never repeats the work before it.
+    later step never repeats the work before it.  The shuffle files of the
+    write are not needed after it and go at once.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}_{uuid.uuid4().hex[:16]}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps.
-
-    Shuffle files live until the driver's JVM collects the plan objects that
-    own them; after a staged step nothing refers to them any more.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other letters)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

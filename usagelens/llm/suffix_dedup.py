@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import has_repeated_ids, release, stage, text_bytes
+from usagelens.llm.common import has_repeated_ids, stage, text_bytes
 from usagelens.llm.packed import BLOCK_SCHEMA, RANGE_SCHEMA, Runs, Segment, decode_all, mix, range_table, sliding_min
 from usagelens.llm.window_dedup import buckets_for, join_ranges, row_ranges
 
@@ -323,6 +323,5 @@ def dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Remove copied bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes."""
     tagged = has_repeated_ids(docs)
     ranges = stage(copied_ranges(docs, min_bytes, tagged), "byte_ranges")
-    release(docs.sparkSession)
     return join_ranges(docs, ranges, tagged) \
         .mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")

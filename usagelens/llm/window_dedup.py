@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import has_repeated_ids, release, stage, text_bytes
+from usagelens.llm.common import has_repeated_ids, stage, text_bytes
 from usagelens.llm.packed import (
     BLOCK_SCHEMA,
     RANGE_SCHEMA,
@@ -217,11 +217,9 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Remove copied word windows: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Stages the copied ranges once (so that a lost executor does not repeat the
-    bucket step and its shuffle files can go), then joins them to the texts.
+    bucket step), then joins them to the texts.
     """
-    spark = docs.sparkSession
     tagged = has_repeated_ids(docs)
     ranges = stage(copied_ranges(docs, width, tagged), "window_ranges")
-    release(spark)
     joined = join_ranges(docs, ranges, tagged)
     return joined.mapInArrow(_apply, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

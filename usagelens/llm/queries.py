@@ -11,12 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm import (
+    decontam,
+    html_extract,
     licenses,
     mixing,
     quality,
     sharding,
     simhash,
     suffix_dedup,
+    url_filter,
     window_dedup,
 )
 from usagelens.llm.common import table
@@ -242,3 +245,21 @@ def op3_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_shards_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with shards of 64 KB, so that small tables split too."""
     return sharding.shards(table(spark, sf_dir, "documents"), limit=64 << 10)
+
+
+@query("op6_main_text")
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, without what its site repeats."""
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op7_benchmark_leaks")
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, one row per document and item."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL, by rule or classifier."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from usagelens.llm import (
     decontam,
     html_extract,
@@ -263,3 +264,9 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL, by rule or classifier."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole corpus pipeline (corpus_pipeline.py)."""
+    return corpus_pipeline.run(spark, sf_dir)

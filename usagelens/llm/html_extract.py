@@ -44,6 +44,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "strike strong sub sup time tt u var wbr br".split())
 DROPPED = frozenset("head title script style noscript template nav footer aside form button select option textarea iframe object embed "
                     "svg math canvas audio video dialog menu noembed noframes xmp".split())
+# dropped elements that stand as blocks of their own; the others leave no gap in a line
+DROPPED_BLOCKS = frozenset("nav footer aside form menu dialog".split())
 CONTAINERS = frozenset("div section ul ol dl table aside nav header footer form figure details fieldset center".split())
 # An opening tag that ends open elements of these names (up to the nearest barrier).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -63,7 +65,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"
 
 
 class Element:
-    __slots__ = ("tag", "parent", "skip", "text", "children", "hash", "inside")
+    __slots__ = ("tag", "parent", "skip", "children", "hash", "inside")
 
     def __init__(self, tag, parent, skip, inside):
         self.tag, self.parent, self.skip, self.inside = tag, parent, skip, inside
@@ -220,7 +222,7 @@ def extract(page: str | None, templates: frozenset = frozenset()) -> str:
             elif isinstance(e, str):
                 blocks[-1].append(e)
             elif e.skip:
-                if e.tag not in INLINE:
+                if e.tag not in INLINE and (e.tag not in DROPPED or e.tag in DROPPED_BLOCKS):
                     cut()
             elif e.tag in INLINE:
                 if e.tag == "br":
@@ -241,7 +243,7 @@ def host_of(url: Column) -> Column:
 def _hashes(batches):
     for b in batches:
         rows = [subtree_hashes(t or "") for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["host", "hashes"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["host", "page", "hashes"])
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -251,9 +253,9 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     host's list is bounded by five times the subtrees of a page.
     """
     p = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    # a page is its set of subtree hashes; copies of one page make one page
-    seen = stage(p.mapInArrow(_hashes, "host string, hashes array<long>")
-                 .groupBy("host", F.xxhash64("hashes").alias("page")).agg(F.any_value("hashes").alias("hashes")), "subtrees")
+    seen = p.select("host", "html", F.xxhash64("html").alias("page")).mapInArrow(_hashes, "host string, page long, hashes array<long>")
+    # copies of one page on a host count once
+    seen = stage(seen.groupBy("host", "page").agg(F.any_value("hashes").alias("hashes")), "subtrees")
     size = seen.groupBy("host").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
     count = seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")) \
         .where(F.col("n") >= min_pages)

@@ -105,26 +105,30 @@ def test_segment_filter_and_or(spark):
     df = spark.createDataFrame([("a", "1.9", 1, "R1"), ("b", "1.2", 1, "R1"), ("c", "1.9", 3, "R1")],
                                "device_id string, version string, channel_id int, region string") \
         .withColumn("product_id", F.lit(1))
-    tags = '[{"type":"version","value":["1.9","1.10"]},{"type":"channel","value":["1","2"]}]'
-    assert [r.device_id for r in TR.segment(df, tags).collect()] == ["a"]
-    assert TR.segment(df, '[]').count() == 3
+    names = spark.createDataFrame([(1, 1, "store"), (1, 3, "web"), (2, 3, "store")], "product_id int, channel_id int, channel_name string")
+    tags = '[{"type":"version","value":["1.9","1.10"]},{"type":"channel","value":["store"]}]'
+    assert [r.device_id for r in TR.segment(df, tags, names).collect()] == ["a"]
+    for none in ('[]', '[{"type":"version","value":[]}]', '[{"type":"channel","value":null},{"type":"region"}]'):
+        assert TR.segment(df, none, names).count() == 3
 
 
 def test_amount_and_required_checks(spark):
-    df = spark.createDataFrame([("23",), ("23.3",), ("-23.3",), ("",), (None,)], "acc string")
+    df = spark.createDataFrame([("23",), ("23.3",), ("-23.3",), ("",), (None,), ("many",)], "acc string")
     good, bad = IN.validate_amount(df)
     assert sorted(r.acc for r in good.collect()) == ["23", "23.3"]
-    assert bad.count() == 3
-    req = spark.createDataFrame([("k", None), ("k", "x")], "appkey string, deviceid string")
+    assert bad.count() == 4
+    req = spark.createDataFrame([("k", None), ("k", "x"), ("k", "")], "appkey string, deviceid string")
     g, b = IN.validate(req, ["appkey", "deviceid"])
-    assert g.count() == 1 and b.collect()[0].reject_reason == "deviceid"
+    assert g.count() == 2 and [r.reject_reason for r in b.collect()] == ["deviceid"]
 
 
 def test_time_repair(spark):
-    df = spark.createDataFrame([("2024-01-01 10:00:00",), ("junk",), ("1969-12-31 23:59:59",)], "t string") \
+    df = spark.createDataFrame([("2024-01-01 10:00:00",), ("junk",), ("1969-12-31 23:59:59",), ("2024-01-05T10:00:00",),
+                                ("2024/01/05 10:00:00",), ("2024-01-05",)], "t string") \
         .withColumn("ingest_ts", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
     got = [r.ts for r in IN.repair_time(df, "t", out="ts").collect()]
-    assert got == [dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1)]
+    assert got == [dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 1, 5, 10),
+                   dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5)]
 
 
 def test_crash_title_rule(spark):
@@ -184,10 +188,10 @@ def test_sync_event_dim_and_rule_select(spark):
     from usagelens.sources.registry import local_table
     dim = local_table(spark, [(1, 1, "signup", "Sign up", 1), (1, 2, "view", "View", 1)],
                       "product_id int, event_id int, event_identifier string, event_name string, active int")
-    defs = local_table(spark, [(1, 2, "view", "Page view", 0), (1, 3, "click", "Click", 1)],
+    defs = local_table(spark, [(1, 2, "view", None, 0), (1, 3, "click", "Click", 1)],
                        "product_id int, event_id int, event_identifier string, event_name string, active int")
     got = {r.event_id: (r.event_name, r.active) for r in DM.sync_event_dim(dim, defs).collect()}
-    assert got == {1: ("Sign up", 1), 2: ("Page view", 0), 3: ("Click", 1)}
+    assert got == {1: ("Sign up", 1), 2: (None, 0), 3: ("Click", 1)}
     rules = local_table(spark, [(1, "x", 20.0, 1), (1, "x", 50.0, 1)],
                         "product_id int, metric string, condition double, active int")
     assert [r.condition for r in TR.select_rule(rules, 1, "x", 20.0004).collect()] == [20.0]
@@ -236,8 +240,9 @@ def test_malformed_payload_values_do_not_fail_the_job(spark):
     from usagelens.sources import registry as R
     rows, _ = IN.ingest_page(raw, R.channels(spark))
     assert rows.collect()[0].duration_ms is None
-    ips = spark.createDataFrame([("10.x.1.2",)], "ip string").select(IN.ip_to_long(F.col("ip")).alias("v"))
-    assert ips.collect()[0].v == (10 << 24) + (1 << 8) + 2
+    bad = ["10.x.1.2", "::1", "1.2.3", "1.2.3.4.5", "256.1.1.1", "", None]
+    ips = spark.createDataFrame([("10.0.1.2",), *[(b,) for b in bad]], "ip string").select(IN.ip_to_long(F.col("ip")).alias("v"))
+    assert [r.v for r in ips.collect()] == [(10 << 24) + (1 << 8) + 2] + [None] * len(bad)
 
 
 def test_marker_visibility_and_counts(spark):
@@ -269,3 +274,49 @@ def test_extend_dim_null_safe_and_fact_rejects(spark):
     fact, rej = FA.build_launch_fact(rows, pdim)
     assert [(r.launch_id, r.h, r.active) for r in fact.collect()] == [(1, 3, True)]
     assert [r.launch_id for r in rej.collect()] == [2]
+
+
+def test_edge_days_without_launches_stay(spark):
+    """Days that only have page time, at either edge of the launches, belong to the KPI span."""
+    from usagelens.functions.densify import densify
+    day = lambda n: dt.date(2024, 1, n)
+    launch = spark.createDataFrame([(1, 1, day(2))], "product_id int, channel_id int, d date")
+    page = spark.createDataFrame([(1, 1, day(1)), (1, 1, day(3)), (1, 9, day(9))], "product_id int, channel_id int, d date")
+    active = spark.createDataFrame([(1, 1)], "product_id int, channel_id int")
+    days = K.only_active(launch, active).unionAll(K.only_active(page, active)).select("d")
+    kpi = spark.createDataFrame([(1, day(1), 0), (1, day(2), 5), (1, day(3), 0)], "product_id int, d date, sessions int")
+    got = [(r.d, r.sessions) for r in densify(kpi, ["product_id"], ["sessions"], span_src=days).orderBy("d").collect()]
+    assert got == [(day(1), 0), (day(2), 5), (day(3), 0)]
+
+
+def test_active_test_needs_its_keys(spark):
+    import pytest
+    rows = spark.createDataFrame([(1, 1)], "product_id int, channel_id int")
+    registry = spark.createDataFrame([(1, 1, "1.9")], "product_id int, channel_id int, version string")
+    with pytest.raises(ValueError, match="version"):
+        K.only_active(rows, registry)
+    assert K.only_active(rows, registry, ["product_id", "channel_id"]).count() == 1
+
+
+def test_fractional_metrics_keep_their_fractions(spark):
+    days = [dt.date(2024, 1, n) for n in range(1, 8)]
+    series = spark.createDataFrame([(1, d, 0.5) for d in days[:-1]] + [(1, days[-1], 0.75)], "product_id int, d date, x double")
+    rules = spark.createDataFrame([(1, "x", 20.0, 1)], "product_id int, metric string, condition double, active int")
+    assert [(r.d, r.fact, r.deviation_pct) for r in TR.alerts(series, rules, ["x"]).collect()] == [(days[-1], 0.75, 50.0)]
+
+
+def test_narrowest_of_overlapping_ranges(spark):
+    ips = spark.createDataFrame([(1, "10.0.0.5"), (2, "10.0.9.5"), (3, "11.0.0.1")], "id int, ip string")
+    base = 10 << 24
+    rng = spark.createDataFrame([(base, base + 65535, "A", "wide", ""), (base, base + 255, "A", "narrow", "")],
+                                "lo long, hi long, country string, region string, city string")
+    assert sorted((r.id, r.region) for r in IN.enrich_location(ips, rng).collect()) == [(1, "narrow"), (2, "wide"), (3, "")]
+
+
+def test_batch_items_keep_id_and_time(spark):
+    raw = spark.createDataFrame([(7, '{"appkey":"k","clientData":[{"time":"junk"},{"time":"x","appkey":"own"}],"errorInfo":[{"a":"b"}]}',
+                                  dt.datetime(2024, 1, 2))], "payload_id long, payload string, ingest_ts timestamp_ntz")
+    parts = IN.explode_batch(raw)
+    got = sorted((r.payload_id, r.item_no, r.ingest_ts, r.payload) for r in parts["launch"].collect())
+    assert [(g[0], g[1], g[2]) for g in got] == [(7, 0, dt.datetime(2024, 1, 2)), (7, 1, dt.datetime(2024, 1, 2))]
+    assert '"own"' in got[1][3] and parts["crash"].count() == 1 and parts["page"].count() == 0

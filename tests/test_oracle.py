@@ -8,11 +8,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from usagelens.plans import catalog
 from tests.oracle_check import compare, duck_conn, spark_rows, type_diffs
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.spark_callables()
+ORACLES = catalog.oracle_sqls()
 
 
 @pytest.fixture(scope="module")

@@ -9,10 +9,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from usagelens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+QUERIES = catalog.spark_callables()
 
 
 def final_plan(spark, name: str) -> str:

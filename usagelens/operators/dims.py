@@ -57,16 +57,15 @@ def sync_product_dim(channels: DataFrame, products: DataFrame, launches: DataFra
 
 
 def sync_event_dim(dim: DataFrame, defs: DataFrame) -> DataFrame:
-    """Type-1 refresh of the event dimension from the definitions
-    (attributes overwritten where any differs) plus definitions with no
-    identical row inserted."""
+    """Type-1 refresh of the event dimension: a definition's
+    attributes win whenever there is one, NULLs included; new definitions are
+    inserted and dimension rows without a definition stay."""
     keys = ["product_id", "event_id"]
     attrs = ["event_identifier", "event_name", "active"]
     d = dim.alias("d")
-    s = defs.alias("s")
-    merged = d.join(s, keys, "full").select(
-        *keys, *[F.coalesce(F.col(f"s.{a}"), F.col(f"d.{a}")).alias(a) for a in attrs])
-    return merged
+    s = defs.withColumn("_defined", F.lit(True)).alias("s")
+    return d.join(s, keys, "full").select(
+        *keys, *[F.when(F.col("s._defined"), F.col(f"s.{a}")).otherwise(F.col(f"d.{a}")).alias(a) for a in attrs])
 
 
 def set_fixed(titles: DataFrame, overlay: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.densify import date_grid, span_bounds
-from usagelens.functions.ratios import format_pct, pct_round, ratio
+from usagelens.functions.ratios import format_pct, pct_round, ratio, ratio_or_zero
 from usagelens.operators.distribution import in_range
 
 
@@ -25,7 +25,7 @@ def event_fact(app_event: DataFrame, event_defs: DataFrame) -> DataFrame:
 
 def event_counts(fact: DataFrame, event_defs: DataFrame, by_version: bool = False,
                  measure: str = "count", a=None, b=None) -> DataFrame:
-    """Per product, every defined event with its count (0 without
+    """Per product, every active event with its count (0 without
     data); ``by_version`` lists, per version, the events seen in it.
     ``measure`` 'count' counts rows, 'sum' sums ``num``."""
     m = F.count(F.lit(1)) if measure == "count" else F.sum("num")
@@ -34,7 +34,7 @@ def event_counts(fact: DataFrame, event_defs: DataFrame, by_version: bool = Fals
         return (rows.groupBy("product_id", "version", "event_id", "event_identifier")
                 .agg(m.cast("bigint").alias("count")))
     cnt = rows.groupBy("product_id", "event_id").agg(m.alias("count"))
-    defs = event_defs.select("product_id", "event_id", "event_identifier", "event_name")
+    defs = event_defs.where("active = 1").select("product_id", "event_id", "event_identifier", "event_name")
     return (defs.join(cnt, ["product_id", "event_id"], "left")
             .select("product_id", "event_id", "event_identifier", "event_name",
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
@@ -68,13 +68,13 @@ def event_grid(fact: DataFrame, event_defs: DataFrame, lo=None, hi=None) -> Data
 
 def event_series(fact: DataFrame, kpis: DataFrame, event_defs: DataFrame) -> DataFrame:
     """Dense daily event counts with count per active device and per
-    session of the product that day."""
+    session of the product that day (0 where there is none)."""
     g = event_grid(fact, event_defs)
     k = kpis.select("product_id", "d", "startusers", "sessions")
     return (g.join(k, ["product_id", "d"], "left")
             .select("product_id", "event_id", "d", "count",
-                    ratio(F.col("count"), F.col("startusers")).alias("per_user"),
-                    ratio(F.col("count"), F.col("sessions")).alias("per_session")))
+                    ratio_or_zero(F.col("count"), F.col("startusers")).alias("per_user"),
+                    ratio_or_zero(F.col("count"), F.col("sessions")).alias("per_session")))
 
 
 # ---------------------------------------------------------------------------

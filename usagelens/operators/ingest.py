@@ -36,7 +36,9 @@ REJECT_UNDEFINED_EVENT = -5
 REJECT_BAD_AMOUNT = -6
 BATCH_ARRAYS = {"eventInfo": "event", "errorInfo": "crash", "clientData": "launch",
                 "activityInfo": "page"}
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# the first is the SDKs' own; the others are common spellings of the same
+TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm",
+                "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd")
 DEFAULT_SESSION_GAP_SECONDS = 30
 
 
@@ -85,11 +87,16 @@ def explode_batch(raw: DataFrame, col: str = "payload") -> dict[str, DataFrame]:
     """Split a batch envelope {appkey, eventInfo[], errorInfo[],
     clientData[], activityInfo[]} into four payload sets.  Each array element
     is re-serialised to JSON with the envelope's appkey filled in when the
-    element lacks one; non-array members yield nothing."""
+    element lacks one; non-array members yield nothing.
+
+    The envelope's other columns (payload id, ingest time) stay with every
+    item, and ``item_no`` is its position in the array, so an item can be
+    traced back and its time repaired."""
     env_schema = T.StructType([T.StructField("appkey", T.StringType())] +
                               [T.StructField(k, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
                                for k in BATCH_ARRAYS])
-    env = raw.select(F.from_json(F.col(col), env_schema).alias("_e"))
+    rest = [c for c in raw.columns if c != col]
+    env = raw.select(*rest, F.from_json(F.col(col), env_schema).alias("_e"))
     out = {}
     for arr, kind in BATCH_ARRAYS.items():
         item = F.col("_i")
@@ -97,18 +104,19 @@ def explode_batch(raw: DataFrame, col: str = "payload") -> dict[str, DataFrame]:
                                 F.map_filter(item, lambda k, v: k != "appkey"))
         fixed = F.when(item.getItem("appkey").isNull() & F.col("_e.appkey").isNotNull(), with_key) \
                  .otherwise(item)
-        out[kind] = (env.select("_e", F.explode_outer(F.col(f"_e.{arr}")).alias("_i"))
+        out[kind] = (env.select(*rest, "_e", F.posexplode_outer(F.col(f"_e.{arr}")).alias("item_no", "_i"))
                      .where(F.col("_i").isNotNull())
-                     .select(F.to_json(fixed).alias(col)))
+                     .select(*rest, "item_no", F.to_json(fixed).alias(col)))
     return out
 
 
 def validate(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with every required field present, and the rejects with code
-    -2 and the name of the first missing field."""
+    -2 and the name of the first missing field.  A field that is there but
+    empty is present; an absent or JSON-null one is missing."""
     missing = F.lit(None).cast("string")
     for f in reversed(required):
-        missing = F.when(F.col(f).isNull() | (F.col(f) == ""), F.lit(f)).otherwise(missing)
+        missing = F.when(F.col(f).isNull(), F.lit(f)).otherwise(missing)
     tagged = df.withColumn("_missing", missing)
     good = tagged.where(F.col("_missing").isNull()).drop("_missing")
     bad = (tagged.where(F.col("_missing").isNotNull())
@@ -141,10 +149,10 @@ def resolve_event(df: DataFrame, event_defs: DataFrame,
 
 
 def repair_time(df: DataFrame, col: str, ingest_col: str = "ingest_ts", out: str | None = None,
-                fmt: str = TIME_FORMAT) -> DataFrame:
-    """Parse ``col``; unparsable values or times before 1970 become the
-    ingest time."""
-    parsed = F.try_to_timestamp(F.col(col), F.lit(fmt)).cast("timestamp_ntz")
+                formats: tuple[str, ...] = TIME_FORMATS) -> DataFrame:
+    """Parse ``col`` by the first format that fits; unparsable values or
+    times before 1970 become the ingest time."""
+    parsed = F.coalesce(*[F.try_to_timestamp(F.col(col), F.lit(f)) for f in formats]).cast("timestamp_ntz")
     fixed = F.when(parsed.isNull() | (parsed < F.lit("1970-01-01").cast("timestamp_ntz")),
                    F.col(ingest_col)).otherwise(parsed)
     return df.withColumn(out or col, fixed)
@@ -159,27 +167,24 @@ def enrich_carrier(df: DataFrame, mccmnc: DataFrame, code_col: str = "mccmnc") -
 
 
 def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 text -> bigint; malformed parts count as 0 (payload text is
-    untrusted, so every cast here is a try_cast under ANSI mode)."""
+    """Dotted IPv4 text -> bigint; NULL unless there are four parts from 0 to
+    255 (payload text is untrusted: it may be IPv6 or anything else)."""
+    byte = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
     parts = F.split(ip, r"\.")
-    return reduce_ip(parts)
-
-
-def reduce_ip(parts: Column) -> Column:
     v = F.lit(0).cast("bigint")
     for i in range(4):
-        v = v * 256 + F.coalesce(F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint"), F.lit(0))
-    return v
+        v = v * 256 + F.get(parts, F.lit(i)).try_cast("bigint")
+    return F.when(ip.rlike(rf"^{byte}(\.{byte}){{3}}$"), v)
 
 
 def enrich_location(df: DataFrame, ip_ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
     """(country, region, city) from an IP-range table (lo, hi inclusive,
-    as bigints), '' when no range matches.
+    as bigints), '' when no range matches or the address is malformed.
 
     Range join as an equi join on the /16 block: each range is exploded into
-    the /16 blocks it covers (ranges are narrow in practice), so the join is
-    a hash join on the block plus a residual range test instead of a nested
-    loop over all ranges.
+    the /16 blocks it covers (ranges are narrow in practice) and a block's
+    ranges are gathered into one array, so every row joins at most one row.
+    Of overlapping ranges the narrowest wins (then the lower one).
     """
     block = F.floor(F.col("_ip") / 65536)
     left = df.withColumn("_ip", ip_to_long(F.col(ip_col))).withColumn("_blk", block)
@@ -188,12 +193,13 @@ def enrich_location(df: DataFrame, ip_ranges: DataFrame, ip_col: str = "ip") ->
         F.col("country").alias("_country"), F.col("region").alias("_region"),
         F.col("city").alias("_city"),
         F.explode(F.sequence(F.floor(F.col("lo") / 65536), F.floor(F.col("hi") / 65536))).alias("_blk"))
-    joined = left.join(rng, (left["_blk"] == rng["_blk"]) &
-                       (F.col("_ip") >= F.col("_lo")) & (F.col("_ip") <= F.col("_hi")), "left")
-    return (joined.withColumn("country", F.coalesce("_country", F.lit("")))
-            .withColumn("region", F.coalesce("_region", F.lit("")))
-            .withColumn("city", F.coalesce("_city", F.lit("")))
-            .drop("_ip", "_blk", "_lo", "_hi", "_country", "_region", "_city"))
+    blocks = rng.groupBy("_blk").agg(F.collect_list(F.struct(
+        (F.col("_hi") - F.col("_lo")).alias("width"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"),
+        F.col("_country").alias("country"), F.col("_region").alias("region"), F.col("_city").alias("city"))).alias("_ranges"))
+    hit = F.array_min(F.filter("_ranges", lambda r: (r["lo"] <= F.col("_ip")) & (F.col("_ip") <= r["hi"])))
+    joined = left.join(blocks, "_blk", "left").withColumn("_hit", hit)
+    return (joined.withColumns({c: F.coalesce(F.col(f"_hit.{c}"), F.lit("")) for c in ("country", "region", "city")})
+            .drop("_ip", "_blk", "_ranges", "_hit"))
 
 
 def crash_title(df: DataFrame, stack_col: str = "stacktrace", out: str = "title") -> DataFrame:
@@ -206,8 +212,9 @@ def crash_title(df: DataFrame, stack_col: str = "stacktrace", out: str = "title"
 
 
 def validate_amount(df: DataFrame, col: str = "acc") -> tuple[DataFrame, DataFrame]:
-    """An amount is refused when empty/NULL or when it contains '-'."""
-    bad_cond = F.col(col).isNull() | (F.col(col) == "") | F.col(col).contains("-")
+    """An amount is refused when empty/NULL, when it contains '-' or when
+    it is no number (it would turn into NULL unnoticed)."""
+    bad_cond = F.col(col).isNull() | F.col(col).contains("-") | F.col(col).try_cast("double").isNull()
     good = df.where(~bad_cond)
     bad = (df.where(bad_cond).withColumn("reject_code", F.lit(REJECT_BAD_AMOUNT))
            .withColumn("reject_reason", F.lit("invalid amount")))
@@ -219,7 +226,8 @@ def sessionize(df: DataFrame, gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS,
                key_col: str = "app_key", order_id: str | None = None,
                bucket_seconds: int = 3600) -> DataFrame:
     """I16: a new session starts when the gap since the device's previous
-    activity exceeds ``gap_seconds``; the id is md5(key + session start).
+    activity exceeds ``gap_seconds``; the id is md5(key + session start + the
+    ``by`` columns), so two devices that start in the same second differ.
 
     Skew-proof batch form (no window over a device's whole history):
 
@@ -257,7 +265,8 @@ def sessionize(df: DataFrame, gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS,
             .withColumn("_sess", F.col("_before") + F.col("_k") - (F.lit(1) - F.col("_cross"))))
     first = rows.groupBy(*by, "_sess").agg(F.min(ts).alias("session_start"))
     out = rows.join(first, [*by, "_sess"])
-    sid = F.md5(F.concat(F.col(key_col).cast("string"), F.date_format(F.col("session_start"), "yyyyMMddHHmmss")))
+    sid = F.md5(F.concat_ws("|", F.col(key_col).cast("string"), F.date_format(F.col("session_start"), "yyyyMMddHHmmss"),
+                            *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]))
     return out.withColumn("session_id", sid).drop("_us", "_b", "_new", "_k", "_before", "_cross", "_sess")
 
 # ---------------------------------------------------------------------------

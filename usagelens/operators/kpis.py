@@ -50,12 +50,16 @@ def normalize_keys(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.lower(F.rtrim(F.col(c))) for c in cols})
 
 
-def only_active(df: DataFrame, active: DataFrame | None) -> DataFrame:
-    """Keep rows whose (product, channel) is active in the registry
-    (semi join against a registry-sized table: broadcast by measured size)."""
+def only_active(df: DataFrame, active: DataFrame | None, keys: list[str] | None = None) -> DataFrame:
+    """Keep rows whose ``keys`` (default: all columns of ``active``) are active
+    in the registry (semi join against a registry-sized table: broadcast by
+    measured size).  Rows that lack a key can't be judged, so that raises."""
     if active is None:
         return df
-    keys = [c for c in active.columns if c in df.columns]
+    keys = list(active.columns) if keys is None else list(keys)
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        raise ValueError(f"rows have no {', '.join(missing)} to test against the active registry")
     return df.join(active, keys, "left_semi")
 
 

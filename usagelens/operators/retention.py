@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.calendar import period_index, period_start
+from usagelens.functions.calendar import period_end, period_index, period_start
 from usagelens.functions.ratios import pct_round, ratio
 from usagelens.operators.kpis import first_launch, only_active
 
@@ -110,16 +110,16 @@ def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", de
 
 
 def retention_report(ret: DataFrame, product_id=None, version: str = "all", channel: str = "all",
-                     a=None, b=None) -> DataFrame:
-    """Rows of one (product, version, channel) whose cohort lies in
-    [a, b], newest first."""
+                     a=None, b=None, kind: str = "day") -> DataFrame:
+    """Rows of one (product, version, channel) whose cohort period lies
+    whole in [a, b], newest first."""
     df = ret.where((F.col("version") == version) & (F.col("channel") == channel))
     if product_id is not None:
         df = df.where(F.col("product_id") == product_id)
     if a is not None:
         df = df.where(F.col("cohort_start") >= F.lit(a).cast("date"))
     if b is not None:
-        df = df.where(F.col("cohort_start") <= F.lit(b).cast("date"))
+        df = df.where(period_end(F.col("cohort_start"), kind) <= F.lit(b).cast("date"))
     return df.orderBy(F.col("cohort_start").desc(), "product_id")
 
 

@@ -8,9 +8,10 @@ the days of one product.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from usagelens.functions.ratios import pct_round
 
@@ -50,14 +51,19 @@ def alerts(series: DataFrame, rules: DataFrame, metrics: list[str], n: int = FOR
     the fact differs.  Returns the hit records (fact, forecast, deviation).
 
     The test is exact: forecast = sum/n, so |f - x| / f = |sum - n*x| / sum.
+    Counts stay whole numbers; if a metric has fractions, ``fact`` is a double
+    and the test is done in millionths.
     """
     fc = forecast(series, metrics, ["product_id"], n)
-    stack = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("fact"),
+    whole = all(t in ("tinyint", "smallint", "int", "bigint") for c, t in series.dtypes if c in metrics)
+    kind, unit = ("bigint", 1) if whole else ("double", 1_000_000)
+    stack = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast(kind).alias("fact"),
                                          F.col(f"{m}_forecast").alias("forecast"),
-                                         F.col(f"{m}_sum").cast("bigint").alias("fsum"))
+                                         F.col(f"{m}_sum").cast(kind).alias("fsum"))
                                 for m in metrics]))
     long = fc.select("product_id", "d", stack.alias("_m")).select("product_id", "d", "_m.*")
-    dev = pct_round(F.abs(F.col("fsum") - F.col("fact") * n), F.col("fsum"), 0, 100)
+    scaled = lambda c: c if whole else F.round(c * unit).cast("bigint")
+    dev = pct_round(F.abs(scaled(F.col("fsum")) - scaled(F.col("fact")) * n), scaled(F.col("fsum")), 0, 100)
     j = long.join(rules.where("active = 1").select("product_id", "metric", "condition"),
                   ["product_id", "metric"])
     hit = (F.col("fsum") != 0) & (dev >= F.col("condition")) | \
@@ -100,41 +106,40 @@ def marker_counts(markers: DataFrame, user_id: int, product_id: int | None = Non
             .agg(F.count(F.lit(1)).cast("bigint").alias("markers")))
 
 
-TAG_SCHEMA = T.ArrayType(T.StructType([T.StructField("type", T.StringType()),
-                                       T.StructField("value", T.ArrayType(T.StringType()))]))
-TAG_COLUMNS = {"version": "version", "channel": "channel_id", "region": "region"}
-
-
-def _is_type(typ: str):
-    return lambda t: t["type"] == typ
-
-
-def _matches(typ: str, col: str):
-    return lambda t: (t["type"] == typ) & F.array_contains(t["value"], F.col(col).cast("string"))
+TAG_COLUMNS = {"version": "version", "region": "region"}
 
 
-def segment_filter(tags_json: str):
-    """Predicate of a tag group: AND between tag types, IN within a type; a
-    type that is not listed does not restrict."""
-    tags = F.from_json(F.lit(tags_json), TAG_SCHEMA)
-    cond = F.lit(True)
-    for typ, col in TAG_COLUMNS.items():
-        cond = cond & (~F.exists(tags, _is_type(typ)) | F.exists(tags, _matches(typ, col)))
-    return cond
+def segment_rows(launch: DataFrame, tags_json: str, channels: DataFrame) -> DataFrame:
+    """Launches that match a tag group: AND between tag types, IN within a
+    type; a type that is not listed, or whose list is empty or null, does not
+    restrict.  Channels are given by name.  The group is a report parameter
+    and read here, so every test is a plain IN that reaches the scan."""
+    values: dict[str, list[str]] = {}
+    for tag in json.loads(tags_json):
+        if tag.get("value"):
+            values.setdefault(tag["type"], []).extend(str(v) for v in tag["value"])
+    out = launch
+    for kind, column in TAG_COLUMNS.items():
+        if kind in values:
+            out = out.where(F.col(column).isin(values[kind]))
+    if "channel" in values:
+        named = channels.where(F.col("channel_name").isin(values["channel"])).select("product_id", "channel_id")
+        out = out.join(named, ["product_id", "channel_id"], "left_semi")
+    return out
 
 
-def segment(launch: DataFrame, tags_json: str, by: list[str] = ("product_id",)) -> DataFrame:
+def segment(launch: DataFrame, tags_json: str, channels: DataFrame, by: list[str] = ("product_id",)) -> DataFrame:
     """Distinct devices matching a tag group, ordered (page with
     ``reports.page``)."""
     by = list(by)
-    return (launch.where(segment_filter(tags_json)).select(*by, "device_id").distinct()
+    return (segment_rows(launch, tags_json, channels).select(*by, "device_id").distinct()
             .orderBy(*by, "device_id"))
 
 
-def segment_size(launch: DataFrame, tags_json: str, by: list[str] = ("product_id",)) -> DataFrame:
+def segment_size(launch: DataFrame, tags_json: str, channels: DataFrame, by: list[str] = ("product_id",)) -> DataFrame:
     """Matching devices and their share of all devices of the key."""
     by = list(by)
-    m = launch.where(segment_filter(tags_json)).groupBy(*by).agg(F.countDistinct("device_id").alias("devices"))
+    m = segment_rows(launch, tags_json, channels).groupBy(*by).agg(F.countDistinct("device_id").alias("devices"))
     t = launch.groupBy(*by).agg(F.countDistinct("device_id").alias("all_devices"))
     return (t.join(m, by, "left")
             .select(*by, F.coalesce("devices", F.lit(0)).cast("bigint").alias("devices"),

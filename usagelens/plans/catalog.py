@@ -96,6 +96,15 @@ class Inputs:
     def active(self) -> DataFrame:
         return registry.active_channels(self.spark)
 
+    @cached_property
+    def kpi_days(self) -> DataFrame:
+        """The days the KPI summary can have: those of launches and page views
+        in active channels (a day with page time but no launch counts too).
+        Launch days come from the staged rollup, not from the raw log."""
+        from usagelens.operators.kpis import only_active
+        parts = [only_active(t.select("product_id", "channel_id", "d"), self.active).select("d") for t in (self.rollup, self.page)]
+        return parts[0].unionAll(parts[1])
+
     @cached_property
     def channels(self) -> DataFrame:
         return registry.channels(self.spark)

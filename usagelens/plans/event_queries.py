@@ -30,9 +30,10 @@ def event_fact(i: Inputs):
 c AS (SELECT product_id, event_id, count(*) AS n FROM ef GROUP BY ALL)
 SELECT x.product_id, x.event_id, x.event_identifier, x.event_name,
   CAST(coalesce(c.n, 0) AS BIGINT) AS count
-FROM event_defs x LEFT JOIN c ON c.product_id = x.product_id AND c.event_id = x.event_id""")
+FROM event_defs x LEFT JOIN c ON c.product_id = x.product_id AND c.event_id = x.event_id
+WHERE x.active = 1""")
 def event_counts(i: Inputs):
-    """Every defined event with its count (0 without data)."""
+    """Every active event with its count (0 without data)."""
     return EV.event_counts(fact(i), i.event_defs)
 
 
@@ -77,7 +78,8 @@ k AS (SELECT product_id, d, count(DISTINCT device_id) AS startusers, count(*) AS
       FROM launch GROUP BY ALL),
 g AS (SELECT x.product_id, x.event_id, CAST(g.d AS DATE) AS d FROM event_defs x CROSS JOIN {SPAN} g)
 SELECT g.product_id, g.event_id, g.d, CAST(coalesce(c.n, 0) AS BIGINT) AS count,
-  coalesce(c.n, 0) / nullif(k.startusers, 0) AS per_user, coalesce(c.n, 0) / nullif(k.sessions, 0) AS per_session
+  coalesce(coalesce(c.n, 0) / nullif(k.startusers, 0), 0) AS per_user,
+  coalesce(coalesce(c.n, 0) / nullif(k.sessions, 0), 0) AS per_session
 FROM g LEFT JOIN c USING (product_id, event_id, d) LEFT JOIN k USING (product_id, d)""")
 def event_series(i: Inputs):
     """Dense daily event counts per device and per session."""

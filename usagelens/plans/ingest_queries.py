@@ -32,7 +32,7 @@ def launch_rows(i: Inputs):
 
 LAUNCH_SQL = f"""SELECT e.event_id AS launch_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
   'd' || CAST(e.user_id AS VARCHAR) AS device_id, {VERSION} AS version, {REPAIRED} AS ts, {INGEST} AS ingest_ts,
-  'os' || CAST(e.user_id % 5 AS VARCHAR) AS os, 'lang' || CAST(e.user_id % 3 AS VARCHAR) AS language,
+  CASE WHEN {F97} = 6 THEN '' ELSE 'os' || CAST(e.user_id % 5 AS VARCHAR) END AS os, 'lang' || CAST(e.user_id % 3 AS VARCHAR) AS language,
   'res' || CAST(e.user_id % 6 AS VARCHAR) AS resolution, 'net' || CAST(e.event_id % 4 AS VARCHAR) AS network,
   {CARRIER} AS carrier, '0' AS isjailbroken
 FROM events e WHERE {F97} NOT IN (0, 1)"""
@@ -64,7 +64,7 @@ def event_rows(i: Inputs):
        AS INTEGER) AS event_id,
   e.event_type AS event_identifier, {VERSION} AS version, '' AS label,
   CAST(1 + e.event_id % 3 AS DOUBLE) AS num, {REPAIRED} AS ts, {INGEST} AS ingest_ts
-FROM events e WHERE {F97} NOT IN (0, 1, 2, 5) AND e.event_type <> 'error'""")
+FROM events e WHERE {F97} NOT IN (0, 1, 2, 5, 8) AND e.event_type <> 'error'""")
 def ingest_event(i: Inputs):
     """Custom-event payloads through every check."""
     return event_rows(i)[0]
@@ -73,11 +73,11 @@ def ingest_event(i: Inputs):
 @query("ingest_event_rejects", f"""
 WITH x AS (SELECT e.event_type, {F97} AS f FROM events e),
 c AS (SELECT CASE WHEN f = 0 THEN -2 WHEN f = 1 THEN -1 WHEN f = 2 OR event_type = 'error' THEN -5
-                  WHEN f = 5 THEN -6 END AS reject_code,
+                  WHEN f IN (5, 8) THEN -6 END AS reject_code,
              CASE WHEN f = 0 THEN 'version' WHEN f = 1 THEN 'unknown appkey key-unknown'
                   WHEN f = 2 THEN 'undefined event no-such-event'
                   WHEN event_type = 'error' THEN 'undefined event error'
-                  WHEN f = 5 THEN 'invalid amount' END AS reject_reason FROM x)
+                  WHEN f IN (5, 8) THEN 'invalid amount' END AS reject_reason FROM x)
 SELECT reject_code, reject_reason, CAST(count(*) AS BIGINT) AS payloads FROM c
 WHERE reject_code IS NOT NULL GROUP BY ALL""")
 def ingest_event_rejects(i: Inputs):
@@ -112,8 +112,8 @@ def ingest_crash(i: Inputs):
 @query("batch_split_counts", """
 SELECT 'launch' AS kind, CAST(count(*) AS BIGINT) AS items FROM events
 UNION ALL SELECT 'event', CAST(count(*) AS BIGINT) FROM events
-UNION ALL SELECT 'crash', CAST(0 AS BIGINT)
-UNION ALL SELECT 'page', CAST(0 AS BIGINT)""")
+UNION ALL SELECT 'crash', CAST(count(*) AS BIGINT) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'page', CAST(count(*) AS BIGINT) FROM events""")
 def batch_split_counts(i: Inputs):
     """Items per kind after splitting the batch envelopes."""
     parts = IN.explode_batch(PL.batch_envelopes(i.spark, i.sf_dir))
@@ -124,16 +124,19 @@ def batch_split_counts(i: Inputs):
 
 
 @query("batch_launch_valid", f"""
-SELECT {PRODUCT} AS product_id, CAST(count(*) AS BIGINT) AS launches FROM events e
-WHERE {F97} NOT IN (0, 1) GROUP BY ALL""")
+WITH x AS (SELECT e.*, {F97} AS f97, {PRODUCT} AS product_id, {INGEST} AS ingest FROM events e),
+env AS (SELECT *, min(event_id) OVER w AS envelope, max(ingest) OVER w AS arrived FROM x
+        WINDOW w AS (PARTITION BY product_id, user_id, event_id // 64))
+SELECT product_id, envelope, CAST(count(*) AS BIGINT) AS launches,
+  max(CASE WHEN f97 IN (3, 4) THEN arrived ELSE date_trunc('second', ts) END) AS last_ts
+FROM env WHERE f97 NOT IN (0, 1) GROUP BY ALL""")
 def batch_launch_valid(i: Inputs):
-    """I5 -> I1/I6/I7: launches per product that pass the checks after the
-    envelope split (items inherit nothing from the envelope key here)."""
-    env = IN.explode_batch(PL.batch_envelopes(i.spark, i.sf_dir))["launch"]
-    raw = env.select(F.lit(None).cast("bigint").alias("payload_id"), "payload",
-                     F.lit(None).cast("timestamp_ntz").alias("ingest_ts"))
+    """I5 -> I1/I6/I7/I9: launches per product and envelope that pass the
+    checks after the split, with their last (repaired) time."""
+    raw = IN.explode_batch(PL.batch_envelopes(i.spark, i.sf_dir))["launch"]
     rows, _ = IN.ingest_launch(raw, i.channels, R.mccmnc(i.spark))
-    return rows.groupBy("product_id").agg(F.count(F.lit(1)).cast("bigint").alias("launches"))
+    return rows.groupBy("product_id", F.col("launch_id").alias("envelope")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("launches"), F.max("ts").alias("last_ts"))
 
 
 GAP_S = 6 * 3600
@@ -148,7 +151,7 @@ s AS (SELECT *, sum(nw) OVER (PARTITION BY product_id, device_id ORDER BY ts, la
                               ROWS UNBOUNDED PRECEDING) AS sn FROM g),
 t AS (SELECT *, min(ts) OVER (PARTITION BY product_id, device_id, sn) AS session_start FROM s)
 SELECT launch_id, product_id, device_id, session_start,
-  md5(app_key || strftime(session_start, '%Y%m%d%H%M%S')) AS session_id FROM t""")
+  md5(app_key || '|' || strftime(session_start, '%Y%m%d%H%M%S') || '|' || product_id || '|' || device_id) AS session_id FROM t""")
 def session_assign(i: Inputs):
     """I16: session ids with a 6-hour inactivity gap (the 30 s SDK default
     would make every synthetic event its own session)."""
@@ -169,8 +172,8 @@ def ingest_increments(i: Inputs):
 # D*: dimension maintenance (known = ingested before the cut, new = after)
 # ---------------------------------------------------------------------------
 
-CUT = "2024-01-02"
-EARLY = "2024-01-02"
+# after the first minutes of the log almost every value is still to come
+CUT = "2024-01-01 00:15:00"
 
 
 @query("dim_location_new", f"""
@@ -187,33 +190,33 @@ ATTRS = ["brand", "os", "language", "resolution", "carrier", "network"]
 
 
 @query("dim_values_new", "\nUNION ALL\n".join(
-    f"(SELECT '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM launch WHERE d >= DATE '{EARLY}' "
-    f"EXCEPT SELECT '{a}', CAST({a} AS VARCHAR) FROM launch WHERE d < DATE '{EARLY}')" for a in ATTRS))
+    f"(SELECT '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM launch WHERE ts >= TIMESTAMP '{CUT}' "
+    f"EXCEPT SELECT '{a}', CAST({a} AS VARCHAR) FROM launch WHERE ts < TIMESTAMP '{CUT}')" for a in ATTRS))
 def dim_values_new(i: Inputs):
     """Unseen brand/OS/language/resolution/carrier/network values."""
-    known = i.launch.where(F.col("d") < F.lit(EARLY).cast("date"))
-    inc = i.launch.where(F.col("d") >= F.lit(EARLY).cast("date"))
+    known = i.launch.where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
+    inc = i.launch.where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz"))
     return DM.new_attribute_values(known, inc, ATTRS)
 
 
 @query("dim_activity_new", f"""
-SELECT DISTINCT product_id, activity FROM page WHERE d >= DATE '{EARLY}'
-EXCEPT SELECT DISTINCT product_id, activity FROM page WHERE d < DATE '{EARLY}'""")
+SELECT DISTINCT product_id, activity FROM page WHERE start_ts >= TIMESTAMP '{CUT}'
+EXCEPT SELECT DISTINCT product_id, activity FROM page WHERE start_ts < TIMESTAMP '{CUT}'""")
 def dim_activity_new(i: Inputs):
     """(product, activity) pairs first seen after the first days."""
-    known = i.page.where(F.col("d") < F.lit(EARLY).cast("date"))
-    inc = i.page.where(F.col("d") >= F.lit(EARLY).cast("date"))
+    known = i.page.where(F.col("start_ts") < F.lit(CUT).cast("timestamp_ntz"))
+    inc = i.page.where(F.col("start_ts") >= F.lit(CUT).cast("timestamp_ntz"))
     return DM.extend_dim(known, inc, ["product_id", "activity"])
 
 
 @query("dim_errortitle_new", f"""
 SELECT product_id, title, false AS is_fixed FROM (
-  SELECT DISTINCT product_id, title FROM crash WHERE d >= DATE '{EARLY}'
-  EXCEPT SELECT DISTINCT product_id, title FROM crash WHERE d < DATE '{EARLY}')""")
+  SELECT DISTINCT product_id, title FROM crash WHERE ts >= TIMESTAMP '{CUT}'
+  EXCEPT SELECT DISTINCT product_id, title FROM crash WHERE ts < TIMESTAMP '{CUT}')""")
 def dim_errortitle_new(i: Inputs):
     """Crash titles first seen after the first days, inserted unfixed."""
-    known = i.crash.where(F.col("d") < F.lit(EARLY).cast("date"))
-    inc = i.crash.where(F.col("d") >= F.lit(EARLY).cast("date"))
+    known = i.crash.where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
+    inc = i.crash.where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz"))
     return DM.extend_dim(known, inc, ["product_id", "title"]).withColumn("is_fixed", F.lit(False))
 
 
@@ -285,6 +288,54 @@ def page_fact_build(i: Inputs):
     return fact.select("view_id", "product_id", "channel_id", "version", "activity", "d", "duration_ms", "active")
 
 
+@query("crash_fact_build", f"""
+SELECT e.event_id AS crash_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id, {VERSION} AS version,
+  'd' || CAST(e.user_id AS VARCHAR) AS device_id, CAST({REPAIRED} AS DATE) AS d,
+  CASE WHEN {VERSION} = '1.2' THEN 'rejected' WHEN {CHANNEL} <> 4 THEN 'active' ELSE 'inactive' END AS state
+FROM events e WHERE e.event_type = 'error' AND {F97} NOT IN (0, 1)""")
+def crash_fact_build(i: Inputs):
+    """L3: crash fact from ingested rows; rows whose version the dimension
+    doesn't know come out as rejects."""
+    rows, _ = IN.ingest_crash(PL.crash_payloads(i.spark, i.sf_dir), i.channels)
+    return _fact_states(FA.build_crash_fact(rows, _known_versions(i)), "crash_id", "device_id")
+
+
+@query("event_fact_build", f"""
+SELECT e.event_id AS row_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id, {VERSION} AS version,
+  CAST(1 + e.event_id % 3 AS DOUBLE) AS num, CAST({REPAIRED} AS DATE) AS d,
+  CASE WHEN {VERSION} = '1.2' THEN 'rejected' WHEN {CHANNEL} <> 4 THEN 'active' ELSE 'inactive' END AS state
+FROM events e WHERE {F97} NOT IN (0, 1, 2, 5, 8) AND e.event_type <> 'error'""")
+def event_fact_build(i: Inputs):
+    """L4: custom-event fact from ingested rows, with rejects as for L3."""
+    return _fact_states(FA.build_event_fact(event_rows(i)[0], _known_versions(i)), "row_id", "num")
+
+
+def _known_versions(i: Inputs):
+    """A product dimension that has not seen version 1.2 yet."""
+    return DM.sync_product_dim(i.channels, i.products, launch_rows(i)[0].where("version <> '1.2'"))
+
+
+def _fact_states(built, *cols: str):
+    good, rejects = built
+    keep = [cols[0], "product_id", "channel_id", "version", *cols[1:], "d"]
+    state = F.when(F.col("active"), "active").otherwise("inactive")
+    return good.select(*keep, state.alias("state")).unionByName(rejects.select(*keep, F.lit("rejected").alias("state")))
+
+
+EVENT_DIM = [(1, 1, "signup", "Old name", 1), (1, 2, "view", "View", 1), (1, 9, "gone", "Gone", 1)]  # fixed values: an earlier dimension
+
+
+@query("event_dim_sync", """
+SELECT product_id, event_id, event_identifier, CASE WHEN event_id = 2 THEN NULL ELSE event_name END AS event_name, active FROM event_defs
+UNION ALL SELECT 1, 9, 'gone', 'Gone', 1""")
+def event_dim_sync(i: Inputs):
+    """Refresh of the event dimension; a name set to NULL is taken
+    over, new definitions come in and a dropped one stays."""
+    dim = R.local_table(i.spark, EVENT_DIM, "product_id int, event_id int, event_identifier string, event_name string, active int")
+    defs = i.event_defs.withColumn("event_name", F.when(F.col("event_id") != 2, F.col("event_name")))
+    return DM.sync_event_dim(dim, defs)
+
+
 # ---------------------------------------------------------------------------
 # Idempotent upsert of a summary after late data
 # ---------------------------------------------------------------------------
@@ -310,22 +361,32 @@ def kpi_upsert(i: Inputs):
 # ---------------------------------------------------------------------------
 
 @query("ip_location", """
-WITH l AS (SELECT e.event_id AS launch_id, e.user_id % 25 AS nk FROM events e)
-SELECT l.launch_id, r.r_name AS country, n.n_name AS region, '' AS city
-FROM l JOIN nation n ON n.n_nationkey = l.nk JOIN region r ON r.r_regionkey = n.n_regionkey""")
+WITH l AS (SELECT e.event_id AS launch_id, e.user_id % 25 AS nk, e.user_id % 256 AS b3, e.event_id % 256 AS b4,
+  e.event_id % 41 AS kind FROM events e)
+SELECT l.launch_id,
+  CASE WHEN bad THEN '' ELSE r.r_name END AS country, CASE WHEN bad THEN '' ELSE n.n_name END AS region,
+  CASE WHEN bad THEN '' WHEN b3 BETWEEN 3 AND 5 AND b4 < 128 THEN 'centre' WHEN b3 < 64 THEN 'south' ELSE '' END AS city
+FROM (SELECT *, nk = 24 OR kind < 4 AS bad FROM l) l
+JOIN nation n ON n.n_nationkey = l.nk JOIN region r ON r.r_regionkey = n.n_regionkey""")
 def ip_location(i: Inputs):
     """(country, region, city) of every launch from its IP via the
-    IP-range table; each nation owns the block 10.<nation>.0.0/16 and a
-    device's address lies in its nation's block."""
+    IP-range table.  Each nation but the last owns the block
+    10.<nation>.0.0/16, with a narrower range in it and narrower ones in that;
+    a device's address lies in its nation's block.  Some are malformed."""
     e = i.spark.read.parquet(f"{i.sf_dir}/events.parquet")
+    part = lambda c, n: (F.col(c) % n).cast("string")
+    whole = F.concat_ws(".", F.lit("10"), part("user_id", 25), part("user_id", 256), part("event_id", 256))
+    kind = F.col("event_id") % 41
     ips = e.select(F.col("event_id").alias("launch_id"),
-                   F.concat_ws(".", F.lit("10"), (F.col("user_id") % 25).cast("string"),
-                               (F.col("user_id") % 256).cast("string"),
-                               (F.col("event_id") % 256).cast("string")).alias("ip"))
+                   F.when(kind == 0, F.lit("::1")).when(kind == 1, F.concat(whole, F.lit(".7")))
+                    .when(kind == 2, F.lit("10.0.300.1")).when(kind == 3, F.lit(None).cast("string")).otherwise(whole).alias("ip"))
     nation = i.spark.read.parquet(f"{i.sf_dir}/nation.parquet")
     region = i.spark.read.parquet(f"{i.sf_dir}/region.parquet")
     lo = IN.ip_to_long(F.concat_ws(".", F.lit("10"), F.col("n_nationkey").cast("string"), F.lit("0"), F.lit("0")))
-    ranges = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-              .select(lo.alias("lo"), (lo + 65535).alias("hi"), F.col("r_name").alias("country"),
-                      F.col("n_name").alias("region"), F.lit("").alias("city")))
+    own = nation.where("n_nationkey <> 24").join(region, nation.n_regionkey == region.r_regionkey)
+    # (from, to, city) inside a block: the whole, its lower quarter, and parts of three /24s
+    spans = [(0, 65535, ""), (0, 64 * 256 - 1, "south"), *[(k * 256, k * 256 + 127, "centre") for k in (3, 4, 5)]]
+    ranges = own.select(lo.alias("base"), F.col("r_name").alias("country"), F.col("n_name").alias("region"),
+                        F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("city")) for a, b, c in spans])).alias("s")) \
+        .select((F.col("base") + F.col("s.a")).alias("lo"), (F.col("base") + F.col("s.b")).alias("hi"), "country", "region", "s.city")
     return IN.enrich_location(ips, ranges).select("launch_id", "country", "region", "city")

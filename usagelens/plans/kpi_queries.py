@@ -198,4 +198,4 @@ def kpi_series(i: Inputs):
     kp = i.kpis("product")
     return densify(kp, ["product_id"],
                    ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"],
-                   ["allusers", "allsessions"], span_src=i.launch)
+                   ["allusers", "allsessions"], span_src=i.kpi_days)

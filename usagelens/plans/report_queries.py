@@ -45,7 +45,7 @@ SELECT dk.*, coalesce({PCT1.format(num="newusers", den="startusers")}, 0.0) AS n
   coalesce(usingtime / nullif(sessions * 1000, 0), 0.0) AS avg_session_s FROM dk""")
 def kpi_detail(i: Inputs):
     """Dense KPI series with derived ratios, newest first."""
-    return RP.kpi_detail(kp(i), span_src=i.launch)
+    return RP.kpi_detail(kp(i), span_src=i.kpi_days)
 
 
 @query("owner_series", f"""WITH {dense_sql("product")}
@@ -55,7 +55,7 @@ SELECT p.owner_id, dk.d, CAST(sum(newusers) AS BIGINT) AS newusers, CAST(sum(sta
 FROM dk JOIN products p USING (product_id) GROUP BY p.owner_id, dk.d""")
 def owner_series(i: Inputs):
     """KPI trend over all apps of each owner."""
-    return RP.owner_series(kp(i), i.products, span_src=i.launch)
+    return RP.owner_series(kp(i), i.products, span_src=i.kpi_days)
 
 
 def _snap_sql(grain: str, key_rows: str | None = None) -> str:
@@ -76,47 +76,47 @@ FROM {kr} kr LEFT JOIN t USING ({kc}) LEFT JOIN a USING ({kc})"""
 @query("kpi_snapshot", _snap_sql("product"))
 def kpi_snapshot(i: Inputs):
     """Last-day snapshot per product with as-of total users."""
-    return RP.snapshot(kp(i), ["product_id"], day=RP.last_day(i.launch))
+    return RP.snapshot(kp(i), ["product_id"], day=RP.last_day(i.kpi_days))
 
 
-@query("channel_snapshot", _snap_sql("channel", "(SELECT product_id, channel_id FROM channels)"))
+@query("channel_snapshot", _snap_sql("channel", "(SELECT product_id, channel_id FROM active_channels)"))
 def channel_snapshot(i: Inputs):
-    """Last-day snapshot per registry channel."""
+    """Last-day snapshot per active channel."""
     return RP.snapshot(kp(i, "channel"), ["product_id", "channel_id"],
-                       i.channels.select("product_id", "channel_id"), day=RP.last_day(i.launch))
+                       i.active, day=RP.last_day(i.kpi_days))
 
 
 @query("version_snapshot", _snap_sql("version"))
 def version_snapshot(i: Inputs):
     """Last-day snapshot per version."""
-    return RP.snapshot(kp(i, "version"), ["product_id", "version"], day=RP.last_day(i.launch))
+    return RP.snapshot(kp(i, "version"), ["product_id", "version"], day=RP.last_day(i.kpi_days))
 
 
-@query("channel_series", f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM channels)")}
+@query("channel_series", f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM active_channels)")}
 SELECT * FROM dk""")
 def channel_series(i: Inputs):
-    """Dense date x registry-channel KPI grid with as-of users."""
-    return RP.channel_series(kp(i, "channel"), i.channels, span_src=i.launch)
+    """Dense date x active-channel KPI grid with as-of users."""
+    return RP.channel_series(kp(i, "channel"), i.active, span_src=i.kpi_days)
 
 
 @query("version_series", f"""WITH {dense_sql("version")}
 SELECT product_id, version, d, startusers, newusers FROM dk""")
 def version_series(i: Inputs):
     """Dense date x version grid of active and new devices."""
-    return RP.version_series(kp(i, "version"), span_src=i.launch)
+    return RP.version_series(kp(i, "version"), span_src=i.kpi_days)
 
 
 @query("channel_active_sum", f"""WITH {kpi_oracle_ctes("channel")},
 cs AS (SELECT product_id, channel_id, sum(startusers) AS n FROM kp GROUP BY ALL)
 SELECT c.product_id, c.channel_id, c.channel_name, CAST(coalesce(cs.n, 0) AS BIGINT) AS active_sum
-FROM channels c LEFT JOIN cs USING (product_id, channel_id)""")
+FROM channels c LEFT JOIN cs USING (product_id, channel_id) WHERE c.product_active = 1 AND c.channel_active = 1""")
 def channel_active_sum(i: Inputs):
-    """Sum of daily actives per registry channel (zero filled)."""
-    return RP.channel_active_sum(kp(i, "channel"), i.channels)
+    """Sum of daily actives per active channel (zero filled)."""
+    return RP.channel_active_sum(kp(i, "channel"), i.channels.where("product_active = 1 AND channel_active = 1"))
 
 
 def _rolling_sql(days: int) -> str:
-    return f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM channels)")}
+    return f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM active_channels)")}
 SELECT g.product_id, g.channel_id, g.d,
   CAST((SELECT sum(x.startusers) FROM dk x WHERE x.product_id = g.product_id AND x.channel_id = g.channel_id
         AND x.d BETWEEN g.d - {days - 1} AND g.d) AS BIGINT) AS active_{days}d, g.allusers
@@ -126,13 +126,13 @@ FROM dk g"""
 @query("rolling_actives_7d", _rolling_sql(7))
 def rolling_actives_7d(i: Inputs):
     """Trailing 7-day sum of daily actives per channel."""
-    return RP.rolling_actives(kp(i, "channel"), i.channels, 7, span_src=i.launch)
+    return RP.rolling_actives(kp(i, "channel"), i.active, 7, span_src=i.kpi_days)
 
 
 @query("rolling_actives_31d", _rolling_sql(31))
 def rolling_actives_31d(i: Inputs):
     """Trailing 31-day sum of daily actives per channel."""
-    return RP.rolling_actives(kp(i, "channel"), i.channels, 31, span_src=i.launch)
+    return RP.rolling_actives(kp(i, "channel"), i.active, 31, span_src=i.kpi_days)
 
 
 @query("portfolio", f"""WITH {kpi_oracle_ctes("product")},
@@ -157,7 +157,7 @@ SELECT p.product_id, p.product_name, p.platform,
 FROM products p LEFT JOIN t USING (product_id)""")
 def portfolio(i: Inputs):
     """Every app with today/yesterday new, launches, actives, total."""
-    return RP.portfolio(kp(i), i.products, day=RP.last_day(i.launch))
+    return RP.portfolio(kp(i), i.products, day=RP.last_day(i.kpi_days))
 
 
 HOURLY_SQL = """fa AS (SELECT l.* FROM launch l JOIN active_channels a
@@ -226,19 +226,19 @@ FROM kp, b WHERE d = b.lo OR d = b.hi"""
 @query("endpoint_values_channel", _endpoint_sql("channel"))
 def endpoint_values_channel(i: Inputs):
     """First- and last-day values per channel."""
-    return RP.endpoint_values(kp(i, "channel"), ["product_id", "channel_id"], span_src=i.launch)
+    return RP.endpoint_values(kp(i, "channel"), ["product_id", "channel_id"], span_src=i.kpi_days)
 
 
 @query("endpoint_values_version", _endpoint_sql("version"))
 def endpoint_values_version(i: Inputs):
     """First- and last-day values per version."""
-    return RP.endpoint_values(kp(i, "version"), ["product_id", "version"], span_src=i.launch)
+    return RP.endpoint_values(kp(i, "version"), ["product_id", "version"], span_src=i.kpi_days)
 
 
 @query("endpoint_values_product", _endpoint_sql("product"))
 def endpoint_values_product(i: Inputs):
     """First- and last-day values per product (both ends)."""
-    return RP.endpoint_values(kp(i), ["product_id"], span_src=i.launch)
+    return RP.endpoint_values(kp(i), ["product_id"], span_src=i.kpi_days)
 
 
 @query("product_list", """
@@ -312,7 +312,7 @@ SELECT d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN startus
 FROM dk GROUP BY d""")
 def compare_products(i: Inputs):
     """Daily actives of all products side by side."""
-    return RP.compare(kp(i), "startusers", PIDS, span_src=i.launch)
+    return RP.compare(kp(i), "startusers", PIDS, span_src=i.kpi_days)
 
 
 CW_METRICS = ["newusers", "startusers", "sessions"]
@@ -324,7 +324,7 @@ SELECT metric, d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN
 FROM long GROUP BY metric, d""")
 def compare_wide(i: Inputs):
     """Metric block x date x products (unpivot + pivot)."""
-    return RP.compare_wide(kp(i), CW_METRICS, PIDS, span_src=i.launch)
+    return RP.compare_wide(kp(i), CW_METRICS, PIDS, span_src=i.kpi_days)
 
 
 @query("kpi_page", f"""WITH {dense_sql("product")}
@@ -332,7 +332,7 @@ SELECT * FROM dk ORDER BY product_id, d LIMIT 10 OFFSET 10""")
 def kpi_page(i: Inputs):
     """Second page (10 rows) of the dense KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
     return RP.page(dense, ["product_id", "d"], 1, 10)
 
 
@@ -346,7 +346,7 @@ def channel_allusers_ffill(i: Inputs):
     """Carry the last known cumulative users forward over gaps."""
     from usagelens.functions.densify import date_grid, ffill, span_bounds
     k = kp(i, "channel")
-    lo, hi = span_bounds(i.launch)
+    lo, hi = span_bounds(i.kpi_days)
     grid = date_grid(i.channels.select("product_id", "channel_id"), lo, hi)
     g = grid.join(k.select("product_id", "channel_id", "d", "allusers"), ["product_id", "channel_id", "d"], "left")
     f = ffill(g, ["product_id", "channel_id"], "allusers")
@@ -440,7 +440,7 @@ FROM f WHERE k = 5"""
 def kpi_forecast(i: Inputs):
     """A1: 5-day mean forecast of the KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
     return TR.forecast(dense, FC)
 
 
@@ -455,7 +455,7 @@ def kpi_alerts(i: Inputs):
     """A3/A4/A5: deviation alerts of every product day against its rules."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
     return TR.alerts(dense, registry.alert_rules(i.spark), FC)
 
 
@@ -492,14 +492,15 @@ def kpi_markers(i: Inputs):
     """Markers visible to user 1 on the KPI chart, with the day's values."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.launch)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
     m = TR.visible_markers(registry.markers(i.spark), 1, None, "2024-01-01", "2024-01-31")
     return (m.join(dense, ["product_id", "d"])
             .select("marker_id", "user_id", "product_id", "d", "title", "startusers", "newusers"))
 
 
-SEGMENT_TAGS = ('[{"type":"version","value":["1.9","1.10"]},{"type":"channel","value":["1","2"]},'
-                '{"type":"region","value":["NATION_1","NATION_2","NATION_3","NATION_5","NATION_8","NATION_13","NATION_21"]}]')
+SEGMENT_TAGS = ('[{"type":"version","value":["1.9","1.10"]},{"type":"channel","value":["ch1","ch2"]},'
+                '{"type":"region","value":["NATION_1","NATION_2","NATION_3","NATION_5","NATION_8","NATION_13","NATION_21"]},'
+                '{"type":"region","value":[]},{"type":"version","value":null}]')
 SEG_WHERE = ("version IN ('1.9', '1.10') AND CAST(channel_id AS VARCHAR) IN ('1', '2') AND region IN "
              "('NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_8', 'NATION_13', 'NATION_21')")
 
@@ -507,7 +508,7 @@ SEG_WHERE = ("version IN ('1.9', '1.10') AND CAST(channel_id AS VARCHAR) IN ('1'
 @query("segment_devices", f"SELECT DISTINCT product_id, device_id FROM launch WHERE {SEG_WHERE}")
 def segment_devices(i: Inputs):
     """Devices matching a tag group (version AND channel AND region)."""
-    return TR.segment(i.launch, SEGMENT_TAGS)
+    return TR.segment(i.launch, SEGMENT_TAGS, i.channels)
 
 
 @query("segment_size", f"""
@@ -517,7 +518,7 @@ SELECT t.product_id, CAST(coalesce(m.devices, 0) AS BIGINT) AS devices, CAST(t.a
   coalesce(m.devices, 0) / t.all_devices AS percent FROM t LEFT JOIN m USING (product_id)""")
 def segment_size(i: Inputs):
     """Size and share of the segment."""
-    return TR.segment_size(i.launch, SEGMENT_TAGS)
+    return TR.segment_size(i.launch, SEGMENT_TAGS, i.channels)
 
 
 # ---------------------------------------------------------------------------

@@ -132,18 +132,24 @@ def retention_report_day(i: Inputs):
 
 @query("retention_report_week", f"""
 WITH x AS ({retention_oracle("week")})
-SELECT * FROM x WHERE version = '1.9' AND channel = 'all'""")
+SELECT * FROM x WHERE version = '1.9' AND channel = 'all' AND cohort_start >= DATE '2024-01-05'
+  AND cohort_start + 6 <= DATE '2024-01-24'""")
 def retention_report_week(i: Inputs):
-    """Weekly retention of one version over all channels."""
-    return RT.retention_report(RT.retention(i.launch, i.active, "week", keys=RT.keys_from_rollup(i.rollup)), version="1.9")
+    """Weekly retention of one version over all channels; the range cuts
+    a week at either end, and cut weeks are left out."""
+    return RT.retention_report(RT.retention(i.launch, i.active, "week", keys=RT.keys_from_rollup(i.rollup)), version="1.9",
+                               a="2024-01-05", b="2024-01-24", kind="week")
 
 
 @query("retention_report_month", f"""
 WITH x AS ({retention_oracle("month", "launch_long")})
-SELECT * FROM x WHERE version = 'all' AND channel = '2'""")
+SELECT * FROM x WHERE version = 'all' AND channel = '2' AND cohort_start >= DATE '1993-02-10'
+  AND last_day(cohort_start) <= DATE '1997-06-15'""")
 def retention_report_month(i: Inputs):
-    """Monthly retention of one channel over all versions."""
-    return RT.retention_report(RT.retention(i.launch_long, i.active, "month"), channel="2")
+    """Monthly retention of one channel over all versions; the range
+    cuts a month at either end."""
+    return RT.retention_report(RT.retention(i.launch_long, i.active, "month"), channel="2", a="1993-02-10",
+                               b="1997-06-15", kind="month")
 
 
 _PCT = ", ".join(
@@ -197,15 +203,29 @@ def channel_active_ratio_month(i: Inputs):
     return RT.active_ratio(i.launch, i.active, "month", ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
 
 
-@query("channel_ratio_series_week", f"""WITH r AS ({_ratio_oracle("week", "product_id, channel_id")}),
-g AS (SELECT c.product_id, c.channel_id, CAST(s.ps AS DATE) AS period_start FROM channels c,
-        (SELECT unnest(generate_series(min(period_start), max(period_start), INTERVAL 7 DAY)) AS ps FROM r) s)
+def _ratio_series_sql(kind: str, step: str) -> str:
+    return f"""WITH r AS ({_ratio_oracle(kind, "product_id, channel_id")}),
+g AS (SELECT c.product_id, c.channel_id, CAST(s.ps AS DATE) AS period_start FROM active_channels c,
+        (SELECT unnest(generate_series(min(period_start), max(period_start), INTERVAL {step})) AS ps FROM r) s)
 SELECT g.product_id, g.channel_id, g.period_start, CAST(coalesce(r.activeusers, 0) AS BIGINT) AS activeusers,
   coalesce(r.percent, 0.0) AS percent
-FROM g LEFT JOIN r USING (product_id, channel_id, period_start)""")
+FROM g LEFT JOIN r USING (product_id, channel_id, period_start)"""
+
+
+def _ratio_series(i: Inputs, kind: str):
+    from usagelens.operators.reports import channel_ratio_series
+    ratios = RT.active_ratio(i.launch, i.active, kind, ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
+    return channel_ratio_series(ratios, i.active, kind)
+
+
+@query("channel_ratio_series_week", _ratio_series_sql("week", "7 DAY"))
 def channel_ratio_series_week(i: Inputs):
-    """Weekly channel active ratio, dense over registry channels and
+    """Weekly channel active ratio, dense over active channels and
     week starts."""
-    from usagelens.operators.reports import channel_ratio_series
-    ratios = RT.active_ratio(i.launch, i.active, "week", ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
-    return channel_ratio_series(ratios, i.channels, "week")
+    return _ratio_series(i, "week")
+
+
+@query("channel_ratio_series_month", _ratio_series_sql("month", "1 MONTH"))
+def channel_ratio_series_month(i: Inputs):
+    """The same by calendar month."""
+    return _ratio_series(i, "month")

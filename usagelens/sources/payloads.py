@@ -3,7 +3,8 @@ table, with planted faults, to exercise the ingest path end to end.
 
 Fault plan by ``event_id % 97``: 0 a required field missing, 1 unknown app
 key, 2 undefined custom event, 3 unparsable time, 4 time before 1970,
-5 negative amount.  Each payload row carries ``payload_id`` (the arrival id)
+5 negative amount, 6 a required field empty, 7 ISO time, 8 amount not a
+number.  Each payload row carries ``payload_id`` (the arrival id)
 and ``ingest_ts`` next to the JSON text.
 """
 
@@ -16,7 +17,7 @@ from usagelens.sources import registry as R
 from usagelens.sources.fixtures import _channel, _device, _product, _tagged, _version
 
 FAULT_MOD = 97
-MISSING, BAD_KEY, BAD_EVENT, BAD_TIME, OLD_TIME, BAD_AMOUNT = range(6)
+MISSING, BAD_KEY, BAD_EVENT, BAD_TIME, OLD_TIME, BAD_AMOUNT, EMPTY, ISO_TIME, TEXT_AMOUNT = range(9)
 OLD_TIME_TEXT = "1969-12-31 23:59:59"
 UNKNOWN_MCCMNC = "99999"
 
@@ -37,7 +38,8 @@ def _appkey(uid: Column, eid: Column, ts: Column) -> Column:
 def _time_text(ts: Column) -> Column:
     txt = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
     return (F.when(_fault() == BAD_TIME, F.lit("not-a-time"))
-            .when(_fault() == OLD_TIME, F.lit(OLD_TIME_TEXT)).otherwise(txt))
+            .when(_fault() == OLD_TIME, F.lit(OLD_TIME_TEXT))
+            .when(_fault() == ISO_TIME, F.replace(txt, F.lit(" "), F.lit("T"))).otherwise(txt))
 
 
 def _ingest_ts(eid: Column, ts: Column) -> Column:
@@ -60,7 +62,7 @@ def launch_payloads_from(e: DataFrame) -> DataFrame:
     body = F.struct(
         _appkey(uid, eid, ts).alias("appkey"),
         F.lit("android").alias("platform"),
-        _tagged("os", uid % 5).alias("os_version"),
+        F.when(_fault() == EMPTY, F.lit("")).otherwise(_tagged("os", uid % 5)).alias("os_version"),
         _tagged("lang", uid % 3).alias("language"),
         F.when(_fault() == MISSING, F.lit(None).cast("string")).otherwise(_device(uid)).alias("deviceid"),
         _tagged("res", uid % 6).alias("resolution"),
@@ -85,7 +87,8 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _time_text(ts).alias("time"),
         F.lit("main").alias("activity"),
         F.when(_fault() == MISSING, F.lit(None).cast("string")).otherwise(_version(uid, ts)).alias("version"),
-        F.when(_fault() == BAD_AMOUNT, F.concat(F.lit("-"), acc)).otherwise(acc).alias("acc"),
+        F.when(_fault() == BAD_AMOUNT, F.concat(F.lit("-"), acc)).when(_fault() == TEXT_AMOUNT, F.lit("many"))
+         .otherwise(acc).alias("acc"),
         _device(uid).alias("deviceid"),
     )
     return e.select(eid.alias("payload_id"), F.to_json(body).alias("payload"),
@@ -131,19 +134,22 @@ def crash_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_envelopes(spark: SparkSession, sf_dir: str, items_per_envelope: int = 64) -> DataFrame:
     """I5 input: one envelope per (app key, device, block of arrival ids)
-    holding the launch and event items of that block.  The block bound keeps
-    every envelope small regardless of how active a device is (as device
-    uploads are)."""
-    lp = launch_payloads(spark, sf_dir).select("payload_id", F.col("payload").alias("launch"))
-    ep = event_payloads(spark, sf_dir).select("payload_id", F.col("payload").alias("event"))
+    holding the launch, event, page and crash items of that block.  The block
+    bound keeps every envelope small regardless of how active a device is (as
+    device uploads are).  An envelope arrives with its last item."""
+    lp = launch_payloads(spark, sf_dir).select("payload_id", F.col("payload").alias("launch"), "ingest_ts")
+    ep, pp, cp = (f(spark, sf_dir).select("payload_id", F.col("payload").alias(name)) for f, name in (
+        (event_payloads, "event"), (page_payloads, "page"), (crash_payloads, "crash")))
     e = _events(spark, sf_dir).select(
         F.col("event_id").alias("payload_id"),
         F.concat(F.lit("key-"), _product(F.col("event_id")).cast("string")).alias("envkey"),
         F.col("user_id"))
-    j = e.join(lp, "payload_id").join(ep, "payload_id")
+    j = e.join(lp, "payload_id").join(ep, "payload_id").join(pp, "payload_id").join(cp, "payload_id", "left")
     grp = j.groupBy("envkey", "user_id", F.floor(F.col("payload_id") / items_per_envelope).alias("blk"))
     env = grp.agg(F.collect_list(F.from_json("launch", "map<string,string>")).alias("clientData"),
                   F.collect_list(F.from_json("event", "map<string,string>")).alias("eventInfo"),
-                  F.min("payload_id").alias("payload_id"))
-    return env.select("payload_id", F.to_json(F.struct(F.col("envkey").alias("appkey"), "clientData",
-                                                       "eventInfo")).alias("payload"))
+                  F.collect_list(F.from_json("page", "map<string,string>")).alias("activityInfo"),
+                  F.collect_list(F.from_json("crash", "map<string,string>")).alias("errorInfo"),
+                  F.min("payload_id").alias("payload_id"), F.max("ingest_ts").alias("ingest_ts"))
+    return env.select("payload_id", "ingest_ts", F.to_json(F.struct(F.col("envkey").alias("appkey"), "clientData",
+                                                                    "eventInfo", "activityInfo", "errorInfo")).alias("payload"))

@@ -5,7 +5,8 @@ validated and resolved with the same column expressions as the batch chain
 (``operators.ingest``), and each micro-batch appends the good rows to the
 launch table partitioned by ingest day and the rejects to a reject table --
 one ``foreachBatch`` every ``trigger`` (default 10 s).  Items without an app
-key never reach the table (I14 drops them before the bulk insert).
+key go to the rejects as ``-2``, as in the batch chain: good rows and rejects
+add up to the input.
 """
 
 from __future__ import annotations
@@ -22,14 +23,12 @@ def ingest_launch_stream(raw_stream: DataFrame, registry: DataFrame, mccmnc: Dat
                          reject_path: str, checkpoint: str, trigger: str = DEFAULT_TRIGGER,
                          available_now: bool = False) -> StreamingQuery:
     """Start the launch ingest stream (payload_id, payload, ingest_ts in)."""
-    keyed = raw_stream.where(F.get_json_object("payload", "$.appkey").isNotNull())
-
     def run(batch: DataFrame, epoch_id: int) -> None:
         good, rejects = IN.ingest_launch(batch, registry, mccmnc)
         (good.withColumn("ingest_day", F.to_date("ingest_ts")).write.mode("overwrite")
          .partitionBy("ingest_day").parquet(f"{out_path}/epoch={epoch_id}"))
         rejects.write.mode("overwrite").parquet(f"{reject_path}/epoch={epoch_id}")
 
-    w = keyed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    w = raw_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

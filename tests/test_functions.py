@@ -71,10 +71,10 @@ def test_ratio_zero_denominator_and_rounding(spark):
 
 def test_bucket_edges(spark):
     durs = spark.createDataFrame([(2999,), (3000,), (1799999,), (1800000,)], "v long")
-    got = dict(bucketize(durs, "v", R.usage_buckets(spark), "left").select("v", "bucket_id").collect())
+    got = dict(bucketize(durs, "v", R.USAGE_BUCKETS, "left").select("v", "bucket_id").collect())
     assert got == {2999: 1, 3000: 2, 1799999: 7, 1800000: 8}
     launches = spark.createDataFrame([(2,), (3,), (49,), (50,)], "v long")
-    got = dict(bucketize(launches, "v", R.launch_buckets(spark), "both").select("v", "bucket_id").collect())
+    got = dict(bucketize(launches, "v", R.LAUNCH_BUCKETS, "both").select("v", "bucket_id").collect())
     assert got == {2: 1, 3: 2, 49: 5, 50: 6}
 
 

@@ -13,10 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.functions.buckets import bucket_array, bucketize
+from usagelens.functions.buckets import histogram, in_bucket
 from usagelens.functions.ratios import pct_round, ratio
-from usagelens.operators.kpis import launch_rollup, only_active
-from usagelens.sources.registry import local_table
+from usagelens.operators.kpis import only_active
 
 # Share denominator per attribute -- 'pairs' = distinct
 # (device, value) pairs (shares sum to 1); 'devices' = distinct devices (a
@@ -123,23 +122,19 @@ def usage_histogram(pages: DataFrame, buckets: list[tuple], active: DataFrame |
                     by: list[str] = ("product_id",), a=None, b=None) -> DataFrame:
     """Daily session totals per session-length bucket ([lo, hi) ms): all
     sessions in the numerator, sessions of active entries in the denominator;
-    every configured bucket is listed."""
+    every configured bucket is listed.  One pass over the sessions."""
     by = list(by)
-    spark = pages.sparkSession
     sess = (in_range(pages, a, b)
             .groupBy("product_id", "channel_id", "version", "d", "session_id")
             .agg(F.sum("duration_ms").alias("duration_ms")))
-    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
-    counted = (bucketize(sess, "duration_ms", bdf, "left").groupBy(*by, "bucket_id")
-               .agg(F.count(F.lit(1)).alias("sessions")))
-    den = only_active(sess, active).groupBy(*by).agg(F.count(F.lit(1)).alias("_den"))
-    grid = (sess.select(*by).distinct()
-            .select(*by, F.explode(bucket_array(buckets)).alias("_b"))
-            .select(*by, "_b.bucket_id", "_b.bucket"))
-    out = grid.join(counted, [*by, "bucket_id"], "left").join(den, by, "left")
-    n = F.coalesce(F.col("sessions"), F.lit(0))
-    return out.select(*by, "bucket_id", "bucket", n.cast("bigint").alias("sessions"),
-                      ratio(n, F.col("_den")).alias("percentage"))
+    if active is None:
+        sess = sess.withColumn("_on", F.lit(True))
+    else:
+        sess = sess.join(active.withColumn("_on", F.lit(True)), active.columns, "left")
+    # of a key without active sessions there is no share
+    out = histogram(sess, by, "duration_ms", buckets, "sessions", "left",
+                    {"_den": F.nullif(F.count("_on"), F.lit(0))})
+    return out.select(*by, "bucket_id", "bucket", "sessions", ratio(F.col("sessions"), F.col("_den")).alias("percentage"))
 
 
 def frequency_histogram(launch: DataFrame, buckets: list[tuple], active: DataFrame | None = None,
@@ -147,17 +142,8 @@ def frequency_histogram(launch: DataFrame, buckets: list[tuple], active: DataFra
     """Device-days per launch-count bucket (closed ranges) over active
     entries, with the share of the total; every configured bucket listed."""
     by = list(by)
-    spark = launch.sparkSession
-    r = only_active(launch_rollup(in_range(launch, a, b)), active)
-    per_dev = r.groupBy("product_id", "channel_id", "version", "d", "device_id").agg(F.sum("n").alias("times"))
-    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
-    counted = (bucketize(per_dev, "times", bdf, "both").groupBy(*by, "bucket_id")
-               .agg(F.count(F.lit(1)).alias("access")))
-    grid = (per_dev.select(*by).distinct()
-            .select(*by, F.explode(bucket_array(buckets)).alias("_b"))
-            .select(*by, "_b.bucket_id", "_b.bucket"))
-    w = Window.partitionBy(*by)
-    out = grid.join(counted, [*by, "bucket_id"], "left")
-    n = F.coalesce(F.col("access"), F.lit(0))
-    return out.select(*by, "bucket_id", "bucket", n.cast("bigint").alias("access"),
-                      ratio(n, F.sum(n).over(w)).alias("percentage"))
+    per_dev = (only_active(in_range(launch, a, b), active)
+               .groupBy("product_id", "channel_id", "version", "d", "device_id").agg(F.count(F.lit(1)).alias("times")))
+    out = histogram(per_dev, by, "times", buckets, "access", "both", {"_all": F.count(F.when(
+        F.coalesce(*[F.when(in_bucket(F.col("times"), lo, hi, "both"), 1) for _, _, lo, hi in buckets]) == 1, 1))})
+    return out.select(*by, "bucket_id", "bucket", "access", ratio(F.col("access"), F.col("_all")).alias("percentage"))

@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.calendar import day_number
-from usagelens.sources.registry import local_table
 
 GRAIN_KEYS = {
     "product": ["product_id"],
@@ -216,21 +215,11 @@ def launch_histogram(launch: DataFrame, buckets: list[tuple], rollup: DataFrame
     """Devices per launch-count bucket per (product entry, day), zero
     filled for every bucket of every (entry, day) that has launches.
 
-    ``buckets`` is the bucket configuration [(id, name, lo, hi|None)]; the
-    zero fill explodes the configured bucket list on each (entry, day) row
-    and right-aligns the counts with one left join on the same keys.
+    ``buckets`` is the bucket configuration [(id, name, lo, hi|None)]; each
+    bucket is one conditional count of the same aggregate.
     """
-    from usagelens.functions.buckets import bucket_array, bucketize
-    spark = launch.sparkSession
+    from usagelens.functions.buckets import histogram
     keys = ["product_id", "channel_id", "version", "d"]
     r = rollup if rollup is not None else launch_rollup(launch)
     per_dev = r.groupBy(*keys, "device_id").agg(F.sum("n").alias("times"))
-    bdf = local_table(spark, buckets, "bucket_id int, bucket string, lo bigint, hi bigint")
-    counted = (bucketize(per_dev, "times", bdf, closed="both")
-               .groupBy(*keys, "bucket_id").agg(F.count(F.lit(1)).alias("devices")))
-    grid = (per_dev.select(*keys).distinct()
-            .select(*keys, F.explode(bucket_array(buckets)).alias("_b"))
-            .select(*keys, "_b.bucket_id", "_b.bucket"))
-    return (grid.join(counted, [*keys, "bucket_id"], "left")
-            .select(*keys, "bucket_id", "bucket",
-                    F.coalesce("devices", F.lit(0)).cast("bigint").alias("devices")))
+    return histogram(per_dev, keys, "times", buckets, "devices", "both")

@@ -36,16 +36,17 @@ def derive_ratios(kpis: DataFrame) -> DataFrame:
     })
 
 
-def kpi_detail(kpis: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
+def kpi_detail(kpis: DataFrame, span_src: DataFrame | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """R2: dense series with derived ratios, newest first."""
-    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, span_src=span_src)
+    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, key_rows=key_rows, span_src=span_src)
     return derive_ratios(dense).orderBy(F.col("d").desc(), "product_id")
 
 
-def owner_series(kpis: DataFrame, products: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
+def owner_series(kpis: DataFrame, products: DataFrame, span_src: DataFrame | None = None,
+                 key_rows: DataFrame | None = None) -> DataFrame:
     """KPIs summed over all apps of each owner, dense by day; cumulative
     users are the sum of each app's as-of value."""
-    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, span_src=span_src)
+    dense = densify(kpis, ["product_id"], KPI_METRICS, ASOF, key_rows=key_rows, span_src=span_src)
     own = products.select("product_id", "owner_id")
     return (dense.join(own, "product_id")
             .groupBy("owner_id", "d")
@@ -77,10 +78,11 @@ def channel_series(kpis_channel: DataFrame, channels: DataFrame, span_src: DataF
     return densify(kpis_channel, ["product_id", "channel_id"], KPI_METRICS, ASOF, key_rows=kr, span_src=span_src)
 
 
-def version_series(kpis_version: DataFrame, span_src: DataFrame | None = None) -> DataFrame:
+def version_series(kpis_version: DataFrame, span_src: DataFrame | None = None,
+                   key_rows: DataFrame | None = None) -> DataFrame:
     """Dense (version x day) grid of active and new devices."""
     return densify(kpis_version.select("product_id", "version", "d", "startusers", "newusers"),
-                   ["product_id", "version"], ["startusers", "newusers"], span_src=span_src)
+                   ["product_id", "version"], ["startusers", "newusers"], key_rows=key_rows, span_src=span_src)
 
 
 def channel_active_sum(kpis_channel: DataFrame, channels: DataFrame, a=None, b=None) -> DataFrame:

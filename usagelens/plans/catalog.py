@@ -1,8 +1,10 @@
 """Registry of named report queries: a Spark plan builder plus, where SQL can
 express it, an independent DuckDB statement over the same parquet tables.
 
-Spark builders take (spark, sf_dir) and return a lazy DataFrame; nothing is
-collected.  Oracle SQL is written in the reference's own relational form
+Spark builders take (spark, sf_dir) and return a DataFrame; nothing is
+collected.  Builders of KPI queries stage the device-hour rollup of the input
+once per session, and builders of stream queries run the stream; all others
+run no job.  Oracle SQL is written in the reference's own relational form
 (EXISTS / correlated subqueries / rollups) where possible, so it is a second
 derivation rather than a transliteration of the Spark plan.
 """
@@ -43,6 +45,17 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+#: staged rollups: (application, input folder, partitions) -> table name
+_ROLLUPS: dict[tuple, str] = {}
+
+
+def drop_rollups(spark: SparkSession) -> None:
+    """Drop this session's staged rollups and their files."""
+    from usagelens.session import drop_staged
+    for key in [k for k in _ROLLUPS if k[0] == spark.sparkContext.applicationId]:
+        drop_staged(spark, _ROLLUPS.pop(key))
+
+
 class Inputs:
     """Lazily built fact views and registry tables of one (session, sf_dir)."""
 
@@ -77,10 +90,18 @@ class Inputs:
         (product, device) in the shared checkpoint folder.  Every KPI branch
         reads it (column pruning would otherwise give each branch a different
         aggregate and defeat exchange reuse), and per-device steps find it
-        already clustered."""
+        already clustered.
+
+        It is staged once per session, input folder and partition count, and
+        all queries over that input read the same table;
+        :func:`drop_rollups` removes the tables."""
         from usagelens.operators.kpis import device_partitioned
         from usagelens.session import write_bucketed
-        return write_bucketed(device_partitioned(self.launch), ["product_id", "device_id"], "launch_rollup")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.spark.conf.get("spark.sql.shuffle.partitions"))
+        name = _ROLLUPS.get(key)
+        if name is None or not self.spark.catalog.tableExists(name):
+            _ROLLUPS[key] = name = write_bucketed(device_partitioned(self.launch), ["product_id", "device_id"], "launch_rollup")
+        return self.spark.table(name)
 
     def kpis(self, grain: str = "product", with_pages: bool = True) -> DataFrame:
         """Daily KPI summary at ``grain`` built on the shared rollup."""
@@ -96,15 +117,24 @@ class Inputs:
     def active(self) -> DataFrame:
         return registry.active_channels(self.spark)
 
-    @cached_property
-    def kpi_days(self) -> DataFrame:
-        """The days the KPI summary can have: those of launches and page views
-        in active channels (a day with page time but no launch counts too).
-        Launch days come from the staged rollup, not from the raw log."""
+    def kpi_rows(self, *cols: str) -> DataFrame:
+        """``cols`` of the launches and page views in active channels: where the
+        KPI summary has rows.  Launches come from the staged rollup; nothing
+        evaluates the summary itself a second time."""
         from usagelens.operators.kpis import only_active
-        parts = [only_active(t.select("product_id", "channel_id", "d"), self.active).select("d") for t in (self.rollup, self.page)]
+        need = list(dict.fromkeys(["product_id", "channel_id", *cols]))
+        parts = [only_active(t.select(*need), self.active).select(*cols) for t in (self.rollup, self.page)]
         return parts[0].unionAll(parts[1])
 
+    @cached_property
+    def kpi_days(self) -> DataFrame:
+        """The days the KPI summary can have (page time alone counts too)."""
+        return self.kpi_rows("d")
+
+    def kpi_keys(self, *cols: str) -> DataFrame:
+        """The distinct keys of the KPI summary."""
+        return self.kpi_rows(*cols).distinct()
+
     @cached_property
     def channels(self) -> DataFrame:
         return registry.channels(self.spark)

@@ -153,7 +153,7 @@ def usage_bucketize(i: Inputs):
     """Usage bucket ([lo, hi) in ms) of every daily session total."""
     from usagelens.functions.buckets import bucketize
     sd = i.page.groupBy("product_id", "d", "session_id").agg(F.sum("duration_ms").alias("duration_ms"))
-    return bucketize(sd, "duration_ms", R.usage_buckets(i.spark), closed="left")
+    return bucketize(sd, "duration_ms", R.USAGE_BUCKETS, closed="left")
 
 
 @query("launch_histogram", """
@@ -198,4 +198,4 @@ def kpi_series(i: Inputs):
     kp = i.kpis("product")
     return densify(kp, ["product_id"],
                    ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"],
-                   ["allusers", "allsessions"], span_src=i.kpi_days)
+                   ["allusers", "allsessions"], key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)

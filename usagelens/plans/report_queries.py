@@ -45,7 +45,7 @@ SELECT dk.*, coalesce({PCT1.format(num="newusers", den="startusers")}, 0.0) AS n
   coalesce(usingtime / nullif(sessions * 1000, 0), 0.0) AS avg_session_s FROM dk""")
 def kpi_detail(i: Inputs):
     """Dense KPI series with derived ratios, newest first."""
-    return RP.kpi_detail(kp(i), span_src=i.kpi_days)
+    return RP.kpi_detail(kp(i), span_src=i.kpi_days, key_rows=i.kpi_keys("product_id"))
 
 
 @query("owner_series", f"""WITH {dense_sql("product")}
@@ -55,7 +55,7 @@ SELECT p.owner_id, dk.d, CAST(sum(newusers) AS BIGINT) AS newusers, CAST(sum(sta
 FROM dk JOIN products p USING (product_id) GROUP BY p.owner_id, dk.d""")
 def owner_series(i: Inputs):
     """KPI trend over all apps of each owner."""
-    return RP.owner_series(kp(i), i.products, span_src=i.kpi_days)
+    return RP.owner_series(kp(i), i.products, span_src=i.kpi_days, key_rows=i.kpi_keys("product_id"))
 
 
 def _snap_sql(grain: str, key_rows: str | None = None) -> str:
@@ -76,7 +76,7 @@ FROM {kr} kr LEFT JOIN t USING ({kc}) LEFT JOIN a USING ({kc})"""
 @query("kpi_snapshot", _snap_sql("product"))
 def kpi_snapshot(i: Inputs):
     """Last-day snapshot per product with as-of total users."""
-    return RP.snapshot(kp(i), ["product_id"], day=RP.last_day(i.kpi_days))
+    return RP.snapshot(kp(i), ["product_id"], i.kpi_keys("product_id"), day=RP.last_day(i.kpi_days))
 
 
 @query("channel_snapshot", _snap_sql("channel", "(SELECT product_id, channel_id FROM active_channels)"))
@@ -89,7 +89,7 @@ def channel_snapshot(i: Inputs):
 @query("version_snapshot", _snap_sql("version"))
 def version_snapshot(i: Inputs):
     """Last-day snapshot per version."""
-    return RP.snapshot(kp(i, "version"), ["product_id", "version"], day=RP.last_day(i.kpi_days))
+    return RP.snapshot(kp(i, "version"), ["product_id", "version"], i.kpi_keys("product_id", "version"), day=RP.last_day(i.kpi_days))
 
 
 @query("channel_series", f"""WITH {dense_sql("channel", "(SELECT product_id, channel_id FROM active_channels)")}
@@ -103,7 +103,7 @@ def channel_series(i: Inputs):
 SELECT product_id, version, d, startusers, newusers FROM dk""")
 def version_series(i: Inputs):
     """Dense date x version grid of active and new devices."""
-    return RP.version_series(kp(i, "version"), span_src=i.kpi_days)
+    return RP.version_series(kp(i, "version"), span_src=i.kpi_days, key_rows=i.kpi_keys("product_id", "version"))
 
 
 @query("channel_active_sum", f"""WITH {kpi_oracle_ctes("channel")},
@@ -332,7 +332,7 @@ SELECT * FROM dk ORDER BY product_id, d LIMIT 10 OFFSET 10""")
 def kpi_page(i: Inputs):
     """Second page (10 rows) of the dense KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)
     return RP.page(dense, ["product_id", "d"], 1, 10)
 
 
@@ -440,7 +440,7 @@ FROM f WHERE k = 5"""
 def kpi_forecast(i: Inputs):
     """A1: 5-day mean forecast of the KPI series."""
     from usagelens.functions.densify import densify
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)
     return TR.forecast(dense, FC)
 
 
@@ -455,7 +455,7 @@ def kpi_alerts(i: Inputs):
     """A3/A4/A5: deviation alerts of every product day against its rules."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)
     return TR.alerts(dense, registry.alert_rules(i.spark), FC)
 
 
@@ -492,7 +492,7 @@ def kpi_markers(i: Inputs):
     """Markers visible to user 1 on the KPI chart, with the day's values."""
     from usagelens.functions.densify import densify
     from usagelens.sources import registry
-    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, span_src=i.kpi_days)
+    dense = densify(kp(i), ["product_id"], RP.KPI_METRICS, RP.ASOF, key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)
     m = TR.visible_markers(registry.markers(i.spark), 1, None, "2024-01-01", "2024-01-31")
     return (m.join(dense, ["product_id", "d"])
             .select("marker_id", "user_id", "product_id", "d", "title", "startusers", "newusers"))

@@ -83,9 +83,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def write_bucketed(df: DataFrame, keys: list[str], prefix: str = "stage") -> DataFrame:
+def write_bucketed(df: DataFrame, keys: list[str], prefix: str = "stage") -> str:
     """Materialise ``df`` as an external parquet table bucketed (and sorted)
-    by ``keys`` under the shared checkpoint folder, and return a reader of it.
+    by ``keys`` under the shared checkpoint folder, and return its name.
 
     This cuts lineage like a checkpoint (a lost executor costs a re-read, not
     a recompute), and the bucket spec tells the planner the data is already
@@ -102,11 +102,12 @@ def write_bucketed(df: DataFrame, keys: list[str], prefix: str = "stage") -> Dat
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
      .option("path", f"{base}/tables/{name}").saveAsTable(name))
-    return spark.table(name)
+    return name
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives lost
-    executors; never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def drop_staged(spark: SparkSession, name: str) -> None:
+    """Drop a table of :func:`write_bucketed` and delete its files."""
+    path = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

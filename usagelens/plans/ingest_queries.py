@@ -59,12 +59,15 @@ def event_rows(i: Inputs):
     return IN.ingest_event(PL.event_payloads(i.spark, i.sf_dir), i.channels, i.event_defs)
 
 
-@query("ingest_event", f"""SELECT e.event_id AS row_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
+EVENT_SQL = f"""SELECT e.event_id AS row_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
   CAST(CASE e.event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END
        AS INTEGER) AS event_id,
   e.event_type AS event_identifier, {VERSION} AS version, '' AS label,
   CAST(1 + e.event_id % 3 AS DOUBLE) AS num, {REPAIRED} AS ts, {INGEST} AS ingest_ts
-FROM events e WHERE {F97} NOT IN (0, 1, 2, 5, 8) AND e.event_type <> 'error'""")
+FROM events e WHERE {F97} NOT IN (0, 1, 2, 5, 8) AND e.event_type <> 'error'"""
+
+
+@query("ingest_event", EVENT_SQL)
 def ingest_event(i: Inputs):
     """Custom-event payloads through every check."""
     return event_rows(i)[0]
@@ -85,25 +88,31 @@ def ingest_event_rejects(i: Inputs):
     return IN.reject_summary(event_rows(i)[1])
 
 
-@query("ingest_page", f"""SELECT e.event_id AS view_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
+PAGE_SQL = f"""SELECT e.event_id AS view_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
   {VERSION} AS version, 's' || CAST(e.user_id AS VARCHAR) || '-' || CAST({PRODUCT} AS VARCHAR) AS session_id,
   e.event_type AS activity, {REPAIRED} AS start_ts,
   date_trunc('second', e.ts + to_milliseconds(CAST(round(e.value * 1000) AS BIGINT))) AS end_ts,
   CAST(round(e.value * 1000) AS BIGINT) AS duration_ms, {INGEST} AS ingest_ts
-FROM events e WHERE {F97} NOT IN (0, 1)""")
+FROM events e WHERE {F97} NOT IN (0, 1)"""
+
+
+@query("ingest_page", PAGE_SQL)
 def ingest_page(i: Inputs):
     """Page-view payloads; start and end times repaired."""
     return IN.ingest_page(PL.page_payloads(i.spark, i.sf_dir), i.channels)[0]
 
 
-@query("ingest_crash", f"""SELECT e.event_id AS crash_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
+CRASH_SQL = f"""SELECT e.event_id AS crash_id, {PRODUCT} AS product_id, {CHANNEL} AS channel_id,
   {VERSION} AS version, 'os' || CAST(e.user_id % 5 AS VARCHAR) AS os, 'd' || CAST(e.user_id AS VARCHAR) AS device_id,
   'main' AS activity,
   'E' || CAST(e.event_id % 9 AS VARCHAR) || chr(10) || 'at f' || CAST(e.event_id % 4 AS VARCHAR)
     || chr(10) || 'at g' || chr(10) || 'at main' AS stacktrace,
   'E' || CAST(e.event_id % 9 AS VARCHAR) || chr(10) || 'at f' || CAST(e.event_id % 4 AS VARCHAR)
     || chr(10) || 'at g' AS title, {REPAIRED} AS ts, {INGEST} AS ingest_ts
-FROM events e WHERE e.event_type = 'error' AND {F97} NOT IN (0, 1)""")
+FROM events e WHERE e.event_type = 'error' AND {F97} NOT IN (0, 1)"""
+
+
+@query("ingest_crash", CRASH_SQL)
 def ingest_crash(i: Inputs):
     """Crash payloads with titles."""
     return IN.ingest_crash(PL.crash_payloads(i.spark, i.sf_dir), i.channels)[0]

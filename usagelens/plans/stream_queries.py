@@ -5,8 +5,10 @@ DataFrame, so stream results are checked against the same oracle as batch.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from usagelens.plans.catalog import Inputs, query
-from usagelens.plans.ingest_queries import LAUNCH_SQL
+from usagelens.plans.ingest_queries import CRASH_SQL, EVENT_SQL, LAUNCH_SQL, PAGE_SQL
 from usagelens.sources import payloads as PL
 from usagelens.sources import registry as R
 from usagelens.sources.fixtures import launch_from_events
@@ -14,8 +16,13 @@ from usagelens.streaming import ingest as SI
 from usagelens.streaming import jobs as J
 
 
-def launch_stream(i: Inputs):
-    e = J.table_stream(i.spark, i.sf_dir, "events")
+def event_stream(i: Inputs, wd: str, reposted: str | None = None):
+    """The events table as a stream of four micro-batches in time order."""
+    return J.landed_stream(i.spark.read.parquet(f"{i.sf_dir}/events.parquet"), f"{wd}/landing", reposted=reposted)
+
+
+def launch_stream(i: Inputs, wd: str, reposted: str | None = None):
+    e = event_stream(i, wd, reposted)
     return launch_from_events(e, i.spark.read.parquet(f"{i.sf_dir}/nation.parquet"),
                               i.spark.read.parquet(f"{i.sf_dir}/region.parquet"))
 
@@ -27,7 +34,7 @@ def stream_daily_counts(i: Inputs):
     """Hourly job as a stream -- land each batch, recompute the days
     it touched, overwrite those day partitions."""
     wd = J.work_dir(i.spark, "daily")
-    rows = launch_stream(i).select("launch_id", "product_id", "device_id", "ts", "d")
+    rows = launch_stream(i, wd).select("launch_id", "product_id", "device_id", "ts", "d")
     J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
 
@@ -39,7 +46,7 @@ def stream_hourly_launches(i: Inputs):
     """Launches per product per event-time hour (watermark 7 days),
     updated windows upserted by version."""
     wd = J.work_dir(i.spark, "hourly")
-    agg = J.windowed_launches(J.event_time(launch_stream(i)), "1 hour")
+    agg = J.windowed_launches(J.event_time(launch_stream(i, wd)), "1 hour")
     J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return J.read_latest(i.spark, f"{wd}/out", ["window_start", "product_id"]).select(
         "window_start", "window_end", "product_id", "launches")
@@ -53,7 +60,7 @@ FROM w GROUP BY ALL""")
 def stream_rolling_7d(i: Inputs):
     """7-day windows sliding by a day, per product."""
     wd = J.work_dir(i.spark, "rolling")
-    agg = J.windowed_launches(J.event_time(launch_stream(i)), "7 days", "1 day")
+    agg = J.windowed_launches(J.event_time(launch_stream(i, wd)), "7 days", "1 day")
     J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return J.read_latest(i.spark, f"{wd}/out", ["window_start", "product_id"]).select(
         "window_start", "window_end", "product_id", "launches")
@@ -63,17 +70,17 @@ def stream_rolling_7d(i: Inputs):
 def stream_first_arrivals(i: Inputs):
     """First arrival per (product, device) via streaming dropDuplicates."""
     wd = J.work_dir(i.spark, "first")
-    rows = J.first_arrivals(launch_stream(i).select("product_id", "device_id", "ts"))
+    rows = J.first_arrivals(launch_stream(i, wd).select("product_id", "device_id", "ts"))
     J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").select("product_id", "device_id")
 
 
 @query("stream_dedupe", "SELECT launch_id, product_id, device_id FROM launch")
 def stream_dedupe(i: Inputs):
-    """Re-posted rows dropped within the watermark (none are re-posted
-    in the test data, so every launch survives exactly once)."""
+    """Re-posted rows dropped within the watermark: a third of the launches
+    arrives a second time one micro-batch later."""
     wd = J.work_dir(i.spark, "dedupe")
-    rows = J.dedupe_posts(J.event_time(launch_stream(i)).select("launch_id", "product_id", "device_id", "ts"))
+    rows = J.dedupe_posts(J.event_time(launch_stream(i, wd, "event_id % 3 = 0")).select("launch_id", "product_id", "device_id", "ts"))
     J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").select("launch_id", "product_id", "device_id")
 
@@ -82,29 +89,70 @@ def stream_dedupe(i: Inputs):
 def stream_ingest_launch(i: Inputs):
     """Payload stream validated and landed per micro-batch."""
     wd = J.work_dir(i.spark, "ingest")
-    raw = PL.launch_payloads_from(J.table_stream(i.spark, i.sf_dir, "events"))
+    raw = PL.launch_payloads_from(event_stream(i, wd))
     SI.ingest_launch_stream(raw, i.channels, R.mccmnc(i.spark), f"{wd}/out", f"{wd}/rejects",
                             f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
 
 
+@query("stream_ingest_event", EVENT_SQL)
+def stream_ingest_event(i: Inputs):
+    """The custom-event queue."""
+    wd = J.work_dir(i.spark, "ingest")
+    SI.ingest_event_stream(PL.event_payloads_from(event_stream(i, wd)), i.channels, i.event_defs, f"{wd}/out", f"{wd}/rejects",
+                           f"{wd}/ckpt", available_now=True).awaitTermination()
+    return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
+
+
+@query("stream_ingest_page", PAGE_SQL)
+def stream_ingest_page(i: Inputs):
+    """The page-view queue."""
+    wd = J.work_dir(i.spark, "ingest")
+    SI.ingest_page_stream(PL.page_payloads_from(event_stream(i, wd)), i.channels, f"{wd}/out", f"{wd}/rejects",
+                          f"{wd}/ckpt", available_now=True).awaitTermination()
+    return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
+
+
+@query("stream_ingest_crash", CRASH_SQL)
+def stream_ingest_crash(i: Inputs):
+    """The crash queue."""
+    wd = J.work_dir(i.spark, "ingest")
+    SI.ingest_crash_stream(PL.crash_payloads_from(event_stream(i, wd)), i.channels, f"{wd}/out", f"{wd}/rejects",
+                           f"{wd}/ckpt", available_now=True).awaitTermination()
+    return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
+
+
 GAP = 6 * 3600
 
 
-@query("device_sessions", f"""
+DEVICE_SESSIONS_SQL = f"""
 WITH l AS (SELECT product_id, device_id, ts FROM launch),
 g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= {GAP * 1_000_000}
                  THEN 1 ELSE 0 END AS nw
       FROM l WINDOW w AS (PARTITION BY product_id, device_id ORDER BY ts)),
 s AS (SELECT *, sum(nw) OVER (PARTITION BY product_id, device_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sn FROM g)
 SELECT product_id, device_id, min(ts) AS session_start, max(ts) + INTERVAL {GAP} SECOND AS session_end,
-  CAST(count(*) AS BIGINT) AS launches FROM s GROUP BY product_id, device_id, sn""")
+  CAST(count(*) AS BIGINT) AS launches FROM s GROUP BY product_id, device_id, sn"""
+
+
+@query("device_sessions", DEVICE_SESSIONS_SQL)
 def device_sessions(i: Inputs):
-    """Session windows (6-hour gap) -- the same session_window
-    aggregation the stream runs, here over the whole table."""
+    """Session windows (6-hour gap) over the whole table."""
     return J.session_windows(J.event_time(i.launch), "6 hours")
 
 
+@query("stream_device_sessions", DEVICE_SESSIONS_SQL)
+def stream_device_sessions(i: Inputs):
+    """The same sessions from the stream; sessions that a later batch
+    extends replace their earlier version."""
+    wd = J.work_dir(i.spark, "sessions")
+    agg = J.session_windows(J.event_time(launch_stream(i, wd)), "6 hours")
+    J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True, output_mode="complete").awaitTermination()
+    out = i.spark.read.parquet(f"{wd}/out")
+    last = out.select(F.max("epoch")).scalar()
+    return out.where(F.col("epoch") == last).drop("epoch")
+
+
 @query("late_arrivals", """
 SELECT product_id, CAST(count(*) AS BIGINT) AS rows,
   CAST(count(CASE WHEN CAST(ingest_ts AS DATE) > d THEN 1 END) AS BIGINT) AS late_rows,

@@ -77,7 +77,11 @@ def launch_payloads_from(e: DataFrame) -> DataFrame:
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
+    return event_payloads_from(_events(spark, sf_dir))
+
+
+def event_payloads_from(e: DataFrame) -> DataFrame:
+    """Event payloads from an ``events`` DataFrame (batch or streaming)."""
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     ident = F.when(_fault() == BAD_EVENT, F.lit("no-such-event")).otherwise(F.col("event_type"))
     acc = (F.lit(1) + eid % 3).cast("string")
@@ -96,7 +100,11 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
+    return page_payloads_from(_events(spark, sf_dir))
+
+
+def page_payloads_from(e: DataFrame) -> DataFrame:
+    """Page payloads from an ``events`` DataFrame (batch or streaming)."""
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     dur = F.round(F.col("value") * 1000).cast("bigint")
     end = F.timestamp_add("MILLISECOND", dur, ts)
@@ -114,7 +122,12 @@ def page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crash_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir).where(F.col("event_type") == "error")
+    return crash_payloads_from(_events(spark, sf_dir))
+
+
+def crash_payloads_from(e: DataFrame) -> DataFrame:
+    """Crash payloads from an ``events`` DataFrame (batch or streaming)."""
+    e = e.where(F.col("event_type") == "error")
     uid, eid, ts = F.col("user_id"), F.col("event_id"), F.col("ts")
     nl = F.lit("\n")
     stack = F.concat(F.lit("E"), (eid % 9).cast("string"), nl, F.lit("at f"), (eid % 4).cast("string"),

@@ -47,6 +47,25 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
+def landed_stream(rows: DataFrame, path: str, order: str = "ts", parts: int = 4, reposted: str | None = None) -> DataFrame:
+    """Replay a table as a stream of several micro-batches: its rows are landed
+    in ``parts`` files by equal spans of ``order`` and read one file a trigger.
+    ``reposted`` is a predicate: the rows it picks arrive once more, with the
+    file after their own."""
+    lo, hi = rows.agg(F.min(order), F.max(order)).first()
+    if lo is not None:
+        cut = lambda k: F.lit(lo + (hi - lo) * k / parts).cast(rows.schema[order].dataType)
+        for k in range(parts):
+            span = lambda n: (F.col(order) >= cut(n)) & ((F.col(order) < cut(n + 1)) if n + 1 < parts else F.lit(True))
+            here = rows.where(span(k))
+            if reposted and k:
+                here = here.unionAll(rows.where(span(k - 1)).where(reposted))
+            here.coalesce(1).write.mode("append").parquet(path)
+    else:
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _start(writer, trigger: str | None, available_now: bool) -> StreamingQuery:
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -31,7 +31,8 @@ def pages(spark, rows):
     ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\n\ntwo\n\na\n\nb"),
     ("<article><!-- no --><p>a &lt;p&gt; b</p><p hidden>x</p>", "a <p> b"),
     ("<article><p>half &amp", "half &"), ("<p>a < b and c > d</p>", "a < b and c > d"),
-    ("<div class='address-adder'>kept</div>", "kept"), ("<style>p{}</style><p>x", "x"), ("<article><p>a\u00a0 b</p>", "a\u00a0 b"),
+    ("<div class='address-adder'>kept</div>", "kept"), ("<article><div class='post-header'><h1>T</h1></div><p>x</article>", "T\n\nx"),
+    ("<body><div class='site-header'>S</div><p>x</p></body>", "x"), ("<style>p{}</style><p>x", "x"), ("<article><p>a\u00a0 b</p>", "a\u00a0 b"),
 ])
 def test_extract(html, text):
     assert hx.extract(html) == text

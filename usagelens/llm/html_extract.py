@@ -82,7 +82,8 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if name in ("class", "id", "role") and MARKS.search(value):
+        mark = MARKS.search(value) if name in ("class", "id", "role") else None
+        if mark and not (inside and "head" in mark[0].lower()):     # an article's own heading may stand in a header
             return True
     return False
 

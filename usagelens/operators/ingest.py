@@ -354,9 +354,16 @@ def increments(df: DataFrame, unit: str = "hour", col: str = "ingest_ts") -> Dat
             .agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
 
 
+NO_RECORDS = "(0) Records Found!"  # fixed value: text of an empty export
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
     """Header, '"'-quoting with doubled quotes, empty/NULL written as 0,
-    any charset the JVM knows (e.g. GB2312)."""
+    any charset the JVM knows (e.g. GB2312).  Without records the export is
+    one line that says so."""
+    if df.isEmpty():
+        df.sparkSession.range(1).select(F.lit(NO_RECORDS)).coalesce(1).write.mode("overwrite").text(path)
+        return
     out = df.select(*[F.coalesce(F.when(F.col(c).cast("string") == "", F.lit("0"))
                                  .otherwise(F.col(c).cast("string")), F.lit("0")).alias(c)
                       for c in df.columns])

@@ -177,6 +177,44 @@ def ingest_increments(i: Inputs):
     return IN.increments(i.launch)
 
 
+WINDOW_STARTS = [f"2024-01-{d:02d}" for d in (1, 8, 15, 22, 29)] + ["2024-02-05"]  # fixed values: weekly ingest windows
+
+
+@query("ingest_window_parts", "\nUNION ALL\n".join(
+    f"SELECT DATE '{a}' AS window_start, CAST(count(*) AS BIGINT) AS rows FROM launch "
+    f"WHERE ingest_ts >= TIMESTAMP '{a}' AND ingest_ts < TIMESTAMP '{b}'"
+    for a, b in zip(WINDOW_STARTS, WINDOW_STARTS[1:])) + "\nUNION ALL SELECT NULL, CAST(count(*) AS BIGINT) FROM launch")
+def ingest_window_parts(i: Inputs):
+    """Rows of consecutive half-open ingest windows, and of the whole
+    (window_start NULL), which they add up to."""
+    from functools import reduce
+    count = lambda df, start: df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")) \
+        .select(F.lit(start).cast("date").alias("window_start"), "rows")
+    parts = [count(IN.read_increment(i.launch, a, b), a) for a, b in zip(WINDOW_STARTS, WINDOW_STARTS[1:])]
+    return reduce(lambda x, y: x.unionAll(y), [*parts, count(i.launch, None)])
+
+
+@query("export_csv_rows", """
+SELECT CAST(product_id AS VARCHAR) AS product_id, 'a "quoted", ' || event_type AS label,
+  CASE WHEN event_type = 'error' THEN '0' ELSE CAST(count(*) AS VARCHAR) END AS n
+FROM (SELECT l.product_id, e.event_type FROM launch l JOIN events e ON e.event_id = l.launch_id) GROUP BY product_id, event_type
+UNION ALL SELECT NULL, '(0) Records Found!', NULL""")
+def export_csv_rows(i: Inputs):
+    """An export read back (quotes, separators, NULL as 0), and the text
+    of an export without records."""
+    from usagelens.streaming.jobs import work_dir
+    e = i.spark.read.parquet(f"{i.sf_dir}/events.parquet").select(F.col("event_id").alias("launch_id"), "event_type")
+    rows = i.launch.join(e, "launch_id").groupBy("product_id", "event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        "product_id", F.concat(F.lit('a "quoted", '), F.col("event_type")).alias("label"),
+        F.when(F.col("event_type") != "error", F.col("n")).alias("n"))
+    wd = work_dir(i.spark, "export")
+    IN.export_csv(rows, f"{wd}/full")
+    IN.export_csv(rows.where("false"), f"{wd}/empty")
+    back = i.spark.read.schema("product_id string, label string, n string").option("header", True).option("escape", '"').csv(f"{wd}/full")
+    none = F.lit(None).cast("string")
+    return back.unionAll(i.spark.read.text(f"{wd}/empty").select(none, "value", none))
+
+
 # ---------------------------------------------------------------------------
 # D*: dimension maintenance (known = ingested before the cut, new = after)
 # ---------------------------------------------------------------------------

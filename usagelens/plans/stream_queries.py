@@ -39,6 +39,17 @@ def stream_daily_counts(i: Inputs):
     return i.spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
 
 
+@query("stream_run_journal", "SELECT 'daily_counts' AS op, CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS rows FROM launch")
+def stream_run_journal(i: Inputs):
+    """The job's journal, one row per micro-batch, summed up."""
+    wd = J.work_dir(i.spark, "journal")
+    rows = launch_stream(i, wd).select("launch_id", "product_id", "device_id", "ts", "d")
+    J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True,
+                        journal_path=f"{wd}/journal").awaitTermination()
+    return i.spark.read.parquet(f"{wd}/journal").groupBy("op").agg(
+        F.count(F.lit(1)).cast("bigint").alias("batches"), F.sum("rows").cast("bigint").alias("rows"))
+
+
 @query("stream_hourly_launches", """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
   product_id, CAST(count(*) AS BIGINT) AS launches FROM launch GROUP BY ALL""")

@@ -28,20 +28,20 @@ def _scoped(df: DataFrame, registry: DataFrame, products: DataFrame | None, scop
 
 
 def today_counts(launch: DataFrame, registry: DataFrame, scope: str = "product",
-                 products: DataFrame | None = None) -> DataFrame:
-    """Launches, devices and new devices of the last day per scope."""
+                 products: DataFrame | None = None, day=None) -> DataFrame:
+    """Launches, devices and new devices of ``day`` (default: the last
+    day in the log) per scope.  One aggregate per device holds its first day
+    and its launches of the day, so the log is read once (and its day column
+    once more if the day is not given)."""
     keys = SCOPES[scope]
     rows = _scoped(launch, registry, products, scope)
-    day = rows.select(F.max("d")).scalar()
-    today = rows.where(F.col("d") == day)
-    counts = today.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("launches"),
-                                      F.countDistinct("device_id").cast("bigint").alias("devices"))
-    new = (rows.where(F.col("d") <= day).groupBy(*keys, "device_id").agg(F.min("d").alias("_first"))
-           .where(F.col("_first") == day).groupBy(*keys)
-           .agg(F.count(F.lit(1)).cast("bigint").alias("new_devices")))
-    return (counts.join(new, keys, "left")
-            .select(*keys, day.alias("d"), "launches", "devices",
-                    F.coalesce("new_devices", F.lit(0)).cast("bigint").alias("new_devices")))
+    day = rows.select(F.max("d")).scalar() if day is None else F.lit(day).cast("date")
+    per_device = (rows.where(F.col("d") <= day).groupBy(*keys, "device_id")
+                  .agg(F.min("d").alias("_first"), F.count(F.when(F.col("d") == day, 1)).alias("_n")))
+    return (per_device.where("_n > 0").groupBy(*keys)
+            .agg(F.sum("_n").cast("bigint").alias("launches"), F.count(F.lit(1)).cast("bigint").alias("devices"),
+                 F.count(F.when(F.col("_first") == day, 1)).cast("bigint").alias("new_devices"))
+            .select(*keys, day.alias("d"), "launches", "devices", "new_devices"))
 
 
 def today_avg_session(pages: DataFrame, registry: DataFrame, scope: str = "product",

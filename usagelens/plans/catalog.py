@@ -45,7 +45,7 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
-#: staged rollups: (application, input folder, partitions) -> table name
+#: staged tables: (application, kind, partitions, input files) -> table name
 _ROLLUPS: dict[tuple, str] = {}
 
 
@@ -92,15 +92,27 @@ class Inputs:
         aggregate and defeat exchange reuse), and per-device steps find it
         already clustered.
 
-        It is staged once per session, input folder and partition count, and
-        all queries over that input read the same table;
-        :func:`drop_rollups` removes the tables."""
+        It is staged once per session and input, and all queries over that
+        input read the same table; :func:`drop_rollups` removes the tables."""
         from usagelens.operators.kpis import device_partitioned
+        return self._staged("launch_rollup", self.launch, device_partitioned)
+
+    @cached_property
+    def long_keys(self) -> DataFrame:
+        """Device-day keys of the long launch history, staged like the rollup:
+        first launches and return visits read one table, not the log twice."""
+        from usagelens.operators.retention import launch_keys
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self._staged("launch_keys", self.launch_long,
+                            lambda rows: launch_keys(rows).repartition(n, "product_id", "device_id"))
+
+    def _staged(self, kind: str, rows: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
         from usagelens.session import write_bucketed
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.spark.conf.get("spark.sql.shuffle.partitions"))
+        key = (self.spark.sparkContext.applicationId, kind, self.spark.conf.get("spark.sql.shuffle.partitions"),
+               *sorted(rows.inputFiles()))
         name = _ROLLUPS.get(key)
         if name is None or not self.spark.catalog.tableExists(name):
-            _ROLLUPS[key] = name = write_bucketed(device_partitioned(self.launch), ["product_id", "device_id"], "launch_rollup")
+            _ROLLUPS[key] = name = write_bucketed(build(rows), ["product_id", "device_id"], kind)
         return self.spark.table(name)
 
     def kpis(self, grain: str = "product", with_pages: bool = True) -> DataFrame:

@@ -99,7 +99,7 @@ def cohort_size_week(i: Inputs):
 @query("cohort_size_month", cohort_oracle("month", "launch_long"))
 def cohort_size_month(i: Inputs):
     """Monthly cohort sizes over the long launch history."""
-    return RT.cohort_size(i.launch_long, i.active, "month")
+    return RT.cohort_size(i.launch_long, i.active, "month", keys=i.long_keys)
 
 
 @query("retention_day", retention_oracle("day"))
@@ -117,7 +117,7 @@ def retention_week(i: Inputs):
 @query("retention_month", retention_oracle("month", "launch_long"))
 def retention_month(i: Inputs):
     """Month 1-8 retention over the long launch history."""
-    return RT.retention(i.launch_long, i.active, "month")
+    return RT.retention(i.launch_long, i.active, "month", keys=i.long_keys)
 
 
 @query("retention_report_day", f"""
@@ -148,7 +148,7 @@ SELECT * FROM x WHERE version = 'all' AND channel = '2' AND cohort_start >= DATE
 def retention_report_month(i: Inputs):
     """Monthly retention of one channel over all versions; the range
     cuts a month at either end."""
-    return RT.retention_report(RT.retention(i.launch_long, i.active, "month"), channel="2", a="1993-02-10",
+    return RT.retention_report(RT.retention(i.launch_long, i.active, "month", keys=i.long_keys), channel="2", a="1993-02-10",
                                b="1997-06-15", kind="month")
 
 

@@ -151,18 +151,19 @@ def references(rows: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("bin", "n")))), lambda x: x["n"])
     out = sums.where("lang is not null and lang <> '*'").unionAll(total).groupBy("lang") \
         .agg(ordered("classes").alias("ref_classes"), ordered("common").alias("ref_common"))
-    size = F.aggregate("ref_classes", F.lit(0).cast("long"), lambda a, x: a + x)
-    return out.where((F.col("lang") == "*") | (size >= MIN_REFERENCE_CHARS)).withColumnRenamed("lang", "ref")
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    return out.withColumn("ref_chars", total("ref_classes")).withColumn("ref_words", total("ref_common")) \
+        .where((F.col("lang") == "*") | (F.col("ref_chars") >= MIN_REFERENCE_CHARS)).withColumnRenamed("lang", "ref")
 
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (root of the divergence in bits, 0 to 1) of two histograms; null if one is empty."""
-    total = lambda h: F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a + x).cast("double")
+def js_distance(p: Column, p_total: Column, q: Column, q_total: Column) -> Column:
+    """Jensen-Shannon distance (root of the divergence in bits, 0 to 1) of two
+    histograms with their totals; null if one is empty."""
     term = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    share = lambda h: F.transform(h, lambda x: x / total(h))
-    parts = F.zip_with(share(p), share(q), lambda x, y: (term(x, (x + y) / 2) + term(y, (x + y) / 2)) / 2)
+    share = lambda h, n: F.transform(h, lambda x: F.try_divide(x.cast("double"), n))
+    parts = F.zip_with(share(p, p_total), share(q, q_total), lambda x, y: (term(x, (x + y) / 2) + term(y, (x + y) / 2)) / 2)
     sum_ = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(F.least(sum_, F.lit(1.0)), F.lit(0.0))))
+    return F.when((p_total > 0) & (q_total > 0), F.sqrt(F.greatest(F.least(sum_, F.lit(1.0)), F.lit(0.0))))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -176,9 +177,11 @@ def judge(docs: DataFrame) -> DataFrame:
     own = rows.join(refs.where("ref <> '*'"), F.col("lang") == F.col("ref"), "left")
     # the reference of the whole corpus is one row of two short arrays
     whole = refs.where("ref = '*'").select("ref_classes", "ref_common").first()
-    fallback = lambda k: F.lit([int(x) for x in whole[k]] if whole else []).cast("array<long>")
-    out = own.withColumn("char_distance", js_distance(F.col("classes"), F.coalesce("ref_classes", fallback(0)))) \
-        .withColumn("word_distance", js_distance(F.col("common"), F.coalesce("ref_common", fallback(1))))
+    own_or = lambda c, k: F.coalesce(c, F.lit([int(x) for x in whole[k]] if whole else []).cast("array<long>"))
+    total_or = lambda c, k: F.coalesce(c, F.lit(sum(whole[k]) if whole else 0).cast("long"))
+    # a row's class histogram adds up to its word_chars, its word histogram to its n_words
+    out = own.withColumn("char_distance", js_distance(F.col("classes"), F.col("word_chars"), own_or("ref_classes", 0), total_or("ref_chars", 0))) \
+        .withColumn("word_distance", js_distance(F.col("common"), F.col("n_words"), own_or("ref_common", 1), total_or("ref_words", 1)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     odd_chars = (F.col("word_chars") >= MIN_CHARS_JUDGED) & (F.col("char_distance") > MAX_CHAR_DISTANCE)
     odd_words = (F.col("n_words") >= MIN_WORDS_JUDGED) & (F.col("word_distance") > MAX_WORD_DISTANCE)

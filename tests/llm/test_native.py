@@ -114,11 +114,10 @@ def test_budgets_fill_siblings_before_ancestors(spark):
         assert all(got[k] <= leaf[k] for k in leaf)
 
 
-def test_mix_draws_whole_epochs_and_a_prefix(spark, monkeypatch):
+def test_mix_draws_whole_epochs_and_a_prefix(spark):
     rng = random.Random(32)
     texts = ["word " * rng.randrange(0, 30) for _ in range(300)] + [None, ""]
     df = odd_frame(spark, texts)
-    monkeypatch.setattr(mixing, "SLOT_ROWS", 7)
     out = mixing.mix(df, budget_share=0.9).collect()
     n = {k: len((t or "").split()) for k, t in enumerate(texts)}
     rows = [(r.domain, r.lang, r.source, r.n_tokens, r.doc_id) for r in mixing.leaf_rows(df).collect()]

@@ -9,8 +9,9 @@ siblings.  Each level is one closed-form water filling over window sums.
 
 A leaf spends its budget in seeded epochs: whole epochs take all its documents,
 and the last one a prefix of a seeded order, as many whole documents as fit.
-The prefix is found by sums per slot of the order, then inside one slot only;
-no leaf, however large, is sorted in one task.
+The prefix is found by sums per slot of the order, then inside one slot only.
+A leaf of n documents has about the root of n slots, and a slot as many
+documents, so no leaf, however large, is sorted in one task.
 
 Rows: null domains, languages and sources form nodes of their own, ``(none)``.
 A null or blank text has no tokens.  Documents of a leaf without any token are
@@ -30,8 +31,6 @@ SEED = 42
 MAX_EPOCHS = 4
 #: tokens to draw, as a share of the tokens there are
 BUDGET_SHARE = 0.8
-#: documents of a leaf that share a slot of the seeded order
-SLOT_ROWS = 4096
 # Production parameters: the domain of each source, and weights by level (1 where none is given).
 DOMAINS = {f"src{k}": d for d, ks in (("web", range(10)), ("books", range(10, 15)), ("code", range(15, 18))) for k in ks}
 OTHER_DOMAIN = "reference"
@@ -117,7 +116,7 @@ def plan(rows: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int =
     leaf = budgets(leaves, total, weights) \
         .withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long"))
     leaf = leaf.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")) \
-        .withColumn("slots", F.ceil(F.col("n_rows") / SLOT_ROWS).cast("long"))
+        .withColumn("slots", F.ceil(F.sqrt("n_rows")).cast("long"))     # as many slots as documents in one
     leaf = stage(leaf, "mix_budgets")
     last = rows.join(leaf.where("rest > 0").select(*LEVELS, "epochs", "rest", "slots"), list(LEVELS)) \
         .withColumn("key", order_key(F.col("epochs"), seed)).withColumn("slot", slot_of(F.col("key"), F.col("slots")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from usagelens.llm import (
@@ -95,10 +96,63 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@query("op9_quality_rules")
+def _quality_sql() -> str:
+    space, q = r"[\x20\x09-\x0D]", quality
+    count = lambda cls: f"length(t) - length(regexp_replace(t, '{cls}', '', 'g'))"
+    classes = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "beyond_ascii": r"[^\x00-\x7F]", "point": r"[.,;:!?''\"()-]",
+               "symbol": "[#*$%&|<>]"}
+    bins = ", ".join(f"('{w.decode()}', {k})" for w, k in q._BINS.items())
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '(none)') AS lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents)
+), win AS (
+  SELECT doc_id, p, list_slice(w, p, p + 4) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d)
+), rep AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (
+    SELECT doc_id, unnest(range(p, p + 5)) AS q FROM win JOIN (SELECT doc_id, k FROM win GROUP BY ALL HAVING count(*) > 1) USING (doc_id, k))
+  GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{space}', '', 'g'))::BIGINT AS word_chars,
+         ({count(classes["symbol"])})::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, {", ".join(f"{count(c)} AS c_{n}" for n, c in classes.items())}
+  FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id
+), h AS (
+  SELECT doc_id, lang, 'c' AS kind, bin, n FROM (
+    SELECT doc_id, lang, unnest([{", ".join(f"'{n}'" for n in classes)}, 'other']) AS bin,
+           unnest([{", ".join(f"c_{n}" for n in classes)}, word_chars - {" - ".join(f"c_{n}" for n in classes)}]) AS n FROM base)
+  UNION ALL
+  SELECT doc_id, lang, 'w', coalesce(b.bin, 0)::VARCHAR, count(*) FROM (
+    SELECT doc_id, lang, trim(lower(unnest(w)), '.,;:!?''"()-#*$%&|<>') AS word FROM d) x
+  LEFT JOIN (VALUES {bins}) AS b(word, bin) ON b.word = x.word GROUP BY ALL
+), langs AS (
+  SELECT lang, CASE WHEN sum(word_chars) >= {q.MIN_REFERENCE_CHARS} AND lang <> '(none)' THEN lang ELSE '*' END AS ref FROM base GROUP BY lang
+), r AS (
+  SELECT lang AS ref, kind, bin, sum(n) AS n FROM h GROUP BY ALL UNION ALL SELECT '*', kind, bin, sum(n) FROM h GROUP BY ALL
+), ps AS (
+  SELECT doc_id, ref, kind, bin, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM h JOIN langs USING (lang) WHERE n > 0
+), qs AS (
+  SELECT ref, kind, bin, n / sum(n) OVER (PARTITION BY ref, kind) AS q FROM r
+), js AS (
+  SELECT doc_id, kind, sqrt(greatest(0, least(1, sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) / 2 + (1 - sum(q)) / 2))) AS dist
+  FROM ps JOIN qs USING (ref, kind, bin) GROUP BY ALL
+), v AS (
+  SELECT base.*, c.dist AS cd, x.dist AS wd, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM base LEFT JOIN js c ON c.doc_id = base.doc_id AND c.kind = 'c' LEFT JOIN js x ON x.doc_id = base.doc_id AND x.kind = 'w'
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance, base_failed,
+       NOT base_failed AND NOT coalesce(word_chars >= {q.MIN_CHARS_JUDGED} AND cd > {q.MAX_CHAR_DISTANCE}, FALSE)
+       AND NOT coalesce(n_words >= {q.MIN_WORDS_JUDGED} AND wd > {q.MAX_WORD_DISTANCE}, FALSE) AS kept
+FROM v
+"""
+
+
+@query("op9_quality_rules", _quality_sql())
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances from the language's reference, and the verdict of every document."""
-    return quality.judge(table(spark, sf_dir, "documents")).drop("tag")
+    return quality.judge(table(spark, sf_dir, "documents")).drop("tag") \
+        .withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 @query("op10_simhash_near_dedup")

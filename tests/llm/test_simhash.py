@@ -87,6 +87,27 @@ def test_links_connect_all_pairs_within_distance(d):
     assert sorted(min(g) for g in groups.values() for _ in g) == sorted(want)
 
 
+def test_dense_groups_hand_on_few_links():
+    """Hundreds of copies within three bits of each other: links grow with the copies, not with their pairs."""
+    rng = random.Random(9)
+    center = rng.getrandbits(64)
+    prints = list({center ^ sum(1 << x for x in rng.sample(range(64), rng.randrange(0, 2))) for _ in range(400)}
+                  | {center ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)})
+    f, seen, kept = np.array(prints, np.uint64), set(), set()
+    for bucket in range(16):
+        pairs = simhash.bucket_links(f, bucket, 4, 3)
+        tree = simhash.forest(pairs)
+        assert len(tree) < len(f)
+        seen |= {tuple(p) for p in pairs.tolist()}
+        kept |= {tuple(p) for p in tree.tolist()}
+    assert {x for p in kept for x in p} == {x for p in seen for x in p} == set(prints)
+    assert len(kept) <= 4 * len(prints)
+
+
+def test_forest_of_no_pairs():
+    assert simhash.forest(np.zeros((0, 2), np.uint64)).shape == (0, 2)
+
+
 def test_components_of_paths_and_stars(spark):
     n = 60
     path = [(k, k + 1) for k in range(n)]

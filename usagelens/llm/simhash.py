@@ -11,9 +11,11 @@ their true distance.
 * The bucket of a variant is linear in its bits, ``B(f ^ m) = B(f) ^ B(m)``.
   So a task ships the fingerprint once per bucket, and the bucket enumerates
   exactly those masks whose variants fall into it.
-* In a group of equal variants all link to the nearest fingerprint, a star
-  instead of all pairs.  Radii add up to ``d`` at most, so every link is true,
-  and any pair within ``d`` bits is connected through the group it meets in.
+* In a group of equal variants all link to the smallest fingerprint that lies
+  within the smaller half, a star instead of all pairs.  Radii add up to ``d``
+  at most, so every link is true, and any pair within ``d`` bits is connected
+  through the group it meets in.  A bucket then hands on a spanning forest of
+  its links, at most one per fingerprint, however dense a group of copies is.
 
 Links join into components by alternating large-star and small-star steps,
 each written to the shared checkpoint folder.
@@ -120,6 +122,7 @@ def _emit(bits: int, distance: int):
 
 def bucket_links(fps: np.ndarray, bucket: int, bits: int, distance: int) -> np.ndarray:
     """Verified links (n x 2, uint64) among fingerprints whose variants meet in this bucket."""
+    fps = np.sort(fps)
     masks, flips = ball(distance)
     kind = linear_bucket(masks, bits)
     home = linear_bucket(fps, bits)
@@ -141,9 +144,9 @@ def bucket_links(fps: np.ndarray, bucket: int, bits: int, distance: int) -> np.n
     v = value[at]
     begin = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
     size = np.diff(np.concatenate((begin, [len(at)])))
-    near = np.minimum.reduceat((radius[at] << 40) | owner[at], begin)
-    lead_radius, lead = np.repeat(near >> 40, size), np.repeat(near & ((1 << 40) - 1), size)
-    use = (lead_radius + radius[at] <= distance) & (lead != owner[at])
+    none = len(fps)
+    lead = np.repeat(np.minimum.reduceat(np.where(radius[at] <= distance // 2, owner[at], none), begin), size)
+    use = (lead != none) & (lead != owner[at])
     a, b = fps[lead[use]], fps[owner[at][use]]
     true = np.bitwise_count(a ^ b) <= distance
     pairs = np.stack([np.minimum(a, b)[true], np.maximum(a, b)[true]], axis=1)
@@ -151,15 +154,32 @@ def bucket_links(fps: np.ndarray, bucket: int, bits: int, distance: int) -> np.n
     return pairs[np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))] if len(pairs) else pairs
 
 
+def forest(pairs: np.ndarray) -> np.ndarray:
+    """Pairs (root, member) that connect what ``pairs`` connect: one per member, the root is the smallest."""
+    node, place = np.unique(pairs, return_inverse=True)
+    place = place.reshape(-1, 2)
+    root = np.arange(len(node))
+    while True:
+        ends = root[place]
+        low, high = ends.min(axis=1, initial=len(node)), ends.max(axis=1, initial=0)
+        if (low >= high).all():
+            break
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    member = np.flatnonzero(root != np.arange(len(node)))
+    return np.stack([node[root[member]], node[member]], axis=1)
+
+
 def links(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """Distinct links (a, b) that connect all of ``nodes.fp`` within ``distance`` bits."""
+    """Distinct pairs (a, b) that connect all of ``nodes.fp`` within ``distance`` bits of each other."""
     n = nodes.count()
     n_masks = len(ball(distance)[0])
     bits = max(MIN_BUCKETS.bit_length() - 1, (n * n_masks // BUCKET_VARIANTS).bit_length())
 
     def meet(table: pa.Table) -> pa.Table:
         f = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
-        found = bucket_links(f, table.column("bucket")[0].as_py(), bits, distance).view(np.int64)
+        found = np.ascontiguousarray(forest(bucket_links(f, table.column("bucket")[0].as_py(), bits, distance))).view(np.int64)
         return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
     return nodes.select("fp").mapInArrow(_emit(bits, distance), "bucket int, fps binary") \

@@ -130,9 +130,14 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _MEASURES.split(", ")])
 
 
+def _tag() -> Column:
+    """Tells rows of one id apart by what a verdict depends on."""
+    return F.xxhash64("text", F.col("lang").cast("string"))
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """Counts and histograms of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"),
                        F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text")) \
         .mapInArrow(_measure, _MEASURES)
 
@@ -191,7 +196,12 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns as they were."""
-    good = stage(judge(docs).where("kept").select("doc_id", "tag").distinct(), "kept")
-    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tag"))
-    return row.join(good, row.id.eqNullSafe(good.doc_id) & (row.tag == good.tag), "left_semi").select("row.*")
+    """The rows of ``docs`` that the rules keep, with their columns as they were.
+
+    A verdict depends on text and language only, so rows are matched by id and
+    both.  The rejected rows, the smaller set, are joined: Spark broadcasts
+    them where their measured size allows, and the texts are not shuffled.
+    """
+    bad = stage(judge(docs).where("not kept").select("doc_id", "tag").distinct(), "rejected")
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), _tag().alias("tag"))
+    return row.join(bad, row.id.eqNullSafe(bad.doc_id) & (row.tag == bad.tag), "left_anti").select("row.*")

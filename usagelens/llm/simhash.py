@@ -199,7 +199,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "large_star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")) \
@@ -231,12 +230,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: one of each component, its smallest id, stays."""
-    chosen = assign(docs, shingle, distance).groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("row")).select("row.doc_id", "row.tag")
-    chosen = stage(chosen, "kept")
+    """The rows of ``docs`` without near-duplicates: one of each component, its smallest id, stays.
+
+    The rows to drop are the smaller set, so they are joined: Spark broadcasts
+    their ids where the measured size allows, and the texts are not shuffled.
+    """
+    rows = stage(assign(docs, shingle, distance).select("class", F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "tag").alias("row")), "classes")
+    best = rows.groupBy("class").agg(F.min("row").alias("best"))
+    dropped = stage(rows.join(best, "class").where(~F.col("row").eqNullSafe(F.col("best"))).select("row.doc_id", "row.tag").distinct(), "dropped")
     row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tag"))
-    kept = row.join(chosen, row.id.eqNullSafe(chosen.doc_id) & (row.tag == chosen.tag), "left_semi")
+    kept = row.join(dropped, row.id.eqNullSafe(dropped.doc_id) & (row.tag == dropped.tag), "left_anti")
     if has_repeated_ids(docs):      # the chosen row may itself be repeated
         kept = kept.groupBy("id", "tag").agg(F.min_by("row", F.struct("row.lang", "row.source", "row.n_chars")).alias("row")) \
             if {"lang", "source", "n_chars"} <= set(docs.columns) else kept.groupBy("id", "tag").agg(F.first("row").alias("row"))

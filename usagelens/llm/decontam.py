@@ -48,14 +48,15 @@ def item_grams(items: DataFrame, width: int = MIN_MATCH) -> DataFrame:
     at = w.where(F.col("n_item") >= width).select("item_id", "n_item", "words", F.posexplode_outer("words").alias("q", "w0"))
     return at.where(F.col("q") <= F.col("n_item") - width).select(
         "item_id", "n_item", "q", F.array(*_gram("words", F.col("q"), width)).alias("gram"),
-        F.xxhash64(*_gram("words", F.col("q"), width)).alias("hash")).distinct()
+        F.xxhash64(*_gram("words", F.col("q"), width)).alias("hash"))
 
 
 def seeds(docs: DataFrame, items: DataFrame, width: int = MIN_MATCH) -> DataFrame:
     """(doc_id, tag, item_id, n_item, p, q): equal grams at word p of the document and word q of the item.
 
     Item grams are staged, so that Spark knows their size: it broadcasts them
-    below its threshold and shuffles both sides above it.
+    below its threshold and shuffles both sides above it.  A position of a
+    document joins with its own five words only, never with the whole text.
     """
     grams = stage(item_grams(items, width), "item_grams")
     w = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag"),
@@ -64,7 +65,8 @@ def seeds(docs: DataFrame, items: DataFrame, width: int = MIN_MATCH) -> DataFram
     at = w.select("doc_id", "tag", "words", F.posexplode_outer("words").alias("p", "w0")) \
         .where(F.get("words", F.col("p") + (width - 1)).isNotNull())
     own = _gram("words", F.col("p"), width)
-    return at.join(grams, (F.xxhash64(*own) == grams.hash) & (F.array(*own) == grams.gram)) \
+    own = at.select("doc_id", "tag", "p", F.xxhash64(*own).alias("own_hash"), F.array(*own).alias("own_gram"))
+    return own.join(grams, (F.col("own_hash") == grams.hash) & (F.col("own_gram") == grams.gram)) \
         .select("doc_id", "tag", "item_id", "n_item", "p", "q").distinct()
 
 

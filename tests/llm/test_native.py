@@ -70,6 +70,27 @@ def test_licence_scattered_words_are_no_notice(spark):
     assert licenses.scan(frame(spark, [text])).first().labels == ""
 
 
+def test_licence_notices_repeated_in_a_row(spark):
+    """Back-to-back copies, whole and with a word put in, are found however many there are."""
+    cases = [(label, n, k, edit) for label, n in licenses.NOTICES for k in (1, 2, 3, 500) for edit in (False, True)]
+    texts = []
+    for _, n, k, edit in cases:
+        w = n.split()
+        texts.append(" ".join(["before", *((w[:len(w) // 2] + ["really"] * edit + w[len(w) // 2:]) * k), "after"]))
+    rows = {r.doc_id: r for r in licenses.scan(frame(spark, texts)).collect()}
+    once = {}
+    for i, (label, n, k, edit) in enumerate(cases):
+        got = rows[i].labels.split(","), rows[i].score
+        if k == 1:
+            once[n, edit] = got
+        if not edit:
+            assert label in got[0] and got[1] == 1.0, (n, k)
+        assert set(once[n, edit][0]) <= set(got[0]) and got[1] >= once[n, edit][1], (n, k, edit)
+    scattered = " ".join(f"{a} {b} {c} x y z" for _, n in licenses.NOTICES[:1] for w in [n.split()] for a, b, c in zip(w, w[1:], w[2:]))
+    place = licenses.spans(frame(spark, ["one " * 50 + (licenses.NOTICES[10][1] + "\n") * 9, scattered])).collect()
+    assert [(r.doc_id, r.label, r.first_word >= 50, r.last_word - r.first_word + 1 <= 12) for r in place] == [(0, "cc-by", True, True)]
+
+
 # --- mixing -----------------------------------------------------------------------------------------
 
 def water(total, caps, weights):

@@ -6,7 +6,9 @@ hashed and joined to the template positions with the same hash.  A hit votes
 for the diagonal ``text position - template position``; votes are gathered per
 diagonal as a bit set of matched template positions.  Neighbouring diagonals
 (a word was inserted or left out) merge, and a merged span is verified: it must
-cover enough of the template's words within a span of plausible length.
+cover enough of the template's words within a span of plausible length.  Copies
+of a short notice that follow one another merge into a span longer than that;
+it is judged by the stretch of plausible length that covers most.
 
 Phrases ("mit license") must match whole on one diagonal; every such diagonal
 is a place.  Notices are the opening words of common licence texts; their hits
@@ -106,8 +108,20 @@ def votes(docs: DataFrame) -> DataFrame:
         .agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("bits"), F.min("p").alias("first"), F.max("p").alias("last"))
 
 
+def _stretches(diagonals: Column, longest: Column, n_template: Column) -> Column:
+    """For every diagonal of a span, in order of its first hit: template positions matched from there on within ``longest`` words.
+
+    Hits within ``longest`` words lie on fewer than ``longest + n_template`` diagonals, so no more are looked at.
+    """
+    def stretch(x, i):
+        within = F.filter(F.slice(diagonals, i + 1, longest + n_template), lambda y: y["last"] - x["first"] + 1 <= longest)
+        bits = F.aggregate(within, F.lit(0).cast("long"), lambda a, y: a.bitwiseOR(y["bits"]))
+        return F.struct(F.bit_count(bits).alias("n"), (-x["first"]).alias("from"), F.array_max(F.transform(within, lambda y: y["last"])).alias("to"))
+    return F.transform(diagonals, stretch)
+
+
 def spans(docs: DataFrame) -> DataFrame:
-    """Verified places: doc_id, tag, label, phrase, first_word, last_word (of the span), coverage."""
+    """Verified places, one per template and run of neighbouring diagonals: doc_id, tag, label, phrase, first_word, last_word (of the span), coverage."""
     v = votes(docs).withColumn("n", F.bit_count("bits"))
     places = v.where("phrase and n = votes").select(
         "doc_id", "tag", "label", "phrase", F.col("diagonal").cast("long").alias("first_word"),
@@ -117,12 +131,15 @@ def spans(docs: DataFrame) -> DataFrame:
         .withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(own) > GAP).cast("int"), F.lit(1))) \
         .withColumn("span", F.sum("new").over(own))
     merged = near.groupBy("doc_id", "tag", "template", "label", "votes", "n_template", "span") \
-        .agg(F.bit_or("bits").alias("bits"), F.min("first").alias("first"), (F.max("last") + 2).alias("last")) \
-        .withColumn("coverage", F.bit_count("bits") / F.col("votes"))
-    notices = merged.where((F.col("coverage") >= MIN_COVERAGE)
-                           & (F.col("last") - F.col("first") + 1 <= MAX_STRETCH * F.col("n_template"))) \
-        .select("doc_id", "tag", "label", F.lit(False).alias("phrase"), F.col("first").cast("long").alias("first_word"),
-                F.col("last").cast("long").alias("last_word"), "coverage")
+        .agg(F.bit_or("bits").alias("bits"), F.min("first").alias("first"), (F.max("last") + 2).alias("last"),
+             F.array_sort(F.collect_list(F.struct("first", (F.col("last") + 2).alias("last"), "bits"))).alias("diagonals")) \
+        .where(F.bit_count("bits") / F.col("votes") >= MIN_COVERAGE)
+    longest = F.col("n_template") * MAX_STRETCH
+    whole = F.struct(F.bit_count("bits").alias("n"), (-F.col("first")).alias("from"), F.col("last").alias("to"))
+    best = F.when(F.col("last") - F.col("first") + 1 <= longest, whole).otherwise(F.array_max(_stretches(F.col("diagonals"), longest, F.col("n_template"))))
+    notices = merged.select("doc_id", "tag", "label", "votes", best.alias("best")).where(F.col("best.n") / F.col("votes") >= MIN_COVERAGE) \
+        .select("doc_id", "tag", "label", F.lit(False).alias("phrase"), (-F.col("best.from")).cast("long").alias("first_word"),
+                F.col("best.to").cast("long").alias("last_word"), (F.col("best.n") / F.col("votes")).alias("coverage"))
     return places.unionAll(notices)
 
 

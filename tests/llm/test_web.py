@@ -38,6 +38,33 @@ def test_extract(html, text):
     assert hx.extract(html) == text
 
 
+STORY = "".join(f"<p>The story goes on, part {k}, with words enough to be the most of its page.</p>" for k in range(4))
+STORY_TEXT = "\n\n".join(f"The story goes on, part {k}, with words enough to be the most of its page." for k in range(4))
+
+
+@pytest.mark.parametrize("html", [
+    # comments marked up as articles: beside the story, in it, without a mark
+    f"<body><article>{STORY}</article><article class='comment'><p>first!</p></article></body>",
+    f"<article>{STORY}<article class='comment-12 even'><p>first!</p></article></article>",
+    f"<article>{STORY}<article><p>first!</p></article><div><article><p>me too</p></article></div></article>",
+    f"<article class='post has-sidebar comments-open category-social'>{STORY}</article>",
+    # the articles found are not the story
+    f"<body><main>{STORY}</main><div><article><p>teaser one</p></article><article><p>teaser two</p></article></div></body>",
+    f"<body><main><article>{STORY}</article></main><div><article><p>teaser</p></article></div></body>",
+    # parts of the story are articles, the outer one only wraps them; the story's article is most of the body
+    "<article>" + re.sub("(<p>.*?</p>)", r"<article>\1</article>", STORY) + "</article>",
+    f"<body><p>Short line</p><article>{STORY}</article></body>", f"<body><main hidden><p>old</p></main><article>{STORY}</article></body>",
+])
+def test_articles_that_are_no_story(html):
+    assert hx.extract(html) == STORY_TEXT
+
+
+@pytest.mark.parametrize("whole", ["<main>{}</main>", "<body><div>{}</div></body>"])
+def test_story_beside_teaser_articles_stays(whole):
+    text = hx.extract(whole.format(STORY + "<div><article><p>teaser</p></article><article class='comment'>no</article></div>"))
+    assert text == STORY_TEXT + "\n\nteaser"
+
+
 def test_site_templates_go_and_articles_stay(spark):
     rng = random.Random(61)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))

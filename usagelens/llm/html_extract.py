@@ -12,8 +12,10 @@ stands in.  Two things go:
 What an ``article`` or ``main`` element holds is the article itself, so inside
 it only whole containers (``div``, ``section``, ``ul``, ``table`` ...) can be
 templates, never single headings, paragraphs or list items; a page that was
-copied within its site keeps its text.  If a page has an article, only that is
-text; else ``main``; else the body.
+copied within its site keeps its text.  The articles are the text if they hold
+at least half of what stands in ``main`` (or the body) outside links; else all
+of ``main`` (or the body) is.  An article within an article is a reader's
+comment or the like and goes, unless such articles hold most of the outer one.
 
 Rows: null or blank html gives an empty text.  A null URL belongs to the host
 ``''``.  Copies of a page count as one page when templates are sought, so a
@@ -61,6 +63,8 @@ MARKS = re.compile(
     r"skip-link|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# Classes of an article that tell of its state or subject, not that it is a comment or an advert.
+STATES = re.compile(r"(?<!\S)(?:(?:has|with|no|category|tag|type|format|status)-\S+|\S+-(?:open|closed|enabled|disabled))(?!\S)", re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
@@ -76,12 +80,16 @@ class Element:
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not inside):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body"):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
+        if tag == "main":
+            continue
+        if tag == "article":
+            value = STATES.sub("", value)
         mark = MARKS.search(value) if name in ("class", "id", "role") else None
         if mark and not (inside and "head" in mark[0].lower()):     # an article's own heading may stand in a header
             return True
@@ -187,21 +195,46 @@ def subtree_hashes(page: str) -> list[int]:
     return [h - (1 << 64) if h >> 63 else h for h in out]
 
 
+def _outermost(root: Element, want: str, barrier: str = "") -> list[Element]:
+    """The outermost elements ``want`` below ``root``, those in a ``barrier`` aside."""
+    found, stack = [], [c for c in reversed(root.children) if isinstance(c, Element)]
+    while stack:
+        e = stack.pop()
+        if e.skip:
+            continue
+        if e.tag == want:
+            found.append(e)
+        elif e.tag != barrier:
+            stack.extend(c for c in reversed(e.children) if isinstance(c, Element))
+    return found
+
+
+def _size(top: Element, without: tuple = ()) -> int:
+    """Characters of text in an element, that in elements ``without`` aside."""
+    n, stack = 0, list(top.children)
+    while stack:
+        e = stack.pop()
+        if isinstance(e, str):
+            n += len(e) if not e.isspace() else 0
+        elif not e.skip and e.tag not in without:
+            stack.extend(e.children)
+    return n
+
+
 def _content(root: Element) -> list[Element]:
-    """Where the text is: the outermost articles, else main, else the body or all."""
-    for want in ("article", "main", "body"):
-        found, stack = [], [root]
-        while stack:
-            e = stack.pop()
-            if e.skip:
-                continue
-            if e.tag == want:
-                found.append(e)
-            else:
-                stack.extend(c for c in reversed(e.children) if isinstance(c, Element))
-        if found:
-            return found
-    return [root]
+    """Where the text is: main, else the body or all; of it the outermost articles, if they hold most of its text."""
+    whole = [e for e in _outermost(root, "main", "article") if _size(e)] or _outermost(root, "body") or [root]
+    articles = [a for e in whole for a in _outermost(e, "article")]
+    for a in articles:
+        nested = _outermost(a, "article")
+        if nested and 2 * _size(a, ("article",)) >= _size(a):
+            for e in nested:
+                e.skip = True
+    if articles:
+        rest = sum(_size(e, ("a", "article")) for e in whole)
+        if sum(_size(a, ("a",)) for a in articles) >= rest:
+            return articles
+    return whole
 
 
 def extract(page: str | None, templates: frozenset = frozenset()) -> str:

@@ -89,6 +89,29 @@ def test_site_templates_go_and_articles_stay(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_templates_of_large_hosts_and_copied_stories(spark):
+    rng = random.Random(62)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    notes = [f"<div><p>Notice {k} of six</p><script>track({k})</script></div>" for k in range(6)]
+    rows, want = [], {}
+    for k in range(120):            # each notice stands on a sixth of the host, the section's box on a twelfth; both carry counters
+        own = f"{word()} {word()}"
+        note = notes[k % 6].replace("track(", f"track({k}")
+        side = "<ul><li>Section one</li></ul>" if k < 10 else ""
+        rows.append((k, f"https://big.test/{k}", f"<body><div>{own}</div>{note}{side}</body>"))
+        want[k] = own
+    story = "<h1>Same</h1><p>The copied</p><p>story text</p>"
+    for k in range(200, 240):       # one story: only script, comment and advert differ
+        rows.append((k, f"https://copy.test/{k}", f"<body><script>track({k})</script><!-- ad {k} --><div class='ad'>buy {k}</div>{story}</body>"))
+        want[k] = "Same\n\nThe copied\n\nstory text"
+    for k in range(300, 360):       # one story under rotating notices, which stand on other pages too
+        own = word()
+        rows.append((k, f"https://mix.test/{k}", f"<body>{story if k < 330 else f'<p>{own}</p>'}{notes[k % 2]}</body>"))
+        want[k] = "Same\n\nThe copied\n\nstory text" if k < 330 else own
+    got = {r.page_id: r.text for r in hx.main_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
 def test_odd_page_rows(spark):
     rows = [(None, None, None), (1, None, "<p>a"), (1, "nohost", "<p>a"), (2, "http://h.test", ""), (3, "http://h.test", "<div>" * 3000 + "deep" + "x" * 200_000)]
     df = pages(spark, rows).withColumn("host", F.lit("clash")).withColumn("templates", F.lit(1)).withColumn("text", F.lit("x"))

@@ -6,8 +6,8 @@ stands in.  Two things go:
 * elements that say what they are: menus, headers, footers, sidebars, notices,
   adverts, forms, scripts, styles, comments, by their tag, role, class or id;
 * elements that a site repeats: every element subtree is hashed, Spark counts
-  on how many pages of a host each hash stands, and subtrees that recur on many
-  pages of the host are deleted.
+  on how many pages of a host each hash stands, and subtrees that recur on
+  pages whose remaining text differs are deleted, however large the host is.
 
 What an ``article`` or ``main`` element holds is the article itself, so inside
 it only whole containers (``div``, ``section``, ``ul``, ``table`` ...) can be
@@ -18,8 +18,9 @@ of ``main`` (or the body) is.  An article within an article is a reader's
 comment or the like and goes, unless such articles hold most of the outer one.
 
 Rows: null or blank html gives an empty text.  A null URL belongs to the host
-``''``.  Copies of a page count as one page when templates are sought, so a
-page repeated many times is not its own template.  Only ``page_id``, ``url``
+``''``.  Pages whose text without scripts, comments and unwanted elements is
+equal count as one page when templates are sought, and so do pages that differ
+in recurring elements only: a page repeated many times is not its own template.  Only ``page_id``, ``url``
 and ``html`` are read.
 """
 
@@ -35,9 +36,8 @@ from pyspark.sql import functions as F
 
 from usagelens.llm.common import ascii_lower, stage
 
-#: a subtree is a template if it stands on so many pages and such a share of its host's pages
+#: a subtree is a template if it stands on pages of its host with so many different texts besides what recurs
 MIN_PAGES = 10
-MIN_SHARE = 0.2
 
 # HTML elements by what they do to text.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -175,24 +175,57 @@ def hash_subtrees(root: Element) -> None:
     for e in reversed(order):       # children before parents
         parts = [e.tag]
         for c in e.children:
-            parts.append(f"<{c.hash:x}>" if isinstance(c, Element) else SPACE.sub(" ", c).strip())
+            if not isinstance(c, Element):
+                parts.append(SPACE.sub(" ", c).strip())
+            elif not c.skip:        # a script's counter or an advert makes no other subtree
+                parts.append(f"<{c.hash:x}>")
         e.hash = xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
 
 
-def subtree_hashes(page: str) -> list[int]:
-    """Distinct hashes of the page's subtrees that can be templates (those already unwanted aside)."""
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _digest(texts: list[str]) -> int:
+    """Hash of texts but for their white space; 0 without any."""
+    text = SPACE.sub(" ", " ".join(texts)).strip(" ")
+    return _signed(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))) if text else 0
+
+
+def subtrees(page: str) -> tuple[int, list[int], list[int], list[int]]:
+    """The page's text as a hash, and in order of the page the subtrees that can be templates (those already unwanted aside).
+
+    Subtree 0 is the page.  Lists: hash, number of the subtree around it, hash of the text that stands in no smaller subtree.
+    """
     root = parse(page)
     hash_subtrees(root)
-    out: dict[int, None] = {}
-    stack = [root]
+    hashes, around, own, words = [0], [-1], [[]], []
+    stack: list = [(root, 0)]
     while stack:
-        e = stack.pop()
+        e, k = stack.pop()
+        if isinstance(e, str):
+            own[k].append(e)
+            words.append(e)
+            continue
         if e.skip:
             continue
         if may_be_template(e):
-            out[e.hash] = None
-        stack.extend(c for c in e.children if isinstance(c, Element))
-    return [h - (1 << 64) if h >> 63 else h for h in out]
+            hashes.append(_signed(e.hash))
+            around.append(k)
+            own.append([])
+            k = len(own) - 1
+        stack.extend((c, k) for c in reversed(e.children))
+    return _digest(words), hashes, around, [_digest(x) for x in own]
+
+
+def rest_of(hashes: list[int], around: list[int], own: list[int], gone: set[int]) -> int:
+    """Hash of the page's text outside the subtrees ``gone``; 0 without any."""
+    out, kept = [], []
+    for h, k, x in zip(hashes, around, own):
+        out.append(k >= 0 and (out[k] or h in gone))
+        if x and not out[-1]:
+            kept.append(f"{x:x}")
+    return _digest(kept)
 
 
 def _outermost(root: Element, want: str, barrier: str = "") -> list[Element]:
@@ -281,27 +314,50 @@ def host_of(url: Column) -> Column:
     return ascii_lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[\s\S]*?://([^/?#]*)", 1))
 
 
-def _hashes(batches):
+_SUBTREES = "host string, tag long, content long, hashes array<long>, around array<long>, own array<long>"
+
+
+def _subtrees(batches):
     for b in batches:
-        rows = [subtree_hashes(t or "") for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["host", "page", "hashes"])
+        rows = [subtrees(t or "") for t in b.column(2).to_pylist()]
+        cols = [b.column(0), b.column(1), pa.array([r[0] for r in rows], pa.int64())]
+        cols += [pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2, 3)]
+        yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _SUBTREES.split(", ")])
+
+
+def _rests(batches):
+    for b in batches:
+        rows = zip(*(b.column(k).to_pylist() for k in range(1, 5)))
+        rest = [rest_of(h, a, o, set(g)) for h, a, o, g in rows]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(4), pa.array(rest, pa.int64())], names=["host", "gone", "rest"])
+
+
+def _found(rows: DataFrame, key: str, among: DataFrame, name: str) -> DataFrame:
+    """host, key and the distinct hashes of the row that stand in ``among`` (host, hash); rows without any aside."""
+    each = rows.select("host", key, F.explode(F.array_distinct(F.slice("hashes", 2, F.size("hashes")))).alias("hash"))
+    return each.join(among, ["host", "hash"]).groupBy("host", key).agg(F.collect_list("hash").alias(name))
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): hashes of subtrees that recur on many different pages of a host.
+def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, tag, templates): hashes of a page's subtrees that are templates of its host; ``tag`` is the html's xxhash64.
 
-    A page has few subtrees and a template stands on a fifth of the pages, so a
-    host's list is bounded by five times the subtrees of a page.
+    A subtree is one if the pages it stands on have ``min_pages`` different
+    texts besides the subtrees that recur on as many pages.  Pages without any are left out.
     """
     p = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    seen = p.select("host", "html", F.xxhash64("html").alias("page")).mapInArrow(_hashes, "host string, page long, hashes array<long>")
-    # copies of one page on a host count once
-    seen = stage(seen.groupBy("host", "page").agg(F.any_value("hashes").alias("hashes")), "subtrees")
-    size = seen.groupBy("host").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
-    count = seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")) \
-        .where(F.col("n") >= min_pages)
-    return count.join(size, "host").where(F.col("n") >= F.col("n_pages") * min_share) \
-        .groupBy("host").agg(F.collect_list("hash").alias("templates"))
+    seen = p.select("host", F.xxhash64("html").alias("tag"), "html").mapInArrow(_subtrees, _SUBTREES)
+    lists = F.struct("hashes", "around", "own")
+    seen = stage(seen.groupBy("host", "tag").agg(F.any_value(F.struct("content", lists.alias("lists"))).alias("x"))
+                 .select("host", "tag", "x.content", "x.lists.*"), "subtrees")
+    # pages of equal text count once
+    once = stage(seen.groupBy("host", "content").agg(F.min_by(lists, "tag").alias("x")).select("host", "content", "x.*"), "page_texts")
+    recurring = once.select("host", F.explode(F.array_distinct(F.slice("hashes", 2, F.size("hashes")))).alias("hash")) \
+        .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "hash")
+    rests = once.join(_found(once, "content", recurring, "gone"), ["host", "content"]).select("host", "hashes", "around", "own", "gone") \
+        .mapInArrow(_rests, "host string, gone array<long>, rest long")
+    known = rests.where("rest <> 0").select("host", F.explode("gone").alias("hash"), "rest").distinct() \
+        .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "hash")
+    return _found(seen, "tag", stage(known, "known_templates"), "templates")
 
 
 def _extract(batches):
@@ -322,6 +378,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     known = stage(site_templates(pages), "site_templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    return rows.join(known, "host", "left").select("page_id", "url", "html", "templates") \
+                        F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"),
+                        F.xxhash64(F.coalesce(F.col("html"), F.lit(""))).alias("tag"))
+    return rows.join(known, ["host", "tag"], "left").select("page_id", "url", "html", "templates") \
         .mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -1,14 +1,17 @@
 """Benchmark decontamination by greedy string tiling (operator 7).
 
 Test items and documents are cut into words (A-Z lower-cased, punctuation
-aside).  Rolling hashes of five words find seeds: places of a document that
-share five words with an item; the words themselves are compared, so a hash
+aside).  Hashes of five words, taken anew at each position, find seeds: places
+of a document that share five words with an item; the words themselves are compared, so a hash
 collision is no seed.  Only documents with enough distinct seeds to reach the
 coverage threshold become candidates.
 
 For each candidate, greedy string tiling then repeatedly marks the longest
-match that overlaps no earlier one.  A match of n words is a run of n - 4 seeds
-on one diagonal, so tiles come from the seeds alone.  An item is leaked if its
+match that overlaps no earlier one.  No running Karp-Rabin search is made: all
+equal five-word grams of the two texts are seeds, so a match of n words is a run
+of n - 4 seeds on one diagonal and the other way round.  The longest free match
+read off the diagonals is the one that a search with rolling hashes would find
+and verify, so the tiles are the same.  An item is leaked if its
 tiles cover enough of its words; the tiles may stand in any order, so reordered
 passages are caught.
 

@@ -144,3 +144,26 @@ def test_rollup_job_maintains_the_batch_rollup(spark, landing):
     raw = _batch_rows(spark, landing)
     assert _same(daily_kpis(raw, None, None, "product", rollup=maintained.select(*batch.columns)),
                  daily_kpis(raw, None, None, "product"))
+
+
+def test_landed_spans_keep_all_rows_and_partitions(spark):
+    """A table replayed by spans: every row arrives, those without a time too, and no span is one file."""
+    rows = spark.range(0, 4000, 1, 4).select("id", F.when(F.col("id") % 100 > 0, F.timestamp_seconds(F.pmod(F.col("id") * 7919, F.lit(4000)))).alias("ts"))
+    wd = J.work_dir(spark, "t-spans")
+    batches = []
+    for s in J.landed_streams(rows, f"{wd}/landing"):
+        batches.append(len(spark.read.parquet(f"{wd}/landing").inputFiles()))
+        J.append_sink(s, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    assert _same(spark.read.parquet(f"{wd}/out"), rows) and batches == [4, 8, 12, 16]
+
+
+def test_day_partition_job_without_time(spark):
+    """Rows without a time have a day partition of their own."""
+    rows = spark.range(0, 200, 1, 2).select(
+        F.col("id").alias("launch_id"), (F.col("id") % 3).alias("product_id"), (F.col("id") % 7).alias("device_id"),
+        F.when(F.col("id") % 10 > 0, F.timestamp_seconds(F.col("id") * 3600)).alias("ts")).withColumn("d", F.to_date("ts"))
+    wd = J.work_dir(spark, "t-nots")
+    for s in J.landed_streams(rows, f"{wd}/landing"):
+        J.day_partition_job(s, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True).awaitTermination()
+    got = spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
+    assert _same(got, J.daily_counts(rows))

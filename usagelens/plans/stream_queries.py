@@ -16,15 +16,15 @@ from usagelens.streaming import ingest as SI
 from usagelens.streaming import jobs as J
 
 
-def event_stream(i: Inputs, wd: str, reposted: str | None = None):
-    """The events table as a stream of four micro-batches in time order."""
-    return J.landed_stream(i.spark.read.parquet(f"{i.sf_dir}/events.parquet"), f"{wd}/landing", reposted=reposted)
+def event_streams(i: Inputs, wd: str, reposted: str | None = None):
+    """The events table as a stream of four micro-batches in time order, handed out once per batch."""
+    return J.landed_streams(i.spark.read.parquet(f"{i.sf_dir}/events.parquet"), f"{wd}/landing", reposted=reposted)
 
 
-def launch_stream(i: Inputs, wd: str, reposted: str | None = None):
-    e = event_stream(i, wd, reposted)
-    return launch_from_events(e, i.spark.read.parquet(f"{i.sf_dir}/nation.parquet"),
-                              i.spark.read.parquet(f"{i.sf_dir}/region.parquet"))
+def launch_streams(i: Inputs, wd: str, reposted: str | None = None):
+    for e in event_streams(i, wd, reposted):
+        yield launch_from_events(e, i.spark.read.parquet(f"{i.sf_dir}/nation.parquet"),
+                                 i.spark.read.parquet(f"{i.sf_dir}/region.parquet"))
 
 
 @query("stream_daily_counts", """
@@ -34,8 +34,9 @@ def stream_daily_counts(i: Inputs):
     """Hourly job as a stream -- land each batch, recompute the days
     it touched, overwrite those day partitions."""
     wd = J.work_dir(i.spark, "daily")
-    rows = launch_stream(i, wd).select("launch_id", "product_id", "device_id", "ts", "d")
-    J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True).awaitTermination()
+    for launches in launch_streams(i, wd):
+        rows = launches.select("launch_id", "product_id", "device_id", "ts", "d")
+        J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
 
 
@@ -43,9 +44,10 @@ def stream_daily_counts(i: Inputs):
 def stream_run_journal(i: Inputs):
     """The job's journal, one row per micro-batch, summed up."""
     wd = J.work_dir(i.spark, "journal")
-    rows = launch_stream(i, wd).select("launch_id", "product_id", "device_id", "ts", "d")
-    J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True,
-                        journal_path=f"{wd}/journal").awaitTermination()
+    for launches in launch_streams(i, wd):
+        rows = launches.select("launch_id", "product_id", "device_id", "ts", "d")
+        J.day_partition_job(rows, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True,
+                            journal_path=f"{wd}/journal").awaitTermination()
     return i.spark.read.parquet(f"{wd}/journal").groupBy("op").agg(
         F.count(F.lit(1)).cast("bigint").alias("batches"), F.sum("rows").cast("bigint").alias("rows"))
 
@@ -57,8 +59,9 @@ def stream_hourly_launches(i: Inputs):
     """Launches per product per event-time hour (watermark 7 days),
     updated windows upserted by version."""
     wd = J.work_dir(i.spark, "hourly")
-    agg = J.windowed_launches(J.event_time(launch_stream(i, wd)), "1 hour")
-    J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    for launches in launch_streams(i, wd):
+        agg = J.windowed_launches(J.event_time(launches), "1 hour")
+        J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return J.read_latest(i.spark, f"{wd}/out", ["window_start", "product_id"]).select(
         "window_start", "window_end", "product_id", "launches")
 
@@ -71,8 +74,9 @@ FROM w GROUP BY ALL""")
 def stream_rolling_7d(i: Inputs):
     """7-day windows sliding by a day, per product."""
     wd = J.work_dir(i.spark, "rolling")
-    agg = J.windowed_launches(J.event_time(launch_stream(i, wd)), "7 days", "1 day")
-    J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    for launches in launch_streams(i, wd):
+        agg = J.windowed_launches(J.event_time(launches), "7 days", "1 day")
+        J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return J.read_latest(i.spark, f"{wd}/out", ["window_start", "product_id"]).select(
         "window_start", "window_end", "product_id", "launches")
 
@@ -81,8 +85,9 @@ def stream_rolling_7d(i: Inputs):
 def stream_first_arrivals(i: Inputs):
     """First arrival per (product, device) via streaming dropDuplicates."""
     wd = J.work_dir(i.spark, "first")
-    rows = J.first_arrivals(launch_stream(i, wd).select("product_id", "device_id", "ts"))
-    J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    for launches in launch_streams(i, wd):
+        rows = J.first_arrivals(launches.select("product_id", "device_id", "ts"))
+        J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").select("product_id", "device_id")
 
 
@@ -91,8 +96,9 @@ def stream_dedupe(i: Inputs):
     """Re-posted rows dropped within the watermark: a third of the launches
     arrives a second time one micro-batch later."""
     wd = J.work_dir(i.spark, "dedupe")
-    rows = J.dedupe_posts(J.event_time(launch_stream(i, wd, "event_id % 3 = 0")).select("launch_id", "product_id", "device_id", "ts"))
-    J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    for launches in launch_streams(i, wd, "event_id % 3 = 0"):
+        rows = J.dedupe_posts(J.event_time(launches).select("launch_id", "product_id", "device_id", "ts"))
+        J.append_sink(rows, f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").select("launch_id", "product_id", "device_id")
 
 
@@ -100,9 +106,10 @@ def stream_dedupe(i: Inputs):
 def stream_ingest_launch(i: Inputs):
     """Payload stream validated and landed per micro-batch."""
     wd = J.work_dir(i.spark, "ingest")
-    raw = PL.launch_payloads_from(event_stream(i, wd))
-    SI.ingest_launch_stream(raw, i.channels, R.mccmnc(i.spark), f"{wd}/out", f"{wd}/rejects",
-                            f"{wd}/ckpt", available_now=True).awaitTermination()
+    for events in event_streams(i, wd):
+        raw = PL.launch_payloads_from(events)
+        SI.ingest_launch_stream(raw, i.channels, R.mccmnc(i.spark), f"{wd}/out", f"{wd}/rejects",
+                                f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
 
 
@@ -110,8 +117,9 @@ def stream_ingest_launch(i: Inputs):
 def stream_ingest_event(i: Inputs):
     """The custom-event queue."""
     wd = J.work_dir(i.spark, "ingest")
-    SI.ingest_event_stream(PL.event_payloads_from(event_stream(i, wd)), i.channels, i.event_defs, f"{wd}/out", f"{wd}/rejects",
-                           f"{wd}/ckpt", available_now=True).awaitTermination()
+    for events in event_streams(i, wd):
+        SI.ingest_event_stream(PL.event_payloads_from(events), i.channels, i.event_defs, f"{wd}/out", f"{wd}/rejects",
+                               f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
 
 
@@ -119,8 +127,9 @@ def stream_ingest_event(i: Inputs):
 def stream_ingest_page(i: Inputs):
     """The page-view queue."""
     wd = J.work_dir(i.spark, "ingest")
-    SI.ingest_page_stream(PL.page_payloads_from(event_stream(i, wd)), i.channels, f"{wd}/out", f"{wd}/rejects",
-                          f"{wd}/ckpt", available_now=True).awaitTermination()
+    for events in event_streams(i, wd):
+        SI.ingest_page_stream(PL.page_payloads_from(events), i.channels, f"{wd}/out", f"{wd}/rejects",
+                              f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
 
 
@@ -128,8 +137,9 @@ def stream_ingest_page(i: Inputs):
 def stream_ingest_crash(i: Inputs):
     """The crash queue."""
     wd = J.work_dir(i.spark, "ingest")
-    SI.ingest_crash_stream(PL.crash_payloads_from(event_stream(i, wd)), i.channels, f"{wd}/out", f"{wd}/rejects",
-                           f"{wd}/ckpt", available_now=True).awaitTermination()
+    for events in event_streams(i, wd):
+        SI.ingest_crash_stream(PL.crash_payloads_from(events), i.channels, f"{wd}/out", f"{wd}/rejects",
+                               f"{wd}/ckpt", available_now=True).awaitTermination()
     return i.spark.read.parquet(f"{wd}/out").drop("ingest_day", "epoch")
 
 
@@ -157,8 +167,9 @@ def stream_device_sessions(i: Inputs):
     """The same sessions from the stream; sessions that a later batch
     extends replace their earlier version."""
     wd = J.work_dir(i.spark, "sessions")
-    agg = J.session_windows(J.event_time(launch_stream(i, wd)), "6 hours")
-    J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True, output_mode="complete").awaitTermination()
+    for launches in launch_streams(i, wd):
+        agg = J.session_windows(J.event_time(launches), "6 hours")
+        J.versioned_sink(agg, f"{wd}/out", f"{wd}/ckpt", available_now=True, output_mode="complete").awaitTermination()
     out = i.spark.read.parquet(f"{wd}/out")
     last = out.select(F.max("epoch")).scalar()
     return out.where(F.col("epoch") == last).drop("epoch")

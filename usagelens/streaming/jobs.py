@@ -20,6 +20,7 @@ All state, checkpoints and outputs live under the session's shared
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,23 +48,24 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
-def landed_stream(rows: DataFrame, path: str, order: str = "ts", parts: int = 4, reposted: str | None = None) -> DataFrame:
+def landed_streams(rows: DataFrame, path: str, order: str = "ts", parts: int = 4, reposted: str | None = None) -> Iterator[DataFrame]:
     """Replay a table as a stream of several micro-batches: its rows are landed
-    in ``parts`` files by equal spans of ``order`` and read one file a trigger.
-    ``reposted`` is a predicate: the rows it picks arrive once more, with the
-    file after their own."""
+    by ``parts`` equal spans of ``order``, each in its natural partitions, and
+    a stream over the landing folder is handed out after each.  A query started
+    on each of them in turn (``availableNow``, same checkpoint) takes up the
+    span just landed as one batch.  Rows without ``order`` land with the first
+    span.  ``reposted`` is a predicate: the rows it picks arrive once more, with
+    the span after their own."""
     lo, hi = rows.agg(F.min(order), F.max(order)).first()
-    if lo is not None:
-        cut = lambda k: F.lit(lo + (hi - lo) * k / parts).cast(rows.schema[order].dataType)
-        for k in range(parts):
-            span = lambda n: (F.col(order) >= cut(n)) & ((F.col(order) < cut(n + 1)) if n + 1 < parts else F.lit(True))
-            here = rows.where(span(k))
-            if reposted and k:
-                here = here.unionAll(rows.where(span(k - 1)).where(reposted))
-            here.coalesce(1).write.mode("append").parquet(path)
-    else:
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    cut = lambda k: F.lit(lo + (hi - lo) * k / parts).cast(rows.schema[order].dataType)
+    span = lambda n: ((F.col(order) >= cut(n)) & ((F.col(order) < cut(n + 1)) if n + 1 < parts else F.lit(True))
+                      | (F.col(order).isNull() if n == 0 else F.lit(False)))
+    for k in range(parts if lo is not None else 1):
+        here = rows.where(span(k)) if lo is not None else rows
+        if reposted and k:
+            here = here.unionAll(rows.where(span(k - 1)).where(reposted))
+        here.write.mode("append").parquet(path)
+        yield rows.sparkSession.readStream.schema(rows.schema).parquet(path)
 
 
 def _start(writer, trigger: str | None, available_now: bool) -> StreamingQuery:
@@ -146,7 +148,7 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
         if not days:
             return
         fact = (spark.read.option("basePath", fact_path)
-                .parquet(*[f"{fact_path}/d={d.isoformat()}" for d in days]).drop("epoch"))
+                .parquet(*[f"{fact_path}/d={d.isoformat() if d else '__HIVE_DEFAULT_PARTITION__'}" for d in days]).drop("epoch"))
         (summarize(fact).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("d").parquet(summary_path))
         if journal_path is not None:

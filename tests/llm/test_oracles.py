@@ -16,7 +16,7 @@ LLM_SF = os.environ.get("LLM_SF_DIR", SF_SMALL)
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{LLM_SF}/{name}.parquet')")
     return con
 

@@ -1,5 +1,6 @@
 """Training-data operators: licence scans, mixing, sharding, deduplication,
-HTML extraction, decontamination, URL and quality filters.
+HTML extraction, decontamination, URL and quality filters, conversation tries,
+fill-in-middle texts and language identification.
 
 Nothing else in the library imports this subpackage.  ``queries.py`` holds the
 registered queries, the other modules one operator each.

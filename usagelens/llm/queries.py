@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from usagelens.llm import (
     decontam,
+    fill_in_middle,
     html_extract,
+    language_id,
     licenses,
     mixing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -320,6 +323,82 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+TRIE_SQL = """
+WITH t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, m) AS k, length(text)::BIGINT AS n FROM (
+    SELECT conv_id, turn, role, text, md5(octet_length(encode(role))::VARCHAR || ':' || role || text) AS m FROM (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL))
+), c AS (
+  SELECT conv_id, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT)))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, k, m, n FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 WHERE k <= h
+  UNION ALL SELECT c.conv_id, k, m, n FROM c JOIN t ON t.conv_id = c.conv_id WHERE k > h
+), q AS (
+  SELECT conv_id, row_number() OVER o AS depth, n, string_agg(m, ',') OVER o AS key, count(*) OVER (PARTITION BY conv_id) AS length
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY k)
+), p AS (
+  SELECT conv_id, 0::BIGINT AS depth, 0::BIGINT AS n, '' AS key, (SELECT count(*) FROM r WHERE r.conv_id = c.conv_id) AS length FROM c
+  UNION ALL SELECT conv_id, depth, n, key, length FROM q
+), node AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS n,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256 FROM p GROUP BY ALL
+), up AS (
+  SELECT node.*, p.key AS above FROM node LEFT JOIN p ON p.conv_id = node.conv_id AND p.depth = node.depth - 1
+), kid AS (SELECT depth - 1 AS depth, above AS key, count(*) AS n_children FROM up GROUP BY ALL
+), e AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kid ON kid.depth = up.depth AND kid.key = up.key
+), s AS (
+  SELECT a.depth, a.key, sum((e.n_convs - 1) * e.n)::BIGINT AS saved_tokens, count(*) FILTER (e.n_children = 0) AS n_leaves
+  FROM e JOIN p a ON a.conv_id = e.conv_id AND a.depth <= e.depth GROUP BY ALL
+)
+SELECT e.conv_id, e.depth, o.conv_id AS parent_conv_id, e.n_convs, e.n_children, s.n_leaves, s.saved_tokens, e.ends_sha256
+FROM e JOIN s ON s.depth = e.depth AND s.key = e.key LEFT JOIN node o ON o.depth = e.depth - 1 AND o.key = e.above
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, the head of each group's first one shared."""
+    ordered = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.grouped_heads(ordered))
+
+
+FILL_IN_MIDDLE_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+         [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(0, 4)] AS h FROM (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('{fill_in_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents)
+), c AS (
+  SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM d
+), f AS (
+  SELECT doc_id, n, t, array_to_string(list_slice(u, 1, a), '') AS p, array_to_string(list_slice(u, a + 1, b), '') AS m, array_to_string(list_slice(u, b + 1, n), '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= {fill_in_middle.RATE} THEN 'plain'
+              WHEN h[4] % 100 < {fill_in_middle.SPM_RATE} THEN 'spm' ELSE 'psm' END AS form FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM f
+"""
+
+
+@query("op12_fill_in_middle", FILL_IN_MIDDLE_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, counts and digests of every document's transformed text and of the text rebuilt from it."""
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return fill_in_middle.restored(made).select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                                                sha("fim.output").alias("output_sha256"), sha("restored").alias("restored_sha256"))
+
+
+@query("op13_language_id")
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; documents of one CRC-32 remainder are kept from fitting."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs)) \
+        .select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (corpus_pipeline.py)."""

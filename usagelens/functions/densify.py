@@ -35,6 +35,7 @@ def densify(df: DataFrame, keys: list[str], zero_cols: list[str], asof_cols: lis
     ``zero_cols`` are filled with 0; ``asof_cols`` carry the latest known
     value forward (running max of a cumulative column = as-of read), 0 before
     the first known value.  Rows before ``lo`` still feed the as-of values.
+    A null key is a key of its own, with its own grid.
     The default span is that of ``span_src`` (default ``df``).
     """
     data_lo, data_hi = span_bounds(span_src if span_src is not None else df)
@@ -43,7 +44,10 @@ def densify(df: DataFrame, keys: list[str], zero_cols: list[str], asof_cols: lis
     kr = key_rows if key_rows is not None else df.select(*keys).distinct()
     grid_lo = F.least(lo.cast("date"), data_lo) if asof_cols else lo
     grid = date_grid(kr, grid_lo, hi)
-    out = grid.join(df, [*keys, "d"], "left")
+    metrics = [*zero_cols, *asof_cols]
+    found = df.select(*[F.col(k).alias(f"_{k}") for k in [*keys, "d"]], *metrics)
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("d") == F.col("_d")]
+    out = grid.select(*keys, "d").join(found, on, "left")
     sel = [*keys, "d"] + [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero_cols]
     if asof_cols:
         w = Window.partitionBy(*keys).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)

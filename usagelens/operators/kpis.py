@@ -205,6 +205,11 @@ def hourly_kpis(launch: DataFrame, active: DataFrame | None, rollup: DataFrame |
                                   for m in ("sessions", "startusers", "newusers")])
 
 
+def page_rollup(pages: DataFrame) -> DataFrame:
+    """Page time per (product, channel, version, day)."""
+    return pages.groupBy(*GRAIN_KEYS["channel"], "version", "d").agg(F.sum("duration_ms").alias("duration_ms"))
+
+
 def session_daily(pages: DataFrame) -> DataFrame:
     """Total duration per (product, channel, version, day, session)."""
     return (pages.groupBy("product_id", "channel_id", "version", "d", "session_id")

@@ -2,10 +2,10 @@
 
 "Today" is the last day present in the log (a scalar subquery); the batch
 forms here are what the streaming forms in ``streaming/`` keep up to date
-incrementally.  New devices are today's devices with no earlier launch in
-the scope, i.e. devices whose first day in the scope is today -- one partial
-``min(d)`` aggregate per (scope, device) and no join against the device
-history.
+incrementally.  New devices are today's devices whose first day in the scope is
+today.  That day comes from a kept index (``first_days``: one row per entry and
+device, bucketed by device), joined to the devices of the day; of the log
+only the day is read.  Without an index the history is aggregated instead.
 """
 
 from __future__ import annotations
@@ -27,20 +27,46 @@ def _scoped(df: DataFrame, registry: DataFrame, products: DataFrame | None, scop
     return rows
 
 
+def first_days(rollup: DataFrame) -> DataFrame:
+    """First day of every device per (product, channel): what ``today_counts`` asks of the history."""
+    return rollup.groupBy("product_id", "channel_id", "device_id").agg(F.min("d").alias("first_d"))
+
+
+def on_day(rows: DataFrame, day) -> DataFrame:
+    """Rows of one day; their time bounds, where they have one, reach the scan."""
+    kept = rows.where(F.col("d") == day)
+    if "ts" in rows.columns:
+        start = day.cast("timestamp_ntz")
+        kept = kept.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY")))
+    return kept
+
+
 def today_counts(launch: DataFrame, registry: DataFrame, scope: str = "product",
-                 products: DataFrame | None = None, day=None) -> DataFrame:
+                 products: DataFrame | None = None, day=None, index: DataFrame | None = None) -> DataFrame:
     """Launches, devices and new devices of ``day`` (default: the last
-    day in the log) per scope.  One aggregate per device holds its first day
-    and its launches of the day, so the log is read once (and its day column
-    once more if the day is not given)."""
+    day in the log) per scope.
+
+    With ``index`` (``first_days`` up to the day at least) the devices of the
+    day are looked up there.  Without, one aggregate per device over the log
+    to the day holds its first day and its launches of the day.
+    """
     keys = SCOPES[scope]
     rows = _scoped(launch, registry, products, scope)
     day = rows.select(F.max("d")).scalar() if day is None else F.lit(day).cast("date")
-    per_device = (rows.where(F.col("d") <= day).groupBy(*keys, "device_id")
-                  .agg(F.min("d").alias("_first"), F.count(F.when(F.col("d") == day, 1)).alias("_n")))
-    return (per_device.where("_n > 0").groupBy(*keys)
+    if index is None:
+        per_device = (rows.where(F.col("d") <= day).groupBy(*keys, "device_id")
+                      .agg(F.min("d").alias("_first"), F.count(F.when(F.col("d") == day, 1)).alias("_n")).where("_n > 0"))
+    else:
+        today = on_day(rows, day).groupBy(*keys, "device_id").agg(F.count(F.lit(1)).alias("_n"))
+        known = _scoped(index, registry, products, scope)
+        seen = known.join(today.select(*[F.col(k).alias(f"_{k}") for k in (*keys, "device_id")]),
+                          [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, "device_id")], "left_semi") \
+            .groupBy(*keys, "device_id").agg(F.min("first_d").alias("_first"))
+        per_device = today.join(seen.select(*[F.col(k).alias(f"_{k}") for k in (*keys, "device_id")], "_first"),
+                                [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, "device_id")], "left")
+    return (per_device.groupBy(*keys)
             .agg(F.sum("_n").cast("bigint").alias("launches"), F.count(F.lit(1)).cast("bigint").alias("devices"),
-                 F.count(F.when(F.col("_first") == day, 1)).cast("bigint").alias("new_devices"))
+                 F.count(F.when(F.coalesce("_first", day) >= day, 1)).cast("bigint").alias("new_devices"))
             .select(*keys, day.alias("d"), "launches", "devices", "new_devices"))
 
 

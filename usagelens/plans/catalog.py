@@ -3,8 +3,8 @@ express it, an independent DuckDB statement over the same parquet tables.
 
 Spark builders take (spark, sf_dir) and return a DataFrame; nothing is
 collected.  Builders of KPI queries stage the device-hour rollup of the input
-once per session, and builders of stream queries run the stream; all others
-run no job.  Oracle SQL is written in the reference's own relational form
+once per session and state of the input files, and builders of stream queries
+run the stream; all others run no job.  Oracle SQL is written in the reference's own relational form
 (EXISTS / correlated subqueries / rollups) where possible, so it is a second
 derivation rather than a transliteration of the Spark plan.
 """
@@ -45,7 +45,7 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
-#: staged tables: (application, kind, partitions, input files) -> table name
+#: staged tables: (application, kind, partitions, state of the input files) -> table name
 _ROLLUPS: dict[tuple, str] = {}
 
 
@@ -95,24 +95,40 @@ class Inputs:
         It is staged once per session and input, and all queries over that
         input read the same table; :func:`drop_rollups` removes the tables."""
         from usagelens.operators.kpis import device_partitioned
-        return self._staged("launch_rollup", self.launch, device_partitioned)
+        return self._staged("launch_rollup", ["events", "nation", "region"], ["product_id", "device_id"],
+                            lambda n: device_partitioned(self.launch))
 
     @cached_property
     def long_keys(self) -> DataFrame:
         """Device-day keys of the long launch history, staged like the rollup:
         first launches and return visits read one table, not the log twice."""
         from usagelens.operators.retention import launch_keys
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return self._staged("launch_keys", self.launch_long,
-                            lambda rows: launch_keys(rows).repartition(n, "product_id", "device_id"))
+        return self._staged("launch_keys", ["orders"], ["product_id", "device_id"],
+                            lambda n: launch_keys(self.launch_long).repartition(n, "product_id", "device_id"))
+
+    @cached_property
+    def first_days(self) -> DataFrame:
+        """First day of every device per entry, kept beside the rollup."""
+        from usagelens.operators.realtime import first_days
+        return self._staged("first_days", ["events", "nation", "region"], ["product_id", "device_id"],
+                            lambda n: first_days(self.rollup).repartition(n, "product_id", "device_id"))
 
-    def _staged(self, kind: str, rows: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        from usagelens.session import write_bucketed
-        key = (self.spark.sparkContext.applicationId, kind, self.spark.conf.get("spark.sql.shuffle.partitions"),
-               *sorted(rows.inputFiles()))
+    @cached_property
+    def page_days(self) -> DataFrame:
+        """Page time per entry and day, staged with the rollup: the KPI's sum, its
+        span of days and its keys read this small table, not the page log."""
+        from usagelens.operators.kpis import page_rollup
+        return self._staged("page_days", ["events"], ["product_id", "d"],
+                            lambda n: page_rollup(self.page).repartition(n, "product_id", "d"))
+
+    def _staged(self, kind: str, tables: list[str], keys: list[str], build: Callable[[int], DataFrame]) -> DataFrame:
+        from usagelens.session import files_state, write_bucketed
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        state = [files_state(self.spark, f"{self.sf_dir}/{t}.parquet") for t in tables]
+        key = (self.spark.sparkContext.applicationId, kind, n, self.sf_dir, *state)
         name = _ROLLUPS.get(key)
         if name is None or not self.spark.catalog.tableExists(name):
-            _ROLLUPS[key] = name = write_bucketed(build(rows), ["product_id", "device_id"], kind)
+            _ROLLUPS[key] = name = write_bucketed(build(n), keys, kind)
         return self.spark.table(name)
 
     def kpis(self, grain: str = "product", with_pages: bool = True) -> DataFrame:
@@ -121,7 +137,7 @@ class Inputs:
         key = (grain, with_pages)
         cache = self.__dict__.setdefault("_kpis", {})
         if key not in cache:
-            cache[key] = daily_kpis(self.launch, self.page if with_pages else None, self.active, grain,
+            cache[key] = daily_kpis(self.launch, self.page_days if with_pages else None, self.active, grain,
                                     rollup=self.rollup)
         return cache[key]
 
@@ -131,11 +147,11 @@ class Inputs:
 
     def kpi_rows(self, *cols: str) -> DataFrame:
         """``cols`` of the launches and page views in active channels: where the
-        KPI summary has rows.  Launches come from the staged rollup; nothing
-        evaluates the summary itself a second time."""
+        KPI summary has rows.  Both come from staged tables; neither a log nor
+        the summary itself is read a second time."""
         from usagelens.operators.kpis import only_active
         need = list(dict.fromkeys(["product_id", "channel_id", *cols]))
-        parts = [only_active(t.select(*need), self.active).select(*cols) for t in (self.rollup, self.page)]
+        parts = [only_active(t.select(*need), self.active).select(*cols) for t in (self.rollup, self.page_days)]
         return parts[0].unionAll(parts[1])
 
     @cached_property

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.calendar import calendar_from_span, date_span
 from usagelens.functions.densify import densify
+from usagelens.operators import first_index as FI
 from usagelens.operators import kpis as K
 from usagelens.plans.catalog import Inputs, query
 from usagelens.sources import registry as R
+from usagelens.streaming.jobs import work_dir
 
 # ---------------------------------------------------------------------------
 # oracle fragments (DuckDB), reference form
@@ -199,3 +201,53 @@ def kpi_series(i: Inputs):
     return densify(kp, ["product_id"],
                    ["sessions", "startusers", "newusers", "upgradeusers", "usingtime"],
                    ["allusers", "allsessions"], key_rows=i.kpi_keys("product_id"), span_src=i.kpi_days)
+
+
+# ---------------------------------------------------------------------------
+# Flags after late arrival, from the kept first-launch index
+# ---------------------------------------------------------------------------
+
+def _reflag_sql(scope: str) -> str:
+    same = " AND ".join(f"p.{c} = l.{c}" for c in [*scope.split(", "), "device_id"])
+    return f"""SELECT l.launch_id, l.product_id, l.channel_id, l.device_id, l.d, CASE WHEN EXISTS (
+  SELECT 1 FROM launch p WHERE {same} AND (p.d < l.d OR (p.d = l.d AND p.launch_id < l.launch_id))) THEN 0 ELSE 1 END AS is_new
+FROM launch l"""
+
+
+def _reflag(i: Inputs, scope: list[str]):
+    """The rows on time are flagged and indexed; those three and ten days late then come as two batches."""
+    wd = work_dir(i.spark, "reflag")
+    rows = i.launch.select("launch_id", "product_id", "channel_id", "device_id", "d")
+    index = FI.FirstLaunchIndex(i.spark, f"{wd}/index", scope, ["channel_id"], n_buckets=16)
+    came = F.when(F.col("launch_id") % 50 == 0, 1).when(F.col("launch_id") % 50 == 7, 2).otherwise(0)
+    on_time = rows.where(came == 0)
+    index.update(on_time, 0)
+    K.flag_new(on_time, scope).write.partitionBy("d").parquet(f"{wd}/fact")
+    for epoch in (1, 2):
+        FI.take_late_rows(index, f"{wd}/fact", rows.where(came == epoch), epoch)
+    return i.spark.read.parquet(f"{wd}/fact").select("launch_id", "product_id", "channel_id", "device_id", "d", "is_new")
+
+
+@query("reflag_late_product", _reflag_sql("product_id"))
+def reflag_late_product(i: Inputs):
+    """New-user flags after late rows, per product; equal to a full recompute."""
+    return _reflag(i, ["product_id"])
+
+
+@query("reflag_late_channel", _reflag_sql("product_id, channel_id"))
+def reflag_late_channel(i: Inputs):
+    """The same within product and channel."""
+    return _reflag(i, ["product_id", "channel_id"])
+
+
+@query("reflag_newuser_counts", """
+SELECT product_id, channel_id, d, CAST(count(*) AS BIGINT) AS newusers FROM launch l WHERE NOT EXISTS (
+  SELECT 1 FROM launch p WHERE p.product_id = l.product_id AND p.device_id = l.device_id
+  AND (p.d < l.d OR (p.d = l.d AND p.launch_id < l.launch_id))) GROUP BY ALL""")
+def reflag_newuser_counts(i: Inputs):
+    """Daily new users per entry kept by the corrections' deltas alone."""
+    index = FI.FirstLaunchIndex(i.spark, work_dir(i.spark, "reflag"), ["product_id"], ["channel_id"], n_buckets=16)
+    rows = i.launch.select("launch_id", "product_id", "channel_id", "device_id", "d")
+    for epoch, part in enumerate((rows.where("launch_id % 3 = 0"), rows.where("launch_id % 3 > 0"))):
+        index.update(part, epoch)
+    return FI.new_user_deltas(index.corrections(), ["product_id", "channel_id"])

@@ -547,19 +547,20 @@ FROM c LEFT JOIN n USING ({keys})"""
 @query("today_counts_product", _today_sql("product_id"))
 def today_counts_product(i: Inputs):
     """today's launches, devices and new devices per product."""
-    return RT.today_counts(i.launch, i.channels, "product")
+    last = K.only_active(i.rollup, i.channels, ["product_id", "channel_id"]).select(F.max("d")).first()[0]
+    return RT.today_counts(i.launch, i.channels, "product", day=last, index=i.first_days)
 
 
 @query("today_counts_channel", _today_sql("product_id, channel_id", day=f"SELECT DATE '{TODAY}' AS d"))
 def today_counts_channel(i: Inputs):
     """Counts of one day per channel."""
-    return RT.today_counts(i.launch, i.channels, "channel", day=TODAY)
+    return RT.today_counts(i.launch, i.channels, "channel", day=TODAY, index=i.first_days)
 
 
 @query("today_counts_owner", _today_sql("owner_id", day=f"SELECT DATE '{TODAY}' AS d"))
 def today_counts_owner(i: Inputs):
     """Counts of one day per owner over all their apps."""
-    return RT.today_counts(i.launch, i.channels, "owner", i.products, day=TODAY)
+    return RT.today_counts(i.launch, i.channels, "owner", i.products, day=TODAY, index=i.first_days)
 
 
 def _today_avg_sql(keys: str) -> str:

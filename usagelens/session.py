@@ -14,6 +14,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -83,6 +84,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def files_state(spark: SparkSession, path: str) -> tuple:
+    """Number, bytes and a digest of names, lengths and modification times of the
+    files under ``path``.  It changes when a file is rewritten in place.  Spark
+    lists the files as rows (their content is not read) and folds them to one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    one = F.xxhash64("path", "length", "modificationTime")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(one)).first())
+
+
 def write_bucketed(df: DataFrame, keys: list[str], prefix: str = "stage") -> str:
     """Materialise ``df`` as an external parquet table bucketed (and sorted)
     by ``keys`` under the shared checkpoint folder, and return its name.

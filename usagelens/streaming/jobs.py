@@ -8,7 +8,8 @@ way through ``readStream.format('kafka')``).  Sinks:
   a failure rewrites its own folder -- idempotent); ``read_latest`` keeps the
   newest version of every key with a partial ``max_by`` aggregate.  This is
   the streaming form of the reference's ``ON DUPLICATE KEY UPDATE``.
-* ``day_partition_job``: the hourly job (W1) -- land the batch's rows under
+* ``increments.IncrementJob``: the hourly job (W1) as deltas that merge.
+* ``day_partition_job``: the same for summaries that need a day's raw rows -- land the batch's rows under
   ``d=<day>/epoch=<id>``, then recompute the summary of the days the batch
   touched (late rows included, W2) from just those day folders and overwrite
   just those ``d=`` partitions of the summary (dynamic partition overwrite).
@@ -141,10 +142,12 @@ def day_partition_job(rows: DataFrame, fact_path: str, summary_path: str, checkp
         spark = batch.sparkSession
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         obs = Observation(f"{op_name}-{epoch_id}")
+        batch = batch.persist()          # landed, and asked for its days
         landed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
         (landed.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("d", "epoch").parquet(fact_path))
         days = [r[0] for r in batch.select("d").distinct().collect()]
+        batch.unpersist()
         if not days:
             return
         fact = (spark.read.option("basePath", fact_path)
@@ -228,7 +231,8 @@ def session_windows(rows: DataFrame, gap: str = "30 seconds", watermark: str = L
 
 def first_arrivals(rows: DataFrame) -> DataFrame:
     """The first arrival of every (product, device) -- a new device by
-    arrival order; the batch L5 flag corrects it by event time."""
+    arrival order.  It keeps every device it has seen; ``stateful.first_launch_job``
+    corrects by event time and lets state go."""
     return rows.dropDuplicates(["product_id", "device_id"])
 
 

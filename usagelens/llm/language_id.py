@@ -105,11 +105,12 @@ def sample(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
     """lang, place, text: the labelled documents that are fitted on, ``size`` of a language at most."""
     ids = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     ids = ids.withColumn("place", F.xxhash64(F.lit("language sample"), "doc_id"))
-    # of a large language only ids below a bound compete: four times as many as are needed
+    # of a large language only ids below a bound compete: four times as many as are needed.
+    # One row a language, as in the model, so it is broadcast; ids are not dealt by language before the bound.
     share = ids.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * size) / F.count("*")).alias("share"))
     low = (F.col("place").cast("double") / 2.0 ** 63 + 1) / 2 <= F.col("share")
     first = lambda *order: F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    chosen = ids.join(share, "lang").where(low).withColumn("r", first("place")).where(F.col("r") <= size) \
+    chosen = ids.join(F.broadcast(share), "lang").where(low).withColumn("r", first("place")).where(F.col("r") <= size) \
         .select("lang", "place", F.col("doc_id").alias("id")).distinct()
     chosen = stage(chosen, "language_ids")
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("_lang"), F.col("text").cast("string").alias("text"))

@@ -9,6 +9,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_MID
 from tests.llm.docs import corpus, frame, odd_frame
 from usagelens.llm import quality
 
@@ -57,11 +60,11 @@ def test_distances_and_references(spark):
              + " with my old friend by the river" * (k % 3) for k in range(400)]
     caps = ["SHOUTING WORDS WITHOUT END OR SENSE FOR EVERY READER HERE AND THERE " * 4 + f"X{k}" for k in range(4)]
     texts = clean + caps
-    df = frame(spark, texts).withColumn("lang", __import__("pyspark").sql.functions.lit("en"))
+    df = frame(spark, texts).withColumn("lang", F.lit("en"))
     rows = {r.doc_id: r for r in quality.judge(df).collect()}
     m = [quality.measure(t.encode(), quality._Bin()) for t in texts]
     for k, at in (("char_distance", 5), ("word_distance", 6)):
-        ref = np.sum([x[at] for x in m], axis=0)
+        ref = np.sum([x[at] for i, x in enumerate(m) if not rows[i].base_failed], axis=0)
         for i in (0, 7, len(texts) - 1):
             assert rows[i][k] == pytest.approx(js(m[i][at].tolist(), ref.tolist()), abs=1e-9)
     assert all(rows[k].char_distance > quality.MAX_CHAR_DISTANCE for k in range(len(clean), len(texts)))
@@ -80,3 +83,28 @@ def test_keep_good_keeps_columns(spark):
     good = {r.doc_id for r in quality.judge(df).collect() if r.kept}
     out = quality.keep_good(df)
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == good
+
+
+def test_words_cut_up_by_symbols_are_caught_and_labelled_good_ones_stay(spark):
+    """The limits on the given documents: measured on their labels and on the class of 'word | word' texts."""
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    cut = F.regexp_count("text", F.lit(r" \| ")) > 0.3 * F.size(F.split("text", r"\s+"))
+    rows = quality.judge(docs).join(docs.select("doc_id", cut.alias("cut")), "doc_id").join(labels.select("doc_id", "quality"), "doc_id", "left").collect()
+    pipes, good = [r for r in rows if r["cut"]], [r for r in rows if r.quality == 1]
+    bad = [r for r in rows if r.quality == 0]
+    assert len(pipes) > 15 and sum(not r.kept for r in pipes) >= 0.9 * len(pipes)
+    assert len(good) > 200 and sum(not r.kept for r in good) < 0.03 * len(good)
+    assert sum(r.kept for r in bad) <= 0.1 * len(bad)
+    # by the word histogram alone, as that is what tells them
+    judged = [r for r in pipes if r.n_words >= quality.MIN_WORDS_JUDGED]
+    assert all(r.word_distance > quality.MAX_WORD_DISTANCE for r in judged)
+
+
+def test_junk_is_no_reference(spark):
+    """Half of a language's rows are symbol noise that fails the base rules: it doesn't move the reference."""
+    prose = [f"the cat of {k} and the dog in a house with his friend was not for them at {k * 7} by the sea or the wood" for k in range(300)]
+    noise = [("| " * 40).strip()] * 300
+    one = lambda texts: {r.doc_id: (r.char_distance, r.word_distance) for r in quality.judge(
+        frame(spark, texts).withColumn("lang", F.lit("en"))).collect()}
+    alone, mixed = one(prose), one(prose + noise)
+    assert all(alone[k] == pytest.approx(mixed[k], abs=1e-12) for k in alone)

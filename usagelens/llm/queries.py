@@ -119,7 +119,8 @@ WITH d AS (
 ), base AS (
   SELECT d.doc_id, lang, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{space}', '', 'g'))::BIGINT AS word_chars,
          ({count(classes["symbol"])})::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, {", ".join(f"{count(c)} AS c_{n}" for n, c in classes.items())}
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, {", ".join(f"{count(c)} AS c_{n}" for n, c in classes.items())},
+         len(w) < {q.MIN_WORDS} OR 100 * coalesce(rep.n, 0) > {q.MAX_REPEAT_PERCENT} * len(w) AS base_failed
   FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id
 ), h AS (
   SELECT doc_id, lang, 'c' AS kind, bin, n FROM (
@@ -130,18 +131,20 @@ WITH d AS (
     SELECT doc_id, lang, trim(lower(unnest(w)), '.,;:!?''"()-#*$%&|<>') AS word FROM d) x
   LEFT JOIN (VALUES {bins}) AS b(word, bin) ON b.word = x.word GROUP BY ALL
 ), langs AS (
-  SELECT lang, CASE WHEN sum(word_chars) >= {q.MIN_REFERENCE_CHARS} AND lang <> '(none)' THEN lang ELSE '*' END AS ref FROM base GROUP BY lang
+  SELECT lang, CASE WHEN coalesce(sum(word_chars) FILTER (NOT base_failed), 0) >= {q.MIN_REFERENCE_CHARS} AND lang <> '(none)' THEN lang ELSE '*' END AS ref FROM base GROUP BY lang
+), sound AS (
+  SELECT h.* FROM h JOIN base USING (doc_id) WHERE NOT base_failed
 ), r AS (
-  SELECT lang AS ref, kind, bin, sum(n) AS n FROM h GROUP BY ALL UNION ALL SELECT '*', kind, bin, sum(n) FROM h GROUP BY ALL
+  SELECT lang AS ref, kind, bin, sum(n) AS n FROM sound GROUP BY ALL UNION ALL SELECT '*', kind, bin, sum(n) FROM sound GROUP BY ALL
 ), ps AS (
   SELECT doc_id, ref, kind, bin, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM h JOIN langs USING (lang) WHERE n > 0
 ), qs AS (
   SELECT ref, kind, bin, n / sum(n) OVER (PARTITION BY ref, kind) AS q FROM r
 ), js AS (
-  SELECT doc_id, kind, sqrt(greatest(0, least(1, sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) / 2 + (1 - sum(q)) / 2))) AS dist
-  FROM ps JOIN qs USING (ref, kind, bin) GROUP BY ALL
+  SELECT doc_id, kind, sqrt(greatest(0, least(1, sum(p + CASE WHEN coalesce(q, 0) = 0 THEN 0 ELSE p * log2(p / (p + q)) + q * log2(2 * q / (p + q)) END) / 2 + (1 - coalesce(sum(q), 0)) / 2))) AS dist
+  FROM ps LEFT JOIN qs USING (ref, kind, bin) WHERE (ref, kind) IN (SELECT (ref, kind) FROM qs) GROUP BY ALL
 ), v AS (
-  SELECT base.*, c.dist AS cd, x.dist AS wd, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  SELECT base.*, c.dist AS cd, x.dist AS wd
   FROM base LEFT JOIN js c ON c.doc_id = base.doc_id AND c.kind = 'c' LEFT JOIN js x ON x.doc_id = base.doc_id AND x.kind = 'w'
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance, base_failed,

@@ -166,3 +166,82 @@ def test_no_pages_and_no_python(spark):
     assert uf.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
     plan = uf.judge(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def _article(x):
+    return hx.extract(f"<html><body><article><h1>T</h1>{x}<p>end of it</p></article></body></html>")
+
+
+@pytest.mark.parametrize("x", ['<div style="overflow: hidden">kept</div>', '<p title="the hidden gem">kept</p>', '<div data-id="share">kept</div>',
+                               '<p id="notice-of-death">kept</p>', '<section id="search-results-for-mh370">kept</section>', "<p title=it's>kept</p>",
+                               '<p data-x="a>b" class="lead">kept</p>', "<p id=intro id=comments>kept</p>", '<p aria-hidden="false">kept</p>',
+                               '<p title="class=ad">kept</p>', "<p title='id=\"comments\"'>kept</p>", "<p data-hidden>kept</p>"])
+def test_attributes_are_judged_by_name_and_value(x):
+    assert _article(x) == "T\n\nkept\n\nend of it"
+
+
+@pytest.mark.parametrize("x", ["<div hidden>gone</div>", "<div HIDDEN=''>gone</div>", '<div id="comments">gone</div>', '<div id="social-share-2">gone</div>',
+                               "<div id='comment-list'>gone</div>", '<p class="notice">gone</p>', "<p class=ad>gone</p>", '<div role="complementary">gone</div>',
+                               '<p aria-hidden="true">gone</p>'])
+def test_what_says_it_is_not_the_article_goes(x):
+    assert _article(x) == "T\n\nend of it"
+
+
+def test_quotes_count_only_after_the_equals_sign():
+    assert _article("<p title=it's>one</p><p>two</p><p alt=don't>three</p>") == "T\n\none\n\ntwo\n\nthree\n\nend of it"
+    assert hx.extract('a < b and <p title="x>y">c</p> 5 > 4 <') == "a < b and\n\nc\n\n5 > 4 <"
+
+
+@pytest.mark.parametrize("page", ['<a "' * 100_000, '<a b="' * 100_000 + ">", "<b>" * 100_000 + "</i>" * 100_000, '<a b=">" ' * 100_000,
+                                  "<" * 100_000 + ">", "<div>" * 100_000 + "</p>" * 100_000, "<b><h1>" * 50_000, "<!--" * 100_000])
+def test_broken_markup_parses_in_linear_time(page):
+    import time
+    start = time.perf_counter()
+    hx.parse(page[:len(page) // 4])
+    quarter = time.perf_counter() - start
+    start = time.perf_counter()
+    hx.parse(page)
+    assert time.perf_counter() - start < 12 * quarter + 1.0
+
+
+def test_template_counting_equals_brute_force(spark):
+    """Which subtrees a site repeats, counted in Spark and by the definition in plain Python."""
+    import random
+    rng = random.Random(4)
+    boxes = [f"<div><span>box {k}</span><a href='/x'>more of it {k}</a></div>" for k in range(6)]
+    rows = []
+    for i in range(160):
+        host = ("a.org", "b.org", "c.org")[min(2, rng.randrange(5) // 2)]
+        story = f"<p>story {rng.randrange(60)} of {host}</p>"
+        parts = rng.sample(boxes, rng.randrange(4)) + [story] + [f"<div><p>once {i}</p></div>"] * (rng.random() < .3)
+        rng.shuffle(parts)
+        rows.append((i, rng.choice([f"http://{host}/{i}", f"https://{host.upper()}/{i}?q"]), f"<html><body>{''.join(parts)}<script>t({i})</script></body></html>"))
+    rows += [(500, None, boxes[0]), (501, "http://a.org/", None), (502, "http://a.org/again", rows[0][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    least = 6
+
+    hosts: dict = {}
+    for _, url, page in rows:
+        host = "" if url is None else url.split("://")[1].split("/")[0].lower()
+        hosts.setdefault(host, {})[page or ""] = hx.subtrees(page or "")
+    want = {}
+    for host, pages in hosts.items():
+        once = {x[0]: x for x in pages.values()}            # pages of equal text count once
+        on: dict = {}
+        for x in once.values():
+            for h in set(x[1][1:]):
+                on[h] = on.get(h, 0) + 1
+        recurring = {h for h, n in on.items() if n >= least}
+        rests: dict = {}
+        for _, hashes, around, own in once.values():
+            gone = recurring & set(hashes[1:])
+            rest = hx.rest_of(hashes, around, own, gone)
+            for h in gone if rest else ():
+                rests.setdefault(h, set()).add(rest)
+        known = {h for h, r in rests.items() if len(r) >= least}
+        for page, x in pages.items():
+            if known & set(x[1][1:]):
+                want[host, page] = known & set(x[1][1:])
+    tags = {r.tag: r.html for r in df.select(F.xxhash64(F.coalesce("html", F.lit(""))).alias("tag"), F.coalesce("html", F.lit("")).alias("html")).collect()}
+    got = {(r.host, tags[r.tag]): set(r.templates) for r in hx.site_templates(df, least).collect()}
+    assert got == want and len({h for x in want.values() for h in x}) > 6

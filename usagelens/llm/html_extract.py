@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -62,10 +63,15 @@ MARKS = re.compile(
     r"footer|comments?|comment-list|commentlist|disqus|replies|respond|reviews|share|sharing|social|related|recommended|widget|"
     r"skip-link|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# a quote opens a value only after the equals sign; possessive, so that a page is scanned once
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<[!?][^>]*+>", re.S)
+PLAIN_TOKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>")
 # Classes of an article that tell of its state or subject, not that it is a comment or an advert.
 STATES = re.compile(r"(?<!\S)(?:(?:has|with|no|category|tag|type|format|status)-\S+|\S+-(?:open|closed|enabled|disabled))(?!\S)", re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'][^\s=/]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?+")
+# Words of an id that say nothing about what its element is.
+NEUTRAL = frozenset("area bar block box container content global group inner left list main outer page primary right secondary section site top "
+                    "bottom wrap wrapper".split())
 
 
 class Element:
@@ -77,52 +83,87 @@ class Element:
         self.hash = 0
 
 
+def _marked(name: str, value: str, tag: str, inside: bool) -> bool:
+    """Whether a class, id or role says that its element is not the article.
+
+    Inside an article an id names what its element is about, often in words that
+    are marks elsewhere (``notice-of-death``); it counts there only on containers
+    and only if all its words are marks or neutral.
+    """
+    if inside and name == "id":
+        words = [w for w in re.split(r"[\s_-]+", value) if w and not w.isdigit() and w.lower() not in NEUTRAL]
+        return tag in CONTAINERS and bool(words) and all(MARKS.fullmatch(w) and "head" not in w.lower() for w in words)
+    mark = MARKS.search(value)
+    return mark is not None and not (inside and "head" in mark[0].lower())     # an article's own heading may stand in a header
+
+
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not inside):
         return True
     if not attributes or tag in ("html", "body"):
         return False
+    seen = set()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name in seen:            # the first of a repeated attribute counts
+            continue
+        seen.add(name)
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
-        if tag == "main":
+        if name not in ("class", "id", "role") or tag == "main":
             continue
-        if tag == "article":
-            value = STATES.sub("", value)
-        mark = MARKS.search(value) if name in ("class", "id", "role") else None
-        if mark and not (inside and "head" in mark[0].lower()):     # an article's own heading may stand in a header
+        if _marked(name, STATES.sub("", value) if tag == "article" else value, tag, inside):
             return True
     return False
 
 
 def parse(page: str) -> Element:
-    """The element tree of a page; missing and misplaced end tags are forgiven."""
+    """The element tree of a page; missing and misplaced end tags are forgiven.
+
+    Time is linear: a tag that never ends makes the rest be read without regard
+    to quotes, and a count of open names tells whether there is anything to close.
+    """
     root = here = Element("", None, False, False)
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
+    token, open_names = TOKEN, Counter()
+
+    def close(e: Element, upto: Element) -> None:
+        while e is not upto:
+            open_names[e.tag] -= 1
+            e = e.parent
+
     while at < n:
-        m = TOKEN.search(page, at)
-        if m is None:
+        begin = page.find("<", at)
+        if begin < 0 or (begin > last and not page.startswith("<!--", begin)):
             here.children.append(page[at:])
             break
-        if m.start() > at:
-            here.children.append(page[at:m.start()])
+        m = token.match(page, begin)
+        if m is None and token is TOKEN and page[begin + 1:begin + 3].lstrip("/")[:1].isalpha():
+            token = PLAIN_TOKEN
+            m = token.match(page, begin)
+        if m is None:               # a sign, not a tag
+            here.children.append(page[at:begin + 1])
+            at = begin + 1
+            continue
+        if begin > at:
+            here.children.append(page[at:begin])
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:             # comment, doctype
             continue
         if m[1]:                # end tag: closes the nearest open element of that name, else nothing
-            e = here
+            e = here if open_names[tag] else root
             while e is not root and e.tag != tag:
                 if e.tag in ("td", "th", "table") and tag in INLINE:
                     e = root
                     break
                 e = e.parent
             if e is not root:
+                close(here, e.parent)
                 here = e.parent
             continue
         ends = ENDS.get(tag, frozenset())
-        if tag in ENDS_P or ends:
+        if (tag in ENDS_P and open_names["p"]) or any(open_names[x] for x in ends):
             e, top = here, None
             while e is not root:
                 if e.tag in ends or (e.tag == "p" and tag in ENDS_P):
@@ -133,6 +174,7 @@ def parse(page: str) -> Element:
                     break
                 e = e.parent
             if top is not None:
+                close(here, top.parent)
                 here = top.parent
         e = Element(tag, here, _unwanted(tag, m[3], here.inside), here.inside or tag in ("article", "main"))
         here.children.append(e)
@@ -142,10 +184,11 @@ def parse(page: str) -> Element:
             end = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
             e.children.append(page[at:end.start() if end else n])
             at = end.start() if end else n
-            close = page.find(">", at)
-            at = n if close < 0 else close + 1
+            close_at = page.find(">", at)
+            at = n if close_at < 0 else close_at + 1
             continue
         here = e
+        open_names[tag] += 1
     return root
 
 

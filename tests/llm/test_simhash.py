@@ -129,3 +129,21 @@ def test_keep_one_leaves_one_of_each_group(spark):
     assert len(got) == len(set(roots))
     assert {(r.doc_id, r.text) for r in got} <= set(zip(ids, texts))
     assert simhash.keep_one(df).columns == SCHEMA.names
+
+
+def test_copies_of_a_fingerprint_stay_few():
+    """What a fingerprint costs in shuffle: 8 bytes a copy, at 64 buckets as at 3 TB."""
+    from usagelens.llm import simhash as sh
+    assert sh.copies(6) == 13
+    # two kilobytes of text a document: 10**7 fingerprints are 20 GB, 10**9 are 2 TB
+    for nodes, most in ((10 ** 5, 40), (10 ** 7, 60), (10 ** 9, 120)):
+        sent = sh.copies(sh.bucket_bits(nodes))
+        assert sent <= most and sent * 8 < 0.5 * 2000
+
+
+def test_bucket_sets_are_disjoint_and_cover_all_bits():
+    from usagelens.llm import simhash as sh
+    for bits in (2, 6, 7, 12, 19, 33, 48):
+        sets = sh._parities(bits)
+        assert sum(sets) == (1 << 64) - 1 and all(x for x in sets)
+        assert all(x < 1 << 32 or x % (1 << 32) == 0 for x in sets)

@@ -10,7 +10,11 @@ their true distance.
   64 bits: of ``2h + 1`` differing bits, ``h + 1`` lie in the same half.
 * The bucket of a variant is linear in its bits, ``B(f ^ m) = B(f) ^ B(m)``.
   So a task ships the fingerprint once per bucket, and the bucket enumerates
-  exactly those masks whose variants fall into it.
+  exactly those masks whose variants fall into it.  Each bucket bit is the
+  parity of a set of bits of its own inside one half, so a mask of one or two
+  bits flips one or two bucket bits at most: with ``b`` bucket bits a
+  fingerprint travels ``copies(b)`` times, about ``b * b / 4`` (13 at 64
+  buckets, 43 at 4,096, 101 at half a million), not once per bucket.
 * In a group of equal variants all link to the smallest fingerprint that lies
   within the smaller half, a star instead of all pairs.  Radii add up to ``d``
   at most, so every link is true, and any pair within ``d`` bits is connected
@@ -83,18 +87,31 @@ def ball(distance: int) -> tuple[np.ndarray, np.ndarray]:
     return m, np.bitwise_count(m).astype(np.int64)
 
 
-def _parities(bits: int) -> np.ndarray:
-    x = np.arange(1, bits + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def _parities(bits: int) -> list[int]:
+    """Disjoint sets of fingerprint bits, as masks; each set lies in one half."""
+    sets = [0] * bits
+    for half, own in ((range(32), range(0, bits, 2)), (range(32, 64), range(1, bits, 2))):
+        for k, b in enumerate(half):
+            if len(own):
+                sets[own[k % len(own)]] |= 1 << b
+    return sets
+
+
+def copies(bits: int, distance: int = MAX_DISTANCE) -> int:
+    """How many buckets a fingerprint is sent to."""
+    return len(np.unique(linear_bucket(ball(distance)[0], bits)))
+
+
+def bucket_bits(nodes: int, distance: int = MAX_DISTANCE) -> int:
+    """Bucket bits for so many fingerprints: a bucket's variants fit a task."""
+    return min(48, max(MIN_BUCKETS.bit_length() - 1, (nodes * len(ball(distance)[0]) // BUCKET_VARIANTS).bit_length()))
 
 
 def linear_bucket(values: np.ndarray, bits: int) -> np.ndarray:
-    """Bucket number of each value: ``bits`` parities of fixed bit subsets."""
+    """Bucket number of each value: ``bits`` parities of disjoint bit sets."""
     out = np.zeros(len(values), np.int64)
     for j, r in enumerate(_parities(bits)):
-        out |= (np.bitwise_count(values & r).astype(np.int64) & 1) << j
+        out |= (np.bitwise_count(values & np.uint64(r)).astype(np.int64) & 1) << j
     return out
 
 
@@ -106,17 +123,15 @@ def _emit(bits: int, distance: int):
             home = linear_bucket(f.view(np.uint64), bits)
             order = np.argsort(home, kind="stable")
             f, home = f[order], home[order]
-            edge = np.searchsorted(home, np.arange((1 << bits) + 1))
-            groups = [h for h in range(1 << bits) if edge[h] < edge[h + 1]]
+            groups, edge = np.unique(home, return_index=True)
             to: dict[int, list] = {}
-            for h in groups:
-                own = f[edge[h]:edge[h + 1]]
+            for h, own in zip(groups.tolist(), np.split(f, edge[1:])):
                 for c in classes.tolist():
                     to.setdefault(h ^ c, []).append(own)
             names = list(to)
             for k in range(0, len(names), 256):
                 part = names[k:k + 256]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([np.concatenate(to[x]).tobytes() for x in part], pa.binary())], names=["bucket", "fps"])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([np.concatenate(to[x]).tobytes() for x in part], pa.binary())], names=["bucket", "fps"])
     return emit
 
 
@@ -173,16 +188,14 @@ def forest(pairs: np.ndarray) -> np.ndarray:
 
 def links(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     """Distinct pairs (a, b) that connect all of ``nodes.fp`` within ``distance`` bits of each other."""
-    n = nodes.count()
-    n_masks = len(ball(distance)[0])
-    bits = max(MIN_BUCKETS.bit_length() - 1, (n * n_masks // BUCKET_VARIANTS).bit_length())
+    bits = bucket_bits(nodes.count(), distance)
 
     def meet(table: pa.Table) -> pa.Table:
         f = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
         found = np.ascontiguousarray(forest(bucket_links(f, table.column("bucket")[0].as_py(), bits, distance))).view(np.int64)
         return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
-    return nodes.select("fp").mapInArrow(_emit(bits, distance), "bucket int, fps binary") \
+    return nodes.select("fp").mapInArrow(_emit(bits, distance), "bucket long, fps binary") \
         .groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 

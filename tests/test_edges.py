@@ -320,3 +320,28 @@ def test_batch_items_keep_id_and_time(spark):
     got = sorted((r.payload_id, r.item_no, r.ingest_ts, r.payload) for r in parts["launch"].collect())
     assert [(g[0], g[1], g[2]) for g in got] == [(7, 0, dt.datetime(2024, 1, 2)), (7, 1, dt.datetime(2024, 1, 2))]
     assert '"own"' in got[1][3] and parts["crash"].count() == 1 and parts["page"].count() == 0
+
+
+def test_a_rewritten_file_gives_new_numbers(spark, tmp_path):
+    """Staged tables follow their input's files, not only their names."""
+    import shutil
+
+    from usagelens.plans import catalog
+    run = catalog.spark_callables()["kpi_daily_product"]
+    for t in ("events", "nation", "region"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    total = lambda: run(spark, str(tmp_path)).agg(F.sum("sessions")).first()[0]
+    first = total()
+    import pyarrow.parquet as pq
+    half = pq.read_table(tmp_path / "events.parquet").slice(0, first // 2)
+    pq.write_table(half, tmp_path / "events.parquet")
+    assert total() == first // 2
+
+
+def test_densify_keeps_a_null_key(spark):
+    from usagelens.functions.densify import densify
+    rows = spark.createDataFrame([(1, None, "2024-01-01", 3), (1, "1.0", "2024-01-03", 4), (1, None, "2024-01-03", 5)], "p int, v string, d string, n int") \
+        .withColumn("d", F.col("d").cast("date"))
+    got = sorted(((r.v or "", str(r.d), r.n) for r in densify(rows, ["p", "v"], ["n"]).collect()))
+    assert got == [("", "2024-01-01", 3), ("", "2024-01-02", 0), ("", "2024-01-03", 5),
+                   ("1.0", "2024-01-01", 0), ("1.0", "2024-01-02", 0), ("1.0", "2024-01-03", 4)]

@@ -167,3 +167,145 @@ def test_day_partition_job_without_time(spark):
         J.day_partition_job(s, f"{wd}/fact", f"{wd}/summary", f"{wd}/ckpt", available_now=True).awaitTermination()
     got = spark.read.parquet(f"{wd}/summary").select("product_id", "d", "launches", "devices")
     assert _same(got, J.daily_counts(rows))
+
+
+# ---------------------------------------------------------------------------
+# increments: deltas, compaction, late rows, sketches
+# ---------------------------------------------------------------------------
+
+ROLLUP = ["launch_id", "product_id", "channel_id", "version", "device_id", "ts", "d", "h"]
+
+
+def _parts(spark, landing, n=4):
+    rows = _batch_rows(spark, landing).select(*ROLLUP)
+    return rows, [rows.where(F.col("launch_id") % n == k) for k in range(n)]
+
+
+def test_increments_compaction_and_replays_count_once(spark, landing):
+    from usagelens.streaming.increments import IncrementJob
+    rows, parts = _parts(spark, landing)
+    job = IncrementJob(spark, J.work_dir(spark, "t-inc"), horizon="400 days", compact_every=2)
+    for epoch, part in enumerate(parts):
+        job.take(part, epoch)
+        job.take(part, epoch)                     # the same batch once more
+    job.compact(3)                                # and a compaction that stopped before its mark
+    assert _same(job.summary().select("product_id", "d", "launches", "devices"), J.daily_counts(rows))
+    from usagelens.operators.kpis import launch_rollup
+    assert _same(job.rollup(3).select(*launch_rollup(rows).columns), launch_rollup(rows))
+    assert job._compacted() == 3 and job._deltas(4, 9) is None
+    # a job started anew over the same folders goes on from them
+    again = IncrementJob(spark, job.path, horizon="400 days", compact_every=2)
+    again.take(parts[0].withColumn("launch_id", F.col("launch_id") + 10 ** 6), 4)
+    assert again.summary().agg(F.sum("launches")).first()[0] == rows.count() + parts[0].count()
+
+
+def test_a_batch_reads_only_the_days_it_touches(spark, landing):
+    from usagelens.streaming.increments import IncrementJob
+    rows, _ = _parts(spark, landing)
+    job = IncrementJob(spark, J.work_dir(spark, "t-days"), horizon="400 days", compact_every=1)
+    days = sorted(r.d for r in rows.select("d").distinct().collect())
+    job.take(rows, 0)
+    one = rows.where(F.col("d") == F.lit(days[3])).withColumn("launch_id", F.col("launch_id") + 10 ** 6)
+    mine = one.select(F.col("d").alias("_day")).distinct()
+    merged = job.rollup(0, mine)
+    assert merged.agg(F.countDistinct("d")).first()[0] == 1
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    before = {r.d: r.launches for r in job.summary().groupBy("d").agg(F.sum("launches").alias("launches")).collect()}
+    job.take(one, 1)
+    after = {r.d: r.launches for r in job.summary().groupBy("d").agg(F.sum("launches").alias("launches")).collect()}
+    assert {d for d in days if before[d] != after[d]} == {days[3]}
+
+
+def test_late_rows_are_landed_apart_and_counted(spark):
+    from usagelens.streaming.increments import IncrementJob, landed
+    rows = spark.range(0, 1000, 1, 4).select(
+        F.col("id").alias("launch_id"), F.lit(1).alias("product_id"), F.lit(1).alias("channel_id"), F.lit("1").alias("version"),
+        F.concat(F.lit("d"), (F.col("id") % 9).cast("string")).alias("device_id"),
+        F.when(F.col("id") % 100 != 3, F.timestamp_seconds(F.when(F.col("id") % 10 == 7, F.col("id") * 3600 - 90 * 86400).otherwise(F.col("id") * 3600))).alias("ts"))
+    rows = rows.withColumn("d", F.to_date("ts")).withColumn("h", F.hour("ts"))
+    job = IncrementJob(spark, J.work_dir(spark, "t-land"))
+    for epoch in range(4):
+        job.take(rows.where(F.floor(F.col("launch_id") / 250) == epoch), epoch)
+    journal = {r.batch: (r.on_time, r.late) for r in job.journal().collect()}
+    assert journal == {0: (250, 0), 1: (225, 25), 2: (225, 25), 3: (225, 25)}
+    late = landed(spark, job.path, True, rows.schema)
+    assert late.count() == 75 and late.where("launch_id % 10 <> 7").isEmpty()
+    assert job.summary().agg(F.sum("launches")).first()[0] == 925
+    job.repair(rows.schema, 4)
+    assert _same(job.summary().select("product_id", "d", "launches", "devices"), J.daily_counts(rows))
+
+
+def test_sketches_of_batches_merge_and_stay_within_their_error(spark):
+    from usagelens.streaming import increments as IC
+    rows = spark.range(0, 60_000, 1, 4).select(
+        (F.col("id") % 2).cast("int").alias("product_id"), F.concat(F.lit("d"), (F.col("id") * 7919 % 20_011).cast("string")).alias("device_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 12).cast("int")).alias("d"))
+    parts = [IC.day_sketches(rows.where(F.pmod(F.hash("device_id", "d"), F.lit(3)) == k)) for k in range(3)]
+    united = IC.rolling_actives(parts[0].unionAll(parts[1]).unionAll(parts[2]), 7)
+    both = united.withColumnRenamed("actives", "guess").join(IC.exact_rolling_actives(rows, 7), ["product_id", "d"]).collect()
+    assert len(both) == 12                   # two products, six days each have rows
+    assert max(abs(r.guess - r.actives) / r.actives for r in both) < 4 * IC.SKETCH_ERROR
+
+
+START = 20_000 * 86_400        # rows before any watermark, which begins at the epoch, would be late
+
+
+def _timed(spark, rows):
+    return spark.createDataFrame(rows, "launch_id long, product_id int, device_id string, secs long") \
+        .select("launch_id", "product_id", "device_id", F.timestamp_seconds(F.col("secs") + START).alias("ts")).withColumn("d", F.to_date("ts"))
+
+
+def _steps(spark, wd, batches):
+    """A stream over a landing folder, handed out after each batch landed."""
+    for rows in batches:
+        _timed(spark, rows).coalesce(1).write.mode("append").parquet(f"{wd}/landing")
+        yield spark.readStream.schema(_timed(spark, []).schema).parquet(f"{wd}/landing")
+
+
+HOUR, DAY = 3600, 86400
+
+
+def test_sessions_extend_merge_and_leave_state(spark):
+    from usagelens.streaming import stateful as ST
+    wd = J.work_dir(spark, "t-keyed")
+    batches = [[(1, 1, "a", 0), (2, 1, "a", 10 * HOUR), (3, 1, "b", HOUR), (30, 1, None, HOUR)],
+               [(4, 1, "a", 5 * HOUR), (5, 1, "b", 2 * HOUR)],          # joins a's two sessions, extends b's
+               [(6, 1, "c", 40 * DAY)],                                    # moves the watermark
+               [(7, 1, "a", 41 * DAY)]]
+    state = []
+    for s in _steps(spark, wd, batches):
+        q = ST.session_job(s, f"{wd}/out", f"{wd}/ckpt", "6 hours", "2 days", available_now=True)
+        q.awaitTermination()
+        state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"] if q.lastProgress else None)
+    got = sorted((r.device_id or "", int(r.session_start.timestamp()), r.launches) for r in ST.latest_sessions(spark, f"{wd}/out", "6 hours").collect())
+    want = J.session_windows(J.event_time(_timed(spark, [r for b in batches for r in b])), "6 hours")
+    assert got == sorted((r.device_id or "", int(r.session_start.timestamp()), r.launches) for r in want.collect())
+    assert spark.read.parquet(f"{wd}/out").where("launches = 0").count() == 1
+    assert state[-1] is None or state[-1] < state[1] + 2        # a, b of the first days are gone
+
+
+def test_first_launch_state_corrects_and_ends(spark):
+    from usagelens.operators.first_index import FirstLaunchIndex
+    from usagelens.streaming import stateful as ST
+    wd = J.work_dir(spark, "t-firstkeyed")
+    index = FirstLaunchIndex(spark, f"{wd}/index", n_buckets=4)
+    batches = [[(10, 1, "a", 5 * DAY), (11, 1, "b", 5 * DAY)],
+               [(12, 1, "a", 4 * DAY), (13, 1, "b", 6 * DAY)],           # an older launch of a arrives later
+               [(14, 1, "c", 30 * DAY)],                                   # closes a and b
+               [(15, 1, "a", 31 * DAY), (16, 1, "c", 29 * DAY)]]
+    for s in _steps(spark, wd, batches):
+        ST.first_launch_job(s, index, f"{wd}/ckpt", "3 days", available_now=True).awaitTermination()
+    assert {r.device_id: r.launch_id for r in index.read().collect()} == {"a": 12, "b": 11, "c": 16}
+    moved = [(r.device_id, r.old.launch_id, r.launch_id) for r in index.corrections().where("old is not null").collect()]
+    assert sorted(moved) == [("a", 10, 12), ("c", 14, 16)]
+
+
+def test_hourly_actives_count_each_device_once(spark):
+    from usagelens.streaming.increments import hourly_actives
+    wd = J.work_dir(spark, "t-hours")
+    batches = [[(1, 1, "a", 0), (2, 1, "a", 60), (3, 1, "b", 120), (4, 2, "a", 60)], [(5, 1, "a", 3000), (6, 1, "a", 3700)], [(7, 1, "z", 9 * HOUR)], [(8, 1, "z", 12 * HOUR)]]
+    for s in _steps(spark, wd, batches):
+        J.append_sink(hourly_actives(s, "2 hours"), f"{wd}/out", f"{wd}/ckpt", available_now=True).awaitTermination()
+    got = sorted((int(r.window_start.timestamp()) - START, r.product_id, r.actives) for r in spark.read.parquet(f"{wd}/out").collect())
+    assert got[:3] == [(0, 1, 2), (0, 2, 1), (HOUR, 1, 1)]

@@ -41,12 +41,13 @@ def event_counts(fact: DataFrame, event_defs: DataFrame, by_version: bool = Fals
 
 
 def event_amounts(app_event: DataFrame, event_defs: DataFrame) -> DataFrame:
-    """E5: sum of amounts per defined event over the raw event rows."""
+    """E5: sum of amounts per defined event over the raw event rows, in the
+    amounts' own kind: whole numbers stay whole, fractions stay fractions."""
     amt = app_event.groupBy("product_id", "event_id").agg(F.sum("num").alias("amount"))
     return (event_defs.select("product_id", "event_id", "event_identifier")
             .join(amt, ["product_id", "event_id"], "left")
             .select("product_id", "event_id", "event_identifier",
-                    F.coalesce("amount", F.lit(0)).cast("bigint").alias("amount")))
+                    F.coalesce(F.col("amount"), F.lit(0).cast(amt.schema["amount"].dataType)).alias("amount")))
 
 
 def event_daily(fact: DataFrame, by: list[str] = ("product_id", "event_id")) -> DataFrame:
@@ -152,36 +153,40 @@ def funnel_target_series(fact: DataFrame, funnels: DataFrame) -> DataFrame:
 
 
 def ordered_funnel(fact: DataFrame, funnels: DataFrame, max_steps: int,
-                   window_seconds: int = 7 * 86400) -> DataFrame:
+                   window_seconds: int = 7 * 86400, bucket_seconds: int = 86400) -> DataFrame:
     """E15 (extension, not in the reference): devices reaching each step in
     order.  A device enters at its first step-1 event; step k counts when a
-    step-k event follows the step-(k-1) time within ``window_seconds`` of
-    the entry.  Each step is one equi join of that step's events with one
-    row per device (no pair expansion) and a partial ``min`` aggregate.
-    ``max_steps`` is the longest configured funnel (the loop depth)."""
+    step-k event follows the step-(k-1) time (or falls on it) within
+    ``window_seconds`` of the entry.  ``max_steps`` is the longest configured
+    funnel.
+
+    One scan for all steps.  A (device, time bucket) is reduced to a funnel
+    state: for each step that a device may have reached before, the times at
+    which the bucket reaches the next ones.  States of a device's buckets
+    compose in time order, so a hot device is spread over its buckets and what
+    meets at the device is ``max_steps`` short lists a bucket.  Events without a
+    time can't be ordered and don't count.
+    """
     steps = (funnels.withColumn("step", F.row_number().over(
         Window.partitionBy("product_id", "funnel_id").orderBy("seq")))
         .select("product_id", "funnel_id", "step", "event_id"))
-    ev = fact.select("product_id", "device_id", "event_id", "ts").join(steps, ["product_id", "event_id"])
     keys = ["product_id", "funnel_id", "device_id"]
-    reached = (ev.where(F.col("step") == 1).groupBy(*keys)
-               .agg(F.min("ts").alias("t"))
-               .withColumn("t0", F.col("t")).withColumn("step", F.lit(1)))
-    out = [reached]
-    cur = reached
-    for k in range(2, max_steps + 1):
-        nxt = (ev.where(F.col("step") == k).select(*keys, F.col("ts"))
-               .join(cur.select(*keys, "t", "t0"), keys)
-               .where((F.col("ts") >= F.col("t")) &
-                      (F.col("ts") <= F.col("t0") + F.make_dt_interval(secs=F.lit(window_seconds))))
-               .groupBy(*keys).agg(F.min("ts").alias("t"), F.min("t0").alias("t0"))
-               .withColumn("step", F.lit(k)))
-        out.append(nxt)
-        cur = nxt
-    from functools import reduce
-    allr = reduce(lambda x, y: x.unionByName(y), out)
-    return (allr.groupBy("product_id", "funnel_id", "step")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("devices"))
-            .join(steps.select("product_id", "funnel_id", "step"), ["product_id", "funnel_id", "step"], "right")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ev = fact.where("ts is not null").select("product_id", "device_id", "event_id", us.alias("us")) \
+        .join(steps, ["product_id", "event_id"]).withColumn("b", F.floor(F.col("us") / (bucket_seconds * 1_000_000)))
+    none = F.array().cast("array<bigint>")
+    after = lambda k: F.aggregate(
+        "seen", none, lambda times, e: F.when(e["step"] == F.size(times) + k + 1, F.concat(times, F.array(e["us"]))).otherwise(times))
+    # of a step's repeats at one time one is enough
+    seen = F.array_sort(F.collect_set(F.struct("us", "step")))
+    states = ev.groupBy(*keys, "b").agg(seen.alias("seen")).select(*keys, "b", F.array(*[after(k) for k in range(max_steps)]).alias("next"))
+    device = states.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("b", "next"))).alias("states"))
+    times = F.aggregate("states", none, lambda t, s: F.when(
+        F.size(t) < max_steps, F.concat(t, F.element_at(s["next"], F.least(F.size(t), F.lit(max_steps - 1)) + 1))).otherwise(t))
+    reached = device.select(*keys, times.alias("times")).select(
+        *keys, F.size(F.filter("times", lambda t: t <= F.element_at("times", 1) + window_seconds * 1_000_000)).alias("n"))
+    counts = reached.where("n > 0").select("product_id", "funnel_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("step")) \
+        .groupBy("product_id", "funnel_id", "step").agg(F.count(F.lit(1)).alias("devices"))
+    return (steps.select("product_id", "funnel_id", "step").join(counts, ["product_id", "funnel_id", "step"], "left")
             .select("product_id", "funnel_id", "step",
                     F.coalesce("devices", F.lit(0)).cast("bigint").alias("devices")))

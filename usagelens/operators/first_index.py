@@ -156,7 +156,7 @@ def reflag(flagged: DataFrame, corrections: DataFrame, flag: str = "is_new") ->
     a broadcast list of measured size, so that day partitions are pruned.
     """
     days = corrections.select(F.col("d").alias("_day")).unionAll(corrections.where("old is not null").select("old.d")).distinct()
-    return set_flags(flagged.join(days, F.col("d").eqNullSafe(F.col("_day")), "left_semi"), corrections, flag)
+    return set_flags(on_days(flagged, days), corrections, flag)
 
 
 def set_flags(rows: DataFrame, corrections: DataFrame, flag: str = "is_new") -> DataFrame:
@@ -166,6 +166,16 @@ def set_flags(rows: DataFrame, corrections: DataFrame, flag: str = "is_new") ->
     return rows.join(on, F.col("launch_id") == F.col("_id"), "left").withColumn(flag, F.coalesce("_set", F.col(flag))).drop("_id", "_set")
 
 
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the listed days (``_day``) only; a plain equality, so that the list
+    prunes the scan's day folders as it runs.  Rows without a day are the folder
+    of theirs, wanted where the list has a null."""
+    dated = rows.join(days.where("_day > date'0001-01-01'"), F.col("d") == F.col("_day"), "left_semi")
+    asked = days.where("_day is null").select(F.lit(1).alias("_null"))
+    undated = rows.where("d is null").withColumn("_null", F.lit(1)).join(asked, "_null", "left_semi").drop("_null")
+    return dated.unionByName(undated)
+
+
 def take_late_rows(index: FirstLaunchIndex, fact_path: str, late: DataFrame, epoch: int, flag: str = "is_new") -> DataFrame:
     """Bring late rows into a flagged fact that lies by day under ``fact_path``.
 
@@ -179,8 +189,8 @@ def take_late_rows(index: FirstLaunchIndex, fact_path: str, late: DataFrame, epo
     corrections = spark.read.schema(corrections.schema).parquet(f"{index.path}/applied/epoch={epoch}")
     fact = spark.read.parquet(fact_path)
     days = late.select(F.col("d").alias("_day")).unionAll(corrections.select("d")) \
-        .unionAll(corrections.where("old is not null").select("old.d")).distinct().where("_day is null or _day > date'0001-01-01'")
-    held = fact.join(days, F.col("d").eqNullSafe(F.col("_day")), "left_semi")
+        .unionAll(corrections.where("old is not null").select("old.d")).distinct()
+    held = on_days(fact, days)
     new = late.withColumn(flag, F.lit(0)).select(*fact.columns).join(held.select(F.col("launch_id").alias("_id")), F.col("launch_id").eqNullSafe(F.col("_id")), "left_anti")
     staged = f"{index.path}/days/epoch={epoch}"
     set_flags(held.unionByName(new), corrections, flag).write.mode("overwrite").parquet(staged)

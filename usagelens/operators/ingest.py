@@ -4,7 +4,7 @@ sessionization.
 
 All of them are per-row column expressions or joins against registry-sized
 tables, so an ingest batch is a map-only stage (no shuffle) except for
-sessionization, which needs the device's own ordering.
+sessionization, which needs the device's own ordering and stages its rows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from usagelens.operators import runs
+
 # ---------------------------------------------------------------------------
 # Payload fields (required ones per kind) and reject codes
 # ---------------------------------------------------------------------------
@@ -211,10 +213,15 @@ def crash_title(df: DataFrame, stack_col: str = "stacktrace", out: str = "title"
     return df.withColumn(out, title)
 
 
+# Fixed value: an amount as text.
+AMOUNT = r"^\s*\+?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE]\+?[0-9]{1,2})?\s*$"
+
+
 def validate_amount(df: DataFrame, col: str = "acc") -> tuple[DataFrame, DataFrame]:
     """An amount is refused when empty/NULL, when it contains '-' or when
-    it is no number (it would turn into NULL unnoticed)."""
-    bad_cond = F.col(col).isNull() | F.col(col).contains("-") | F.col(col).try_cast("double").isNull()
+    it is no number.  Only digits with a point or exponent count as one: what a
+    cast takes besides (``NaN``, ``Infinity``, ``1d``) would spoil every sum."""
+    bad_cond = ~F.coalesce(F.col(col).rlike(AMOUNT) & F.col(col).try_cast("double").isNotNull(), F.lit(False))
     good = df.where(~bad_cond)
     bad = (df.where(bad_cond).withColumn("reject_code", F.lit(REJECT_BAD_AMOUNT))
            .withColumn("reject_reason", F.lit("invalid amount")))
@@ -229,45 +236,47 @@ def sessionize(df: DataFrame, gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS,
     activity exceeds ``gap_seconds``; the id is md5(key + session start + the
     ``by`` columns), so two devices that start in the same second differ.
 
-    Skew-proof batch form (no window over a device's whole history):
+    Every row comes out.  Rows without a device are a device of their own per
+    product; rows without a time are one session of their device, which has no
+    start.
 
-    1. rows are cut into time buckets of ``bucket_seconds``; inside each
-       (device, bucket) a ``lag`` window marks local session starts;
-    2. one summary row per (device, bucket) -- first/last time and local
-       session count -- is stitched with a window over the device's buckets
-       (a bucket continues the previous one when its first row is within the
-       gap of the previous bucket's last row, however far apart they are);
-    3. the global session number of a row is the number of sessions started
-       in earlier buckets plus its local number; the session start is a
-       per-session ``min`` joined back on (device, session).
+    Skew-proof batch form (``operators.runs``), one read and one shuffle of the
+    rows, which are staged:
 
-    Streaming callers use ``session_window`` instead (streaming/jobs.py).
+    1. in each (device, time bucket) a ``lag`` window marks local starts and
+       carries the latest one forward;
+    2. one summary row per (device, bucket) -- first and last time, latest start
+       -- is windowed over the device's buckets: a bucket goes on with the
+       session before it when its first row is within the gap of the last row
+       before, however far apart they are;
+    3. a row whose local start isn't a real one takes the start carried there.
+
+    Streaming callers use ``streaming.stateful.session_job`` instead.
     """
     by = list(by)
     gap_us = gap_seconds * 1_000_000
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    order = [F.col(ts)] + ([F.col(order_id)] if order_id else [])
-    b = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / (bucket_seconds * 1_000_000)))
-    wb = Window.partitionBy(*by, "_b").orderBy(*order)
-    prev = F.lag("_us").over(wb)
-    b = b.withColumn("_new", F.when(prev.isNull() | (F.col("_us") - prev > gap_us), 1).otherwise(0))
-    b = b.withColumn("_k", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-    summ = b.groupBy(*by, "_b").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                                    F.sum("_new").alias("_local"))
-    wd = Window.partitionBy(*by).orderBy("_b")
-    prev_last = F.lag("_last").over(wd)
-    summ = summ.withColumn("_cross", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us), 1)
-                           .otherwise(0))
-    starts = F.col("_local") - (F.lit(1) - F.col("_cross"))
-    summ = summ.withColumn("_before", F.coalesce(
-        F.sum(starts).over(wd.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rows = (b.join(summ.select(*by, "_b", "_before", "_cross"), [*by, "_b"])
-            .withColumn("_sess", F.col("_before") + F.col("_k") - (F.lit(1) - F.col("_cross"))))
-    first = rows.groupBy(*by, "_sess").agg(F.min(ts).alias("session_start"))
-    out = rows.join(first, [*by, "_sess"])
-    sid = F.md5(F.concat_ws("|", F.col(key_col).cast("string"), F.date_format(F.col("session_start"), "yyyyMMddHHmmss"),
+    rows = runs.dealt(df, by, ts, bucket_seconds)
+    local = Window.partitionBy("_g", "_b").orderBy("_us", *([order_id] if order_id else []))
+    prev = F.lag("_us").over(local)
+    rows = rows.withColumn("_new", prev.isNull() | (F.col("_us") - prev > gap_us))
+    start = F.last(F.when(F.col("_new"), F.col("_us")), ignorenulls=True)
+    rows = runs.staged(rows.withColumn("_start", start.over(local.rowsBetween(Window.unboundedPreceding, 0))).drop("_new"), "sessions")
+    buckets = rows.where("_us is not null").groupBy("_g", "_b").agg(
+        F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.max("_start").alias("_latest"))
+    over = Window.partitionBy("_g").orderBy("_b")
+    before = F.lag("_last").over(over)
+    buckets = buckets.withColumn("_opens", before.isNull() | (F.col("_first") - before > gap_us))
+    # the latest start of a bucket, unless it only goes on with the session before
+    own = F.when(F.col("_opens") | (F.col("_latest") > F.col("_first")), F.col("_latest"))
+    carried = F.last(own, ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    buckets = buckets.select("_g", "_b", "_first", F.when(~F.col("_opens"), carried).alias("_carried"))
+    out = rows.join(buckets, ["_g", "_b"], "left").withColumn(
+        "_start", F.when(F.col("_start") == F.col("_first"), F.coalesce("_carried", "_start")).otherwise(F.col("_start")))
+    out = out.withColumn("session_start", F.timestamp_micros("_start").cast(df.schema[ts].dataType))
+    sid = F.md5(F.concat_ws("|", F.col(key_col).cast("string"), F.coalesce(F.date_format("session_start", "yyyyMMddHHmmss"), F.lit("")),
                             *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]))
-    return out.withColumn("session_id", sid).drop("_us", "_b", "_new", "_k", "_before", "_cross", "_sess")
+    return out.withColumn("session_id", sid).select(*df.columns, "session_start", "session_id")
+
 
 # ---------------------------------------------------------------------------
 # end-to-end ingest chains: parse -> checks (with reject outputs) -> repair

@@ -1,8 +1,6 @@
 """Page statistics, transitions and path reports.
 
-Sessions are partitioned by (product, session, day): each is one device's
-activity on one day, so the ``lead``/``row_number`` window never holds more
-than one device-day of rows.  Page exits use ``max_by`` (a partial
+Sessions are (product, session, day).  Page exits use ``max_by`` (a partial
 aggregate).  Everything after the transitions works on small summary tables.
 """
 
@@ -14,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.ratios import ratio
+from usagelens.operators import runs
 from usagelens.operators.kpis import only_active
 
 ENTRY_KEYS = ["product_id", "channel_id", "version"]
@@ -49,29 +48,32 @@ def transitions(pages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     by (start, id), the k-th view leads to the next one with jump k; the last
     view leads to ``Exit``.
 
-    Skew-proof: ``lead``/``row_number`` run inside (session, day, time
-    bucket) partitions; one summary row per bucket (row count, first page)
-    carries the ordering across buckets -- jump = rows in earlier buckets +
-    local position, and a bucket's last page leads to the next non-empty
-    bucket's first page -- so even a runaway session is spread over its
-    buckets instead of one task.
+    Every view counts once.  Views without a session (or day) are one session
+    of their product and day; views without a start come first in theirs.
+
+    Skew-proof (``operators.runs``), one read and one shuffle of the views,
+    which are staged: ``lead``/``row_number`` run inside (session, day, time
+    bucket); one summary row per bucket (row count, first page) carries the
+    order across buckets -- jump = rows in earlier buckets + local position,
+    and a bucket's last page leads to the next bucket's first page -- so even a
+    runaway session is spread over its buckets instead of one task.
     """
-    sess = ["product_id", "session_id", "d"]
-    b = pages.withColumn("_b", F.floor(F.unix_micros(F.col("start_ts").cast("timestamp"))
-                                       / (bucket_seconds * 1_000_000)))
-    wl = Window.partitionBy(*sess, "_b").orderBy("start_ts", "view_id")
-    b = b.withColumns({"_rn": F.row_number().over(wl), "_next": F.lead("activity").over(wl)})
-    summ = (b.groupBy(*sess, "_b")
-            .agg(F.count(F.lit(1)).alias("_cnt"),
-                 F.min_by("activity", F.struct("start_ts", "view_id")).alias("_first")))
-    ws = Window.partitionBy(*sess).orderBy("_b")
-    summ = summ.withColumns({
-        "_before": F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_next_first": F.lead("_first").over(ws)})
-    edges = (b.join(summ.select(*sess, "_b", "_before", "_next_first"), [*sess, "_b"])
-             .select(*ENTRY_KEYS, "d", F.col("activity").alias("from_activity"),
-                     F.coalesce("_next", "_next_first", F.lit(EXIT)).alias("to_activity"),
-                     (F.col("_before") + F.col("_rn")).cast("int").alias("jump")))
+    need = list(dict.fromkeys([*ENTRY_KEYS, "session_id", "d", "start_ts", "view_id", "activity"]))
+    rows = runs.dealt(pages.select(*need), ["product_id", "session_id", "d"], "start_ts", bucket_seconds)
+    local = Window.partitionBy("_g", "_b").orderBy("start_ts", "view_id")
+    # a page without a name is a page: its struct is there where the row is
+    page = F.struct("activity")
+    rows = rows.withColumns({"_rn": F.row_number().over(local), "_next": F.lead(page).over(local)})
+    rows = runs.staged(rows.drop("session_id", "start_ts", "view_id", "_us"), "views")
+    buckets = rows.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_cnt"), F.min_by(page, "_rn").alias("_first"))
+    over = Window.partitionBy("_g").orderBy("_b")
+    buckets = buckets.select("_g", "_b", F.coalesce(F.sum("_cnt").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                             F.lead("_first").over(over).alias("_next_first"))
+    to = F.coalesce("_next", "_next_first")
+    edges = rows.join(buckets, ["_g", "_b"]).select(
+        *ENTRY_KEYS, "d", F.col("activity").alias("from_activity"),
+        F.when(to.isNull(), F.lit(EXIT)).otherwise(to["activity"]).alias("to_activity"),
+        (F.col("_before") + F.col("_rn")).cast("int").alias("jump"))
     return (edges.groupBy(*ENTRY_KEYS, "d", "from_activity", "to_activity", "jump")
             .agg(F.count(F.lit(1)).alias("count")))
 

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from usagelens.functions.densify import densify
 from usagelens.operators import dims as DM
+from usagelens.operators import events as EV
 from usagelens.operators import facts as FA
 from usagelens.operators import ingest as IN
 from usagelens.operators import kpis as K
@@ -170,6 +172,54 @@ def session_assign(i: Inputs):
     return s.select("launch_id", "product_id", "device_id", "session_start", "session_id")
 
 
+@query("session_assign_gaps", f"""
+WITH l AS (SELECT launch_id, product_id, CASE WHEN launch_id % 41 <> 0 THEN device_id END AS device_id,
+             CASE WHEN launch_id % 43 <> 0 THEN ts END AS ts, 'key-' || CAST(product_id AS VARCHAR) AS app_key FROM launch),
+g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > {GAP_S * 1_000_000} THEN 1 ELSE 0 END AS nw
+      FROM l WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY product_id, device_id ORDER BY ts, launch_id)),
+s AS (SELECT *, sum(nw) OVER (PARTITION BY product_id, device_id ORDER BY ts, launch_id ROWS UNBOUNDED PRECEDING) AS sn FROM g),
+t AS (SELECT launch_id, product_id, device_id, app_key, min(ts) OVER (PARTITION BY product_id, device_id, sn) AS session_start FROM s
+      UNION ALL SELECT launch_id, product_id, device_id, app_key, NULL FROM l WHERE ts IS NULL)
+SELECT launch_id, product_id, device_id, session_start,
+  md5(app_key || '|' || coalesce(strftime(session_start, '%Y%m%d%H%M%S'), '') || '|' || product_id || '|' || coalesce(device_id, '')) AS session_id FROM t""")
+def session_assign_gaps(i: Inputs):
+    """I16 where devices and times are missing: every row keeps a session."""
+    l = i.launch.select("launch_id", "product_id", F.when(F.col("launch_id") % 41 != 0, F.col("device_id")).alias("device_id"),
+                        F.when(F.col("launch_id") % 43 != 0, F.col("ts")).alias("ts"),
+                        F.concat(F.lit("key-"), F.col("product_id").cast("string")).alias("app_key"))
+    s = IN.sessionize(l, GAP_S, ["product_id", "device_id"], "ts", "app_key", order_id="launch_id")
+    return s.select("launch_id", "product_id", "device_id", "session_start", "session_id")
+
+
+AMOUNTS = ("7", "23.3", "1e2", "NaN", "Infinity", "1d", "-4", "", " 5 ", ".5", "+2")
+
+
+@query("event_amounts_text", f"""
+WITH a AS (SELECT product_id, event_id, list_value({", ".join(f"'{x}'" for x in AMOUNTS)})[CAST(row_id % {len(AMOUNTS)} AS INTEGER) + 1] AS acc FROM app_event),
+s AS (SELECT product_id, event_id, sum(CAST(trim(acc) AS DOUBLE)) AS amount FROM a
+      WHERE regexp_full_match(acc, '\\s*\\+?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE]\\+?[0-9]{{1,2}})?\\s*') GROUP BY ALL)
+SELECT d.product_id, d.event_id, d.event_identifier, round(coalesce(s.amount, 0), 6) AS amount FROM event_defs d
+LEFT JOIN s ON s.product_id = d.product_id AND s.event_id = d.event_id""")
+def event_amounts_text(i: Inputs):
+    """I13 -> E5: amounts as text, with fractions and what is no number; the sum keeps fractions."""
+    acc = F.element_at(F.array(*map(F.lit, AMOUNTS)), (F.col("row_id") % len(AMOUNTS) + 1).cast("int"))
+    good, _ = IN.validate_amount(i.app_event.withColumn("acc", acc))
+    sums = EV.event_amounts(good.withColumn("num", F.trim("acc").cast("double")), i.event_defs)
+    return sums.withColumn("amount", F.round("amount", 6))
+
+
+@query("version_grid_gaps", """
+WITH v AS (SELECT product_id, CASE WHEN launch_id % 37 <> 0 THEN version END AS version, d FROM launch),
+k AS (SELECT DISTINCT product_id, version FROM v), s AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS d FROM v)
+SELECT k.product_id, k.version, s.d, CAST(count(v.d) AS BIGINT) AS sessions FROM k CROSS JOIN s
+LEFT JOIN v ON v.product_id = k.product_id AND v.version IS NOT DISTINCT FROM k.version AND v.d = s.d GROUP BY ALL""")
+def version_grid_gaps(i: Inputs):
+    """Dense version series where some launches have no version: null is a version of its own."""
+    rows = i.launch.select("product_id", F.when(F.col("launch_id") % 37 != 0, F.col("version")).alias("version"), "d")
+    counts = rows.groupBy("product_id", "version", "d").agg(F.count(F.lit(1)).cast("bigint").alias("sessions"))
+    return densify(counts, ["product_id", "version"], ["sessions"], span_src=rows)
+
+
 @query("ingest_increments", """
 SELECT date_trunc('hour', ingest_ts) AS window_start, CAST(count(*) AS BIGINT) AS rows FROM launch GROUP BY ALL""")
 def ingest_increments(i: Inputs):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from usagelens.operators import paths as PT
 from usagelens.plans.catalog import Inputs, query
 
@@ -60,6 +62,23 @@ def page_transitions(i: Inputs):
     return PT.transitions(i.page)
 
 
+PAGE_GAPS_SQL = """
+pg AS (SELECT product_id, channel_id, version, d, view_id, CASE WHEN view_id % 41 = 0 THEN NULL ELSE session_id END AS session_id,
+         CASE WHEN view_id % 43 = 0 THEN NULL ELSE start_ts END AS start_ts, CASE WHEN view_id % 47 = 0 THEN NULL ELSE activity END AS activity FROM page)"""
+
+
+@query("page_transitions_gaps", f"""WITH {PAGE_GAPS_SQL},
+t AS (SELECT product_id, channel_id, version, d, activity AS from_activity,
+        CASE WHEN lead(view_id) OVER w IS NULL THEN 'Exit' ELSE lead(activity) OVER w END AS to_activity,
+        CAST(row_number() OVER w AS INTEGER) AS jump
+      FROM pg WINDOW w AS (PARTITION BY product_id, session_id, d ORDER BY start_ts NULLS FIRST, view_id))
+SELECT product_id, channel_id, version, d, from_activity, to_activity, jump, CAST(count(*) AS BIGINT) AS count FROM t GROUP BY ALL""")
+def page_transitions_gaps(i: Inputs):
+    """P11 where sessions, start times and page names are missing: every view still counts once."""
+    gap = lambda c, n: F.when(F.col("view_id") % n != 0, F.col(c)).alias(c)
+    return PT.transitions(i.page.select("product_id", "channel_id", "version", "d", "view_id", gap("session_id", 41), gap("start_ts", 43), gap("activity", 47)))
+
+
 @query("page_levels", """WITH {0},
 lv AS (SELECT product_id, channel_id, version, from_activity, to_activity, min(jump) AS level,
          CAST(sum(count) AS BIGINT) AS count FROM tr GROUP BY ALL)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.operators.first_index import on_days
 from usagelens.operators.kpis import launch_rollup
 from usagelens.streaming.jobs import LATE_HORIZON, _ntz, _start
 
@@ -109,20 +110,18 @@ class IncrementJob:
     def rollup(self, upto: int, days: DataFrame | None = None) -> DataFrame:
         """The rollup of all epochs to ``upto``, of the given days only if any."""
         rows = self._deltas(self._compacted() + 1, upto)
+        rows = rows if days is None or rows is None else on_days(rows, days)
         base = f"{self.path}/base"
-        if _exists(self.spark, base):
-            held = self.spark.read.parquet(base)
-            if rows is not None:
-                through = held.groupBy("d").agg(F.max("through").alias("through")).withColumnRenamed("d", "_d")
-                rows = rows.join(through, F.col("d").eqNullSafe(F.col("_d")), "left") \
-                    .where(F.col("epoch") > F.coalesce("through", F.lit(-1))).drop("_d", "through")
-                rows = rows.drop("epoch").unionByName(held.drop("through"))
-            else:
-                rows = held.drop("through")
-        else:
-            rows = rows.drop("epoch")
-        if days is not None:
-            rows = rows.join(days, F.col("d").eqNullSafe(F.col("_day")), "left_semi")
+        if not _exists(self.spark, base):
+            return merged(rows.drop("epoch"))
+        held = self.spark.read.parquet(base)
+        held = held if days is None else on_days(held, days)
+        if rows is None:
+            return merged(held.drop("through"))
+        through = held.groupBy("d").agg(F.max("through").alias("through")).withColumnRenamed("d", "_d")
+        rows = rows.join(through, F.col("d").eqNullSafe(F.col("_d")), "left") \
+            .where(F.col("epoch") > F.coalesce("through", F.lit(-1))).drop("_d", "through")
+        rows = rows.drop("epoch").unionByName(held.drop("through"))
         return merged(rows)
 
     def take(self, batch: DataFrame, epoch: int) -> None:
@@ -135,8 +134,7 @@ class IncrementJob:
         delta.write.mode("overwrite").partitionBy("d").parquet(f"{self.path}/deltas/epoch={epoch}")
         self.kinds = T.StructType([*delta.schema.fields, T.StructField("epoch", T.LongType())])
         mine = self._deltas(epoch, epoch)
-        # the comparison tells the optimizer that the list is selective, so that it prunes day folders
-        days = mine.select(F.col("d").alias("_day")).distinct().where("_day is null or _day > date'0001-01-01'")
+        days = mine.select(F.col("d").alias("_day")).distinct()
         self._replace(self.summarize(self.rollup(epoch, days)), "summary")
         if (epoch + 1) % self.every == 0:
             self.compact(epoch)

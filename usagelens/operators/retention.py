@@ -2,9 +2,9 @@
 
 Retention is one join instead of the reference's 8 x 2 dynamic statements:
 first launches (a partial aggregate per (product, device)) are joined to the
-device's distinct active periods, the period offset is computed, and one
-grouping-sets aggregate with the offset as a key produces every
-(cohort, product[, version][, channel], offset) count; a pivot with fixed
+device's distinct active periods, the period offset is computed, and counts
+with the offset as a key give every
+(cohort, product[, version][, channel], offset) number; a pivot with fixed
 offsets 1..depth turns offsets into columns.
 
 Grouping sets follow the reference's two unioned rollups:
@@ -21,8 +21,6 @@ from usagelens.functions.calendar import period_end, period_index, period_start
 from usagelens.functions.ratios import pct_round, ratio
 from usagelens.operators.kpis import first_launch, only_active
 
-ROLLUP_SETS = [["product_id", "version", "channel"], ["product_id", "version"],
-               ["product_id", "channel"], ["product_id"], []]
 PREFIX = {"day": "day", "week": "week", "month": "month"}
 
 
@@ -31,18 +29,29 @@ def _with_channel(df: DataFrame) -> DataFrame:
 
 
 def _rollup_count(df: DataFrame, extra: list[str], out: str) -> DataFrame:
-    """count(distinct device) over the five grouping sets, totals marked."""
-    g = df.groupingSets([[*extra, *s] for s in ROLLUP_SETS],
-                        *extra, "product_id", "version", "channel")
-    agg = g.agg(F.countDistinct("device_id").alias(out),
-                F.grouping("product_id").alias("_gp"), F.grouping("version").alias("_gv"),
-                F.grouping("channel").alias("_gc"))
-    return agg.select(
-        *extra,
-        F.when(F.col("_gp") == 1, F.lit(-1)).otherwise(F.col("product_id")).alias("product_id"),
-        F.when(F.col("_gv") == 1, F.lit("all")).otherwise(F.col("version")).alias("version"),
-        F.when(F.col("_gc") == 1, F.lit("all")).otherwise(F.col("channel")).alias("channel"),
-        F.col(out).cast("bigint").alias(out))
+    """count(distinct device) over the five grouping sets, totals marked.
+
+    Rows of a device are one group where they lie (``df`` is dealt by product
+    and device): the versions, channels and pairs of a device are made distinct
+    there, and each is then one of a plain count with a partial aggregate.  Only
+    the set over all products has devices that meet from elsewhere, so only there
+    are devices shuffled, once and without the other sets.
+    """
+    null = F.lit(None).cast("string")
+    entry = lambda v, c, gv, gc: F.struct(v.alias("version"), c.alias("channel"), F.lit(gv).alias("gv"), F.lit(gc).alias("gc"))
+    own = lambda name: F.array_distinct(F.transform("pairs", lambda p: p[name]))
+    sets = F.concat(F.transform("pairs", lambda p: entry(p["version"], p["channel"], 0, 0)),
+                    F.transform(own("version"), lambda v: entry(v, null, 0, 1)),
+                    F.transform(own("channel"), lambda c: entry(null, c, 1, 0)), F.array(entry(null, null, 1, 1)))
+    device = df.groupBy("product_id", "device_id", *extra).agg(F.collect_set(F.struct("version", "channel")).alias("pairs"))
+    each = device.select(*extra, "product_id", F.explode(sets).alias("s"), F.col("device_id").isNotNull().cast("int").alias("one"))
+    by_product = each.groupBy(*extra, "product_id", "s.version", "s.channel", "s.gv", "s.gc").agg(F.sum("one").alias(out))
+    whole = df.select(*extra, "device_id").distinct().groupBy(*extra).agg(F.count("device_id").alias(out))
+    return by_product.select(
+        *extra, "product_id", F.when(F.col("gv") == 1, F.lit("all")).otherwise(F.col("version")).alias("version"),
+        F.when(F.col("gc") == 1, F.lit("all")).otherwise(F.col("channel")).alias("channel"), F.col(out).cast("bigint").alias(out)) \
+        .unionByName(whole.select(*extra, F.lit(-1).cast(df.schema["product_id"].dataType).alias("product_id"), F.lit("all").alias("version"),
+                                  F.lit("all").alias("channel"), F.col(out).cast("bigint").alias(out)))
 
 
 def cohort_size(launch: DataFrame, active: DataFrame | None, kind: str = "day",
@@ -79,10 +88,9 @@ def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", de
     fell in the cohort period, grouped by the version/channel of the return
     visit; usercount groups new devices by the new launch's version/channel.
 
-    One pass: the cohort rows (offset 0, keyed by the new launch) and the
-    return rows (offset 1..depth, keyed by the visit) are unioned and counted
-    in a single grouping-sets aggregate with the offset as a key, then
-    pivoted on the fixed offsets 0..depth.
+    The cohort rows (offset 0, keyed by the new launch) and the return rows
+    (offset 1..depth, keyed by the visit) are counted apart, each where the
+    device's rows lie, then pivoted on the fixed offsets 0..depth.
     """
     keys = keys if keys is not None else launch_keys(launch)
     firsts = only_active(first_launch(keys, ["product_id"]), active)
@@ -100,7 +108,7 @@ def retention(launch: DataFrame, active: DataFrame | None, kind: str = "day", de
                 .select("product_id", "device_id", "version", "channel", "cohort_start", "offset"))
     new = cohort.select("product_id", "device_id", F.col("_fv").alias("version"), F.col("_fc").alias("channel"),
                         "cohort_start", F.lit(0).alias("offset"))
-    counts = _rollup_count(new.unionByName(returned), ["cohort_start", "offset"], "n")
+    counts = _rollup_count(new, ["cohort_start", "offset"], "n").unionByName(_rollup_count(returned, ["cohort_start", "offset"], "n"))
     prefix = PREFIX[kind]
     wide = (counts.groupBy("cohort_start", "product_id", "version", "channel")
             .pivot("offset", list(range(0, depth + 1))).agg(F.first("n")))

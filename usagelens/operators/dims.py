@@ -9,8 +9,6 @@ bookkeeping: facts join on natural keys.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +23,13 @@ def extend_dim(dim: DataFrame, src: DataFrame, cols: list[str]) -> DataFrame:
 
 def new_attribute_values(dim_src: DataFrame, src: DataFrame, attrs: list[str]) -> DataFrame:
     """Unseen values of several single-column dimensions at once, as
-    (attribute, value) rows."""
-    parts = [extend_dim(dim_src.select(a), src.select(a), [a])
-             .select(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value"))
-             for a in attrs]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    (attribute, value) rows; each side is read once for all attributes, and a
+    value is new where the known side has none of it (nulls included)."""
+    def values(df: DataFrame, known: int) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in attrs])
+        return df.select(F.explode(each).alias("v")).select("v.*", F.lit(known).alias("known"))
+    both = values(dim_src, 1).unionByName(values(src, 0)).groupBy("attribute", "value").agg(F.max("known").alias("known"))
+    return both.where("known = 0").drop("known")
 
 
 def surrogate_key(*cols) -> F.Column:

@@ -8,7 +8,7 @@ ordered variant, offered as an extension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.densify import date_grid, span_bounds
@@ -58,20 +58,28 @@ def event_daily(fact: DataFrame, by: list[str] = ("product_id", "event_id")) ->
 def event_grid(fact: DataFrame, event_defs: DataFrame, lo=None, hi=None) -> DataFrame:
     """Dense (defined event x day) grid with counts, 0 where none.
     The day span defaults to the span of the data."""
-    dlo, dhi = span_bounds(fact)
-    lo = dlo if lo is None else F.lit(lo).cast("date")
-    hi = dhi if hi is None else F.lit(hi).cast("date")
+    dlo, dhi = span_bounds(fact) if lo is None or hi is None else (None, None)
+    lo = dlo if lo is None else F.lit(lo).cast("date") if not isinstance(lo, Column) else lo
+    hi = dhi if hi is None else F.lit(hi).cast("date") if not isinstance(hi, Column) else hi
     grid = date_grid(event_defs.select("product_id", "event_id", "event_identifier"), lo, hi)
     return (grid.join(event_daily(fact), ["product_id", "event_id", "d"], "left")
             .select("product_id", "event_id", "event_identifier", "d",
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def event_series(fact: DataFrame, kpis: DataFrame, event_defs: DataFrame) -> DataFrame:
+def of_version(df: DataFrame, version: str | None) -> DataFrame:
+    """Rows of one version, or of all."""
+    return df if version is None else df.where(F.col("version") == version)
+
+
+def event_series(fact: DataFrame, kpis: DataFrame, event_defs: DataFrame, version: str | None = None, a=None, b=None) -> DataFrame:
     """Dense daily event counts with count per active device and per
-    session of the product that day (0 where there is none)."""
-    g = event_grid(fact, event_defs)
-    k = kpis.select("product_id", "d", "startusers", "sessions")
+    session of the product that day (0 where there is none).  With ``version``
+    both are of that version (``kpis`` at the version grain then); the days are
+    [a, b], by default those of all versions' events."""
+    dlo, dhi = span_bounds(fact) if a is None or b is None else (None, None)
+    g = event_grid(of_version(fact, version), event_defs, dlo if a is None else a, dhi if b is None else b)
+    k = of_version(kpis, version).select("product_id", "d", "startusers", "sessions")
     return (g.join(k, ["product_id", "d"], "left")
             .select("product_id", "event_id", "d", "count",
                     ratio_or_zero(F.col("count"), F.col("startusers")).alias("per_user"),
@@ -89,11 +97,11 @@ def funnel_ends(funnels: DataFrame) -> DataFrame:
                  F.max_by("event_id", "seq").alias("end_event")))
 
 
-def funnel_steps(fact: DataFrame, funnels: DataFrame, a=None, b=None) -> DataFrame:
-    """Per funnel step, the step event's count and its percentage of the
+def funnel_steps(fact: DataFrame, funnels: DataFrame, a=None, b=None, version: str | None = None) -> DataFrame:
+    """E9 (of one version, if given): per funnel step, the step event's count and its percentage of the
     first step's count (1 decimal, half up; '--' shown when the first step
     has no events).  Steps are ranked by sequence (renumbering-proof)."""
-    cnt = in_range(fact, a, b).groupBy("product_id", "event_id").agg(F.count(F.lit(1)).alias("count"))
+    cnt = of_version(in_range(fact, a, b), version).groupBy("product_id", "event_id").agg(F.count(F.lit(1)).alias("count"))
     steps = funnels.withColumn("step", F.row_number().over(
         Window.partitionBy("product_id", "funnel_id").orderBy("seq")))
     j = steps.join(cnt, ["product_id", "event_id"], "left").withColumn(
@@ -126,16 +134,16 @@ def funnel_daily(fact: DataFrame, funnels: DataFrame) -> DataFrame:
     start count, value = sum of end count x unit price; dense over the
     span of the data."""
     ends = funnel_ends(funnels)
-    daily = event_daily(fact)
-    s = (ends.join(daily.withColumnRenamed("event_id", "start_event"), ["product_id", "start_event"])
-         .groupBy("product_id", "d").agg(F.sum("count").alias("start_count")))
-    e = (ends.join(daily.withColumnRenamed("event_id", "end_event"), ["product_id", "end_event"])
-         .groupBy("product_id", "d")
-         .agg(F.sum("count").alias("end_count"),
-              F.sum(F.col("count").cast("decimal(20,0)") * F.col("unit_price")).alias("value")))
+    # an event's part in its funnels: one pass over the daily counts serves starts and ends
+    role = lambda event, starts, ends_: ends.select("product_id", F.col(event).alias("event_id"), F.lit(starts).alias("_s"), F.lit(ends_).alias("_e"), "unit_price")
+    roles = role("start_event", 1, 0).unionByName(role("end_event", 0, 1))
+    n = F.col("count")
+    sums = event_daily(fact).join(roles, ["product_id", "event_id"]).groupBy("product_id", "d").agg(
+        F.sum(n * F.col("_s")).alias("start_count"), F.sum(n * F.col("_e")).alias("end_count"),
+        F.sum(F.when(F.col("_e") == 1, n.cast("decimal(20,0)") * F.col("unit_price"))).alias("value"))
     lo, hi = span_bounds(fact)
     grid = date_grid(ends.select("product_id").distinct(), lo, hi)
-    out = grid.join(s, ["product_id", "d"], "left").join(e, ["product_id", "d"], "left")
+    out = grid.join(sums, ["product_id", "d"], "left")
     return out.select("product_id", "d",
                       F.coalesce("end_count", F.lit(0)).cast("bigint").alias("end_count"),
                       F.coalesce("start_count", F.lit(0)).cast("bigint").alias("start_count"),

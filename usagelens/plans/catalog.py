@@ -121,6 +121,14 @@ class Inputs:
         return self._staged("page_days", ["events"], ["product_id", "d"],
                             lambda n: page_rollup(self.page).repartition(n, "product_id", "d"))
 
+    @cached_property
+    def transitions(self) -> DataFrame:
+        """Page transitions per entry and day, staged once: the path reports
+        read this summary as often as they need it."""
+        from usagelens.operators.paths import transitions
+        return self._staged("page_transitions", ["events"], ["product_id", "d"],
+                            lambda n: transitions(self.page).repartition(n, "product_id", "d"))
+
     def _staged(self, kind: str, tables: list[str], keys: list[str], build: Callable[[int], DataFrame]) -> DataFrame:
         from usagelens.session import files_state, write_bucketed
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))

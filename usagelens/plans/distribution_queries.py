@@ -3,6 +3,8 @@ display forms, and the two engagement histograms."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from usagelens.operators import distribution as DI
 from usagelens.plans.catalog import Inputs, query
 from usagelens.plans.kpi_queries import FLAGGED
@@ -154,3 +156,47 @@ FROM g LEFT JOIN c USING (product_id, bucket_id)""")
 def frequency_histogram(i: Inputs):
     """Launch-frequency histogram (6 buckets) with share."""
     return DI.frequency_histogram(i.launch, R.LAUNCH_BUCKETS, i.active)
+
+
+# ---------------------------------------------------------------------------
+# a range of days, blank values
+# ---------------------------------------------------------------------------
+
+FROM, TO = "2024-01-06", "2024-01-22"        # report parameters
+IN_RANGE = f"d BETWEEN DATE '{FROM}' AND DATE '{TO}'"
+
+
+@query("dist_brand_active_range", dist_oracle("brand", False, TOP).replace("rw AS (SELECT * FROM launch)", f"rw AS (SELECT * FROM launch WHERE {IN_RANGE})"))
+def dist_brand_active_range(i: Inputs):
+    """B1: active devices by brand over a range of days."""
+    return DI.distribution(i.launch, "brand", i.active, top_n=TOP, a=FROM, b=TO)
+
+
+@query("dist_os_new_range", dist_oracle("os", True, TOP).replace("(SELECT * FROM fl WHERE isnew = 1)", f"(SELECT * FROM fl WHERE isnew = 1 AND {IN_RANGE})"))
+def dist_os_new_range(i: Inputs):
+    """B2: devices new in a range of days by operating system; new is judged over the whole history."""
+    return DI.distribution(i.launch, "os", i.active, new_only=True, top_n=TOP, a=FROM, b=TO)
+
+
+@query("geo_counts_range", f"""SELECT l.product_id, CAST(count(DISTINCT (l.country, l.region)) AS BIGINT) AS n FROM launch l
+JOIN active_channels a ON a.product_id = l.product_id AND a.channel_id = l.channel_id WHERE {IN_RANGE} GROUP BY ALL""")
+def geo_counts_range(i: Inputs):
+    """Number of regions seen in a range of days."""
+    return DI.distinct_count(i.launch, ["country", "region"], i.active, a=FROM, b=TO)
+
+
+BLANK = "CASE WHEN user_no % 5 = 0 THEN NULL WHEN user_no % 5 = 1 THEN '  ' ELSE brand END"
+
+
+@query("dist_brand_blank", f"""
+WITH b AS (SELECT *, CAST(substr(device_id, 2) AS BIGINT) AS user_no FROM launch),
+l AS (SELECT b.product_id, b.device_id, CASE WHEN trim(coalesce({BLANK}, '')) = '' THEN 'unknown' ELSE brand END AS brand
+      FROM b JOIN active_channels a ON a.product_id = b.product_id AND a.channel_id = b.channel_id),
+n AS (SELECT product_id, brand, count(DISTINCT device_id) AS devices FROM l GROUP BY ALL)
+SELECT product_id, brand, CAST(devices AS BIGINT) AS devices, CAST(sum(devices) OVER (PARTITION BY product_id) AS BIGINT) AS total,
+  devices / sum(devices) OVER (PARTITION BY product_id) AS percentage,
+  CAST(row_number() OVER (PARTITION BY product_id ORDER BY devices DESC, brand) AS INTEGER) AS rank FROM n""")
+def dist_brand_blank(i: Inputs):
+    """Null and blank brands are one value, 'unknown'."""
+    rows = i.launch.withColumn("user_no", F.substring("device_id", 2, 12).cast("long")).withColumn("brand", F.expr(BLANK))
+    return DI.distribution(rows.withColumn("brand", DI.label_unknown(F.col("brand"))), "brand", i.active)

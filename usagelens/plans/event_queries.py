@@ -174,3 +174,47 @@ def ordered_funnel(i: Inputs):
     """E15 (extension): devices completing each funnel step in order within
     7 days of entering."""
     return EV.ordered_funnel(fact(i), i.funnels, MAX_STEPS)
+
+
+# ---------------------------------------------------------------------------
+# one version, a range of days
+# ---------------------------------------------------------------------------
+
+VERSION, FROM, TO = "1.9", "2024-01-06", "2024-01-22"        # report parameters
+
+
+@query("event_series_version", f"""WITH {EF},
+c AS (SELECT product_id, event_id, d, count(*) AS n FROM ef WHERE version = '{VERSION}' GROUP BY ALL),
+k AS (SELECT product_id, d, count(DISTINCT device_id) AS startusers, count(*) AS sessions FROM launch WHERE version = '{VERSION}' GROUP BY ALL),
+g AS (SELECT x.product_id, x.event_id, CAST(s.d AS DATE) AS d FROM event_defs x
+      CROSS JOIN (SELECT unnest(generate_series(DATE '{FROM}', DATE '{TO}', INTERVAL 1 DAY)) AS d) s)
+SELECT g.product_id, g.event_id, g.d, CAST(coalesce(c.n, 0) AS BIGINT) AS count,
+  coalesce(coalesce(c.n, 0) / nullif(k.startusers, 0), 0) AS per_user, coalesce(coalesce(c.n, 0) / nullif(k.sessions, 0), 0) AS per_session
+FROM g LEFT JOIN c USING (product_id, event_id, d) LEFT JOIN k USING (product_id, d)""")
+def event_series_version(i: Inputs):
+    """Event counts per device and per session of one version, over a range of days."""
+    return EV.event_series(fact(i), i.kpis("version", with_pages=False), i.event_defs, VERSION, FROM, TO)
+
+
+@query("event_counts_range", f"""WITH {EF},
+c AS (SELECT product_id, event_id, sum(num) AS n FROM ef WHERE d BETWEEN DATE '{FROM}' AND DATE '{TO}' GROUP BY ALL)
+SELECT x.product_id, x.event_id, x.event_identifier, x.event_name, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM event_defs x LEFT JOIN c ON c.product_id = x.product_id AND c.event_id = x.event_id WHERE x.active = 1""")
+def event_counts_range(i: Inputs):
+    """Summed amounts of every active event over a range of days."""
+    return EV.event_counts(fact(i), i.event_defs, measure="sum", a=FROM, b=TO)
+
+
+@query("funnel_steps_version", f"""WITH {EF},
+c AS (SELECT product_id, event_id, count(*) AS n FROM ef WHERE version = '{VERSION}' AND d BETWEEN DATE '{FROM}' AND DATE '{TO}' GROUP BY ALL),
+s AS (SELECT f.product_id, f.funnel_id, CAST(row_number() OVER (PARTITION BY f.product_id, f.funnel_id ORDER BY f.seq) AS INTEGER) AS step,
+        f.event_id, f.alias, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+      FROM funnels f LEFT JOIN c ON c.product_id = f.product_id AND c.event_id = f.event_id),
+s1 AS (SELECT s.*, (SELECT y.count FROM s y WHERE y.product_id = s.product_id AND y.funnel_id = s.funnel_id AND y.step = 1) AS first FROM s)
+SELECT product_id, funnel_id, step, event_id, alias, count,
+  CASE WHEN first > 0 THEN floor(CAST(count * 2000 + first AS DOUBLE) / CAST(2 * first AS DOUBLE)) / 10 END AS pct_of_first,
+  CASE WHEN first > 0 THEN printf('%.1f%%', floor(CAST(count * 2000 + first AS DOUBLE) / CAST(2 * first AS DOUBLE)) / 10) ELSE '--' END AS pct_label
+FROM s1""")
+def funnel_steps_version(i: Inputs):
+    """Funnel steps of one version over a range of days."""
+    return EV.funnel_steps(fact(i), i.funnels, FROM, TO, VERSION)

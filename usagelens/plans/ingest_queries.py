@@ -327,6 +327,21 @@ def product_dim(i: Inputs):
     return DM.sync_product_dim(i.channels, i.products, i.launch)
 
 
+DISABLED = [(1, "1.2"), (2, "1.10"), (3, "9.9")]  # fixed values: test list of disabled versions
+
+
+@query("product_dim_versions", """
+WITH x AS (SELECT * FROM (VALUES (1, '1.2'), (2, '1.10'), (3, '9.9')) v(product_id, version))
+SELECT DISTINCT l.product_id, p.product_name, l.channel_id, c.channel_name, l.version, p.owner_id, p.platform,
+  c.product_active, c.channel_active, CASE WHEN EXISTS (SELECT 1 FROM x WHERE x.product_id = l.product_id AND x.version = l.version) THEN 0 ELSE 1 END AS version_active
+FROM launch l JOIN channels c ON c.product_id = l.product_id AND c.channel_id = l.channel_id
+JOIN products p ON p.product_id = l.product_id""")
+def product_dim_versions(i: Inputs):
+    """The same with some versions disabled."""
+    off = R.local_table(i.spark, DISABLED, "product_id int, version string")
+    return DM.sync_product_dim(i.channels, i.products, i.launch, off)
+
+
 FIX_OVERLAY = [(1, "E2\nat f2\nat g", True), (2, "E0\nat f0\nat g", False)]  # fixed values: test overlay
 
 

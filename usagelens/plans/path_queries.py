@@ -85,7 +85,7 @@ lv AS (SELECT product_id, channel_id, version, from_activity, to_activity, min(j
 SELECT * FROM lv""".format(TRANS_SQL))
 def page_levels(i: Inputs):
     """Transitions collapsed to levels (min jump, total count)."""
-    return PT.page_levels(PT.transitions(i.page))
+    return PT.page_levels(i.transitions)
 
 
 @query("page_report", f"""WITH {STATS_SQL}
@@ -121,7 +121,7 @@ SELECT product_id, version, from_activity, count, percentage, CAST(rank AS INTEG
 FROM en WHERE rank <= 5""")
 def entry_pages(i: Inputs):
     """Top-5 entry pages per product and version with level-1 share."""
-    lv = PT.page_levels(PT.transitions(i.page), ["product_id", "version"])
+    lv = PT.page_levels(i.transitions, ["product_id", "version"])
     return PT.entry_pages(lv, ["product_id", "version"], 5)
 
 
@@ -129,7 +129,7 @@ def entry_pages(i: Inputs):
 SELECT * FROM fe""")
 def flow_edges(i: Inputs):
     """Flow edges with share of the (page, level) outflow."""
-    lv = PT.page_levels(PT.transitions(i.page), ["product_id", "version"])
+    lv = PT.page_levels(i.transitions, ["product_id", "version"])
     return PT.flow_edges(lv, ["product_id", "version"])
 
 
@@ -159,5 +159,5 @@ UNION ALL SELECT product_id, version, 3, entry, step1, step2, step3, size, proba
 def path_tree(i: Inputs):
     """Path tree (5 entries x 5 children x 3 levels) with path
     probabilities, flattened to one row per node."""
-    lv = PT.page_levels(PT.transitions(i.page), ["product_id", "version"])
+    lv = PT.page_levels(i.transitions, ["product_id", "version"])
     return PT.path_tree(lv, ["product_id", "version"], 3, 5)

@@ -225,3 +225,24 @@ def test_no_python_in_native_plans(spark, tmp_path):
     frame(spark, corpus(34, 10)).write.parquet(path)
     df = spark.read.parquet(path)
     assert native(licenses.scan(df)) and native(mixing.mix(df)) and native(sharding.shards(df))
+
+
+def test_licence_sql_agrees_on_repeated_notices(spark, tmp_path):
+    """One, two, three and many copies of every notice in a row, with gaps and cut, in Spark and in DuckDB."""
+    import duckdb
+
+    from usagelens.llm import queries
+    texts = []
+    for _, text in licenses.NOTICES:
+        w = text.split()
+        texts += [" ".join([text] * k) for k in (1, 2, 3, 40)] + [" and more words of prose here ".join([text] * 3)]
+        texts += [" ".join([" ".join(w[:len(w) * 2 // 3])] * 5), " ".join(w[len(w) // 2:] + w + w[:len(w) // 2])]
+    frame(spark, texts).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    res = con.execute(queries.ORACLES["op1_license_scan"])
+    names = [d[0] for d in res.description]
+    want = sorted(res.fetchall())
+    got = sorted(tuple(round(r[c], 12) if isinstance(r[c], float) else r[c] for c in names) for r in queries.QUERIES["op1_license_scan"](spark, str(tmp_path)).collect())
+    assert got == [tuple(round(x, 12) if isinstance(x, float) else x for x in r) for r in want]
+    assert sum(1 for r in got if r[names.index("labels")]) > 0.7 * len(got)

@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import ascii_lower
+from usagelens.llm.common import ascii_lower, stage
 
 GAP = 8                 # diagonals this close belong to one span
 MIN_COVERAGE = 0.6      # share of a notice's votes that a span must have
@@ -122,7 +122,8 @@ def _stretches(diagonals: Column, longest: Column, n_template: Column) -> Column
 
 def spans(docs: DataFrame) -> DataFrame:
     """Verified places, one per template and run of neighbouring diagonals: doc_id, tag, label, phrase, first_word, last_word (of the span), coverage."""
-    v = votes(docs).withColumn("n", F.bit_count("bits"))
+    # staged, as phrases and notices both read it: the words of the corpus are cut once for both
+    v = stage(votes(docs), "licence_votes").withColumn("n", F.bit_count("bits"))
     places = v.where("phrase and n = votes").select(
         "doc_id", "tag", "label", "phrase", F.col("diagonal").cast("long").alias("first_word"),
         (F.col("diagonal") + F.col("n_template") - 1).cast("long").alias("last_word"), F.lit(1.0).alias("coverage"))

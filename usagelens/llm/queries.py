@@ -188,13 +188,21 @@ pos AS (
   WHERE NOT phrase AND (n > 1 OR votes < 3) WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)
 ), run AS (
   SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM near
+), merged AS (
+  SELECT doc_id, template, label, votes, n_template, span, bit_count(bit_or(bits)) AS n, max(hi) + 2 - min(lo) + 1 AS length
+  FROM run GROUP BY doc_id, template, label, votes, n_template, span
+), stretch AS (
+  SELECT x.doc_id, x.template, x.span, x.diagonal, bit_count(bit_or(y.bits)) AS n
+  FROM run x JOIN run y USING (doc_id, template, span) JOIN merged m USING (doc_id, template, span)
+  WHERE m.length > {licenses.MAX_STRETCH} * m.n_template AND y.lo >= x.lo AND y.hi + 2 - x.lo + 1 <= {licenses.MAX_STRETCH} * x.n_template GROUP BY ALL
+), best AS (
+  SELECT m.doc_id, m.label, m.votes, CASE WHEN m.length <= {licenses.MAX_STRETCH} * m.n_template THEN m.n ELSE max(s.n) END AS n
+  FROM merged m LEFT JOIN stretch s USING (doc_id, template, span)
+  GROUP BY m.doc_id, m.template, m.span, m.label, m.votes, m.n, m.length, m.n_template
 ), hit AS (
   SELECT doc_id, label, TRUE AS phrase, diagonal AS start, 1.0::DOUBLE AS coverage FROM v WHERE phrase AND n = votes
   UNION ALL
-  SELECT doc_id, label, FALSE, NULL, bit_count(bit_or(bits)) / votes::DOUBLE FROM run
-  GROUP BY doc_id, template, label, votes, n_template, span
-  HAVING bit_count(bit_or(bits)) / votes::DOUBLE >= {licenses.MIN_COVERAGE}
-     AND max(hi) + 2 - min(lo) + 1 <= {licenses.MAX_STRETCH} * n_template
+  SELECT doc_id, label, FALSE, NULL, n / votes::DOUBLE FROM best WHERE n / votes::DOUBLE >= {licenses.MIN_COVERAGE}
 ), f AS (
   SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(start) AS first_word, max(start) AS last_word,
          list_sort(list_distinct(list(label) FILTER (phrase))) AS base_labels, list_sort(list_distinct(list(label))) AS labels,

@@ -251,6 +251,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_DISTAN
     row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tag"))
     kept = row.join(chosen, row.id.eqNullSafe(chosen.doc_id) & (row.tag == chosen.tag), "left_semi")
     if has_repeated_ids(docs):      # the chosen row may itself be repeated
-        kept = kept.groupBy("id", "tag").agg(F.min_by("row", F.struct("row.lang", "row.source", "row.n_chars")).alias("row")) \
-            if {"lang", "source", "n_chars"} <= set(docs.columns) else kept.groupBy("id", "tag").agg(F.first("row").alias("row"))
+        kept = kept.groupBy("id", "tag").agg(F.min_by("row", F.to_json("row")).alias("row"))      # the same one in every run
     return kept.select("row.*")

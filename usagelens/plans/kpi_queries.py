@@ -16,6 +16,9 @@ from usagelens.streaming.jobs import work_dir
 # oracle fragments (DuckDB), reference form
 # ---------------------------------------------------------------------------
 
+# The summary's metric names (sessions, startusers, newusers,
+# upgradeusers, allusers, allsessions, usingtime) and what makes a launch new or
+# an upgrade must be the reference's for right results.
 FLAGGED = """
 fl AS (
   SELECT l.*,

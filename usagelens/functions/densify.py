@@ -38,7 +38,7 @@ def densify(df: DataFrame, keys: list[str], zero_cols: list[str], asof_cols: lis
     A null key is a key of its own, with its own grid.
     The default span is that of ``span_src`` (default ``df``).
     """
-    data_lo, data_hi = span_bounds(span_src if span_src is not None else df)
+    data_lo, data_hi = (lo, hi) if lo is not None and hi is not None and not asof_cols else span_bounds(span_src if span_src is not None else df)
     lo = data_lo if lo is None else lo
     hi = data_hi if hi is None else hi
     kr = key_rows if key_rows is not None else df.select(*keys).distinct()

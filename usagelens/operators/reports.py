@@ -122,6 +122,55 @@ def channel_ratio_series(ratios: DataFrame, channels: DataFrame, kind: str = "we
                       F.coalesce("percent", F.lit(0.0)).alias("percent"))
 
 
+def channel_ratio_at(ratios: DataFrame, channels: DataFrame, start) -> DataFrame:
+    """Active ratio of every registry channel in the period that begins at
+    ``start``, 0 where it has none."""
+    at = ratios.where(F.col("period_start") == F.lit(start).cast("date")).select("product_id", "channel_id", "percent")
+    return channels.select("product_id", "channel_id").join(at, ["product_id", "channel_id"], "left") \
+        .select("product_id", "channel_id", F.coalesce("percent", F.lit(0.0)).alias("percent"))
+
+
+def ratio_window(kind: str, a, b, shifted: bool = True) -> tuple[Column, Column]:
+    """First and last period start that a report over [a, b] shows: periods that
+    have ended by then (R10), or those from one period before ``a`` on (R12)."""
+    a, b = F.lit(a).cast("date"), F.lit(b).cast("date")
+    if not shifted:
+        return (F.date_sub(a, 7) if kind == "week" else F.add_months(a, -1)), b
+    if kind == "week":
+        return F.date_sub(a, 13), F.date_sub(b, 7)
+    return F.date_add(F.add_months(a, -2), 1), F.add_months(b, -1)
+
+
+def channel_ratio_window(ratios: DataFrame, channels: DataFrame, kind: str, a, b) -> DataFrame:
+    """Channel active ratios over a report range, whose window is
+    shifted to periods that have ended; every registry channel for every period
+    that its product has ratios of, 0 where a channel has none."""
+    lo, hi = ratio_window(kind, a, b)
+    rows = ratios.where(F.col("period_start").between(lo, hi))
+    grid = channels.select("product_id", "channel_id", "channel_name").join(rows.select("product_id", "period_start").distinct(), "product_id")
+    return grid.join(rows.select("product_id", "channel_id", "period_start", "percent"), ["product_id", "channel_id", "period_start"], "left") \
+        .select("product_id", "channel_id", "channel_name", "period_start", F.coalesce("percent", F.lit(0.0)).alias("percent"))
+
+
+def ratio_keys(ratios: DataFrame, channels: DataFrame, kind: str, a, b) -> DataFrame:
+    """Period starts, with the names of the channels, that have ratio rows in a report range."""
+    lo, hi = ratio_window(kind, a, b, shifted=False)
+    return ratios.where(F.col("period_start").between(lo, hi)).join(channels, ["product_id", "channel_id"]) \
+        .select("product_id", "period_start", "channel_name").distinct()
+
+
+def fact_series(rollup: DataFrame, keys: list[str], a, b, key_rows: DataFrame, new: DataFrame) -> DataFrame:
+    """Dense series of [a, b] from the fact: active devices (each once a
+    day and key), starts and new users; ``new`` holds first launches (keys, d)."""
+    rows = in_range(rollup, a, b)
+    device_day = rows.groupBy(*keys, "d", "device_id").agg(F.sum("n").alias("starts"))
+    counts = device_day.groupBy(*keys, "d").agg(F.count("device_id").cast("bigint").alias("actives"), F.sum("starts").cast("bigint").alias("starts"))
+    firsts = in_range(new, a, b).groupBy(*keys, "d").agg(F.count(F.lit(1)).cast("bigint").alias("newusers"))
+    both = counts.unionByName(firsts, allowMissingColumns=True).groupBy(*keys, "d").agg(
+        *[F.max(m).alias(m) for m in ("actives", "starts", "newusers")])
+    return densify(both, keys, ["actives", "starts", "newusers"], lo=F.lit(a).cast("date"), hi=F.lit(b).cast("date"), key_rows=key_rows)
+
+
 def portfolio(kpis: DataFrame, products: DataFrame, day: Column | None = None) -> DataFrame:
     """Every app with today's and yesterday's new users, launches and
     active devices (two-day conditional aggregation) and as-of users."""

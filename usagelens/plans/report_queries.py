@@ -582,3 +582,35 @@ def today_avg_session_product(i: Inputs):
 def today_avg_session_channel(i: Inputs):
     """T4: today's average session time per channel."""
     return RT.today_avg_session(i.page, i.channels, "channel")
+
+
+SERIES_FROM, SERIES_TO = "2024-01-08", "2024-02-03"        # report parameters; the log ends before
+
+
+def _fact_series_sql(keys: str, key_rows: str, owner: bool) -> str:
+    src = "SELECT l.*, p.owner_id FROM launch l JOIN products p ON p.product_id = l.product_id" if owner else "SELECT * FROM launch"
+    on = " AND ".join(f"{{0}}.{c} = g.{c}" for c in keys.split(", "))
+    first = "SELECT * FROM s l WHERE NOT EXISTS (SELECT 1 FROM launch b WHERE b.product_id = l.product_id AND b.device_id = l.device_id " \
+            "AND (b.d < l.d OR (b.d = l.d AND b.launch_id < l.launch_id)))"
+    return f"""WITH s AS ({src}),
+g AS (SELECT k.*, CAST(x.d AS DATE) AS d FROM ({key_rows}) k CROSS JOIN (SELECT unnest(generate_series(DATE '{SERIES_FROM}', DATE '{SERIES_TO}', INTERVAL 1 DAY)) AS d) x),
+c AS (SELECT {keys}, d, count(DISTINCT device_id) AS actives, count(*) AS starts FROM s GROUP BY ALL),
+f AS (SELECT {keys}, d, count(*) AS newusers FROM ({first}) GROUP BY ALL)
+SELECT {", ".join("g." + c for c in keys.split(", "))}, g.d, CAST(coalesce(c.actives, 0) AS BIGINT) AS actives, CAST(coalesce(c.starts, 0) AS BIGINT) AS starts,
+  CAST(coalesce(f.newusers, 0) AS BIGINT) AS newusers
+FROM g LEFT JOIN c ON {on.format("c")} AND c.d = g.d LEFT JOIN f ON {on.format("f")} AND f.d = g.d"""
+
+
+@query("fact_series_owner", _fact_series_sql("owner_id", "SELECT DISTINCT owner_id FROM products", True))
+def fact_series_owner(i: Inputs):
+    """Actives, starts and new users per owner and day, over all apps of the owner."""
+    owners = i.products.select("product_id", "owner_id")
+    new = K.first_launch(i.rollup, ["product_id"]).join(owners, "product_id")
+    return RP.fact_series(i.rollup.join(owners, "product_id"), ["owner_id"], SERIES_FROM, SERIES_TO, owners.select("owner_id").distinct(), new)
+
+
+@query("fact_series_channel", _fact_series_sql("product_id, channel_id", "SELECT product_id, channel_id FROM channels", False))
+def fact_series_channel(i: Inputs):
+    """The same per product and channel; a device is new in the channel of its first launch."""
+    return RP.fact_series(i.rollup, ["product_id", "channel_id"], SERIES_FROM, SERIES_TO, i.channels.select("product_id", "channel_id"),
+                          K.first_launch(i.rollup, ["product_id"]))

@@ -3,6 +3,7 @@ active ratios."""
 
 from __future__ import annotations
 
+from usagelens.operators import reports as RP
 from usagelens.operators import retention as RT
 from usagelens.plans.catalog import Inputs, query
 from usagelens.plans.kpi_queries import FLAGGED
@@ -229,3 +230,53 @@ def channel_ratio_series_week(i: Inputs):
 def channel_ratio_series_month(i: Inputs):
     """The same by calendar month."""
     return _ratio_series(i, "month")
+
+
+# ---------------------------------------------------------------------------
+# ratios at one period, over a shifted window, and their keys
+# ---------------------------------------------------------------------------
+
+RATIO_RANGE = {"week": ("2024-01-15", "2024-01-28"), "month": ("2024-02-01", "2024-02-29")}        # report parameters
+_SHIFTED = {"week": ("- INTERVAL 13 DAY", "- INTERVAL 7 DAY"), "month": ("- INTERVAL 2 MONTH + INTERVAL 1 DAY", "- INTERVAL 1 MONTH")}
+
+
+ON = "product_active = 1 AND channel_active = 1"
+
+
+def _channel_ratios(i: Inputs, kind: str):
+    return RT.active_ratio(i.launch, i.active, kind, ["product_id", "channel_id"], keys=RT.keys_from_rollup(i.rollup))
+
+
+@query("channel_ratio_at", f"""WITH r AS ({_ratio_oracle("week", "product_id, channel_id")})
+SELECT c.product_id, c.channel_id, coalesce(r.percent, 0.0) AS percent FROM (SELECT * FROM channels WHERE {ON}) c
+LEFT JOIN r ON r.product_id = c.product_id AND r.channel_id = c.channel_id AND r.period_start = DATE '2024-01-15'""")
+def channel_ratio_at(i: Inputs):
+    """Every active channel's active ratio in one week, 0 without any."""
+    return RP.channel_ratio_at(_channel_ratios(i, "week"), i.channels.where(ON), "2024-01-15")
+
+
+def _ratio_window(kind: str):
+    a, b = RATIO_RANGE[kind]
+    lo, hi = _SHIFTED[kind]
+
+    @query(f"channel_ratio_window_{kind}", f"""WITH r AS ({_ratio_oracle(kind, "product_id, channel_id")}),
+w AS (SELECT * FROM r WHERE period_start BETWEEN CAST(DATE '{a}' {lo} AS DATE) AND CAST(DATE '{b}' {hi} AS DATE)),
+g AS (SELECT c.product_id, c.channel_id, c.channel_name, p.period_start FROM (SELECT * FROM channels WHERE {ON}) c
+      JOIN (SELECT DISTINCT product_id, period_start FROM w) p ON p.product_id = c.product_id)
+SELECT g.product_id, g.channel_id, g.channel_name, g.period_start, coalesce(w.percent, 0.0) AS percent
+FROM g LEFT JOIN w ON w.product_id = g.product_id AND w.channel_id = g.channel_id AND w.period_start = g.period_start""")
+    def window_form(i: Inputs):
+        return RP.channel_ratio_window(_channel_ratios(i, kind), i.channels.where(ON), kind, a, b)
+    window_form.__doc__ = f"R10/R21: {kind}ly channel ratios of a report range, shifted to periods that have ended."
+
+
+for _kind in RATIO_RANGE:
+    _ratio_window(_kind)
+
+
+@query("channel_ratio_keys", f"""WITH r AS ({_ratio_oracle("week", "product_id, channel_id")})
+SELECT DISTINCT r.product_id, r.period_start, c.channel_name FROM r JOIN (SELECT * FROM channels WHERE {ON}) c ON c.product_id = r.product_id AND c.channel_id = r.channel_id
+WHERE r.period_start BETWEEN CAST(DATE '2024-01-15' - INTERVAL 7 DAY AS DATE) AND DATE '2024-01-28'""")
+def channel_ratio_keys(i: Inputs):
+    """Period starts and channel names that have ratios in a report range."""
+    return RP.ratio_keys(_channel_ratios(i, "week"), i.channels.where(ON), "week", *RATIO_RANGE["week"])

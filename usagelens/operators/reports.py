@@ -290,10 +290,10 @@ def avg_session(pages: DataFrame, by: list[str] = ("product_id",), daily: bool =
 
 
 def compare(kpis: DataFrame, metric: str, product_ids: list[int],
-            span_src: DataFrame | None = None) -> DataFrame:
+            span_src: DataFrame | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """One metric of several products side by side (pivot with the
     listed products as fixed values)."""
-    return (densify(kpis.select("product_id", "d", metric), ["product_id"], [metric], span_src=span_src)
+    return (densify(kpis.select("product_id", "d", metric), ["product_id"], [metric], span_src=span_src, key_rows=key_rows)
             .where(F.col("product_id").isin(product_ids))
             .groupBy("d").pivot("product_id", product_ids).agg(F.first(metric))
             .select("d", *[F.coalesce(F.col(str(p)), F.lit(0)).cast("bigint").alias(f"p{p}")
@@ -301,10 +301,10 @@ def compare(kpis: DataFrame, metric: str, product_ids: list[int],
 
 
 def compare_wide(kpis: DataFrame, metrics: list[str], product_ids: list[int],
-                 span_src: DataFrame | None = None) -> DataFrame:
+                 span_src: DataFrame | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """Metric block x day x products: unpivot the metrics, pivot the
     products."""
-    dense = densify(kpis.select("product_id", "d", *metrics), ["product_id"], metrics, span_src=span_src)
+    dense = densify(kpis.select("product_id", "d", *metrics), ["product_id"], metrics, span_src=span_src, key_rows=key_rows)
     long = dense.unpivot(["product_id", "d"], metrics, "metric", "value")
     return (long.where(F.col("product_id").isin(product_ids))
             .groupBy("metric", "d").pivot("product_id", product_ids).agg(F.first("value"))
@@ -342,17 +342,15 @@ def channel_share(launch: DataFrame, a=None, b=None, new_only: bool = False) ->
     """Per channel, distinct active (or new) devices in a range divided
     by the channel's distinct devices of all time."""
     keys = ["product_id", "channel_id"]
-    if new_only:
-        firsts = (launch.groupBy(*keys, "device_id").agg(F.min("d").alias("d")))
-        num_rows = in_range(firsts, a, b)
-    else:
-        num_rows = in_range(launch, a, b)
-    num = num_rows.groupBy(*keys).agg(F.countDistinct("device_id").alias("devices"))
-    den = launch.groupBy(*keys).agg(F.countDistinct("device_id").alias("all_devices"))
-    return (den.join(num, keys, "left")
-            .select(*keys, F.coalesce("devices", F.lit(0)).cast("bigint").alias("devices"),
-                    F.col("all_devices").cast("bigint").alias("all_devices"),
-                    ratio(F.coalesce("devices", F.lit(0)), F.col("all_devices")).alias("share")))
+    # one row per device tells whether it counts, so the log is read once
+    day = F.min("d") if new_only else F.col("d")
+    hit = F.lit(True)
+    hit = hit & (day >= F.lit(a).cast("date")) if a is not None else hit
+    hit = hit & (day <= F.lit(b).cast("date")) if b is not None else hit
+    device = launch.groupBy(*keys, "device_id").agg((hit if new_only else F.bool_or(hit)).alias("hit"))
+    return (device.groupBy(*keys).agg(F.count(F.when(F.col("hit"), F.col("device_id"))).alias("devices"), F.count("device_id").alias("all_devices"))
+            .select(*keys, F.col("devices").cast("bigint").alias("devices"), F.col("all_devices").cast("bigint").alias("all_devices"),
+                    ratio(F.col("devices"), F.col("all_devices")).alias("share")))
 
 
 def channel_vector(launch: DataFrame) -> DataFrame:

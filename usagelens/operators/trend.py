@@ -114,18 +114,35 @@ def segment_rows(launch: DataFrame, tags_json: str, channels: DataFrame) -> Data
     type; a type that is not listed, or whose list is empty or null, does not
     restrict.  Channels are given by name.  The group is a report parameter
     and read here, so every test is a plain IN that reaches the scan."""
+    values, out = _tag_values(tags_json), launch
+    for kind, column in TAG_COLUMNS.items():
+        if kind in values:
+            out = out.where(F.col(column).isin(values[kind]))
+    return out.join(_named(channels, values), ["product_id", "channel_id"], "left_semi") if "channel" in values else out
+
+
+def _tag_values(tags_json: str) -> dict[str, list[str]]:
     values: dict[str, list[str]] = {}
     for tag in json.loads(tags_json):
         if tag.get("value"):
             values.setdefault(tag["type"], []).extend(str(v) for v in tag["value"])
-    out = launch
+    return values
+
+
+def _named(channels: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+    return channels.where(F.col("channel_name").isin(values["channel"])).select("product_id", "channel_id").distinct()
+
+
+def segment_marks(launch: DataFrame, tags_json: str, channels: DataFrame) -> DataFrame:
+    """All launches, with ``_match``: whether they are in the tag group."""
+    values, match, out = _tag_values(tags_json), F.lit(True), launch
     for kind, column in TAG_COLUMNS.items():
         if kind in values:
-            out = out.where(F.col(column).isin(values[kind]))
+            match = match & F.coalesce(F.col(column).isin(values[kind]), F.lit(False))
     if "channel" in values:
-        named = channels.where(F.col("channel_name").isin(values["channel"])).select("product_id", "channel_id")
-        out = out.join(named, ["product_id", "channel_id"], "left_semi")
-    return out
+        out = out.join(_named(channels, values).withColumn("_named", F.lit(True)), ["product_id", "channel_id"], "left")
+        match = match & F.col("_named").isNotNull()
+    return out.withColumn("_match", match)
 
 
 def segment(launch: DataFrame, tags_json: str, channels: DataFrame, by: list[str] = ("product_id",)) -> DataFrame:
@@ -139,10 +156,7 @@ def segment(launch: DataFrame, tags_json: str, channels: DataFrame, by: list[str
 def segment_size(launch: DataFrame, tags_json: str, channels: DataFrame, by: list[str] = ("product_id",)) -> DataFrame:
     """Matching devices and their share of all devices of the key."""
     by = list(by)
-    m = segment_rows(launch, tags_json, channels).groupBy(*by).agg(F.countDistinct("device_id").alias("devices"))
-    t = launch.groupBy(*by).agg(F.countDistinct("device_id").alias("all_devices"))
-    return (t.join(m, by, "left")
-            .select(*by, F.coalesce("devices", F.lit(0)).cast("bigint").alias("devices"),
-                    F.col("all_devices").cast("bigint").alias("all_devices"),
-                    F.try_divide(F.coalesce("devices", F.lit(0)).cast("double"),
-                                 F.col("all_devices").cast("double")).alias("percent")))
+    device = segment_marks(launch, tags_json, channels).groupBy(*by, "device_id").agg(F.bool_or("_match").alias("_match"))
+    out = device.groupBy(*by).agg(F.count(F.when(F.col("_match"), F.col("device_id"))).alias("devices"), F.count("device_id").alias("all_devices"))
+    return out.select(*by, F.col("devices").cast("bigint").alias("devices"), F.col("all_devices").cast("bigint").alias("all_devices"),
+                      F.try_divide(F.col("devices").cast("double"), F.col("all_devices").cast("double")).alias("percent"))

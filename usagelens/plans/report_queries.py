@@ -312,7 +312,7 @@ SELECT d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN startus
 FROM dk GROUP BY d""")
 def compare_products(i: Inputs):
     """Daily actives of all products side by side."""
-    return RP.compare(kp(i), "startusers", PIDS, span_src=i.kpi_days)
+    return RP.compare(kp(i), "startusers", PIDS, span_src=i.kpi_days, key_rows=i.kpi_keys("product_id"))
 
 
 CW_METRICS = ["newusers", "startusers", "sessions"]
@@ -324,7 +324,7 @@ SELECT metric, d, {', '.join(f"CAST(coalesce(max(CASE WHEN product_id = {p} THEN
 FROM long GROUP BY metric, d""")
 def compare_wide(i: Inputs):
     """Metric block x date x products (unpivot + pivot)."""
-    return RP.compare_wide(kp(i), CW_METRICS, PIDS, span_src=i.kpi_days)
+    return RP.compare_wide(kp(i), CW_METRICS, PIDS, span_src=i.kpi_days, key_rows=i.kpi_keys("product_id"))
 
 
 @query("kpi_page", f"""WITH {dense_sql("product")}
@@ -369,13 +369,13 @@ FROM p"""
 @query("calendar_active_share_week", _cal_share_sql("week"))
 def calendar_active_share_week(i: Inputs):
     """Weekly active share of the year's users to date, per channel."""
-    return RP.calendar_active_share(i.launch, i.active, "week")
+    return RP.calendar_active_share(i.rollup, i.active, "week")
 
 
 @query("calendar_active_share_month", _cal_share_sql("month"))
 def calendar_active_share_month(i: Inputs):
     """Monthly active share of the year's users to date, per channel."""
-    return RP.calendar_active_share(i.launch, i.active, "month")
+    return RP.calendar_active_share(i.rollup, i.active, "month")
 
 
 @query("channel_share_active", """

@@ -45,6 +45,8 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+#: the tables that launches and page views are made of
+LAUNCH_TABLES = ["events", "nation", "region"]
 #: staged tables: (application, kind, partitions, state of the input files) -> table name
 _ROLLUPS: dict[tuple, str] = {}
 
@@ -95,7 +97,7 @@ class Inputs:
         It is staged once per session and input, and all queries over that
         input read the same table; :func:`drop_rollups` removes the tables."""
         from usagelens.operators.kpis import device_partitioned
-        return self._staged("launch_rollup", ["events", "nation", "region"], ["product_id", "device_id"],
+        return self._staged("launch_rollup", LAUNCH_TABLES, ["product_id", "device_id"],
                             lambda n: device_partitioned(self.launch))
 
     @cached_property
@@ -110,7 +112,7 @@ class Inputs:
     def first_days(self) -> DataFrame:
         """First day of every device per entry, kept beside the rollup."""
         from usagelens.operators.realtime import first_days
-        return self._staged("first_days", ["events", "nation", "region"], ["product_id", "device_id"],
+        return self._staged("first_days", LAUNCH_TABLES, ["product_id", "device_id"],
                             lambda n: first_days(self.rollup).repartition(n, "product_id", "device_id"))
 
     @cached_property
@@ -118,7 +120,7 @@ class Inputs:
         """Page time per entry and day, staged with the rollup: the KPI's sum, its
         span of days and its keys read this small table, not the page log."""
         from usagelens.operators.kpis import page_rollup
-        return self._staged("page_days", ["events"], ["product_id", "d"],
+        return self._staged("page_days", LAUNCH_TABLES, ["product_id", "d"],
                             lambda n: page_rollup(self.page).repartition(n, "product_id", "d"))
 
     @cached_property
@@ -126,14 +128,16 @@ class Inputs:
         """Page transitions per entry and day, staged once: the path reports
         read this summary as often as they need it."""
         from usagelens.operators.paths import transitions
-        return self._staged("page_transitions", ["events"], ["product_id", "d"],
+        return self._staged("page_transitions", LAUNCH_TABLES, ["product_id", "d"],
                             lambda n: transitions(self.page).repartition(n, "product_id", "d"))
 
     def _staged(self, kind: str, tables: list[str], keys: list[str], build: Callable[[int], DataFrame]) -> DataFrame:
         from usagelens.session import files_state, write_bucketed
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        state = [files_state(self.spark, f"{self.sf_dir}/{t}.parquet") for t in tables]
-        key = (self.spark.sparkContext.applicationId, kind, n, self.sf_dir, *state)
+        states = self.__dict__.setdefault("_states", {})          # asked once per query
+        if tuple(tables) not in states:
+            states[tuple(tables)] = files_state(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in tables])
+        key = (self.spark.sparkContext.applicationId, kind, n, self.sf_dir, states[tuple(tables)])
         name = _ROLLUPS.get(key)
         if name is None or not self.spark.catalog.tableExists(name):
             _ROLLUPS[key] = name = write_bucketed(build(n), keys, kind)

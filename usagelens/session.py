@@ -84,11 +84,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def files_state(spark: SparkSession, path: str) -> tuple:
+def files_state(spark: SparkSession, paths: list[str]) -> tuple:
     """Number, bytes and a digest of names, lengths and modification times of the
-    files under ``path``.  It changes when a file is rewritten in place.  Spark
+    files under ``paths``.  It changes when a file is rewritten in place.  Spark
     lists the files as rows (their content is not read) and folds them to one."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     one = F.xxhash64("path", "length", "modificationTime")
     return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(one)).first())
 

@@ -44,16 +44,65 @@ def brute_leaks(text, items, coverage=0.5):
     return out
 
 
-def test_tiles_are_greedy(spark):
+def test_tiles_are_greedy():
     rng = random.Random(71)
-    for _ in range(60):
-        a, b = ([rng.choice("xyz") for _ in range(rng.randrange(3, 40))] for _ in range(2))
-        seeds = [(i, j) for i in range(len(a) - 4) for j in range(len(b) - 4) if a[i:i + 5] == b[j:j + 5]]
-        if seeds:
-            p, q = np.array(seeds).T
-            assert decontam.tiles(p, q) == brute_tiles(a, b)
-        else:
+    for k in range(200):
+        letters = "xyz" if k % 2 else "xy"
+        a, b = ([rng.choice(letters) for _ in range(rng.randrange(3, 40))] for _ in range(2))
+        found = decontam.tiles(*(np.array([ord(c) for c in w]) for w in (a, b)))
+        assert found == brute_tiles(a, b)
+
+
+def test_tiles_with_colliding_hashes(monkeypatch):
+    """Equal hashes of different words are verified, so a weak hash gives the same tiles."""
+    monkeypatch.setattr(decontam, "mix", lambda h: h % np.uint64(2))
+    rng = random.Random(75)
+    for _ in range(100):
+        a, b = (np.array([rng.randrange(4) for _ in range(rng.randrange(5, 40))]) for _ in range(2))
+        assert decontam.tiles(a, b) == brute_tiles(a.tolist(), b.tolist())
+
+
+def test_seeded_words_hold_every_match():
+    rng = random.Random(76)
+    for _ in range(100):
+        a, b = ([rng.choice("xyz") for _ in range(rng.randrange(5, 60))] for _ in range(2))
+        grams = {}
+        for j in range(len(b) - 4):
+            grams.setdefault(tuple(b[j:j + 5]), j)
+        seeds = [(i, grams[tuple(a[i:i + 5])]) for i in range(len(a) - 4) if tuple(a[i:i + 5]) in grams]
+        if not seeds:
             assert brute_tiles(a, b) == []
+            continue
+        item = np.array([ord(c) for c in b])
+        words, at, gaps = decontam.seeded_words(*np.array(seeds).T, item)
+        assert [(int(at[i]), j, n) for i, j, n in decontam.tiles(words, item, gaps=gaps)] == brute_tiles(a, b)
+
+
+def test_one_word_repeated_in_both_texts(spark):
+    """A place is one seed, not one for each place of the item; every copy of the item's words is one tile."""
+    df = frame(spark, ["buy " * 60_000, "now " * 4 + "buy " * 700])
+    table = spark.createDataFrame([(0, "buy " * 2_000)], "item_id long, text string")
+    assert decontam.seeds(df, decontam.item_words(table)).count() == 60_000 - 4 + 700 - 4
+    got = [(r.doc_id, r.n_covered, r.n_tiles, r.first_word) for r in decontam.leaks(df, table).collect()]
+    assert got == [(0, 2_000, 1, 0)]
+
+
+def test_very_long_text(spark):
+    rng = random.Random(77)
+    item = prose(rng, 40)
+    w = item.split()
+    long = prose(rng, 100_000) + " " + " ".join(w[20:]) + " " + prose(rng, 50_000) + " " + " ".join(w[:20])
+    table = spark.createDataFrame([(0, item)], "item_id long, text string")
+    got = decontam.leaks(frame(spark, [long, prose(rng, 100_000)]), table).collect()
+    assert [(r.doc_id, r.last_word) for r in got] == [(0, len(plain(long)) - 1)] and got[0].n_covered == 40
+
+
+def test_items_that_share_an_id(spark):
+    rng = random.Random(78)
+    a, b = prose(rng, 12), prose(rng, 30)
+    table = spark.createDataFrame([(7, a), (7, b), (7, a), (None, b)], "item_id long, text string")
+    got = decontam.leaks(frame(spark, [a, b]), table).collect()
+    assert sorted(((r.doc_id, r.item_id, r.n_item) for r in got), key=str) == sorted([(0, 7, 12), (1, 7, 30), (1, None, 30)], key=str)
 
 
 def cases(seed):

@@ -101,6 +101,61 @@ def test_long_text_is_cut_without_gaps(spark):
     assert [got[k][2] for k in range(4)] == [0, 500, 0, 50]
 
 
+@pytest.mark.parametrize("resolve", [True, False])
+def test_one_letter_or_word_over_and_over_stays_small(resolve):
+    """Equal pieces of one text travel once with their positions, so a text of one letter shrinks on its way."""
+    letters, words = b"a" * 4_000_000, [b"pad"] * 1_000_000
+    for runs, size in ((suffix_dedup._runs(letters, 50, 96), len(letters)),
+                       (window_dedup._runs(words, window_dedup._WordHash(), 13, 96), 4 * len(words))):
+        seg = packed.Segment(96, resolve)
+        seg.add(1, 0, runs)
+        assert len(seg.doc) < 10
+        assert seg.bytes + sum(map(len, seg.text)) < size / 2
+        blocks = [b for batch in seg.flush() for b in batch.column("block").to_pylist()]
+        assert sum(map(len, blocks)) < size / 20
+        back = packed.decode_all(blocks)
+        assert back.times.sum() == len(back.pos) > 1_000
+
+
+def test_padded_texts_against_brute_force(spark):
+    """Padding of one letter, of short periods and of one word, within and between documents."""
+    rng = random.Random(8)
+    fill = lambda n: " ".join(rng.choice(("north", "south", "east", "west")) + str(rng.randrange(99)) for _ in range(n))
+    pads = ["a" * 700, "ab" * 300, "-=-" * 150, "pad " * 400, "x y " * 150, "a" * 130, "pad " * 30]
+    texts = [rng.choice(pads) + fill(rng.randrange(20)) + " " + rng.choice(pads) + fill(3) + rng.choice(pads) for _ in range(30)]
+    texts = [pads[0] * 20, fill(5), pads[3] * 5, *texts, "a" * 60, "pad " * 14]
+    for ids in (list(range(len(texts))), [k // 2 for k in range(len(texts))]):
+        rows = list(zip(ids, texts))
+        df = odd_frame(spark, texts, ids)
+        assert words_of(df) == brute_words(rows)
+        assert bytes_of(df) == brute_bytes(rows)
+
+
+def test_long_texts_of_one_letter(spark):
+    """Megabytes of one letter in several documents and lengths: all but the first and what it lacks go."""
+    texts = ["a" * 300_000 + "b" * 49, "a" * 3_000_000 + "b" * 60, "c" + "a" * 2_000_000, "a" * 49, "pad " * 500_000, "pad " * 600_000 + "end"]
+    n = [len(t) for t in texts]
+    got = {r[0]: r for r in bytes_of(frame(spark, texts))}
+    # fifty b's in a row are new, so the eleven b's after the first 49 stay
+    assert [got[k][1] for k in range(6)] == n
+    assert [got[k][2] for k in range(6)] == [0, 3_000_000 + 49, 2_000_000, 0, 0, 2_400_000]
+    got = {r[0]: r for r in words_of(frame(spark, texts))}
+    assert [got[k][2] for k in range(6)] == [0, 0, 0, 0, 0, 600_000]
+
+
+def test_repeat_groups_of_a_repeated_run(spark):
+    """Every position of a run that repeats in its own document is reported."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghijk ") for _ in range(70))
+    fill = lambda n: "".join(rng.choice("lmnopqrstu ") for _ in range(n))
+    text = fill(30) + passage + fill(30) + passage + fill(30)
+    places = [text.index(passage), text.rindex(passage)]
+    rows = suffix_dedup.repeat_groups(frame(spark, [text, fill(90)])).collect()
+    reach = {r["start"] + j for r in rows for j in range(r["length"])}
+    assert all(set(range(p, p + 70)) <= reach for p in places)
+    assert all(text.encode().count(text.encode()[r["start"]:r["start"] + r["length"]]) > 1 for r in rows)
+
+
 def test_window_order_survives_equal_keys(monkeypatch):
     """Windows whose sort keys collide are told apart by their words."""
     import numpy as np

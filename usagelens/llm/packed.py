@@ -8,13 +8,20 @@ compressed block per bucket.
 Runs that repeat inside a segment are resolved there: only the smallest
 document's occurrence travels, the others are already known to be copies.
 A passage that stands in a third of all documents therefore reaches its bucket
-at most once per segment, however many copies there are.
+at most once per segment, however many copies there are.  A run that repeats
+inside its own document travels once, with all its positions.
+
+Text whose minimiser never changes (one letter or word over and over) is cut
+into pieces of a bounded number of windows (:func:`pieces`).  The pieces are
+equal, so such a text of any length is a few byte strings and a list of
+positions.
 """
 
 from __future__ import annotations
 
 import struct
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +53,17 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:n], m[w - s:w - s + n])
 
 
+def pieces(low: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-but-one window of each run: equal values in a row, at most ``longest`` of them."""
+    first = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
+    n = np.diff(first, append=len(low))
+    if n.max() > longest:
+        parts = -(-n // longest)
+        at = np.cumsum(parts) - parts
+        first = np.repeat(first, parts) + longest * (np.arange(parts.sum()) - np.repeat(at, parts))
+    return first, np.concatenate((first[1:], [len(low)]))
+
+
 def _ints(a, kind) -> bytes:
     a = np.asarray(a, kind)
     d = np.diff(a, prepend=a.dtype.type(0))
@@ -58,35 +76,48 @@ def _unints(b: memoryview, n: int, kind) -> np.ndarray:
     return np.cumsum(d, dtype=kind)
 
 
-_FIELDS = (("doc", np.int64), ("tag", np.int64), ("pos", np.int64), ("size", np.int32), ("mark", np.int32))
+_FIELDS = (("doc", np.int64), ("tag", np.int64), ("size", np.int32), ("mark", np.int32), ("times", np.int32))
+_PLACES = (("pos", np.int64),)
 _DONE = (("doc", np.int64), ("tag", np.int64), ("start", np.int64), ("end", np.int64))
 
 
 @dataclass
 class Runs:
-    """Decoded block: run columns, their bytes, and ranges already resolved."""
+    """Decoded block: run columns, the runs' positions, their bytes, and ranges already resolved.
+
+    Run ``k`` stands at ``times[k]`` positions of its document; ``pos`` holds
+    those of all runs, one run after the other.
+    """
     doc: np.ndarray
     tag: np.ndarray
-    pos: np.ndarray
     size: np.ndarray
     mark: np.ndarray
+    times: np.ndarray
+    pos: np.ndarray
     data: bytes
     done: dict[str, np.ndarray]
 
+    def at_places(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``run``, repeated once per position: its index in ``run`` and the position."""
+        first = np.cumsum(self.times.astype(np.int64)) - self.times
+        n = self.times[run].astype(np.int64)
+        k = np.repeat(np.arange(len(run)), n)
+        return k, self.pos[first[run[k]] + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)]
 
-def encode(cols: dict, data: bytes, done: dict) -> bytes:
-    n, m = len(cols["doc"]), len(done["doc"])
-    body = [struct.pack("<qq", n, m)]
+
+def encode(cols: dict, places: np.ndarray, data: bytes, done: dict) -> bytes:
+    body = [struct.pack("<qqq", len(cols["doc"]), len(places), len(done["doc"]))]
     body += [_ints(cols[k], t) for k, t in _FIELDS]
+    body += [_ints(places, t) for _, t in _PLACES]
     body += [_ints(done[k], t) for k, t in _DONE]
     return zstandard.ZstdCompressor(level=3).compress(b"".join([*body, data]))
 
 
 def decode(block: bytes) -> Runs:
     raw = memoryview(zstandard.ZstdDecompressor().decompress(block))
-    n, m = struct.unpack_from("<qq", raw)
-    at, cols, done = 16, {}, {}
-    for out, fields, k in ((cols, _FIELDS, n), (done, _DONE, m)):
+    n, p, m = struct.unpack_from("<qqq", raw)
+    at, cols, done = 24, {}, {}
+    for out, fields, k in ((cols, _FIELDS, n), (cols, _PLACES, p), (done, _DONE, m)):
         for name, kind in fields:
             size = k * np.dtype(kind).itemsize
             out[name] = _unints(raw[at:at + size], k, kind)
@@ -98,7 +129,7 @@ def decode_all(blocks) -> Runs:
     """The runs of several blocks in one."""
     parts = [decode(b) for b in blocks]
     cat = lambda get: np.concatenate([get(p) for p in parts])
-    return Runs(**{k: cat(lambda p, k=k: getattr(p, k)) for k, _ in _FIELDS},
+    return Runs(**{k: cat(lambda p, k=k: getattr(p, k)) for k, _ in _FIELDS + _PLACES},
                 data=b"".join(p.data for p in parts),
                 done={k: cat(lambda p, k=k: p.done[k]) for k, _ in _DONE})
 
@@ -113,6 +144,7 @@ class Segment:
     def _clear(self):
         self.first: dict[bytes, int] = {}
         self.doc, self.tag, self.pos, self.mark, self.bucket, self.text = [], [], [], [], [], []
+        self.again: dict[int, list[int]] = {}   # further positions of a run in its own document
         self.done: list[list[int]] = []     # doc, tag, start, end
         self.bytes = 0
 
@@ -121,15 +153,19 @@ class Segment:
         first, last = self.first, None
         for bucket, pos, length, mark, data in runs:
             n = len(self.doc)
-            i = first.setdefault(data, n) if self.resolve else n
-            if i != n and self.doc[i] < doc:            # a smaller document has the same run
+            i = first.setdefault(data, n)
+            if i != n and self.doc[i] == doc and self.tag[i] == tag:
+                self.again.setdefault(i, []).append(pos)
+                self.bytes += 8
+                continue
+            if i != n and self.resolve and self.doc[i] < doc:   # a smaller document has the same run
                 if last is not None and last[3] >= pos:
                     last[3] = pos + length
                 else:
                     last = [doc, tag, pos, pos + length]
                     self.done.append(last)
                 continue
-            if i != n and self.doc[i] > doc:            # documents came out of order: the new one leads
+            if i != n:              # documents came out of order, or none is to be resolved: the new one leads
                 first[data] = n
             self.doc.append(doc)
             self.tag.append(tag)
@@ -149,7 +185,8 @@ class Segment:
             return
         bucket = np.array(self.bucket, np.int64)
         order = np.argsort(bucket, kind="stable")
-        cols = {k: np.array(getattr(self, k), np.int64)[order] for k in ("doc", "tag", "pos", "mark")}
+        cols = {k: np.array(getattr(self, k), np.int64)[order] for k in ("doc", "tag", "mark")}
+        pos, again = self.pos, self.again
         done = np.array(self.done, np.int64).reshape(-1, 4)
         home = (mix(done[:, 0].astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
         by = np.argsort(home, kind="stable")
@@ -163,10 +200,11 @@ class Segment:
             if lo == hi and dlo == dhi:
                 continue
             data = [text[i] for i in rows[lo:hi]]
-            part = {k: v[lo:hi] for k, v in cols.items()} | {"size": [len(x) for x in data]}
+            places = [[pos[i], *again[i]] if i in again else [pos[i]] for i in rows[lo:hi]] if again else [[pos[i]] for i in rows[lo:hi]]
+            part = {k: v[lo:hi] for k, v in cols.items()} | {"size": [len(x) for x in data], "times": [len(x) for x in places]}
             ready = {k: done[dlo:dhi, j] for j, (k, _) in enumerate(_DONE)}
             out_bucket.append(b)
-            out_block.append(encode(part, b"".join(data), ready))
+            out_block.append(encode(part, np.fromiter(chain.from_iterable(places), np.int64), b"".join(data), ready))
             size += len(out_block[-1])
             if size > 8 << 20:
                 yield pa.record_batch([pa.array(out_bucket, pa.int32()), pa.array(out_block, pa.binary())], schema=_ARROW)

@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from dataclasses import replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import has_repeated_ids, stage, text_bytes
-from usagelens.llm.packed import BLOCK_SCHEMA, RANGE_SCHEMA, Runs, Segment, decode_all, mix, range_table, sliding_min
+from usagelens.llm.packed import BLOCK_SCHEMA, RANGE_SCHEMA, Runs, Segment, decode_all, mix, pieces, range_table, sliding_min
 from usagelens.llm.window_dedup import buckets_for, join_ranges, row_ranges
 
 MIN_BYTES = 50
@@ -59,9 +61,9 @@ def _runs(text: bytes, width: int, buckets: int):
         # the low bits hold the gram's place, so a run knows where its minimiser stands
         g = (g & ~np.uint64(63)) | (np.arange(len(g), dtype=np.uint64) & np.uint64(63))
         low = sliding_min(g, width - GRAM + 1)
-        cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-        first = np.concatenate(([0], cut))
-        last = np.concatenate((cut, [len(low)])) + (width - 1)
+        # a minimiser that repeats (as in one letter over and over) is one run up to the length a single one can reach
+        first, last = pieces(low >> np.uint64(6), width - GRAM + 1)
+        last = last + (width - 1)
         top = low[first]
         offset = ((top & np.uint64(63)).astype(np.int64) - first) & 63
         bucket = (mix(top >> np.uint64(6)) % np.uint64(buckets)).tolist()
@@ -215,7 +217,9 @@ def _judge(width: int):
                         owner += [len(strings)] * len(runs)
                         strings.append(s)
             w = np.array(whole, np.int64)
-            out.append(np.stack([r.doc[w], r.tag[w], r.pos[w], r.pos[w] + r.size[w]], axis=1))
+            i, pos = r.at_places(w)
+            w = w[i]
+            out.append(np.stack([r.doc[w], r.tag[w], pos, pos + r.size[w]], axis=1))
         if strings:
             occ_, owner_ = np.array(occ, np.int64), np.array(owner, np.int64)
             first = np.searchsorted(owner_, np.arange(len(strings) + 1))
@@ -231,12 +235,19 @@ def _judge(width: int):
                     length.append(np.full(len(later), n))
             if piece:
                 p, n = np.concatenate(piece), np.concatenate(length)
+                order = np.lexsort((-n, p))         # a suffix is in every interval around it: its longest covers the others
+                p, n = p[order], n[order]
+                longest = np.concatenate(([True], p[1:] != p[:-1]))
+                p, n = p[longest], n[longest]
                 s = sa.string[p]
                 times = first[s + 1] - first[s]
                 k = np.repeat(np.arange(len(p)), times)
                 run = occ_[first[s[k]] + np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)]
-                start = r.pos[run] + sa.offset[p[k]]
-                out.append(np.stack([r.doc[run], r.tag[run], start, start + n[k]], axis=1))
+                start = sa.offset[p[k]]
+                copied = _union(np.stack([run, np.zeros_like(run), start, start + n[k]], axis=1))
+                i, pos = r.at_places(copied[:, 0])  # ranges of a run are joined before they meet its positions
+                run, _, start, end = copied[i].T
+                out.append(np.stack([r.doc[run], r.tag[run], pos + start, pos + end], axis=1))
         found = np.concatenate(out)
         if len(found):      # pieces of neighbouring windows overlap: emit their union
             found = _union(found)
@@ -277,17 +288,20 @@ def _report(width: int):
     def report(table: pa.Table) -> pa.Table:
         r = decode_all(table.column("block").to_pylist())
         at = np.cumsum(r.size.astype(np.int64)) - r.size
+        each, _ = r.at_places(np.arange(len(r.doc)))        # every position is an occurrence
+        r = replace(r, doc=r.doc[each], tag=r.tag[each], size=r.size[each], mark=r.mark[each])
+        at = at[each]
         rows: set[tuple] = set()
         for by in _distinct(r, at) if len(r.doc) else ():
             strings = [s for s, runs in by.items() for _ in runs]
             runs = [i for v in by.values() for i in v]
+            owner = np.array(runs, np.int64)
             sa = SuffixArray(strings, width)
             for n, lo, hi in sa.maximal_repeats(width):
                 k, o = int(sa.string[lo]), int(sa.offset[lo])
                 name = hashlib.sha256(strings[k][o:o + n]).hexdigest()
-                for p in range(lo, hi + 1):
-                    i = runs[sa.string[p]]
-                    rows.add((name, n, int(r.doc[i]), int(r.pos[i] + sa.offset[p])))
+                i = owner[sa.string[lo:hi + 1]]
+                rows.update(zip(repeat(name), repeat(n), r.doc[i].tolist(), (r.pos[i] + sa.offset[lo:hi + 1]).tolist()))
         return pa.Table.from_pylist([dict(zip(schema.names, x)) for x in sorted(rows)], schema=schema)
     return report
 

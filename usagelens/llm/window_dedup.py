@@ -34,6 +34,7 @@ from usagelens.llm.packed import (
     decode_all,
     merge,
     mix,
+    pieces,
     range_table,
     sliding_min,
 )
@@ -45,6 +46,8 @@ GRAM = 3
 #: text bytes a bucket stands for (about three times as many travel to it)
 BUCKET_BYTES = 6 << 20
 MIN_BUCKETS = 96
+#: windows of the longest run, in window widths (an unrepeated minimiser stays for less than one)
+LONGEST = 4
 _P = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -69,9 +72,8 @@ def _runs(words: list[bytes], hashes: _WordHash, width: int, buckets: int):
     for j in range(1, GRAM):
         gram = gram * _P + h[j:len(h) - GRAM + 1 + j]
     low = sliding_min(mix(gram), width - GRAM + 1)
-    cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-    first = np.concatenate(([0], cut))
-    last = np.concatenate((cut, [len(low)])) + (width - 1)
+    first, last = pieces(low, LONGEST * width)
+    last = last + (width - 1)
     joined = b" ".join(words)
     at = np.zeros(len(words) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
@@ -155,8 +157,9 @@ def _judge(width: int):
                 begins = np.concatenate(([True], (np.diff(at) != 1) | (np.diff(run[at]) != 0)))
                 b = np.flatnonzero(begins)
                 e = np.concatenate((b[1:], [len(at)])) - 1
-                k = run[at[b]]
-                out.append(np.stack([r.doc[k], r.tag[k], r.pos[k] + off[at[b]], r.pos[k] + off[at[e]] + width], axis=1))
+                i, pos = r.at_places(run[at[b]])
+                k = run[at[b[i]]]
+                out.append(np.stack([r.doc[k], r.tag[k], pos + off[at[b[i]]], pos + off[at[e[i]]] + width], axis=1))
         found = np.concatenate(out)
         return range_table(*found.T)
     return judge

@@ -32,20 +32,28 @@ PENALTY = 0.01
 #: probability from which a URL is blocked
 THRESHOLD = 0.5
 
-# A small labelled table of invented URLs: hosts to block and hosts to allow, each with two paths.
+# A small labelled table of invented URLs: hosts to block and hosts to allow, each with every
+# subdomain and a path, so that neither speaks for a class.
+# No host of a test or of a corpus stands here, so accuracy is measured on names never seen.
 BLOCK_HOSTS = (
-    "casino-royal.test", "www.online-casino.test", "casino-win.test", "slots-jackpot.test", "poker-bets.test", "free-bets.test",
-    "bet-win-bonus.test", "best-odds-betting.test", "cheap-pills.test", "pills-pharmacy.test", "cheap-viagra-pills.test",
-    "meds-no-prescription.test", "adult-x.test", "xxx-adult-cams.test", "hot-adult-dating.test", "sex-video-x.test",
-    "spam-farm.test", "link-farm-seo.test", "buy-backlinks-cheap.test", "ads-track.test", "m.ads-track.test", "click-track-ads.test",
-    "adserver-popunder.test", "free-gift-winner.test", "win-a-prize-now.test", "replica-watches-cheap.test", "payday-loans-fast.test",
-    "get-rich-quick.test", "crypto-double-win.test", "malware-download-free.test", "crack-keygen-warez.test", "phish-login-verify.test")
+    "casino-royal.test", "online-casino.test", "grand-casino-spins.test", "slots-jackpot.test", "poker-bets.test", "win-big-poker.test",
+    "bet-bonus-winner.test", "best-odds-betting.test", "sports-bets-now.test", "free-spins-bonus.test", "pills-pharmacy.test",
+    "diet-pills-online.test", "cheap-viagra-shop.test", "meds-no-prescription.test", "xxx-adult-cams.test", "hot-adult-dating.test",
+    "adult-video-tube.test", "adult-chat-rooms.test", "sex-video-x.test", "bulk-spam-mailer.test", "spam-link-network.test", "link-farm-seo.test",
+    "content-farm-links.test", "buy-backlinks-cheap.test", "click-track-pixel.test", "ads-popup-server.test", "banner-ads-click.test",
+    "adserver-popunder.test", "tracker-pixel-ads.test", "free-gift-winner.test", "win-a-prize-now.test", "replica-watches-cheap.test",
+    "payday-loans-fast.test", "get-rich-quick.test", "crypto-double-money.test", "malware-download-free.test", "crack-keygen-warez.test",
+    "phish-login-verify.test", "lottery-winner-claim.test", "cheap-followers-likes.test", "free-ringtone-download.test")
 ALLOW_HOSTS = (
-    "news.city-herald.test", "www.library.test", "blog.gardening.test", "university.test", "m.weather.test", "history-museum.test",
-    "www.cooking.test", "docs.software.test", "science-journal.test", "blog.travel-notes.test", "health.ministry.test", "forum.cycling.test",
-    "www.bookreview.test", "archive.newspaper.test", "astronomy.test", "m.railways.test", "blog.mountains.test", "theatre.test",
-    "www.philosophy.test", "encyclopedia.test", "blog.thattion.test", "thering.test", "m.tionthe.test", "www.heronen.test",
-    "thandre.test", "blog.erinth.test", "ththou.test", "www.inonble.test", "m.tither.test", "ertion.test", "blog.ndthre.test", "eatish.test")
+    "city-herald.test", "library.test", "gardening.test", "university.test", "weather.test", "history-museum.test",
+    "cooking.test", "docs.software.test", "science-journal.test", "travel-notes.test", "health.ministry.test", "cycling.test",
+    "bookreview.test", "archive.newspaper.test", "astronomy.test", "railways.test", "mountains.test", "theatre.test",
+    "philosophy.test", "encyclopedia.test", "northern-weather.test", "thorntonhill.test", "brotherhood.test", "thistle.test",
+    "weathervane.test", "leather-crafts.test", "motherland.test", "southerly.test", "hearthstone.test", "otherworld-maps.test",
+    "stationmaster.test", "nationalpark.test", "translations.test", "education.test", "mathematics.test", "healthclinic.test",
+    "parliament.test", "orchestra.test", "winterton.test", "farmers-almanac.test", "track-and-field.test", "freedom-archive.test",
+    "adriatic.test", "betterhomes.test")
+SUBDOMAINS = ("", "www.", "m.", "blog.")
 PATHS = ("/en/512", "/fr/77.html", "/de/9031/", "/es/640")
 
 
@@ -89,8 +97,8 @@ def features(urls: DataFrame, n_features: int = N_FEATURES) -> DataFrame:
 
 def labelled(spark: SparkSession) -> DataFrame:
     """The labelled table: (url, label), label 1 for hosts to block."""
-    rows = [(f"https://{h}{PATHS[(k + j) % len(PATHS)]}", y) for hosts, y in ((BLOCK_HOSTS, 1.0), (ALLOW_HOSTS, 0.0))
-            for k, h in enumerate(hosts) for j in (0, 1)]
+    rows = [(f"https://{sub}{h}{PATHS[(k + j) % len(PATHS)]}", y) for hosts, y in ((BLOCK_HOSTS, 1.0), (ALLOW_HOSTS, 0.0))
+            for k, h in enumerate(hosts) for j, sub in enumerate(SUBDOMAINS)]
     return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {y}D)" for u, y in rows) + " AS t(url, label)")
 
 

@@ -110,7 +110,7 @@ def test_one_letter_or_word_over_and_over_stays_small(resolve):
         seg = packed.Segment(96, resolve)
         seg.add(1, 0, runs)
         assert len(seg.doc) < 10
-        assert seg.bytes + sum(map(len, seg.text)) < size / 2
+        assert sum(map(len, seg.text)) < 10_000
         blocks = [b for batch in seg.flush() for b in batch.column("block").to_pylist()]
         assert sum(map(len, blocks)) < size / 20
         back = packed.decode_all(blocks)

@@ -154,19 +154,20 @@ class Segment:
         for bucket, pos, length, mark, data in runs:
             n = len(self.doc)
             i = first.setdefault(data, n)
-            if i != n and self.doc[i] == doc and self.tag[i] == tag:
-                self.again.setdefault(i, []).append(pos)
-                self.bytes += 8
-                continue
-            if i != n and self.resolve and self.doc[i] < doc:   # a smaller document has the same run
-                if last is not None and last[3] >= pos:
-                    last[3] = pos + length
-                else:
-                    last = [doc, tag, pos, pos + length]
-                    self.done.append(last)
-                continue
-            if i != n:              # documents came out of order, or none is to be resolved: the new one leads
-                first[data] = n
+            if i != n:
+                other = self.doc[i]
+                if other < doc and self.resolve:        # a smaller document has the same run
+                    if last is not None and last[3] >= pos:
+                        last[3] = pos + length
+                    else:
+                        last = [doc, tag, pos, pos + length]
+                        self.done.append(last)
+                    continue
+                if other == doc and self.tag[i] == tag:
+                    self.again.setdefault(i, []).append(pos)
+                    self.bytes += 8
+                    continue
+                first[data] = n     # documents came out of order, or none is to be resolved: the new one leads
             self.doc.append(doc)
             self.tag.append(tag)
             self.pos.append(pos)
@@ -179,6 +180,18 @@ class Segment:
     def full(self) -> bool:
         return self.bytes >= SEGMENT_BYTES or len(self.done) >= 1 << 20
 
+    def _places(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All positions, run after run in ``order``, and how many each run has."""
+        pos = np.array(self.pos, np.int64)[order]
+        if not self.again:
+            return pos, np.ones(len(pos), np.int64)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        more = np.repeat(rank[list(self.again)], [len(x) for x in self.again.values()])
+        run = np.concatenate((np.arange(len(pos)), more))
+        pos = np.concatenate((pos, np.fromiter(chain.from_iterable(self.again.values()), np.int64, len(more))))
+        return pos[np.argsort(run, kind="stable")], np.bincount(run, minlength=len(order))
+
     def flush(self):
         """Arrow batches (bucket, block); the segment is empty afterwards."""
         if not self.doc and not self.done:
@@ -186,7 +199,8 @@ class Segment:
         bucket = np.array(self.bucket, np.int64)
         order = np.argsort(bucket, kind="stable")
         cols = {k: np.array(getattr(self, k), np.int64)[order] for k in ("doc", "tag", "mark")}
-        pos, again = self.pos, self.again
+        places, times = self._places(order)
+        at = np.concatenate(([0], np.cumsum(times)))
         done = np.array(self.done, np.int64).reshape(-1, 4)
         home = (mix(done[:, 0].astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
         by = np.argsort(home, kind="stable")
@@ -200,11 +214,10 @@ class Segment:
             if lo == hi and dlo == dhi:
                 continue
             data = [text[i] for i in rows[lo:hi]]
-            places = [[pos[i], *again[i]] if i in again else [pos[i]] for i in rows[lo:hi]] if again else [[pos[i]] for i in rows[lo:hi]]
-            part = {k: v[lo:hi] for k, v in cols.items()} | {"size": [len(x) for x in data], "times": [len(x) for x in places]}
+            part = {k: v[lo:hi] for k, v in cols.items()} | {"size": [len(x) for x in data], "times": times[lo:hi]}
             ready = {k: done[dlo:dhi, j] for j, (k, _) in enumerate(_DONE)}
             out_bucket.append(b)
-            out_block.append(encode(part, np.fromiter(chain.from_iterable(places), np.int64), b"".join(data), ready))
+            out_block.append(encode(part, places[at[lo]:at[hi]], b"".join(data), ready))
             size += len(out_block[-1])
             if size > 8 << 20:
                 yield pa.record_batch([pa.array(out_bucket, pa.int32()), pa.array(out_block, pa.binary())], schema=_ARROW)

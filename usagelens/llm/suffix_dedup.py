@@ -61,8 +61,7 @@ def _runs(text: bytes, width: int, buckets: int):
         # the low bits hold the gram's place, so a run knows where its minimiser stands
         g = (g & ~np.uint64(63)) | (np.arange(len(g), dtype=np.uint64) & np.uint64(63))
         low = sliding_min(g, width - GRAM + 1)
-        # a minimiser that repeats (as in one letter over and over) is one run up to the length a single one can reach
-        first, last = pieces(low >> np.uint64(6), width - GRAM + 1)
+        first, last = pieces(low, width - GRAM + 1)
         last = last + (width - 1)
         top = low[first]
         offset = ((top & np.uint64(63)).astype(np.int64) - first) & 63
@@ -235,17 +234,20 @@ def _judge(width: int):
                     length.append(np.full(len(later), n))
             if piece:
                 p, n = np.concatenate(piece), np.concatenate(length)
-                order = np.lexsort((-n, p))         # a suffix is in every interval around it: its longest covers the others
-                p, n = p[order], n[order]
-                longest = np.concatenate(([True], p[1:] != p[:-1]))
-                p, n = p[longest], n[longest]
+                longest = np.zeros(len(sa.string), np.int64)
+                np.maximum.at(longest, p, n)        # a suffix is in every interval around it: its longest covers the others
+                p = np.flatnonzero(longest)
+                n = longest[p]
                 s = sa.string[p]
                 times = first[s + 1] - first[s]
                 k = np.repeat(np.arange(len(p)), times)
                 run = occ_[first[s[k]] + np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times)]
                 start = sa.offset[p[k]]
-                copied = _union(np.stack([run, np.zeros_like(run), start, start + n[k]], axis=1))
-                i, pos = r.at_places(copied[:, 0])  # ranges of a run are joined before they meet its positions
+                copied = np.stack([run, np.zeros_like(run), start, start + n[k]], axis=1)
+                often = r.times[run] > 1            # ranges of a run are joined before they meet its many positions
+                if often.any():
+                    copied = np.concatenate((copied[~often], _union(copied[often])))
+                i, pos = r.at_places(copied[:, 0])
                 run, _, start, end = copied[i].T
                 out.append(np.stack([r.doc[run], r.tag[run], pos + start, pos + end], axis=1))
         found = np.concatenate(out)

@@ -49,9 +49,10 @@ def _schema(fields: list[str]) -> T.StructType:
 
 
 def _parse(raw: DataFrame, col: str, fields: list[str]) -> DataFrame:
-    parsed = F.from_json(F.col(col), _schema(fields))
-    return raw.select("*", parsed.alias("_p")).select(
-        *[c for c in raw.columns], *[F.col(f"_p.{f}").alias(f) for f in fields])
+    """The fields as columns (all NULL where ``col`` is no object), from one
+    parse a row.  As a generator's output they aren't put back into the filters
+    on them: each such filter would parse the text again for every field it asks."""
+    return raw.select("*", F.inline(F.array(F.from_json(F.col(col), _schema(fields)))))
 
 
 def parse_launch(raw: DataFrame, col: str = "payload") -> DataFrame:

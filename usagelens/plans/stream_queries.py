@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from usagelens.operators.first_index import FirstLaunchIndex
 from usagelens.plans.catalog import Inputs, query
 from usagelens.plans.ingest_queries import CRASH_SQL, EVENT_SQL, LAUNCH_SQL, PAGE_SQL
+from usagelens.session import spread
 from usagelens.sources import payloads as PL
 from usagelens.sources import registry as R
 from usagelens.sources.fixtures import launch_from_events
@@ -20,8 +21,9 @@ from usagelens.streaming import stateful as ST
 
 
 def event_streams(i: Inputs, wd: str, reposted: str | None = None):
-    """The events table as a stream of four micro-batches in time order, handed out once per batch."""
-    return J.landed_streams(i.spark.read.parquet(f"{i.sf_dir}/events.parquet"), f"{wd}/landing", reposted=reposted)
+    """The events table as a stream of four micro-batches in time order, handed out once per batch.
+    A batch's tasks follow the files landed, so a span lands in one per core at least."""
+    return J.landed_streams(spread(i.spark.read.parquet(f"{i.sf_dir}/events.parquet")), f"{wd}/landing", reposted=reposted)
 
 
 def launch_streams(i: Inputs, wd: str, reposted: str | None = None):
@@ -39,7 +41,7 @@ ROLLUP_COLUMNS = ["launch_id", "product_id", "channel_id", "version", "device_id
 def arriving_streams(i: Inputs, wd: str):
     """The launches as a stream of four micro-batches in order of arrival: rows
     of DELAYS come days after their event time."""
-    events = i.spark.read.parquet(f"{i.sf_dir}/events.parquet").withColumn("arrived", F.expr(ARRIVED))
+    events = spread(i.spark.read.parquet(f"{i.sf_dir}/events.parquet")).withColumn("arrived", F.expr(ARRIVED))
     for e in J.landed_streams(events, f"{wd}/landing", order="arrived"):
         yield launch_from_events(e, i.spark.read.parquet(f"{i.sf_dir}/nation.parquet"), i.spark.read.parquet(f"{i.sf_dir}/region.parquet"))
 

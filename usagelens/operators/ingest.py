@@ -156,9 +156,10 @@ def repair_time(df: DataFrame, col: str, ingest_col: str = "ingest_ts", out: str
     """Parse ``col`` by the first format that fits; unparsable values or
     times before 1970 become the ingest time."""
     parsed = F.coalesce(*[F.try_to_timestamp(F.col(col), F.lit(f)) for f in formats]).cast("timestamp_ntz")
-    fixed = F.when(parsed.isNull() | (parsed < F.lit("1970-01-01").cast("timestamp_ntz")),
-                   F.col(ingest_col)).otherwise(parsed)
-    return df.withColumn(out or col, fixed)
+    good = F.when(F.col("_parsed") >= F.lit("1970-01-01").cast("timestamp_ntz"), F.col("_parsed"))
+    # a column of its own: formats are tried once a row, not at each mention
+    return (df.withColumn("_parsed", parsed)
+            .withColumn(out or col, F.coalesce(good, F.col(ingest_col))).drop("_parsed"))
 
 
 def enrich_carrier(df: DataFrame, mccmnc: DataFrame, code_col: str = "mccmnc") -> DataFrame:

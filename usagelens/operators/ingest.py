@@ -294,7 +294,11 @@ def _rejects(*dfs: DataFrame) -> DataFrame:
 
 def ingest_launch(raw: DataFrame, registry: DataFrame, mccmnc: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I1, I6, I7, I9, I10 on launch payloads -> (launch rows, rejects)."""
-    p = parse_launch(raw)
+    return check_launch(parse_launch(raw), registry, mccmnc)
+
+
+def check_launch(p: DataFrame, registry: DataFrame, mccmnc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checks of ``ingest_launch`` on parsed payloads."""
     good, r1 = validate(p, REQUIRED["launch"])
     good, r2 = check_app_key(good, registry)
     good = repair_time(good, "time", "ingest_ts", out="ts")
@@ -308,7 +312,11 @@ def ingest_launch(raw: DataFrame, registry: DataFrame, mccmnc: DataFrame) -> tup
 
 def ingest_event(raw: DataFrame, registry: DataFrame, event_defs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I2, I6, I7, I8, I13, I9 on custom-event payloads."""
-    p = parse_event(raw)
+    return check_event(parse_event(raw), registry, event_defs)
+
+
+def check_event(p: DataFrame, registry: DataFrame, event_defs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checks of ``ingest_event`` on parsed payloads."""
     good, r1 = validate(p, REQUIRED["event"])
     good, r2 = check_app_key(good, registry)
     good, r3 = resolve_event(good, event_defs)
@@ -322,7 +330,11 @@ def ingest_event(raw: DataFrame, registry: DataFrame, event_defs: DataFrame) ->
 
 def ingest_page(raw: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I3, I6, I7, I9 (start and end) on page-view payloads."""
-    p = parse_page_view(raw)
+    return check_page(parse_page_view(raw), registry)
+
+
+def check_page(p: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checks of ``ingest_page`` on parsed payloads."""
     good, r1 = validate(p, REQUIRED["page"])
     good, r2 = check_app_key(good, registry)
     good = repair_time(good, "start_millis", "ingest_ts", out="start_ts")
@@ -335,7 +347,11 @@ def ingest_page(raw: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFra
 
 def ingest_crash(raw: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I4, I6, I7, I9, I12 on crash payloads."""
-    p = parse_crash(raw)
+    return check_crash(parse_crash(raw), registry)
+
+
+def check_crash(p: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checks of ``ingest_crash`` on parsed payloads."""
     good, r1 = validate(p, REQUIRED["crash"])
     good, r2 = check_app_key(good, registry)
     good = repair_time(good, "time", "ingest_ts", out="ts")

@@ -21,21 +21,22 @@ from usagelens.operators import ingest as IN
 from usagelens.streaming.jobs import DEFAULT_TRIGGER
 
 
-def ingest_stream(raw_stream: DataFrame, chain: Callable[[DataFrame], tuple[DataFrame, DataFrame]], out_path: str,
+def ingest_stream(raw_stream: DataFrame, parse: Callable[[DataFrame], DataFrame],
+                  check: Callable[[DataFrame], tuple[DataFrame, DataFrame]], out_path: str,
                   reject_path: str, checkpoint: str, trigger: str = DEFAULT_TRIGGER,
                   available_now: bool = False) -> StreamingQuery:
-    """Start the ingest of one queue (payload_id, payload, ingest_ts in);
-    ``chain`` is its batch chain: payloads -> (good rows, rejects).  A replayed
-    batch overwrites its own ``epoch`` folders."""
+    """Start the ingest of one queue (payload_id, payload, ingest_ts in) by the
+    two steps of its batch chain: ``parse`` payloads -> fields, ``check`` them ->
+    (good rows, rejects).  A replayed batch overwrites its own ``epoch`` folders."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()         # the landing files are read once for both outputs
+        parsed = parse(batch).drop("payload").persist()     # read and parsed once for good rows and every kind of reject
         try:
-            good, rejects = chain(batch)
+            good, rejects = check(parsed)
             (good.withColumn("ingest_day", F.to_date("ingest_ts")).write.mode("overwrite")
              .partitionBy("ingest_day").parquet(f"{out_path}/epoch={epoch_id}"))
             rejects.write.mode("overwrite").parquet(f"{reject_path}/epoch={epoch_id}")
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     w = raw_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
@@ -45,22 +46,22 @@ def ingest_stream(raw_stream: DataFrame, chain: Callable[[DataFrame], tuple[Data
 def ingest_launch_stream(raw_stream: DataFrame, registry: DataFrame, mccmnc: DataFrame, out_path: str,
                          reject_path: str, checkpoint: str, **options) -> StreamingQuery:
     """Launch queue."""
-    return ingest_stream(raw_stream, lambda b: IN.ingest_launch(b, registry, mccmnc), out_path, reject_path, checkpoint, **options)
+    return ingest_stream(raw_stream, IN.parse_launch, lambda p: IN.check_launch(p, registry, mccmnc), out_path, reject_path, checkpoint, **options)
 
 
 def ingest_event_stream(raw_stream: DataFrame, registry: DataFrame, event_defs: DataFrame, out_path: str,
                         reject_path: str, checkpoint: str, **options) -> StreamingQuery:
     """Custom-event queue."""
-    return ingest_stream(raw_stream, lambda b: IN.ingest_event(b, registry, event_defs), out_path, reject_path, checkpoint, **options)
+    return ingest_stream(raw_stream, IN.parse_event, lambda p: IN.check_event(p, registry, event_defs), out_path, reject_path, checkpoint, **options)
 
 
 def ingest_page_stream(raw_stream: DataFrame, registry: DataFrame, out_path: str, reject_path: str,
                        checkpoint: str, **options) -> StreamingQuery:
     """Page-view queue."""
-    return ingest_stream(raw_stream, lambda b: IN.ingest_page(b, registry), out_path, reject_path, checkpoint, **options)
+    return ingest_stream(raw_stream, IN.parse_page_view, lambda p: IN.check_page(p, registry), out_path, reject_path, checkpoint, **options)
 
 
 def ingest_crash_stream(raw_stream: DataFrame, registry: DataFrame, out_path: str, reject_path: str,
                         checkpoint: str, **options) -> StreamingQuery:
     """Crash queue."""
-    return ingest_stream(raw_stream, lambda b: IN.ingest_crash(b, registry), out_path, reject_path, checkpoint, **options)
+    return ingest_stream(raw_stream, IN.parse_crash, lambda p: IN.check_crash(p, registry), out_path, reject_path, checkpoint, **options)

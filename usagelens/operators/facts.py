@@ -16,12 +16,21 @@ DIM_KEYS = ["product_id", "channel_id", "version"]
 FLAGS = ["product_active", "channel_active", "version_active"]
 
 
+def tag_rows(rows: DataFrame, product_dim: DataFrame, keys: list[str] = DIM_KEYS) -> DataFrame:
+    """All rows, read and joined once: ``known`` tells whether the dimension has
+    their key, ``active`` is its activity flag (NULL where it has none)."""
+    dim = product_dim.select(*keys, *FLAGS).dropDuplicates(keys).withColumn("_known", F.lit(True))
+    return rows.join(dim, keys, "left").withColumns({
+        "active": (F.col("product_active") == 1) & (F.col("channel_active") == 1) & (F.col("version_active") == 1),
+        "known": F.col("_known").isNotNull()}).drop(*FLAGS, "_known")
+
+
 def _attach(rows: DataFrame, product_dim: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    dim = product_dim.select(*keys, *FLAGS).dropDuplicates(keys)
-    good = rows.join(dim, keys, "inner").withColumn(
-        "active", (F.col("product_active") == 1) & (F.col("channel_active") == 1) & (F.col("version_active") == 1))
-    rejects = rows.join(dim, keys, "left_anti")
-    return good.drop(*FLAGS), rejects
+    return _split(tag_rows(rows, product_dim, keys))
+
+
+def _split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tagged.where("known").drop("known"), tagged.where("NOT known").drop("known", "active")
 
 
 def build_launch_fact(rows: DataFrame, product_dim: DataFrame, t0=None, t1=None) -> tuple[DataFrame, DataFrame]:
@@ -42,11 +51,15 @@ def build_page_fact(rows: DataFrame, product_dim: DataFrame) -> tuple[DataFrame,
 
 def build_crash_fact(rows: DataFrame, product_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L3: crash fact with the brand/OS attributes kept as columns."""
-    rows = rows.withColumn("d", F.to_date("ts"))
-    return _attach(rows, product_dim, DIM_KEYS)
+    return _split(tag_day_rows(rows, product_dim))
+
+
+def tag_day_rows(rows: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """The rows of the crash or custom-event fact and its rejects in one frame
+    (:func:`tag_rows`): who needs both doesn't read the rows twice."""
+    return tag_rows(rows.withColumn("d", F.to_date("ts")), product_dim)
 
 
 def build_event_fact(rows: DataFrame, product_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L4: custom-event fact."""
-    rows = rows.withColumn("d", F.to_date("ts"))
-    return _attach(rows, product_dim, DIM_KEYS)
+    return _split(tag_day_rows(rows, product_dim))

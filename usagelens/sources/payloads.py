@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.session import spread
 from usagelens.sources import registry as R
 from usagelens.sources.fixtures import _channel, _device, _product, _tagged, _version
 
@@ -23,7 +24,7 @@ UNKNOWN_MCCMNC = "99999"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def _fault() -> Column:
